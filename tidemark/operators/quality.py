@@ -8,7 +8,6 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.expressions import ratio_change
 from tidemark.operators.series import calendar_gaps
@@ -125,13 +124,17 @@ def duplicates(
     Keys are counted with map-side combining and joined back, so a key with
     very many copies is neither buffered nor sent to one task.
     """
-    keys = list(keys)
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return join_keyed(rows, counted, keys, n="_n", hot_rows=hot_rows)
+    return join_keyed(rows, repeated_keys(rows, keys), keys, n="copies", hot_rows=hot_rows)
+
+
+def repeated_keys(rows: DataFrame, keys: Sequence[str] = FACT_KEY) -> DataFrame:
+    """Keys that occur more than once, with their number of ``copies``."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return counted.where(F.col("copies") > 1)
 
 
 def _with_jump(
-    rows: DataFrame, order: Sequence[str], history: DataFrame | None, hot_rows: int
+    rows: DataFrame, order: Sequence[str], history: DataFrame | None, hot_rows: int | None
 ) -> DataFrame:
     """``rows`` plus ``_jump``: price moved more than the limit from the row before."""
     ties = [c for c in MEASURES if c in rows.columns and c not in order]
@@ -160,12 +163,13 @@ def anomalies(
     rows: DataFrame,
     order: Sequence[str] = (),
     history: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rows whose price moved more than 50% from the coin's previous row, with the reason.
 
     The first row of a coin passes unless ``history`` holds earlier stored
     rows. Rows of a day are ordered by ``order``, then by their measures.
+    ``hot_rows=None`` says that rows per coin are few, as with daily rows.
     """
     jumps = _with_jump(rows, order, history, hot_rows).where("_jump").drop("_jump")
     return jumps.withColumn("reason", F.lit(ANOMALY_REASON))
@@ -186,7 +190,7 @@ def flag(
     order: Sequence[str] = (),
     history: DataFrame | None = None,
     reason_mode: str = "row",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Every input row once, typed, with ``status`` and ``reason``.
 
@@ -233,9 +237,14 @@ def _first_check(failing: DataFrame, rules: Sequence[Rule]) -> Column:
     return failing.agg(F.get(checks, F.min(position).cast("int"))).scalar()
 
 
-def split(flagged: DataFrame, order: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> Split:
+def survivors(flagged: DataFrame) -> DataFrame:
+    """Rows that passed the schema, jumps included."""
+    return flagged.where(F.col("status") != "failed").drop("status", "reason")
+
+
+def split(flagged: DataFrame, hot_rows: int = HOT_ROWS) -> Split:
     """Valid rows, quarantined rows with reason, duplicates and gaps of a flagged batch."""
-    survived = flagged.where(F.col("status") != "failed").drop("status", "reason")
+    survived = survivors(flagged)
     return Split(
         valid=flagged.where(F.col("status") == "valid").drop("status", "reason"),
         quarantined=flagged.where(F.col("status") != "valid").drop("status"),
@@ -254,25 +263,21 @@ def validate(
 ) -> Split:
     """Check a batch and split it; see ``flag`` and ``split``."""
     flagged = flag(df, data_type, order, history, reason_mode, hot_rows)
-    return split(flagged, order, hot_rows)
+    return split(flagged, hot_rows)
 
 
-def report(flagged: DataFrame, gaps: DataFrame, copies: DataFrame | None = None) -> DataFrame:
+def report(flagged: DataFrame, gaps: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """One row: rows received, passed, quarantined, gaps found, and duplicate copies.
 
     One pass over the flagged rows; the other counts are scalar subqueries.
+    ``repeated`` are the repeated keys with their ``copies``.
     """
     counters = flagged.agg(
         F.count(F.lit(1)).alias("rows_received"),
         F.count_if(F.col("status") == "valid").alias("rows_passed"),
         F.count_if(F.col("status") != "valid").alias("rows_quarantined"),
     ).withColumn("gaps_found", gaps.agg(F.count(F.lit(1))).scalar())
-    if copies is not None:
-        counters = counters.withColumn("duplicates_found", copies.agg(F.count(F.lit(1))).scalar())
+    if repeated is not None:
+        copies = F.coalesce(F.sum("copies"), F.lit(0))
+        counters = counters.withColumn("duplicates_found", repeated.agg(copies).scalar())
     return counters
-
-
-def empty_batch(df: DataFrame, data_type: str) -> DataFrame:
-    """Typed frame without rows for a batch nothing was landed for."""
-    fields = [T.StructField(r.column, T._parse_datatype_string(r.dtype)) for r in rules_for(data_type)]
-    return df.sparkSession.createDataFrame([], T.StructType(fields))

@@ -58,17 +58,22 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def _fs(self, path: str):
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
+    def _hadoop(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
 
     def exists(self, path: str) -> bool:
-        fs, target = self._fs(path)
+        fs, target = self._hadoop(path)
         return fs.exists(target)
 
-    def delete(self, path: str) -> None:
-        fs, target = self._fs(path)
+    def _swap(self, source: str, path: str) -> None:
+        """Put folder ``source`` in the place of ``path``."""
+        fs, target = self._hadoop(path)
+        _, new = self._hadoop(source)
         fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(new, target):
+            raise OSError(f"could not move {source} to {path}")
 
     def read(self, table: str) -> DataFrame:
         """The table, or a typed empty frame before its first load."""
@@ -137,25 +142,32 @@ class Warehouse:
 
     def _replace(self, table: str, rows: DataFrame) -> None:
         """Write aside in full, then swap in: the result is safe before the table changes."""
-        self._write(table, rows, self._staged(table), "static")
-        self._finish(table)
-
-    def _finish(self, table: str) -> None:
-        """Swap in a complete staged result, also one a lost driver left behind."""
-        staged = self._staged(table)
-        if self.exists(f"{staged}/_SUCCESS"):
-            rows = self.spark.read.schema(STORED[table]).parquet(staged)
-            self._write(table, rows, self.path(table), "dynamic")
-            self.delete(staged)
-
-    def _write(self, table: str, rows: DataFrame, path: str, overwrite: str) -> None:
         if table == "fact_price":
             # Rebalancing splits a month too large for one task and joins small ones.
             arranged = rows.hint("rebalance", "month").sortWithinPartitions("month", *FACT_KEY)
-            writer = arranged.write.option("partitionOverwriteMode", overwrite).partitionBy("month")
+            writer = arranged.write.partitionBy("month")
         else:
             writer = rows.hint("rebalance").write
-        writer.mode("overwrite").parquet(path)
+        writer.mode("overwrite").parquet(self._staged(table))
+        self._finish(table)
+
+    def _finish(self, table: str) -> None:
+        """Swap in a complete staged result, also one a lost driver left half moved.
+
+        The fact is swapped month by month; a month is either still staged or in place.
+        """
+        staged = self._staged(table)
+        if not self.exists(f"{staged}/_SUCCESS"):
+            return
+        if table != "fact_price":
+            self._swap(staged, self.path(table))
+            return
+        fs, folder = self._hadoop(staged)
+        months = [status.getPath().getName() for status in fs.listStatus(folder)]
+        for month in months:
+            if month.startswith("month="):
+                self._swap(f"{staged}/{month}", f"{self.path(table)}/{month}")
+        fs.delete(folder, True)
 
 
 def quarantine_rows(rows: DataFrame) -> DataFrame:

@@ -52,7 +52,10 @@ def ingest(
 def flag_batch(batch: Ingested, reason_mode: str = "row") -> DataFrame:
     """Both inputs validated, in one frame ordered by ``source`` and ``landed``."""
     current = quality.flag(batch.current, "current", ["landed"], reason_mode=reason_mode)
-    historical = quality.flag(batch.historical, "historical", ["landed"], reason_mode=reason_mode)
+    # History holds one row per coin and day, so no coin can have too many.
+    historical = quality.flag(
+        batch.historical, "historical", ["landed"], reason_mode=reason_mode, hot_rows=None
+    )
     return current.withColumn("source", F.lit(_SNAPSHOT)).unionByName(
         historical.withColumn("source", F.lit(_HISTORY)), allowMissingColumns=True
     )
@@ -60,7 +63,7 @@ def flag_batch(batch: Ingested, reason_mode: str = "row") -> DataFrame:
 
 def _per_source(flagged: DataFrame, operator) -> DataFrame:
     """Apply an operator to each input on its own, as runs check them separately."""
-    survived = flagged.where(F.col("status") != "failed")
+    survived = quality.survivors(flagged)
     return operator(survived.where(F.col("source") == _SNAPSHOT)).unionByName(
         operator(survived.where(F.col("source") == _HISTORY))
     )
@@ -117,13 +120,13 @@ def run(
     )
     load(warehouse, flagged, run_id)
 
-    gaps = _per_source(flagged, series.calendar_gaps)
-    warehouse.append_gaps(gaps, run_id)
+    warehouse.append_gaps(_per_source(flagged, series.calendar_gaps), run_id)
     views.register(warehouse.fact_price(), warehouse.dim_coin(), warehouse.quarantine())
     views.check(spark)
 
-    copies = _per_source(flagged, quality.duplicates)
-    report = materialise(quality.report(flagged, gaps, copies), "report")
+    gaps = warehouse.gaps().where(F.col("run_id") == run_id)
+    repeated = _per_source(flagged, quality.repeated_keys)
+    report = materialise(quality.report(flagged, gaps, repeated), "report")
     write_report(warehouse, report, run_id)
     return report
 

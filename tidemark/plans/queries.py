@@ -101,7 +101,7 @@ def gaps_supplier(spark, sf_dir):
 
 
 def anomalies(spark, sf_dir):
-    return quality.anomalies(tables.user_daily(spark, sf_dir))
+    return quality.anomalies(tables.user_daily(spark, sf_dir), hot_rows=None)
 
 
 def anomalies_with_history(spark, sf_dir):
@@ -109,7 +109,9 @@ def anomalies_with_history(spark, sf_dir):
     daily = tables.supplier_daily(spark, sf_dir).select("coin_id", "date", "price")
     start = F.lit(dt.date(1998, 1, 1))
     return quality.anomalies(
-        daily.where(F.col("date") >= start), history=daily.where(F.col("date") < start)
+        daily.where(F.col("date") >= start),
+        history=daily.where(F.col("date") < start),
+        hot_rows=None,
     )
 
 
@@ -170,8 +172,8 @@ def quarantine_batch_reason(spark, sf_dir):
 
 def dq_report(spark, sf_dir):
     flagged = materialise(_flagged(spark, sf_dir), "batch")
-    parts = quality.split(flagged, TICK_ORDER)
-    return quality.report(flagged, parts.gaps, parts.duplicates)
+    survived = quality.survivors(flagged)
+    return quality.report(flagged, series.calendar_gaps(survived), quality.repeated_keys(survived))
 
 
 def _halves(spark, sf_dir):

@@ -61,9 +61,13 @@ def _matches(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
     return condition
 
 
-def hottest(counted: DataFrame, n: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them."""
-    return counted.where(F.col(n) > hot_rows).orderBy(F.col(n).desc()).limit(MAX_HOT_KEYS)
+def hottest(counted: DataFrame, keys: Sequence[str], n: str, hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them.
+
+    The order is total, so every evaluation picks the same keys.
+    """
+    hot = counted.where(F.col(n) > hot_rows)
+    return hot.orderBy(F.col(n).desc(), *keys).limit(MAX_HOT_KEYS)
 
 
 def join_keyed(
@@ -77,7 +81,7 @@ def join_keyed(
     """
     on = list(on)
     keyed = materialise(keyed, "keyed")
-    hot = materialise(hottest(keyed, n, hot_rows), "hot")
+    hot = hottest(keyed, on, n, hot_rows)
 
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
         extra = [right[c] for c in right.columns if c not in (*on, n)]
@@ -99,28 +103,30 @@ def previous_value(
     order: Sequence[str],
     value: str,
     out: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: ``value`` of the preceding row of the same ``key``.
 
     Keys of ordinary size use one window. Rows of hot keys are range-split on
     (key, order, position) into even slices; a slice's first row of a key
     takes its value from the last earlier slice holding that key.
+    ``hot_rows=None`` skips the search for hot keys where rows per key are
+    bounded anyway, as with one row per day.
     """
     order = list(order)
+    lagged = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
+    if hot_rows is None:
+        return rows.withColumn(out, lagged)
     counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialise(hottest(counted, "_n", hot_rows), "hot")
+    hot = materialise(hottest(counted, [key], "_n", hot_rows), "hot")
     total = hot.agg(F.sum("_n")).first()[0]
     if total is None:
-        by_key = Window.partitionBy(key).orderBy(*order)
-        return rows.withColumn(out, F.lag(value).over(by_key))
+        return rows.withColumn(out, lagged)
 
     hot = F.broadcast(hot)
     slices = int(min(MAX_SLICES, max(2, 2 * total // hot_rows)))
     same_key = _matches(rows, hot, [key])
-    cold = rows.join(hot, same_key, "left_anti")
-    by_key = Window.partitionBy(key).orderBy(*order)
-    cold = cold.withColumn(out, F.lag(value).over(by_key))
+    cold = rows.join(hot, same_key, "left_anti").withColumn(out, lagged)
 
     # The written copy gives each row a lasting position, which splits even
     # runs of identical rows; the second copy pins the slice of each row.

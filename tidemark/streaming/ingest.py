@@ -23,7 +23,7 @@ def load_history_batch(warehouse: Warehouse, payloads: DataFrame, run_id: str, r
     marks = series.restate(series.high_water_marks(warehouse.fact_price()), restate_days)
     points = series.newer_than_marks(landing.history_points(payloads), materialise(marks, "marks"))
     days = series.daily_last(points, ["timestamp", "ingest_ts"])
-    flagged = materialise(quality.flag(days, "historical"), "batch")
+    flagged = materialise(quality.flag(days, "historical", hot_rows=None), "batch")
     valid = flagged.where(F.col("status") == "valid").select(*FACT_KEY, *MEASURES)
     warehouse.load_history(valid, [])
     warehouse.append_quarantine(flagged.where(F.col("status") != "valid"), run_id)
