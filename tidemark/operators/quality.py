@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +34,19 @@ class Rule:
         value = F.col(self.column).try_cast(self.dtype)
         return F.when(~F.isnan(value), value) if self.dtype == "double" else value
 
-    def checks(self) -> list[tuple[str, Column]]:
-        """(check name, failed) pairs in the order they are reported."""
+    def checks(self, given: str) -> list[tuple[str, Column]]:
+        """(check name, failed) pairs in the order they are reported.
+
+        ``given`` is the column's type; a column of the declared type cannot
+        fail to be read as it.
+        """
         raw, typed = F.col(self.column), self.typed()
         missing = raw.isNull()
         if self.dtype == "double":
             missing = missing | F.isnan(raw.try_cast("double"))
-        found = [(f"coerce_dtype('{self.dtype}')", ~missing & typed.isNull())]
+        found = []
+        if given != self.dtype:
+            found.append((f"coerce_dtype('{self.dtype}')", ~missing & typed.isNull()))
         if not self.nullable:
             found.append(("not_nullable", missing))
         if self.above is not None:
@@ -77,23 +82,40 @@ def _require_columns(df: DataFrame, rules: Sequence[Rule], order: Sequence[str])
         raise ValueError(f"columns missing: {sorted(missing)}, not in schema: {sorted(extra)}")
 
 
-def _failures(rules: Sequence[Rule]) -> Column:
+def _checks(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[str, str, Column]]:
+    """(column, check name, failed) of every check, in schema order."""
+    given = dict(df.dtypes)
+    return [
+        (rule.column, name, failed)
+        for rule in rules
+        for name, failed in rule.checks(given[rule.column])
+    ]
+
+
+def _failures(checks: Sequence[tuple[str, str, Column]]) -> Column:
     """Array of ``(column, check, value)`` of every failed check, in schema order."""
     cases = [
         F.when(
             failed,
             F.struct(
-                F.lit(rule.column).alias("column"),
+                F.lit(column).alias("column"),
                 F.lit(name).alias("check"),
-                F.col(rule.column).cast("string").alias("value"),
+                F.col(column).cast("string").alias("value"),
             ),
         )
-        for rule in rules
-        for name, failed in rule.checks()
+        for column, name, failed in checks
     ]
     return F.array_compact(F.array(*cases))
 
 
+def _first_failure(checks: Sequence[tuple[str, str, Column]]) -> Column:
+    """Position of the first failed check; null if all pass.
+
+    Plain conditionals, unlike the array of ``_failures``, stay in generated code.
+    """
+    return F.coalesce(*[F.when(failed, F.lit(i)) for i, (_, _, failed) in enumerate(checks)])
+
+
 def schema_check(df: DataFrame, data_type: str, order: Sequence[str] = ()) -> DataFrame:
     """Input rows plus ``failures``: every check the row fails, empty if none.
 
@@ -102,7 +124,7 @@ def schema_check(df: DataFrame, data_type: str, order: Sequence[str] = ()) -> Da
     """
     rules = rules_for(data_type)
     _require_columns(df, rules, order)
-    return df.withColumn("failures", _failures(rules))
+    return df.withColumn("failures", _failures(_checks(df, rules)))
 
 
 def failure_cases(df: DataFrame, data_type: str, order: Sequence[str] = ()) -> DataFrame:
@@ -175,13 +197,33 @@ def anomalies(
     return jumps.withColumn("reason", F.lit(ANOMALY_REASON))
 
 
-class Split(NamedTuple):
-    """Outcome of a validation; all frames are lazy."""
+class Split:
+    """Outcome of a validation. Each part is built when asked for; none is needed for another."""
+
+    def __init__(self, flagged: DataFrame, hot_rows: int = HOT_ROWS):
+        self.flagged = flagged
+        self._hot_rows = hot_rows
+
+    @property
+    def survivors(self) -> DataFrame:
+        """Rows that passed the schema, jumps included."""
+        return self.flagged.where(F.col("status") != "failed").drop("status", "reason")
 
-    valid: DataFrame
-    quarantined: DataFrame
-    duplicates: DataFrame
-    gaps: DataFrame
+    @property
+    def valid(self) -> DataFrame:
+        return self.flagged.where(F.col("status") == "valid").drop("status", "reason")
+
+    @property
+    def quarantined(self) -> DataFrame:
+        return self.flagged.where(F.col("status") != "valid").drop("status")
+
+    @property
+    def duplicates(self) -> DataFrame:
+        return duplicates(self.survivors, hot_rows=self._hot_rows)
+
+    @property
+    def gaps(self) -> DataFrame:
+        return calendar_gaps(self.survivors)
 
 
 def flag(
@@ -202,11 +244,14 @@ def flag(
     if reason_mode not in ("row", "batch"):
         raise ValueError("reason_mode must be 'row' or 'batch'")
     rules = rules_for(data_type)
-    checked = schema_check(df, data_type, order)
+    _require_columns(df, rules, order)
     typed = [rule.typed().alias(rule.column) for rule in rules]
     columns = [rule.column for rule in rules]
+    checks = _checks(df, rules)
+    failure = _first_failure(checks)
+    names = F.array(*[F.lit(name) for _, name, _ in checks])
 
-    passed = checked.where(F.size("failures") == 0).select(*typed, *order)
+    passed = df.where(failure.isNull()).select(*typed, *order)
     judged = _with_jump(passed, order, history, hot_rows).select(
         *columns,
         *order,
@@ -214,45 +259,19 @@ def flag(
         F.when(F.col("_jump"), F.lit(ANOMALY_REASON)).alias("reason"),
     )
 
-    failing = checked.where(F.size("failures") > 0)
-    check = F.get("failures", F.lit(0)).getField("check")
+    failing = df.where(failure.isNotNull())
+    position = failure
     if reason_mode == "batch":
-        check = _first_check(failing, rules)
+        position = failing.agg(F.min(failure)).scalar()
     failed = failing.select(
         *typed,
         *order,
         F.lit("failed").alias("status"),
-        F.concat(F.lit(SCHEMA_REASON), check).alias("reason"),
+        F.concat(F.lit(SCHEMA_REASON), F.get(names, position)).alias("reason"),
     )
     return judged.unionByName(failed)
 
 
-def _first_check(failing: DataFrame, rules: Sequence[Rule]) -> Column:
-    """First failing check of the whole batch in schema order, as a scalar subquery."""
-    names = [(rule.column, name) for rule in rules for name, _ in rule.checks()]
-    texts = F.array(*[F.concat_ws(":", F.lit(column), F.lit(name)) for column, name in names])
-    head = F.get("failures", F.lit(0))
-    position = F.array_position(texts, F.concat_ws(":", head["column"], head["check"])) - 1
-    checks = F.array(*[F.lit(name) for _, name in names])
-    return failing.agg(F.get(checks, F.min(position).cast("int"))).scalar()
-
-
-def survivors(flagged: DataFrame) -> DataFrame:
-    """Rows that passed the schema, jumps included."""
-    return flagged.where(F.col("status") != "failed").drop("status", "reason")
-
-
-def split(flagged: DataFrame, hot_rows: int = HOT_ROWS) -> Split:
-    """Valid rows, quarantined rows with reason, duplicates and gaps of a flagged batch."""
-    survived = survivors(flagged)
-    return Split(
-        valid=flagged.where(F.col("status") == "valid").drop("status", "reason"),
-        quarantined=flagged.where(F.col("status") != "valid").drop("status"),
-        duplicates=duplicates(survived, hot_rows=hot_rows),
-        gaps=calendar_gaps(survived),
-    )
-
-
 def validate(
     df: DataFrame,
     data_type: str,
@@ -261,9 +280,8 @@ def validate(
     reason_mode: str = "row",
     hot_rows: int = HOT_ROWS,
 ) -> Split:
-    """Check a batch and split it; see ``flag`` and ``split``."""
-    flagged = flag(df, data_type, order, history, reason_mode, hot_rows)
-    return split(flagged, hot_rows)
+    """Check a batch and split it into valid rows, quarantined rows, duplicates and gaps."""
+    return Split(flag(df, data_type, order, history, reason_mode, hot_rows), hot_rows)
 
 
 def report(flagged: DataFrame, gaps: DataFrame, repeated: DataFrame | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.scale import materialise
 from tidemark.schemas import DIM, DIM_KEY, FACT, FACT_KEY, GAPS, MEASURES, QUARANTINE
 
 # Stored layout of each table: declared columns plus the folder column, if any.
@@ -44,7 +45,12 @@ def merge_latest(
     The batch is reduced to one row per key first. Stored rows are not
     shuffled when the reduced batch is small enough to broadcast.
     """
-    latest = last_per_key(batch, keys, order).select(*stored.columns)
+    return replace_keys(stored, last_per_key(batch, keys, order), keys)
+
+
+def replace_keys(stored: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows with those of ``latest``, one per key, in place of their own."""
+    latest = latest.select(*stored.columns)
     return stored.join(latest, list(keys), "left_anti").unionByName(latest)
 
 
@@ -100,31 +106,37 @@ class Warehouse:
         return self.read("fact_price")
 
     def upsert_fact(self, batch: DataFrame, order: Sequence[str]) -> None:
-        """Merge a batch into the fact, rewriting only the months it touches."""
-        batch = batch.withColumn("month", F.date_format("date", "yyyy-MM"))
+        """Merge a batch into the fact, rewriting only the months it touches.
+
+        The reduced batch is written first: it is used twice, and its known
+        size lets Spark broadcast it when small, so stored rows stay in place.
+        """
+        batch = batch.select(*FACT_KEY, *MEASURES, *order)
+        latest = last_per_key(batch, FACT_KEY, order).withColumn(
+            "month", F.date_format("date", "yyyy-MM")
+        )
+        latest = materialise(latest, "latest")
         # One string per calendar month of the batch: bounded by the calendar.
-        months = [row.month for row in batch.select("month").distinct().collect()]
-        if not months:
-            return
-        stored = self._fact_by_month().where(F.col("month").isin(months))
-        merged = merge_latest(stored, batch.select(*stored.columns, *order), FACT_KEY, order)
-        self._replace("fact_price", merged)
+        months = [row.month for row in latest.select("month").distinct().collect()]
+        if months:
+            stored = self._fact_by_month().where(F.col("month").isin(months))
+            self._replace("fact_price", replace_keys(stored, latest, FACT_KEY))
 
     def upsert_dim(self, batch: DataFrame, order: Sequence[str]) -> None:
         """Merge a batch into the dimension."""
-        if batch.isEmpty():
-            return
-        merged = merge_latest(self.dim_coin(), batch.select(*DIM.names, *order), DIM_KEY, order)
-        self._replace("dim_coin", merged)
+        latest = last_per_key(batch.select(*DIM.names, *order), DIM_KEY, order)
+        latest = materialise(latest, "latest")
+        if not latest.isEmpty():
+            self._replace("dim_coin", replace_keys(self.dim_coin(), latest, DIM_KEY))
 
     def load_snapshot(self, rows: DataFrame, order: Sequence[str]) -> None:
         """Load validated snapshot rows: first the dimension, then the fact."""
         self.upsert_dim(rows, order)
-        self.upsert_fact(rows.select(*FACT_KEY, *MEASURES, *order), order)
+        self.upsert_fact(rows, order)
 
     def load_history(self, rows: DataFrame, order: Sequence[str]) -> None:
         """Load validated history rows."""
-        self.upsert_fact(rows.select(*FACT_KEY, *MEASURES, *order), order)
+        self.upsert_fact(rows, order)
 
     def append_quarantine(self, rows: DataFrame, run_id: str) -> None:
         """Store quarantined rows of one run; a rerun replaces that run's rows."""

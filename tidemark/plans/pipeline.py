@@ -63,7 +63,7 @@ def flag_batch(batch: Ingested, reason_mode: str = "row") -> DataFrame:
 
 def _per_source(flagged: DataFrame, operator) -> DataFrame:
     """Apply an operator to each input on its own, as runs check them separately."""
-    survived = quality.survivors(flagged)
+    survived = quality.Split(flagged).survivors
     return operator(survived.where(F.col("source") == _SNAPSHOT)).unionByName(
         operator(survived.where(F.col("source") == _HISTORY))
     )

@@ -156,24 +156,24 @@ def _flagged(spark, sf_dir, reason_mode="row"):
 
 
 def valid_rows(spark, sf_dir):
-    valid = quality.split(_flagged(spark, sf_dir)).valid
+    valid = quality.Split(_flagged(spark, sf_dir)).valid
     return rounded(valid.select(*_FIVE), "market_cap")
 
 
 def quarantine_rows(spark, sf_dir):
-    quarantined = quality.split(_flagged(spark, sf_dir)).quarantined
+    quarantined = quality.Split(_flagged(spark, sf_dir)).quarantined
     return rounded(store.quarantine_rows(quarantined), "market_cap")
 
 
 def quarantine_batch_reason(spark, sf_dir):
-    quarantined = quality.split(_flagged(spark, sf_dir, "batch")).quarantined
+    quarantined = quality.Split(_flagged(spark, sf_dir, "batch")).quarantined
     return quarantined.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def dq_report(spark, sf_dir):
     flagged = materialise(_flagged(spark, sf_dir), "batch")
-    survived = quality.survivors(flagged)
-    return quality.report(flagged, series.calendar_gaps(survived), quality.repeated_keys(survived))
+    parts = quality.Split(flagged)
+    return quality.report(flagged, parts.gaps, quality.repeated_keys(parts.survivors))
 
 
 def _halves(spark, sf_dir):
@@ -231,7 +231,7 @@ def table_counts(spark, sf_dir):
         {
             "dim_coin": tables.supplier_dim(spark, sf_dir),
             "fact_price": tables.supplier_daily(spark, sf_dir),
-            "quarantine": quality.split(_flagged(spark, sf_dir)).quarantined,
+            "quarantine": quality.Split(_flagged(spark, sf_dir)).quarantined,
         }
     )
 
@@ -269,8 +269,8 @@ def raw_landing(spark, sf_dir):
 def mart_check(spark, sf_dir):
     """Rows behind each registered mart view, read by name."""
     fact = tables.supplier_daily(spark, sf_dir)
-    quarantined = quality.split(_flagged(spark, sf_dir)).quarantined
-    views.register(fact, tables.supplier_dim(spark, sf_dir), quarantined)
+    flagged = quality.flag(fact, "historical", hot_rows=None)
+    views.register(fact, tables.supplier_dim(spark, sf_dir), quality.Split(flagged).quarantined)
     views.check(spark)
     counts = [f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}" for v in views.MARTS]
     return spark.sql(" UNION ALL ".join(counts))
