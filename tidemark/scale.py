@@ -16,7 +16,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ordering
@@ -53,12 +53,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _matches(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    """Null-safe equality on all key columns, still an equi-join for Spark."""
-    condition = left[on[0]].eqNullSafe(right[on[0]])
-    for name in on[1:]:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join on null-safe equality of the key columns, an equi-join for Spark."""
+    names = {name: f"_key_{i}" for i, name in enumerate(on)}
+    renamed = right.withColumnsRenamed(names)
+    condition = [F.col(name).eqNullSafe(F.col(other)) for name, other in names.items()]
+    return left.join(renamed, condition, how).drop(*names.values())
 
 
 def hottest(counted: DataFrame, keys: Sequence[str], n: str, hot_rows: int) -> DataFrame:
@@ -83,18 +83,11 @@ def join_keyed(
     keyed = materialise(keyed, "keyed")
     hot = hottest(keyed, on, n, hot_rows)
 
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        extra = [right[c] for c in right.columns if c not in (*on, n)]
-        return left.join(right, _matches(left, right, on)).select(
-            *[left[c] for c in left.columns], *extra
-        )
-
     if hot.isEmpty():
-        return joined(rows, keyed)
-    hot = F.broadcast(hot)
-    cold_rows = rows.join(hot, _matches(rows, hot, on), "left_anti")
-    cold_keys = keyed.join(hot, _matches(keyed, hot, on), "left_anti")
-    return joined(rows, hot).unionByName(joined(cold_rows, cold_keys))
+        return _join(rows, keyed.drop(n), on, "inner")
+    hot = F.broadcast(hot.drop(n))
+    cold_rows = _join(rows, hot, on, "left_anti")
+    return _join(rows, hot, on, "inner").unionByName(_join(cold_rows, keyed.drop(n), on, "inner"))
 
 
 def previous_value(
@@ -125,12 +118,11 @@ def previous_value(
 
     hot = F.broadcast(hot)
     slices = int(min(MAX_SLICES, max(2, 2 * total // hot_rows)))
-    same_key = _matches(rows, hot, [key])
-    cold = rows.join(hot, same_key, "left_anti").withColumn(out, lagged)
+    cold = _join(rows, hot, [key], "left_anti").withColumn(out, lagged)
 
     # The written copy gives each row a lasting position, which splits even
     # runs of identical rows; the second copy pins the slice of each row.
-    fixed = materialise(rows.join(hot, same_key, "left_semi"), "rows")
+    fixed = materialise(_join(rows, hot, [key], "left_semi"), "rows")
     fixed = fixed.select(
         "*",
         F.col("_metadata.file_name").alias("_file"),
@@ -148,11 +140,8 @@ def previous_value(
             "_tail"
         )
     )
-    carried = tails.select(
-        F.col(key).alias("_key"),
-        F.col("_slice").alias("_at"),
-        F.lag("_tail").over(Window.partitionBy(key).orderBy("_slice")).alias("_carried"),
-    )
+    in_order = Window.partitionBy(key).orderBy("_slice")
+    carried = tails.select(key, "_slice", F.lag("_tail").over(in_order).alias("_carried"))
     in_slice = Window.partitionBy("_slice", key).orderBy(*full_order)
     warm = sliced.select(
         "*",
@@ -160,13 +149,6 @@ def previous_value(
         F.lag(value).over(in_slice).alias("_lag"),
     )
     # One row per (hot key, slice) boundary: at most MAX_HOT_KEYS + MAX_SLICES rows.
-    carried = F.broadcast(carried)
-    warm = warm.join(
-        carried,
-        warm[key].eqNullSafe(carried["_key"]) & (warm["_slice"] == carried["_at"]),
-        "left",
-    ).select(
-        *[warm[c] for c in rows.columns],
-        F.when(F.col("_nth") == 1, F.col("_carried.v")).otherwise(F.col("_lag")).alias(out),
-    )
-    return cold.unionByName(warm)
+    warm = _join(warm, F.broadcast(carried), [key, "_slice"], "left")
+    previous = F.when(F.col("_nth") == 1, F.col("_carried.v")).otherwise(F.col("_lag"))
+    return cold.unionByName(warm.select(*rows.columns, previous.alias(out)))
