@@ -151,9 +151,10 @@ def volatility_ranking(fact: DataFrame, nulls: str = "first", stored: bool = Tru
     else:
         values = ranks.drop("n").withColumnRenamed("volatility_30d", "_value")
         ranked = latest.join(values, F.col("volatility_30d").eqNullSafe(F.col("_value"))).drop("_value")
-    first = F.col("volatility_30d").desc_nulls_first()
-    last = F.col("volatility_30d").desc_nulls_last()
-    return ranked.orderBy(first if nulls == "first" else last)
+    volatility = F.col("volatility_30d")
+    by = volatility.desc_nulls_first() if nulls == "first" else volatility.desc_nulls_last()
+    # The coin breaks ties, so that many coins of one rank still sort in parallel.
+    return ranked.orderBy(by, "coin_id")
 
 
 def _ranks(rows: DataFrame, value: str, nulls: str) -> DataFrame:

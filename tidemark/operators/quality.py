@@ -160,25 +160,26 @@ def _with_jump(
 ) -> DataFrame:
     """``rows`` plus ``_jump``: price moved more than the limit from the row before."""
     ties = [c for c in MEASURES if c in rows.columns and c not in order]
-    sequence = ["date", *order, *ties]
-    marked = previous_value(rows, "coin_id", sequence, "price", "_previous", hot_rows)
+    marked = rows.withColumn("_stored", F.lit(False))
     if history is not None:
-        marked = _after_stored(marked, history)
+        stored = _stored_before(rows, history).withColumn("_stored", F.lit(True))
+        marked = marked.unionByName(stored, allowMissingColumns=True)
+    sequence = ["date", *order, *ties]
+    marked = previous_value(marked, "coin_id", sequence, "price", "_previous", hot_rows)
     change = F.abs(ratio_change(F.col("price"), F.col("_previous")))
-    return marked.withColumn("_jump", F.coalesce(change > JUMP_LIMIT, F.lit(False))).drop("_previous")
+    jump = F.coalesce(change > JUMP_LIMIT, F.lit(False))
+    return marked.where(~F.col("_stored")).select(*rows.columns, jump.alias("_jump"))
 
 
-def _after_stored(marked: DataFrame, history: DataFrame) -> DataFrame:
-    """Compare a coin's first row with its last stored row before the batch."""
-    first_day = marked.groupBy("coin_id").agg(F.min("date").alias("_first"))
-    stored = (
-        history.join(first_day, "coin_id")
-        .where(F.col("date") < F.col("_first"))
-        .groupBy("coin_id")
-        .agg(F.max_by("price", "date").alias("_stored"))
-    )
-    joined = marked.join(stored, "coin_id", "left")
-    return joined.withColumn("_previous", F.coalesce("_previous", "_stored")).drop("_stored")
+def _stored_before(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """The last stored row of each coin before its first day in ``rows``.
+
+    It joins the sequence as one more row, so the rows themselves never join.
+    """
+    first_day = rows.groupBy("coin_id").agg(F.min("date").alias("_first"))
+    earlier = history.join(first_day, "coin_id").where(F.col("date") < F.col("_first"))
+    last = F.max(F.struct("date", "price")).alias("_last")
+    return earlier.groupBy("coin_id").agg(last).select("coin_id", "_last.*")
 
 
 def anomalies(

@@ -89,8 +89,9 @@ def fetch_plan(marks: DataFrame, as_of: dt.date | Column, history_days: int = HI
 def newer_than_marks(batch: DataFrame, marks: DataFrame) -> DataFrame:
     """Rows strictly newer than their coin's mark; coins without a mark pass whole.
 
-    ``marks`` has one row per coin. Pass it materialised: its size is then
-    known, and it is broadcast only when small.
+    ``marks`` has one row per coin, ``batch`` one per coin and day, so the join
+    is even at any size. Pass the marks as a written table: Spark then knows
+    their size and broadcasts them when small.
     """
     known = marks.select("coin_id", F.col("high_water_mark").alias("_mark"))
     return (
@@ -101,7 +102,10 @@ def newer_than_marks(batch: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def only_tracked(batch: DataFrame, tracked: Iterable[str] | DataFrame) -> DataFrame:
-    """Rows of the tracked coins, given as a short list or as a frame."""
+    """Rows of the tracked coins, given as a short list or as a frame.
+
+    With a frame too large to broadcast, pass rows reduced to days.
+    """
     if isinstance(tracked, DataFrame):
         ids = tracked.select("coin_id").where(F.col("coin_id").isNotNull()).distinct()
         return batch.join(ids, "coin_id", "left_semi")

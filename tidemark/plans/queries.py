@@ -78,8 +78,7 @@ def _marks(spark, sf_dir):
 
 def incremental_batch(spark, sf_dir):
     marks = materialise(_marks(spark, sf_dir), "marks")
-    newer = series.newer_than_marks(tables.user_ticks(spark, sf_dir), marks)
-    return series.daily_last(newer, ["timestamp"], keep=["price"])
+    return series.newer_than_marks(tables.user_daily(spark, sf_dir), marks)
 
 
 def fetch_plan(spark, sf_dir):

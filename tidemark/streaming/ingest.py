@@ -14,15 +14,16 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import quality, series
 from tidemark.operators.store import Warehouse
 from tidemark.scale import materialise
-from tidemark.schemas import FACT_KEY, MEASURES, HISTORY
+from tidemark.schemas import FACT_KEY, HISTORY, MEASURES
 from tidemark.sources import landing
 
 
 def load_history_batch(warehouse: Warehouse, payloads: DataFrame, run_id: str, restate_days: int) -> None:
     """Reduce, filter, validate and upsert one set of history payloads."""
     marks = series.restate(series.high_water_marks(warehouse.fact_price()), restate_days)
-    points = series.newer_than_marks(landing.history_points(payloads), materialise(marks, "marks"))
-    days = series.daily_last(points, ["timestamp", "ingest_ts"])
+    marks = warehouse.marks(run_id, marks)
+    days = series.daily_last(landing.history_points(payloads), ["timestamp", "ingest_ts"])
+    days = series.newer_than_marks(days, marks)
     flagged = materialise(quality.flag(days, "historical", hot_rows=None), "batch")
     valid = flagged.where(F.col("status") == "valid").select(*FACT_KEY, *MEASURES)
     warehouse.load_history(valid, [])
