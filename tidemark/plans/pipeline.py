@@ -7,7 +7,7 @@ import logging
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality, series
@@ -62,6 +62,15 @@ def flag_batch(batch: Ingested, reason_mode: str = "row") -> DataFrame:
     )
 
 
+def _counters() -> list[Column]:
+    """Row counts for the log, gathered while the batch is written."""
+    return [
+        F.count_if((F.col("source") == source) & (F.col("status") == status)).alias(f"{name}_{status}")
+        for source, name in ((_SNAPSHOT, "current"), (_HISTORY, "historical"))
+        for status in ("valid", "anomaly", "failed")
+    ]
+
+
 def _per_source(flagged: DataFrame, operator) -> DataFrame:
     """Apply an operator to each input on its own, as runs check them separately."""
     survived = quality.Split(flagged).survivors
@@ -117,9 +126,10 @@ def run(
 
     # Feeds every sink and counter below, so it is evaluated once and kept
     # where the loss of an executor cannot take it.
-    flagged = materialise(
-        flag_batch(ingest(snapshots, histories, marks, as_of, tracked), reason_mode), "batch"
-    )
+    counted = Observation("batch")
+    flagged = flag_batch(ingest(snapshots, histories, marks, as_of, tracked), reason_mode)
+    flagged = materialise(flagged.observe(counted, *_counters()), "batch")
+    logger.info("run %s: %s", run_id, counted.get)
     load(warehouse, flagged, run_id)
 
     warehouse.append_gaps(_per_source(flagged, series.calendar_gaps), run_id)

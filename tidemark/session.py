@@ -15,6 +15,8 @@ def local_session(cpus: str = "*", app: str = "tidemark", **conf: str) -> SparkS
     settings = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Call sites of columns cost a round trip to the JVM for every expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.shuffle.partitions": str(cores or 8),
