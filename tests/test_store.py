@@ -58,16 +58,14 @@ def test_upsert_rewrites_only_the_months_of_the_batch(spark, warehouse):
 def test_a_half_moved_load_is_completed_on_the_next_read(spark, warehouse, monkeypatch):
     before = fact(spark, ("a", "2026-01-01", 1.0), ("a", "2026-02-01", 2.0))
     warehouse.upsert_fact(_ordered(before), ["ord"])
-    swaps = []
     swap = store.Warehouse._swap
 
-    def failing(self, source, path):
-        if swaps:
-            raise OSError("driver lost")
-        swaps.append(path)
-        swap(self, source, path)
+    def one_then_lost(self, moves):
+        first = next(iter(moves))
+        swap(self, {first: moves[first]})
+        raise OSError("driver lost")
 
-    monkeypatch.setattr(store.Warehouse, "_swap", failing)
+    monkeypatch.setattr(store.Warehouse, "_swap", one_then_lost)
     changed = fact(spark, ("a", "2026-01-01", 5.0), ("a", "2026-02-01", 6.0))
     with pytest.raises(OSError):
         warehouse.upsert_fact(_ordered(changed), ["ord"])

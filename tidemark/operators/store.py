@@ -72,14 +72,18 @@ class Warehouse:
         fs, target = self._hadoop(path)
         return fs.exists(target)
 
-    def _swap(self, source: str, path: str) -> None:
-        """Put folder ``source`` in the place of ``path``."""
-        fs, target = self._hadoop(path)
-        _, new = self._hadoop(source)
-        fs.delete(target, True)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(new, target):
-            raise OSError(f"could not move {source} to {path}")
+    def _swap(self, moves: dict[str, str]) -> None:
+        """Put each source folder in the place of its target folder."""
+        new_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = None
+        for source, target in moves.items():
+            old, new = new_path(target), new_path(source)
+            if fs is None:
+                fs = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+                fs.mkdirs(old.getParent())
+            fs.delete(old, True)
+            if not fs.rename(new, old):
+                raise OSError(f"could not move {source} to {target}")
 
     def read(self, table: str) -> DataFrame:
         """The table, or a typed empty frame before its first load."""
@@ -179,13 +183,12 @@ class Warehouse:
         if not self.exists(f"{staged}/_SUCCESS"):
             return
         if table != "fact_price":
-            self._swap(staged, self.path(table))
+            self._swap({staged: self.path(table)})
             return
         fs, folder = self._hadoop(staged)
-        months = [status.getPath().getName() for status in fs.listStatus(folder)]
-        for month in months:
-            if month.startswith("month="):
-                self._swap(f"{staged}/{month}", f"{self.path(table)}/{month}")
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        months = [name for name in names if name.startswith("month=")]
+        self._swap({f"{staged}/{m}": f"{self.path(table)}/{m}" for m in months})
         fs.delete(folder, True)
 
 
