@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import compare, connect
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,12 +20,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    assert compare(spark, con, SF_DIR, queries()[name], oracle_sql()[name]) is None
+    assert compare(spark, con, SF_DIR, QUERIES[name], ORACLE[name]) is None
 
 
 def test_entry_runs(spark):
