@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard
+from tidemark.llm import byte_bpe, jaccard, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +17,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), RANKS, size=1024, end_id=2)
+
+
+def op4_byte_bpe(spark, sf_dir):
+    tokens = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, decoded=True)
+    return tokens.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_ngram_jaccard_join(spark, sf_dir):
     how = jaccard.Similarity(words=3, num=90, den=100)
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), how)
 
 
 QUERIES: dict[str, Query] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_byte_bpe": op4_byte_bpe,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
