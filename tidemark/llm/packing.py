@@ -25,6 +25,7 @@ from tidemark.scale import materialise
 # Pieces that one task ranks: lengths are split further as the table grows.
 _SALT_ROWS = 20_000
 _LEAST_SALTS = 16
+_SLACKS = (0, 1, 2, 4, 8, 16, 32)
 
 
 def _cut(batches, rank_file, size: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
@@ -71,15 +72,21 @@ def pieces(docs: DataFrame, rank_path: str, size: int, end_id: int, with_ids: bo
     return rows.mapInArrow(lambda batches: _cut(batches, ranks, size, end_id, with_ids), schema)
 
 
-def fullest(counts: dict[int, int], size: int) -> dict[int, int]:
-    """The largest length and what fills the rest of the bin best, as {length: copies}."""
+def fullest(counts: dict[int, int], size: int, slack: int = 0) -> dict[int, int]:
+    """The largest length and what fills the rest of the bin best, as {length: copies}.
+
+    Lengths join the programme from the largest on, until a fill within
+    ``slack`` of the bin is reachable; smaller ones are then kept for later.
+    """
     largest = max(counts)
     room, reach, steps = size - largest, 1, []
     mask = (1 << (room + 1)) - 1
     for length in sorted(counts, reverse=True):
+        if reach.bit_length() - 1 >= room - slack:
+            break
         left = min(counts[length] - (length == largest), room // length)
         copies = 1
-        while left > 0 and not reach >> room & 1:
+        while left > 0:
             copies = min(copies, left)
             steps.append((length, copies, reach))
             reach |= reach << (length * copies) & mask
@@ -94,12 +101,11 @@ def fullest(counts: dict[int, int], size: int) -> dict[int, int]:
     return chosen
 
 
-def plan(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int, int]]:
-    """Rows (length, first rank, end rank, copies a bin, first bin, offset) placing every piece."""
+def _plan(counts: dict[int, int], size: int, slack: int) -> tuple[int, list[tuple[int, ...]]]:
     left = {length: n for length, n in counts.items() if n > 0}
     ranks, rows, bins = dict.fromkeys(left, 0), [], 0
     while left:
-        chosen = fullest(left, size)
+        chosen = fullest(left, size, slack)
         times = min(left[length] // copies for length, copies in chosen.items())
         offset = 0
         for length, copies in chosen.items():
@@ -111,7 +117,23 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, in
             if not left[length]:
                 del left[length]
         bins += times
-    return rows
+    return bins, rows
+
+
+def plan(counts: dict[int, int], size: int) -> list[tuple[int, ...]]:
+    """Rows (length, first rank, end rank, copies a bin, first bin, offset) placing every piece.
+
+    The slack that spares the small lengths best differs by table, so a few are
+    tried and the plan with the fewest bins is taken.
+    """
+    least = -(-sum(length * n for length, n in counts.items()) // size)
+    best = None
+    for slack in _SLACKS:
+        tried = _plan(counts, size, slack)
+        best = tried if best is None or tried[0] < best[0] else best
+        if best[0] == least:
+            break
+    return best[1]
 
 
 def pack(docs: DataFrame, rank_path: str, size: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
