@@ -17,6 +17,8 @@ CHUNK_BYTES = 2 << 20
 # Space and the control characters from tab to carriage return end a word.
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Or every ASCII character that is no letter or digit, for words without punctuation.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
@@ -80,9 +82,9 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
 class Words:
     """Lower-cased words of a chunk: ``starts``, ``ends``, and each row's word range."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE):
         self.data = _LOWER[raw]
-        space = _SPACE[raw]
+        space = separators[raw]
         n = len(raw)
         edges = offsets[(offsets > 0) & (offsets < n)]
         before = np.empty(n, dtype=bool)

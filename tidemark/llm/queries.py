@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, jaccard, packing
+from tidemark.llm import byte_bpe, jaccard, language, packing, toxicity
+from tidemark.llm.sampling import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+TOXIC_FROM = 0.3
+
+
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 3) == 1)
+    model = language.fit(docs, ~F.col("held_out"))
+    return language.predict(docs, model, ["doc_id", "held_out"])
+
+
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    scored = toxicity.score(docs, model, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), RANKS, size=1024, end_id=2)
 
@@ -40,7 +57,9 @@ def op7_ngram_jaccard_join(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
