@@ -6,11 +6,11 @@ from __future__ import annotations
 _JACCARD = """
 with recursive words as (
   select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
   from documents),
 sets as (
   select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
-    else list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i+1] || ' ' || w[i+2])) end as s
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])) end as s
   from words),
 keyed as (select doc_id, list_sort(s) as s, len(s) as n from sets),
 classes as (select s, n, min(doc_id) as rep from keyed where n > 0 group by s, n),
@@ -28,6 +28,42 @@ select k.doc_id, cast(k.n as bigint) as n_shingles, coalesce(l.low, k.doc_id) as
 from keyed k left join classes c on c.s = k.s left join lowest l on l.node = c.rep
 """
 
+def _marked(column: str, name: str) -> str:
+    """SELECT items that build the tree of a column and its fingerprint."""
+    return f"""
+  list_transform(string_split({column}, chr(10)), lambda line:
+    list_transform(regexp_extract_all(line, '[^.!?]{{1,96}}[.!?]*|[.!?]+'), lambda p: sha256(p))) as {name}_leaves,
+  list_transform({name}_leaves, lambda l: sha256(array_to_string(l, ''))) as {name}_sections,
+  sha256(array_to_string({name}_sections, '')) || ':' || array_to_string(list_transform(
+    range(1, len({name}_sections) + 1), lambda i: array_to_string(list_concat([left({name}_sections[i], 8)],
+      list_transform({name}_leaves[i], lambda l: left(l, 8))), '.')), '/') as {name}"""
+
+
+def _likeness(a: str, b: str) -> str:
+    nodes = [f"list_distinct(string_split_regex(split_part({x}, ':', 2), '[./]'))" for x in (a, b)]
+    share = f"2.0 * len(list_intersect({nodes[0]}, {nodes[1]})) / (len({nodes[0]}) + len({nodes[1]}))"
+    return f"case when {a} = {b} then 1.0 else least(0.9999, cast({share} as double)) end"
+
+
+_FINGERPRINTS = f"""
+with texts as (select doc_id, coalesce(text, '') as text from documents),
+next as (
+  select doc_id, text, cast(length(text) as bigint) as n_chars,
+    coalesce(lead(text) over (order by doc_id), first_value(text) over (order by doc_id)) as next_text
+  from texts),
+edited as (
+  select *, left(text, n_chars - n_chars // 4) || left(next_text, n_chars // 4) as edited from next),
+marked as (
+  select doc_id, n_chars, sha256(edited) as edited_sha256, {_marked('text', 'fingerprint')},
+    {_marked('edited', 'edited_fingerprint')}, {_marked('next_text', 'next_fingerprint')}
+  from edited)
+select doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  cast({_likeness('fingerprint', 'edited_fingerprint')} as double) as near_edited,
+  cast({_likeness('fingerprint', 'next_fingerprint')} as double) as near_next
+from marked
+"""
+
 ORACLE: dict[str, str] = {
     "op7_ngram_jaccard_join": _JACCARD,
+    "op10_fingerprints": _FINGERPRINTS,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, jaccard, language, packing, toxicity
+from tidemark.llm import byte_bpe, jaccard, language, merkle, packing, toxicity
 from tidemark.llm.sampling import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,10 +56,15 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), how)
 
 
+def op10_fingerprints(spark, sf_dir):
+    return merkle.edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op10_fingerprints": op10_fingerprints,
 }
