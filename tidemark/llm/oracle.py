@@ -63,7 +63,23 @@ select doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
 from marked
 """
 
+# Five hexadecimal digits of SHA-1 are four digits of base 32.
+_WARC = """
+with payloads as (
+  select page_id, coalesce(html, '') as html, max(page_id) over (partition by coalesce(html, '')) as keeper
+  from pages),
+hashed as (select *, sha1(html) as sha from payloads)
+select page_id, cast(strlen(html) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    cast(1 + ((cast('0x' || substr(sha, 5 * (i // 4) + 1, 5) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31)
+      as bigint), 1)), '') as payload_digest,
+  case when page_id = keeper then 'response' else 'revisit' end as record_type,
+  case when page_id <> keeper then keeper end as refers_to
+from hashed
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_warc": _WARC,
     "op7_ngram_jaccard_join": _JACCARD,
     "op10_fingerprints": _FINGERPRINTS,
 }

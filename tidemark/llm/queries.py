@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, jaccard, language, merkle, packing, toxicity
+from tidemark.llm import byte_bpe, jaccard, language, merkle, packing, toxicity, warc
 from tidemark.llm.sampling import fold
+from tidemark.scale import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,15 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOXIC_FROM = 0.3
 
 
+def op1_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    archives = warc.write(pages, folder)
+    keys = pages.select(warc.url_key(F.col("url")).alias("key"))
+    captures = warc.lookup(archives, folder, keys)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 3) == 1)
     model = language.fit(docs, ~F.col("held_out"))
@@ -61,6 +72,7 @@ def op10_fingerprints(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_byte_bpe": op4_byte_bpe,
