@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, jaccard, language, merkle, packing, toxicity, warc
+from tidemark.llm import byte_bpe, embedding, jaccard, language, merkle, packing, toxicity, warc
 from tidemark.llm.sampling import fold
 from tidemark.scale import shared_dir
 
@@ -67,6 +67,10 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), how)
 
 
+def op9_embedding_near_dedup(spark, sf_dir):
+    return embedding.near(table(spark, sf_dir, "embeddings"))
+
+
 def op10_fingerprints(spark, sf_dir):
     return merkle.edits(table(spark, sf_dir, "documents"))
 
@@ -78,5 +82,6 @@ QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
