@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.licenses import TEMPLATES, THRESHOLD
+
 # Every pair that shares a shingle is counted, and labels spread along the links.
 _JACCARD = """
 with recursive words as (
@@ -78,8 +80,45 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes,
 from hashed
 """
 
+_NOTICES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
+
+
+def _bigrams(text: str) -> str:
+    words = (
+        f"list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+        "'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\\x{80}-\\x{10FFFF}]+'), lambda w: w <> '')"
+    )
+    pair = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+    return f"list_transform([{words}], lambda w: list_distinct({pair}))[1]"
+
+
+# Every piece against every notice, without bounds.
+_LICENSES = f"""
+with notices(license, notice) as (values {_NOTICES}),
+lines as (
+  select doc_id, unnest(range(0, len(l))) as line, unnest(l) as piece
+  from (select doc_id, string_split(text, chr(10)) as l from documents)),
+pieces as (
+  select doc_id, line, piece from lines
+  union all
+  select doc_id, line, unnest(string_split(
+    regexp_replace(piece, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))) from lines
+  union all
+  select doc_id, null, unnest(regexp_split_to_array(text, '\\n[ \\t]*\\n')) from documents),
+sets as (select distinct doc_id, line, {_bigrams('piece')} as found from pieces),
+marks as (select license, {_bigrams('notice')} as notice from notices),
+met as (
+  select doc_id, license, line,
+    2.0 * len(list_intersect(found, notice)) / (len(found) + len(notice)) as dice
+  from sets, marks where len(found) > 0)
+select doc_id, license, cast(max(dice) as double) as dice, count(distinct line) as n_lines,
+  cast(min(line) as bigint) as first_line
+from met where dice >= {THRESHOLD} group by doc_id, license
+"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": _WARC,
+    "op5_license_scan": _LICENSES,
     "op7_ngram_jaccard_join": _JACCARD,
     "op10_fingerprints": _FINGERPRINTS,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, embedding, jaccard, language, merkle, packing, toxicity, warc
+from tidemark.llm import byte_bpe, embedding, jaccard, language, licenses, merkle, packing, toxicity, warc
 from tidemark.llm.sampling import fold
 from tidemark.scale import shared_dir
 
@@ -41,6 +41,10 @@ def op2_language_id(spark, sf_dir):
     return language.predict(docs, model, ["doc_id", "held_out"])
 
 
+def op5_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
