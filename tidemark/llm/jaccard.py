@@ -171,21 +171,27 @@ def _verified(docs: DataFrame, places: DataFrame, pairs: DataFrame, how: Similar
     return materialise(both.where(shared * (how.num + how.den) >= total * how.num).select("a", "b"), "links")
 
 
-def _fits(a: str, b: str, how: Similarity, level: Column) -> Column:
-    """Whether two postings can belong to a linked pair: their sizes, and prefixes for ``level`` matches."""
+def _fits(a: str, b: str, how: Similarity) -> Column:
+    """Whether two postings can belong to a linked pair.
+
+    The sizes must allow it, the shared token must lie in both prefixes for the
+    smaller ``matches``, and both prefixes must hold that many tokens that any
+    other document has at all.
+    """
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
     least = F.ceil((n_a + n_b) * how.num / F.lit(float(how.num + how.den)) - 1e-9)
-    return (
-        (F.least(n_a, n_b) * how.den >= F.greatest(n_a, n_b) * how.num)
-        & (F.col(f"{a}.at") <= n_a - least + level)
-        & (F.col(f"{b}.at") <= n_b - least + level)
-    )
+    level = F.least(f"{a}.matches", f"{b}.matches")
+    fits = F.least(n_a, n_b) * how.den >= F.greatest(n_a, n_b) * how.num
+    for side, n in ((a, n_a), (b, n_b)):
+        last = F.greatest(F.col(f"{side}.at"), F.get(F.col(f"{side}.kept"), level - 1))
+        fits = fits & F.get(F.col(f"{side}.kept"), level - 1).isNotNull() & (last <= n - least + level)
+    return fits
 
 
 def _spokes(postings: DataFrame, hubs: DataFrame, how: Similarity) -> DataFrame:
     """Every document of a long posting with the posting's hub."""
     x, y = postings.alias("x"), hubs.where(F.col("rows") > _HUB_OVER).alias("y")
-    fits = _fits("x", "y", how, F.lit(how.max_match)) & (F.col("x.node") != F.col("y.node"))
+    fits = _fits("x", "y", how) & (F.col("x.node") != F.col("y.node"))
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & fits)
     a, b = F.least("x.node", "y.node"), F.greatest("x.node", "y.node")
     return met.select(a.alias("a"), b.alias("b")).distinct()
@@ -206,7 +212,7 @@ def _candidates(postings: DataFrame, hubs: DataFrame, labels: DataFrame, how: Si
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.component") != F.col("y.component"))
         & once
-        & _fits("x", "y", how, asked),
+        & _fits("x", "y", how),
     )
     pairs = hit.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     return pairs.agg(F.count(F.lit(1)).alias("shared"), F.min(asked).alias("asked")).where("shared >= asked")
@@ -233,9 +239,12 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
     exploded = single.select("node", "n", "matches", F.posexplode("prefix").alias("at", "token"))
     exploded = materialise(exploded.withColumn("at", F.col("at") + 1), "exploded")
     tokens = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    postings = materialise(exploded.join(materialise(tokens, "tokens"), "token"), "postings")
+    shared = materialise(exploded.join(materialise(tokens, "tokens"), "token"), "shared")
+    # Where each document's first tokens with company are, as many as it may be asked for.
+    kept = F.slice(F.array_sort(F.collect_list("at")), 1, how.max_match).alias("kept")
+    postings = materialise(shared.join(shared.groupBy("node").agg(kept), "node"), "postings")
     # The most central document of a posting is the one with the fewest rarer tokens.
-    low = F.min(F.struct("at", "n", "node")).alias("low")
+    low = F.min(F.struct("at", "n", "node", "matches", "kept")).alias("low")
     hubs = postings.groupBy("token").agg(low, F.first("rows").alias("rows")).select("token", "rows", "low.*")
     hubs = materialise(hubs, "hubs")
     postings = postings.drop("rows")
