@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, embedding, jaccard, language, licenses, merkle, packing, toxicity, warc
+from tidemark.llm import byte_bpe, embedding, jaccard, language, licenses, merkle, packing, quality, toxicity, warc
 from tidemark.llm.sampling import fold
 from tidemark.scale import shared_dir
 
@@ -24,6 +24,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 TOXIC_FROM = 0.3
+GOOD_FROM = 0.5
 
 
 def op1_warc(spark, sf_dir):
@@ -71,6 +72,11 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), how)
 
 
+def op8_quality(spark, sf_dir):
+    scored = quality.classify(table(spark, sf_dir, "documents"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD_FROM).cast("int"))
+
+
 def op9_embedding_near_dedup(spark, sf_dir):
     return embedding.near(table(spark, sf_dir, "embeddings"))
 
@@ -87,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_quality": op8_quality,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
