@@ -113,20 +113,19 @@ def votes(m: dict[str, np.ndarray]) -> np.ndarray:
         return np.where(bad, BAD, np.where(good, GOOD, NONE)).astype(np.int64)
 
     some, several, longer = (m["words"] >= n for n in (3, 8, 20))
-    nothing = np.zeros(len(some), dtype=bool)
     return np.stack(
         [
-            vote(m["symbols"] > 0.02, nothing),
+            vote(m["symbols"] > 0.02, m["symbols"] < 0.002),
             vote(several & (m["ordinary"] < 0.85), m["ordinary"] > 0.93),
-            vote(some & (m["marked"] > 0.1), nothing),
-            vote(some & (m["single"] > 0.15), nothing),
-            vote(some & (m["upper"] > 0.3), nothing),
-            vote(some & (m["loud"] > 0.15), nothing),
-            vote(several & (m["endings"] > 0.6), (m["endings"] > 0.02) & (m["endings"] < 0.35)),
+            vote(some & (m["marked"] > 0.1), m["marked"] < 0.02),
+            vote(some & (m["single"] > 0.15), m["single"] < 0.02),
+            vote(some & (m["upper"] > 0.3), several & (m["upper"] < 0.12)),
+            vote(some & (m["loud"] > 0.15), several & (m["loud"] < 0.05)),
+            vote(several & (m["endings"] > 0.6), several & (m["endings"] > 0.02) & (m["endings"] < 0.35)),
             vote(longer & (m["distinct"] < 0.2), longer & (m["distinct"] > 0.5)),
-            vote(m["repeated_words"] > 0.3, nothing),
-            vote(m["repeated_lines"] > 0.4, nothing),
-            vote(some & ((m["word_length"] < 2.2) | (m["word_length"] > 16)), nothing),
+            vote(m["repeated_words"] > 0.3, several & (m["repeated_words"] < 0.1)),
+            vote(m["repeated_lines"] > 0.4, several & (m["repeated_lines"] < 0.1)),
+            vote(some & ((m["word_length"] < 2.2) | (m["word_length"] > 16)), (m["word_length"] > 3) & (m["word_length"] < 12)),
         ]
     )
 
@@ -145,32 +144,29 @@ def unpacked(pattern: np.ndarray) -> np.ndarray:
 
 
 def accuracies(pattern: np.ndarray, count: np.ndarray, how: Settings = Settings()) -> tuple[np.ndarray, np.ndarray]:
-    """EM: (chance of each vote by class: labellers x votes x 2, posterior of good by pattern).
+    """EM: (chance of each vote by class, good first: labellers x votes x 2, posterior of good by pattern).
 
-    Labellers are taken as independent within a class. The start believes each
-    of them somewhat, which fixes which class is the good one.
+    Labellers are taken as independent within a class, and no vote tells
+    nothing. The start believes each of them somewhat, which fixes which class
+    is the good one.
     """
     given = unpacked(pattern)
-    chance_of = np.zeros((LABELLERS, 3, 2))
     # A good text seldom gets a bad vote, a bad one gets some of them.
-    chance_of[:, BAD] = [0.02, 0.3]
-    chance_of[:, GOOD] = [0.5, 0.25]
-    chance_of[:, NONE] = [0.48, 0.45]
+    chance_of = np.ones((LABELLERS, 3, 2))
+    chance_of[:, GOOD] = [0.99, 0.75]
+    chance_of[:, BAD] = [0.01, 0.25]
     prior = how.prior
     for _ in range(how.rounds):
-        log = np.log([prior + 1e-12, 1 - prior + 1e-12])[None] + sum(
-            np.log(chance_of[i][given[i]]) for i in range(LABELLERS)
-        )
-        log -= log.max(axis=1, keepdims=True)
-        p = np.exp(log)
+        log = np.log([prior, 1 - prior])[None] + sum(np.log(chance_of[i][given[i]]) for i in range(LABELLERS))
+        p = np.exp(log - log.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         weight = p * count[:, None]
-        total = weight.sum(axis=0)
-        moved = np.empty_like(chance_of)
+        moved = np.ones_like(chance_of)
         for i in range(LABELLERS):
-            for vote in (NONE, GOOD, BAD):
-                moved[i, vote] = (weight[given[i] == vote].sum(axis=0) + 0.5) / (total + 1.5)
-        prior = (total[0] + 1) / (total.sum() + 2)
+            voted = {vote: weight[given[i] == vote].sum(axis=0) + 0.5 for vote in (GOOD, BAD)}
+            for vote in (GOOD, BAD):
+                moved[i, vote] = voted[vote] / (voted[GOOD] + voted[BAD])
+        prior = (weight[:, 0].sum() + 1) / (weight.sum() + 2)
         ended = np.abs(moved - chance_of).max() < 1e-9
         chance_of = moved
         if ended:
