@@ -1,27 +1,82 @@
 """A cleaning pipeline over ``documents``, each stage written and read again by the next.
 
 Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last
-return the columns they were given.
+return the columns they were given, whatever their names. Null and empty texts
+are rejected by the first stage, which finds no language in them; empty tables
+pass through. Extra columns are kept.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.jaccard import Similarity, jaccard_components
+from tidemark.llm import language, packing, toxicity
+from tidemark.llm.jaccard import Similarity, jaccard_components, limited
 from tidemark.scale import materialise
 
+# A text is rejected if no language is found in it, or none more likely than this.
+LEAST_LANGUAGE = 0.25
+# A text is rejected as toxic from this score on.
+TOXIC_FROM = 0.3
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the texts in which a language is found; learned from the texts that have a lang."""
+    model = language.fit(docs, F.lit(True))
+    found, score = _free(docs, "found_language"), _free(docs, "found_score")
+    rows = language.predict(docs, model, docs.columns, (found, score))
+    known = (F.col(found) != language.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE)
+    return rows.where(known).select(docs.columns)
+
+
+def toxic_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the texts that are not toxic; learned from the toxic rows of ``labels`` and unlabelled texts."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
+    score = _free(docs, "toxic_score")
+    rows = toxicity.score(docs, model, docs.columns, score)
+    return rows.where(F.col(score) < TOXIC_FROM).select(docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group that five-word shingles link at 0.8 or more."""
-    groups = jaccard_components(docs, Similarity(words=5, num=80, den=100))
-    keep = materialise(groups.where("component_id = doc_id or component_id is null").select("doc_id"), "keep")
-    return docs.join(keep.distinct(), "doc_id", "left_semi").select(docs.columns)
+    """Keep one document of each group that five-word shingles link at 0.8 or more.
+
+    The one with the smallest doc_id stays; of rows that repeat a doc_id one
+    stays. Rows without doc_id stay.
+    """
+    groups = materialise(jaccard_components(docs, Similarity(words=5, num=80, den=100)), "groups")
+    gone = limited(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct())
+    left = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    twice = groups.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        known = left.where("doc_id is not null").dropDuplicates(["doc_id"])
+        left = known.unionByName(left.where("doc_id is null"))
+    return left.select(docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of the documents and their places in sequences of 1024."""
+    return packing.pack(docs, RANKS, size=1024, end_id=2)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", toxic_texts),
+    ("ngram_jaccard_join", near_duplicates),
+    ("best_fit_packing", best_fit_packing),
+]
 
-# The stages learn models, which SQL cannot express.
+# Two stages learn models, which SQL cannot express.
 ORACLE_SQL = None
 
 

@@ -38,7 +38,7 @@ _SKETCH_BITS = 20
 _SLICES = 64
 # Postings beyond this length meet their hub before pairs are formed.
 _HUB_OVER = 16
-# Ids up to this many (8 MB) are broadcast; more take a shuffle join.
+# Up to this many ids (16 MB) are broadcast; more take a shuffle join.
 _BROADCAST_IDS = 1_000_000
 # Cost of verifying a candidate, in postings read.
 _VERIFY = 8.0
@@ -158,8 +158,7 @@ def _verified(docs: DataFrame, places: DataFrame, pairs: DataFrame, how: Similar
     """The pairs (a, b) of nodes whose sets are similar enough, from their whole texts."""
     pairs = materialise(pairs.select("a", "b"), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    ids = materialise(places.join(nodes, "node", "left_semi").select("doc_id").distinct(), "ids")
-    ids = F.broadcast(ids) if ids.count() <= _BROADCAST_IDS else ids
+    ids = limited(places.join(nodes, "node", "left_semi").select("doc_id").distinct())
     sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(
         lambda batches, k=how.words: _sets(batches, k), _SETS
     )
@@ -218,6 +217,20 @@ def _candidates(postings: DataFrame, hubs: DataFrame, labels: DataFrame, how: Si
     return pairs.agg(F.count(F.lit(1)).alias("shared"), F.min(asked).alias("asked")).where("shared >= asked")
 
 
+def limited(ids: DataFrame) -> DataFrame:
+    """``ids`` written, and marked for broadcasting if they are few."""
+    ids = materialise(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= _BROADCAST_IDS else ids
+
+
+def _one_each(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One of the rows that share a node, for the nodes in ``repeated`` (node, first doc_id)."""
+    repeated = limited(repeated)
+    first = rows.join(repeated, "node", "left").where("first is null or first = doc_id").drop("first")
+    twice = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return first if twice.isEmpty() else first.dropDuplicates(["node"])
+
+
 def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -235,22 +248,24 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
     rows = materialise(rows, "prefixes")
     linkable = rows.where("doc_id is not null and n_shingles > 0")
 
-    single = linkable.select("node", F.col("n_shingles").alias("n"), "matches", "prefix").dropDuplicates(["node"])
-    exploded = single.select("node", "n", "matches", F.posexplode("prefix").alias("at", "token"))
-    exploded = materialise(exploded.withColumn("at", F.col("at") + 1), "exploded")
+    places = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"))
+    places = materialise(places, "places")
+    single = _one_each(linkable, places.where("rows > 1").select("node", F.col("doc_id").alias("first")))
+    exploded = single.select("node", F.posexplode("prefix").alias("at", "token"))
+    exploded = exploded.withColumn("at", (F.col("at") + 1).cast("int"))
     tokens = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     shared = materialise(exploded.join(materialise(tokens, "tokens"), "token"), "shared")
     # Where each document's first tokens with company are, as many as it may be asked for.
     kept = F.slice(F.array_sort(F.collect_list("at")), 1, how.max_match).alias("kept")
-    postings = materialise(shared.join(shared.groupBy("node").agg(kept), "node"), "postings")
+    kept = materialise(shared.groupBy("node").agg(kept), "kept")
+    sizes = single.select("node", F.col("n_shingles").alias("n"), "matches").join(kept, "node")
+    postings = materialise(shared.join(materialise(sizes, "sizes"), "node"), "postings")
     # The most central document of a posting is the one with the fewest rarer tokens.
     low = F.min(F.struct("at", "n", "node", "matches", "kept")).alias("low")
     hubs = postings.groupBy("token").agg(low, F.first("rows").alias("rows")).select("token", "rows", "low.*")
     hubs = materialise(hubs, "hubs")
     postings = postings.drop("rows")
 
-    places = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    places = materialise(places, "places")
     links = _verified(docs, places, _spokes(postings, hubs, how), how)
     labels = connected(links)
     more = _verified(docs, places, _candidates(postings, hubs, labels, how), how)

@@ -12,7 +12,7 @@ look-ups by byte pairs, so the convolution costs a few gathers a byte.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -220,38 +220,43 @@ def fit(docs: DataFrame, train_on: Column, how: Settings = Settings()) -> Model
     return train(windows[order], labels[order], languages, how)
 
 
-def _predicted(batches, model: bytes) -> Iterator[pa.RecordBatch]:
+def _predicted(batches, model: bytes, text: int, kept: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     predictor = _predictor(model)
-    names = np.array(predictor.model.languages, dtype=object)
+    languages = np.array(predictor.model.languages, dtype=object)
     for batch in batches:
-        for first, last, raw, offsets in chunks(batch.column("text")):
+        for first, last, raw, offsets in chunks(batch.column(text)):
             p = predictor.texts(raw, offsets)
             best = p.argmax(axis=1)
-            columns = [c.slice(first, last - first) for c in batch.columns[:-2]]
-            lettered = batch.column("lettered").slice(first, last - first).to_numpy(zero_copy_only=False)
-            lang = np.where(lettered, names[best], UNDETERMINED)
+            columns = [c.slice(first, last - first) for c in batch.columns[:kept]]
+            lettered = batch.column(batch.num_columns - 1).slice(first, last - first).to_numpy(zero_copy_only=False)
+            lang = np.where(lettered, languages[best], UNDETERMINED)
             score = np.where(lettered, np.minimum(p.max(axis=1), 1.0), 0.0)
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(lang, pa.string()), pa.array(score)],
-                names=[*batch.schema.names[:-2], "lang_pred", "score"],
+                [*columns, pa.array(lang, pa.string()), pa.array(score)], names=names
             )
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str] = ["doc_id"]) -> DataFrame:
-    """The columns of ``keep`` (others than text), lang_pred and score of every whole text.
+def predict(
+    docs: DataFrame,
+    model: Model | None,
+    keep: Sequence[str] = ("doc_id",),
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """The columns of ``keep``, and the language and score of every whole text.
 
     A null text and one without a letter are ``und`` with score 0, and so is
     every text if there is no model. Each row is predicted for itself; an empty
-    table gives no row.
+    table gives no row. ``names`` must not be in ``keep``.
     """
     ship(docs.sparkSession)
-    rows = docs.select(
-        *keep,
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
-    )
+    keep, language, score = list(keep), *names
     if model is None:
-        return rows.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
-    schema = rows.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    sent = pickle.dumps(model)
-    return rows.mapInArrow(lambda batches: _predicted(batches, sent), schema)
+        return docs.select(*keep, F.lit(UNDETERMINED).alias(language), F.lit(0.0).alias(score))
+    kept = docs.select(*keep)
+    extra = [] if "text" in keep else [F.col("text").alias("_text")]
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_lettered")
+    rows = docs.select(*keep, *extra, lettered)
+    schema = kept.schema.add(language, "string").add(score, "double")
+    text = keep.index("text") if "text" in keep else len(keep)
+    sent, columns = pickle.dumps(model), [*keep, language, score]
+    return rows.mapInArrow(lambda batches: _predicted(batches, sent, text, len(keep), columns), schema)

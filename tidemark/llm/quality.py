@@ -10,7 +10,7 @@ what no labeller looks at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -260,7 +260,7 @@ def _scored(batches, model, posterior) -> Iterator[pa.RecordBatch]:
             )
 
 
-def classify(docs: DataFrame, keep: list[str] = ["doc_id"], how: Settings = Settings()) -> DataFrame:
+def classify(docs: DataFrame, keep: Sequence[str] = ("doc_id",), how: Settings = Settings()) -> DataFrame:
     """The columns of ``keep`` (others than text), good_votes, bad_votes, posterior and score of every whole text.
 
     ``posterior`` is the label model's chance that the text is good given its

@@ -9,7 +9,7 @@ share of positives among them, and never less than zero.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -173,28 +173,31 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, how: Settings = Se
     return Model(chosen, w, b)
 
 
-def _scored(batches, model: Model) -> Iterator[pa.RecordBatch]:
+def _scored(batches, model: Model, text: int, kept: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     weight = np.zeros(1 << _BITS)
     weight[model.features] = model.weights
     for batch in batches:
-        for first, last, raw, offsets in chunks(batch.column("text")):
+        for first, last, raw, offsets in chunks(batch.column(text)):
             row, feature, n_words = features(raw, offsets)
             live = np.flatnonzero(weight[feature])
             distinct, count = np.unique(row[live] << _BITS | feature[live], return_counts=True)
             part = weight[distinct & _LOW] * _rate(count, n_words[distinct >> _BITS])
             z = np.bincount(distinct >> _BITS, part, minlength=last - first)
             score = 1 / (1 + np.exp(-np.clip(z + model.constant, -30, 30)))
-            columns = [c.slice(first, last - first) for c in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*batch.schema.names[:-1], "score"])
+            columns = [c.slice(first, last - first) for c in batch.columns[:kept]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=names)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] = ["doc_id"]) -> DataFrame:
-    """The columns of ``keep`` (others than text) and the score (0 to 1) of every whole text.
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), name: str = "score") -> DataFrame:
+    """The columns of ``keep`` and the score (0 to 1) of every whole text.
 
     Null and empty texts have the score of a text without any known word. Each
-    row is scored for itself; an empty table gives no row.
+    row is scored for itself; an empty table gives no row. ``name`` must not be
+    in ``keep``.
     """
     ship(docs.sparkSession)
-    rows = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    schema = rows.select(*keep).schema.add("score", "double")
-    return rows.mapInArrow(lambda batches: _scored(batches, model), schema)
+    keep = list(keep)
+    rows = docs.select(*keep, *([] if "text" in keep else [F.col("text").alias("_text")]))
+    schema = docs.select(*keep).schema.add(name, "double")
+    text = keep.index("text") if "text" in keep else len(keep)
+    return rows.mapInArrow(lambda batches: _scored(batches, model, text, len(keep), [*keep, name]), schema)
