@@ -68,6 +68,7 @@ def test_values_are_coerced_and_unreadable_ones_fail(spark):
         (11.0, "Schema validation failed: coerce_dtype('date')"),
         (None, "Schema validation failed: coerce_dtype('double')"),
     ]
+    assert rows(parts.quarantined, "rejected") == [("soon",), ("ten",)]
     cases = quality.failure_cases(text, "historical")
     assert rows(cases, "column", "value") == [("date", "soon"), ("price", "ten")]
 
@@ -92,10 +93,9 @@ def test_duplicates_keep_all_copies_and_match_nulls(spark):
         (None, None, 5.0),
         ("b", None, 6.0),
     )
-    for hot_rows in (1, 10**6):
-        found = quality.duplicates(frame, hot_rows=hot_rows)
-        assert rows(found, "price") == [(1.0,), (2.0,), (4.0,), (5.0,)]
-        assert found.columns == frame.columns
+    found = quality.duplicates(frame)
+    assert rows(found, "price") == [(1.0,), (2.0,), (4.0,), (5.0,)]
+    assert found.columns == frame.columns
 
 
 def test_jump_is_strict_and_first_rows_pass(spark):
@@ -112,7 +112,7 @@ def test_jump_is_strict_and_first_rows_pass(spark):
         ("a", 226.0, "Day-over-day price change > 50%"),
         ("b", 49.0, "Day-over-day price change > 50%"),
     ]
-    assert rows(quality.anomalies(frame, hot_rows=1)) == rows(found)
+    assert rows(quality.anomalies(frame, bounded=True)) == rows(found)
 
 
 def test_stored_history_supplies_the_row_before_the_batch(spark):
@@ -169,7 +169,8 @@ def test_empty_batch(spark):
         assert part.isEmpty()
 
 
-def test_validation_stays_in_the_jvm(spark, tmp_path):
+def test_validation_scans_once_and_stays_in_the_jvm(spark, tmp_path):
     _good(spark).write.parquet(str(tmp_path / "good"))
-    flagged = quality.flag(spark.read.parquet(str(tmp_path / "good")), "historical")
+    flagged = quality.flag(spark.read.parquet(str(tmp_path / "good")), "historical", bounded=True)
+    assert plan(flagged).count("FileScan") == 1
     assert "Python" not in plan(flagged) and "Pandas" not in plan(flagged)

@@ -1,4 +1,4 @@
-"""Hot-key paths give the same rows as the plain ones."""
+"""Sliced passes and keyed joins give the same rows as plain windows."""
 
 import random
 
@@ -22,40 +22,41 @@ def _ticks(spark, n=3000):
     return spark.createDataFrame(data, "coin_id string, day int, tick int, price double").repartition(6)
 
 
-@pytest.mark.parametrize("hot_rows", [200, 900, 2900])
-def test_previous_value_equals_a_plain_lag(spark, hot_rows):
-    ticks = _ticks(spark).cache()
+@pytest.mark.parametrize("slice_bytes", [1 << 40, 4000, 700])
+@pytest.mark.parametrize("some", [False, True])
+def test_previous_value_equals_a_plain_window(spark, monkeypatch, tmp_path, slice_bytes, some):
+    monkeypatch.setattr(scale, "SLICE_BYTES", slice_bytes)
+    _ticks(spark).write.parquet(str(tmp_path / "ticks"))
+    ticks = spark.read.parquet(str(tmp_path / "ticks"))
     order = ["day", "tick", "price"]
+    among = F.col("price") < 40 if some else None
     by_coin = Window.partitionBy("coin_id").orderBy(*order)
-    plain = ticks.withColumn("previous", F.lag("price").over(by_coin))
-    split = scale.previous_value(ticks, "coin_id", order, "price", "previous", hot_rows=hot_rows)
-    assert split.columns == plain.columns
-    assert rows(split) == rows(plain)
-
-
-def test_slices_of_a_hot_key_are_even(spark, monkeypatch):
-    written = {}
-    original = scale.materialise
-
-    def spy(df, label):
-        written[label] = original(df, label)
-        return written[label]
-
-    monkeypatch.setattr(scale, "materialise", spy)
-    ticks = _ticks(spark)
-    scale.previous_value(ticks, "coin_id", ["day", "tick"], "price", "previous", hot_rows=250).count()
-    sizes = [r["count"] for r in written["slices"].groupBy("_slice").count().collect()]
+    if some:
+        before = by_coin.rowsBetween(Window.unboundedPreceding, -1)
+        plain = F.last(F.when(among, F.col("price")), ignorenulls=True).over(before)
+    else:
+        plain = F.lag("price").over(by_coin)
+    want = ticks.withColumn("previous", plain)
+    for bounded in (False, True):
+        got = scale.previous_value(ticks, "coin_id", order, "price", "previous", among, bounded)
+        assert got.columns == want.columns
+        assert rows(got) == rows(want)
+
+
+def test_slices_are_even(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scale, "SLICE_BYTES", 1000)
+    _ticks(spark).write.parquet(str(tmp_path / "ticks"))
+    cut = scale.sliced(spark.read.parquet(str(tmp_path / "ticks")), ["coin_id", "day", "tick"])
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
     assert len(sizes) > 8
     # A third of all rows are copies of one row; they spread as well.
     assert max(sizes) < 4 * sum(sizes) / len(sizes)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 900, 100])
-def test_join_keyed_equals_a_plain_join(spark, hot_rows):
+def test_join_keyed_equals_a_plain_join(spark):
     ticks = _ticks(spark)
     keyed = ticks.groupBy("coin_id", "day").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("top"))
-    keyed = keyed.where("n > 1")
-    got = scale.join_keyed(ticks, keyed, ["coin_id", "day"], "n", hot_rows)
+    got = scale.join_keyed(ticks, keyed.where("n > 1").drop("n"), ["coin_id", "day"])
     by_key = Window.partitionBy("coin_id", "day")
     plain = ticks.select(
         "*", F.count(F.lit(1)).over(by_key).alias("n"), F.max("price").over(by_key).alias("top")
@@ -63,17 +64,5 @@ def test_join_keyed_equals_a_plain_join(spark, hot_rows):
     assert rows(got) == rows(plain.drop("n"))
 
 
-def test_hot_list_is_bounded_and_the_rest_still_joins(spark, monkeypatch):
-    monkeypatch.setattr(scale, "MAX_HOT_KEYS", 2)
-    ticks = _ticks(spark)
-    keyed = ticks.groupBy("coin_id").agg(F.count(F.lit(1)).alias("n"))
-    got = scale.join_keyed(ticks, keyed, ["coin_id"], "n", hot_rows=10)
-    assert got.count() == ticks.count()
-    by_coin = Window.partitionBy("coin_id").orderBy("day", "tick", "price")
-    plain = ticks.withColumn("previous", F.lag("price").over(by_coin))
-    split = scale.previous_value(ticks, "coin_id", ["day", "tick", "price"], "price", "previous", 10)
-    assert rows(split) == rows(plain)
-
-
 def test_shared_folder_comes_from_the_session(spark):
     assert scale.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -147,7 +147,7 @@ def volatility_ranking(fact: DataFrame, nulls: str = "first", stored: bool = Tru
         latest = materialise(latest, "latest")
     ranks = _ranks(latest, "volatility_30d", nulls).withColumnRenamed("rank", "volatility_rank")
     if stored:
-        ranked = join_keyed(latest, ranks, ["volatility_30d"], n="n")
+        ranked = join_keyed(latest, ranks.drop("n"), ["volatility_30d"])
     else:
         values = ranks.drop("n").withColumnRenamed("volatility_30d", "_value")
         ranked = latest.join(values, F.col("volatility_30d").eqNullSafe(F.col("_value"))).drop("_value")

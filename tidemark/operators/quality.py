@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ratio_change
 from tidemark.operators.series import calendar_gaps
-from tidemark.scale import HOT_ROWS, join_keyed, previous_value
+from tidemark.scale import join_keyed, materialise, previous_value
 from tidemark.schemas import FACT_KEY, MEASURES
 
 # Texts stored with quarantined rows, and the jump limit.
@@ -141,15 +141,13 @@ def failure_cases(df: DataFrame, data_type: str, order: Sequence[str] = ()) -> D
     )
 
 
-def duplicates(
-    rows: DataFrame, keys: Sequence[str] = FACT_KEY, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def duplicates(rows: DataFrame, keys: Sequence[str] = FACT_KEY) -> DataFrame:
     """All copies of rows whose key occurs more than once; nulls compare equal.
 
     Keys are counted with map-side combining and joined back, so a key with
     very many copies is neither buffered nor sent to one task.
     """
-    return join_keyed(rows, repeated_keys(rows, keys), keys, n="copies", hot_rows=hot_rows)
+    return join_keyed(rows, repeated_keys(rows, keys).select(*keys), keys)
 
 
 def repeated_keys(rows: DataFrame, keys: Sequence[str] = FACT_KEY) -> DataFrame:
@@ -159,16 +157,21 @@ def repeated_keys(rows: DataFrame, keys: Sequence[str] = FACT_KEY) -> DataFrame:
 
 
 def _with_jump(
-    rows: DataFrame, order: Sequence[str], history: DataFrame | None, hot_rows: int | None
+    rows: DataFrame,
+    order: Sequence[str],
+    history: DataFrame | None,
+    bounded: bool,
+    among: Column | None = None,
 ) -> DataFrame:
-    """``rows`` plus ``_jump``: price moved more than the limit from the row before."""
+    """``rows`` plus ``_jump``: price moved more than the limit from the row before it (``among``)."""
     ties = [c for c in MEASURES if c in rows.columns and c not in order]
     marked = rows.withColumn("_stored", F.lit(False))
     if history is not None:
-        stored = _stored_before(rows, history).withColumn("_stored", F.lit(True))
+        survived = rows if among is None else rows.where(among)
+        stored = _stored_before(survived, history).withColumn("_stored", F.lit(True))
         marked = marked.unionByName(stored, allowMissingColumns=True)
     sequence = ["date", *order, *ties]
-    marked = previous_value(marked, "coin_id", sequence, "price", "_previous", hot_rows)
+    marked = previous_value(marked, "coin_id", sequence, "price", "_previous", among, bounded)
     change = F.abs(ratio_change(F.col("price"), F.col("_previous")))
     jump = F.coalesce(change > JUMP_LIMIT, F.lit(False))
     return marked.where(~F.col("_stored")).select(*rows.columns, jump.alias("_jump"))
@@ -189,33 +192,32 @@ def anomalies(
     rows: DataFrame,
     order: Sequence[str] = (),
     history: DataFrame | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
     """Rows whose price moved more than 50% from the coin's previous row, with the reason.
 
     The first row of a coin passes unless ``history`` holds earlier stored
     rows. Rows of a day are ordered by ``order``, then by their measures.
-    ``hot_rows=None`` says that rows per coin are few, as with daily rows.
+    ``bounded`` says that rows per coin are few, as with daily rows.
     """
-    jumps = _with_jump(rows, order, history, hot_rows).where("_jump").drop("_jump")
+    jumps = _with_jump(rows, order, history, bounded).where("_jump").drop("_jump")
     return jumps.withColumn("reason", F.lit(ANOMALY_REASON))
 
 
 class Split:
     """Outcome of a validation. Each part is built when asked for; none is needed for another."""
 
-    def __init__(self, flagged: DataFrame, hot_rows: int = HOT_ROWS):
+    def __init__(self, flagged: DataFrame):
         self.flagged = flagged
-        self._hot_rows = hot_rows
 
     @property
     def survivors(self) -> DataFrame:
         """Rows that passed the schema, jumps included."""
-        return self.flagged.where(F.col("status") != "failed").drop("status", "reason")
+        return self.flagged.where(F.col("status") != "failed").drop("status", "reason", "rejected")
 
     @property
     def valid(self) -> DataFrame:
-        return self.flagged.where(F.col("status") == "valid").drop("status", "reason")
+        return self.flagged.where(F.col("status") == "valid").drop("status", "reason", "rejected")
 
     @property
     def quarantined(self) -> DataFrame:
@@ -223,7 +225,7 @@ class Split:
 
     @property
     def duplicates(self) -> DataFrame:
-        return duplicates(self.survivors, hot_rows=self._hot_rows)
+        return duplicates(self.survivors)
 
     @property
     def gaps(self) -> DataFrame:
@@ -236,44 +238,47 @@ def flag(
     order: Sequence[str] = (),
     history: DataFrame | None = None,
     reason_mode: str = "row",
-    hot_rows: int | None = HOT_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
-    """Every input row once, typed, with ``status`` and ``reason``.
-
-    ``status`` is ``valid``, ``anomaly`` or ``failed``. Failed rows leave
-    before the jump check, so a row is compared with the row that survived
-    before it. ``reason_mode="batch"`` gives all failed rows the first failing
-    check of the batch instead of their own.
+    """Every input row once, typed, with ``status``, ``reason`` and ``rejected``.
+
+    ``status`` is ``valid``, ``anomaly`` or ``failed``. Failed rows stay in the
+    frame but count for no other row: a price is compared with the row that
+    survived before it, so one pass over the input does. ``rejected`` is the
+    given value that the first failing check refused, as text.
+    ``reason_mode="batch"`` gives all failed rows the first failing check of
+    the batch instead of their own.
     """
     if reason_mode not in ("row", "batch"):
         raise ValueError("reason_mode must be 'row' or 'batch'")
     rules = rules_for(data_type)
     _require_columns(df, rules, order)
-    typed = [rule.typed().alias(rule.column) for rule in rules]
     columns = [rule.column for rule in rules]
     checks = _checks(df, rules)
-    failure = _first_failure(checks)
-    names = F.array(*[F.lit(name) for _, name, _ in checks])
-
-    passed = df.where(failure.isNull()).select(*typed, *order)
-    judged = _with_jump(passed, order, history, hot_rows).select(
-        *columns,
+    rejected = [F.col(column).cast("string") for column, _, _ in checks]
+    frame = df.select(
+        *[rule.typed().alias(rule.column) for rule in rules],
         *order,
-        F.when(F.col("_jump"), "anomaly").otherwise("valid").alias("status"),
-        F.when(F.col("_jump"), F.lit(ANOMALY_REASON)).alias("reason"),
+        _first_failure(checks).alias("_failed"),
+        F.coalesce(*[F.when(failed, value) for (_, _, failed), value in zip(checks, rejected)]).alias("rejected"),
     )
-
-    failing = df.where(failure.isNotNull())
-    position = failure
+    failed = F.col("_failed").isNotNull()
+    position = F.col("_failed")
     if reason_mode == "batch":
-        position = failing.agg(F.min(failure)).scalar()
-    failed = failing.select(
-        *typed,
+        frame = materialise(frame, "typed")
+        position = frame.agg(F.min("_failed")).scalar()
+    names = F.array(*[F.lit(name) for _, name, _ in checks])
+    judged = _with_jump(frame, order, history, bounded, among=F.col("_failed").isNull())
+    jump = F.col("_jump") & ~failed
+    return judged.select(
+        *columns,
         *order,
-        F.lit("failed").alias("status"),
-        F.concat(F.lit(SCHEMA_REASON), F.get(names, position)).alias("reason"),
+        F.when(failed, "failed").when(jump, "anomaly").otherwise("valid").alias("status"),
+        F.when(failed, F.concat(F.lit(SCHEMA_REASON), F.get(names, position)))
+        .when(jump, F.lit(ANOMALY_REASON))
+        .alias("reason"),
+        "rejected",
     )
-    return judged.unionByName(failed)
 
 
 def validate(
@@ -282,10 +287,10 @@ def validate(
     order: Sequence[str] = (),
     history: DataFrame | None = None,
     reason_mode: str = "row",
-    hot_rows: int = HOT_ROWS,
+    bounded: bool = False,
 ) -> Split:
     """Check a batch and split it into valid rows, quarantined rows, duplicates and gaps."""
-    return Split(flag(df, data_type, order, history, reason_mode, hot_rows), hot_rows)
+    return Split(flag(df, data_type, order, history, reason_mode, bounded))
 
 
 def report(flagged: DataFrame, gaps: DataFrame, repeated: DataFrame | None = None) -> DataFrame:

@@ -151,7 +151,9 @@ class Warehouse:
 
     def append_quarantine(self, rows: DataFrame, run_id: str) -> None:
         """Store quarantined rows of one run; a rerun replaces that run's rows."""
-        stamped = quarantine_rows(rows).withColumn("quarantined_at", F.current_timestamp())
+        rejected = F.col("rejected") if "rejected" in rows.columns else F.lit(None).cast("string")
+        kept = rows.select(*FACT_KEY, *MEASURES, "reason", rejected.alias("rejected"))
+        stamped = kept.withColumn("quarantined_at", F.current_timestamp())
         self._write_run("quarantine", stamped, run_id)
 
     def append_gaps(self, gaps: DataFrame, run_id: str) -> None:

@@ -55,7 +55,7 @@ def flag_batch(batch: Ingested, reason_mode: str = "row") -> DataFrame:
     current = quality.flag(batch.current, "current", ["landed"], reason_mode=reason_mode)
     # History holds one row per coin and day, so no coin can have too many.
     historical = quality.flag(
-        batch.historical, "historical", ["landed"], reason_mode=reason_mode, hot_rows=None
+        batch.historical, "historical", ["landed"], reason_mode=reason_mode, bounded=True
     )
     return current.withColumn("source", F.lit(_SNAPSHOT)).unionByName(
         historical.withColumn("source", F.lit(_HISTORY)), allowMissingColumns=True

@@ -100,7 +100,7 @@ def gaps_supplier(spark, sf_dir):
 
 
 def anomalies(spark, sf_dir):
-    return quality.anomalies(tables.user_daily(spark, sf_dir), hot_rows=None)
+    return quality.anomalies(tables.user_daily(spark, sf_dir), bounded=True)
 
 
 def anomalies_with_history(spark, sf_dir):
@@ -110,7 +110,7 @@ def anomalies_with_history(spark, sf_dir):
     return quality.anomalies(
         daily.where(F.col("date") >= start),
         history=daily.where(F.col("date") < start),
-        hot_rows=None,
+        bounded=True,
     )
 
 
@@ -268,7 +268,7 @@ def raw_landing(spark, sf_dir):
 def mart_check(spark, sf_dir):
     """Rows behind each registered mart view, read by name."""
     fact = tables.supplier_daily(spark, sf_dir)
-    flagged = quality.flag(fact, "historical", hot_rows=None)
+    flagged = quality.flag(fact, "historical", bounded=True)
     views.register(fact, tables.supplier_dim(spark, sf_dir), quality.Split(flagged).quarantined)
     views.check(spark)
     counts = [f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}" for v in views.MARTS]

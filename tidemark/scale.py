@@ -3,11 +3,11 @@
 A key may hold a large share of all rows. Operators that only aggregate are
 safe by map-side combining. The two helpers here cover the rest:
 
-* ``join_keyed`` brings a per-key result back to the rows without sending the
-  rows of a hot key through one task;
+* ``join_keyed`` brings a per-key result back to the rows by a plain join of
+  two written or scanned sides, whose large partitions Spark splits;
 * ``previous_value`` finds the preceding row's value for keys of any size.
 
-Both keep every row, and neither changes its result with the thresholds.
+Both keep every row and work alike at every size.
 """
 
 from __future__ import annotations
@@ -16,17 +16,15 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ordering
 
-# A key with more rows than this is hot: its rows never share one task.
-HOT_ROWS = 5_000_000
-# Bound of the broadcast hot-key list. Keys past it hold less than
-# 1/50,000 of the rows each and take the shuffle path, so none is lost.
-MAX_HOT_KEYS = 50_000
-MAX_SLICES = 10_000
+# Input bytes, as stored, for each slice of an ordered pass.
+SLICE_BYTES = 64 << 20
+# Spark gives what it cannot measure the largest long.
+_UNKNOWN_BYTES = 1 << 62
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -61,33 +59,37 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> Dat
     return left.join(renamed, condition, how).drop(*names.values())
 
 
-def hottest(counted: DataFrame, keys: Sequence[str], n: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them.
+def join_keyed(rows: DataFrame, keyed: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join of ``rows`` with a table of one row per key; nulls in the key match.
 
-    The order is total, so every evaluation picks the same keys.
+    The keyed table is written first: Spark then knows its size, broadcasts it
+    only when small, and otherwise meets two plain shuffles, of which it splits
+    the partitions of hot keys.
     """
-    hot = counted.where(F.col(n) > hot_rows)
-    return hot.orderBy(F.col(n).desc(), *keys).limit(MAX_HOT_KEYS)
+    return _join(rows, materialise(keyed, "keyed"), list(on), "inner")
 
 
-def join_keyed(
-    rows: DataFrame, keyed: DataFrame, on: Sequence[str], n: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Inner join of ``rows`` with a table of one row per key and its row count ``n``.
+def _slice_count(rows: DataFrame) -> int:
+    """Slices for the stored size of what ``rows`` reads, at least the session's partitions.
 
-    Rows of hot keys meet a broadcast list and stay where they are; all other
-    rows take a join whose strategy Catalyst picks by the table's size.
-    Nulls in the key match each other. ``n`` is dropped.
+    Frames that are not read from storage have no known size and add nothing.
     """
-    on = list(on)
-    keyed = materialise(keyed, "keyed")
-    hot = hottest(keyed, on, n, hot_rows)
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    stored = sum(size for size in sizes if size < _UNKNOWN_BYTES)
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-stored // SLICE_BYTES))
+
 
-    if hot.isEmpty():
-        return _join(rows, keyed.drop(n), on, "inner")
-    hot = F.broadcast(hot.drop(n))
-    cold_rows = _join(rows, hot, on, "left_anti")
-    return _join(rows, hot, on, "inner").unionByName(_join(cold_rows, keyed.drop(n), on, "inner"))
+def sliced(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``rows`` in even slices of the whole order, written once, with ``_slice`` and ``_tie``.
+
+    ``_tie`` is a number of its own for every row, so that copies of one row
+    spread over slices as well.
+    """
+    numbered = rows.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(_slice_count(rows), *order, "_tie")
+    return materialise(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
 def previous_value(
@@ -96,59 +98,43 @@ def previous_value(
     order: Sequence[str],
     value: str,
     out: str,
-    hot_rows: int | None = HOT_ROWS,
+    among: Column | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add ``out``: ``value`` of the preceding row of the same ``key``.
 
-    Keys of ordinary size use one window. Rows of hot keys are range-split on
-    (key, order, position) into even slices; a slice's first row of a key
-    takes its value from the last earlier slice holding that key.
-    ``hot_rows=None`` skips the search for hot keys where rows per key are
-    bounded anyway, as with one row per day.
+    With ``among`` only rows for which it holds count as preceding. Rows are
+    range-split on (key, order) into even slices, whatever the size of a key.
+    A key that goes on from one slice to the next, and there is at most one at
+    each border, carries its last value over. ``bounded`` says that rows per
+    key are few by nature, as with one row per day: one window then does.
     """
     order = list(order)
-    lagged = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
-    if hot_rows is None:
-        return rows.withColumn(out, lagged)
-    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialise(hottest(counted, [key], "_n", hot_rows), "hot")
-    total = hot.agg(F.sum("_n")).first()[0]
-    if total is None:
-        return rows.withColumn(out, lagged)
-
-    hot = F.broadcast(hot)
-    slices = int(min(MAX_SLICES, max(2, 2 * total // hot_rows)))
-    cold = _join(rows, hot, [key], "left_anti").withColumn(out, lagged)
-
-    # The written copy gives each row a lasting position, which splits even
-    # runs of identical rows; the second copy pins the slice of each row.
-    fixed = materialise(_join(rows, hot, [key], "left_semi"), "rows")
-    fixed = fixed.select(
-        "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    full_order = [*order, "_file", "_row"]
-    sliced = materialise(
-        fixed.repartitionByRange(slices, key, *full_order).withColumn(
-            "_slice", F.spark_partition_id()
-        ),
-        "slices",
-    )
-    tails = sliced.groupBy(key, "_slice").agg(
-        F.max_by(F.struct(F.col(value).alias("v")), ordering([F.col(c) for c in full_order])).alias(
-            "_tail"
-        )
-    )
-    in_order = Window.partitionBy(key).orderBy("_slice")
-    carried = tails.select(key, "_slice", F.lag("_tail").over(in_order).alias("_carried"))
-    in_slice = Window.partitionBy("_slice", key).orderBy(*full_order)
-    warm = sliced.select(
-        "*",
-        F.row_number().over(in_slice).alias("_nth"),
-        F.lag(value).over(in_slice).alias("_lag"),
-    )
-    # One row per (hot key, slice) boundary: at most MAX_HOT_KEYS + MAX_SLICES rows.
-    warm = _join(warm, F.broadcast(carried), [key, "_slice"], "left")
-    previous = F.when(F.col("_nth") == 1, F.col("_carried.v")).otherwise(F.col("_lag"))
-    return cold.unionByName(warm.select(*rows.columns, previous.alias(out)))
+    held = F.struct(F.col(value).alias("v"))
+    held = held if among is None else F.when(among, held)
+
+    def before(keys: Sequence[str], by: Sequence[str]) -> Column:
+        window = Window.partitionBy(*keys).orderBy(*by)
+        if among is None:
+            return F.lag(held).over(window)
+        return F.last(held, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    if bounded:
+        return rows.withColumn(out, before([key], order)["v"])
+    parts = sliced(rows, [key, *order])
+    position = [*order, "_tie"]
+    borders = parts.groupBy(key).agg(F.min("_slice").alias("_from"), F.max("_slice").alias("_to"))
+    # Fewer keys than slices.
+    spanning = F.broadcast(materialise(borders.where("_from < _to").select(key), "spanning"))
+    last = ordering([F.col(c) for c in position])
+    last = last if among is None else F.when(among, last)
+    tails = _join(parts, spanning, [key], "left_semi").groupBy(key, "_slice")
+    tails = tails.agg(F.max_by(held, last).alias("_tail"))
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(key, "_slice", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
+    # A row for each slice of each spanning key: under twice the slices.
+    carried = F.broadcast(materialise(carried, "carried"))
+    inside = parts.withColumn("_inside", before(["_slice", key], position))
+    joined = _join(inside, carried, [key, "_slice"], "left")
+    found = F.coalesce("_inside", "_carried")["v"]
+    return joined.select(*rows.columns, found.alias(out))

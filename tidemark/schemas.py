@@ -74,6 +74,7 @@ QUARANTINE = _struct(
     ("date", T.DateType()),
     *[(m, _DOUBLE) for m in MEASURES],
     ("reason", _STRING),
+    ("rejected", _STRING),
     ("quarantined_at", T.TimestampType()),
     ("run_id", _STRING),
 )

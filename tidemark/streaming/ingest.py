@@ -24,7 +24,7 @@ def load_history_batch(warehouse: Warehouse, payloads: DataFrame, run_id: str, r
     marks = warehouse.marks(run_id, marks)
     days = series.daily_last(landing.history_points(payloads), ["timestamp", "ingest_ts"])
     days = series.newer_than_marks(days, marks)
-    flagged = materialise(quality.flag(days, "historical", hot_rows=None), "batch")
+    flagged = materialise(quality.flag(days, "historical", bounded=True), "batch")
     valid = flagged.where(F.col("status") == "valid").select(*FACT_KEY, *MEASURES)
     warehouse.load_history(valid, [])
     warehouse.append_quarantine(flagged.where(F.col("status") != "valid"), run_id)
