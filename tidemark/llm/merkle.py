@@ -122,7 +122,12 @@ def edits(docs: DataFrame) -> DataFrame:
     )
     size = F.length("text")
     cut = F.floor(size / 4).cast("int")
-    rows = texts.join(following, "doc_id", "left").select(
+    # Asking for an id as the join above does makes both read one shuffle of the texts.
+    known = texts.where("doc_id is not null").join(following, "doc_id", "left")
+    unknown = texts.where("doc_id is null").withColumns(
+        {"head": F.lit(None).cast("string"), "next_fingerprint": F.lit(None).cast("string")}
+    )
+    rows = known.unionByName(unknown).select(
         "doc_id",
         size.cast("long").alias("n_chars"),
         "text",
