@@ -8,23 +8,23 @@ from tidemark.sources import landing
 
 
 def test_snapshot_mixes_ints_and_floats_and_nested_fields(spark, tmp_path):
-    roi = {"times": 42.5, "currency": "btc", "percentage": 4251}
-    write_snapshot(tmp_path, "20260902_011118", [coin("bitcoin", 79797), coin("ethereum", 2490.02, roi=roi)])
+    roi = {"times": 1.5, "currency": "btc", "percentage": 150}
+    write_snapshot(tmp_path, "20310305_003010", [coin("bitcoin", 61), coin("ethereum", 7.25, roi=roi)])
     objects = landing.read_snapshot_files(spark, str(tmp_path))
-    assert rows(objects, "id", "roi.times") == [("bitcoin", None), ("ethereum", 42.5)]
+    assert rows(objects, "id", "roi.times") == [("bitcoin", None), ("ethereum", 1.5)]
     got = landing.snapshot_rows(objects)
     assert got.columns == ["coin_id", "symbol", "name", "price", "market_cap", "volume", "date", "ingest_ts"]
     assert rows(got) == [
-        ("bitcoin", "bit", "Bitcoin", 79797.0, 1602367457499.0, 18729882010.0, day("2026-09-02"), "20260902_011118"),
-        ("ethereum", "eth", "Ethereum", 2490.02, 1602367457499.0, 18729882010.0, day("2026-09-02"), "20260902_011118"),
+        ("bitcoin", "bit", "Bitcoin", 61.0, 4400.0, 320.0, day("2031-03-05"), "20310305_003010"),
+        ("ethereum", "eth", "Ethereum", 7.25, 4400.0, 320.0, day("2031-03-05"), "20310305_003010"),
     ]
 
 
 def test_snapshot_day_is_local_utc_or_given(spark, tmp_path):
-    write_snapshot(tmp_path, "20260902_011118", [coin("bitcoin", 1)])
+    write_snapshot(tmp_path, "20310305_003010", [coin("bitcoin", 1)])
     objects = landing.read_snapshot_files(spark, str(tmp_path))
     days = [rows(landing.snapshot_rows(objects, a), "date")[0][0] for a in ("landed", "utc", day("2020-02-02"))]
-    assert days == [day("2026-09-02"), day("2026-09-01"), day("2020-02-02")]
+    assert days == [day("2031-03-05"), day("2031-03-04"), day("2020-02-02")]
     with pytest.raises(ValueError):
         landing.snapshot_rows(objects, "tomorrow")
 
@@ -32,8 +32,8 @@ def test_snapshot_day_is_local_utc_or_given(spark, tmp_path):
 def test_history_points_align_and_name_their_coin(spark, tmp_path):
     points = [("2026-09-01T22:00:00", 10.0), ("2026-09-01T23:59:59.999", 11), ("2026-09-02T00:00:00", 12.5)]
     caps = [[millis("2026-09-01T22:00:00"), 7], [millis("2030-01-01T00:00:00"), 9.0]]
-    write_history(tmp_path, "usd-coin_x", "20260902_011119", points, caps=caps, volumes=[])
-    write_snapshot(tmp_path, "20260902_011118", [coin("bitcoin", 1)])
+    write_history(tmp_path, "usd-coin_x", "20310305_003011", points, caps=caps, volumes=[])
+    write_snapshot(tmp_path, "20310305_003010", [coin("bitcoin", 1)])
     payloads = landing.read_history_files(spark, str(tmp_path))
     got = landing.history_points(payloads)
     assert rows(got, "coin_id", "date", "price", "market_cap", "volume") == [
@@ -49,36 +49,36 @@ def test_history_points_align_and_name_their_coin(spark, tmp_path):
 
 
 def test_later_payload_wins_for_the_same_point(spark, tmp_path):
-    write_history(tmp_path, "a", "20260902_011119", [("2026-09-01T22:00:00", 10.0)])
-    write_history(tmp_path, "a", "20260903_011119", [("2026-09-01T22:00:00", 20.0)])
+    write_history(tmp_path, "a", "20310305_003011", [("2026-09-01T22:00:00", 10.0)])
+    write_history(tmp_path, "a", "20310306_003011", [("2026-09-01T22:00:00", 20.0)])
     points = landing.history_points(landing.read_history_files(spark, str(tmp_path)))
     assert rows(series.daily_last(points, ["timestamp", "ingest_ts"]), "price") == [(20.0,)]
-    first = landing.between(landing.read_history_files(spark, str(tmp_path)), None, "20260902_235959")
+    first = landing.between(landing.read_history_files(spark, str(tmp_path)), None, "20310305_235959")
     assert rows(landing.history_points(first), "price") == [(10.0,)]
 
 
 def test_empty_payloads(spark, tmp_path):
-    write_history(tmp_path, "a", "20260902_011119", [])
-    write_snapshot(tmp_path, "20260902_011118", [])
+    write_history(tmp_path, "a", "20310305_003011", [])
+    write_snapshot(tmp_path, "20310305_003010", [])
     assert landing.history_points(landing.read_history_files(spark, str(tmp_path))).isEmpty()
     assert landing.snapshot_rows(landing.read_snapshot_files(spark, str(tmp_path))).isEmpty()
 
 
 def test_landing_table_keeps_payloads_and_replaces_a_repeated_stamp(spark, tmp_path):
     files, table = tmp_path / "files", str(tmp_path / "table")
-    write_snapshot(files, "20260902_011118", [coin("bitcoin", 1), coin("tron", 0.3)])
-    write_history(files, "tron", "20260902_011119", [("2026-09-01T22:00:00", 0.25)])
+    write_snapshot(files, "20310305_003010", [coin("bitcoin", 1), coin("tron", 0.3)])
+    write_history(files, "tron", "20310305_003011", [("2026-09-01T22:00:00", 0.25)])
     objects = landing.read_snapshot_files(spark, str(files))
     payloads = landing.read_history_files(spark, str(files))
     for _ in range(2):
-        landing.land(objects, table, landing.SNAPSHOT_DATASET, "20260902_011118")
-        landing.land(payloads, table, landing.HISTORY_DATASET, "20260902_011119")
-    landing.land(objects, table, landing.SNAPSHOT_DATASET, "20260903_011118")
+        landing.land(objects, table, landing.SNAPSHOT_DATASET, "20310305_003010")
+        landing.land(payloads, table, landing.HISTORY_DATASET, "20310305_003011")
+    landing.land(objects, table, landing.SNAPSHOT_DATASET, "20310306_003010")
     again = landing.read_snapshot_table(spark, table)
-    assert rows(again.groupBy("ingest_ts").count()) == [("20260902_011118", 2), ("20260903_011118", 2)]
-    kept = again.where("ingest_ts = '20260902_011118'")
+    assert rows(again.groupBy("ingest_ts").count()) == [("20310305_003010", 2), ("20310306_003010", 2)]
+    kept = again.where("ingest_ts = '20310305_003010'")
     assert rows(landing.snapshot_rows(kept)) == rows(landing.snapshot_rows(objects))
     stored = landing.read_history_table(spark, table)
     assert rows(landing.history_points(stored)) == rows(landing.history_points(payloads))
-    pruned = again.where(F.col("ingest_ts") == "20260903_011118")._jdf.queryExecution().executedPlan().toString()
+    pruned = again.where(F.col("ingest_ts") == "20310306_003010")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dataset" in pruned and "ingest_ts" in pruned.split("PartitionFilters")[1]

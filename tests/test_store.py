@@ -58,14 +58,13 @@ def test_upsert_rewrites_only_the_months_of_the_batch(spark, warehouse):
 def test_a_half_moved_load_is_completed_on_the_next_read(spark, warehouse, monkeypatch):
     before = fact(spark, ("a", "2026-01-01", 1.0), ("a", "2026-02-01", 2.0))
     warehouse.upsert_fact(_ordered(before), ["ord"])
-    swap = store.Warehouse._swap
+    publish = store.Warehouse._publish
 
-    def one_then_lost(self, moves):
-        first = next(iter(moves))
-        swap(self, {first: moves[first]})
+    def one_then_lost(self, table, rows):
+        publish(self, table, rows.where("month = '2026-01'"))
         raise OSError("driver lost")
 
-    monkeypatch.setattr(store.Warehouse, "_swap", one_then_lost)
+    monkeypatch.setattr(store.Warehouse, "_publish", one_then_lost)
     changed = fact(spark, ("a", "2026-01-01", 5.0), ("a", "2026-02-01", 6.0))
     with pytest.raises(OSError):
         warehouse.upsert_fact(_ordered(changed), ["ord"])
@@ -110,18 +109,25 @@ def test_empty_loads_and_reads(spark, warehouse):
 
 
 def test_audits(spark):
-    dim = spark.createDataFrame([("a", "x", "A"), ("a", "y", "B"), (None, "z", "C")], "coin_id string, symbol string, name string")
-    stored = fact(spark, ("a", "2026-01-01", 1.0), ("a", "2026-01-01", 2.0), ("q", "2026-01-01", 1.0), (None, None, 1.0))
-    assert rows(store.orphan_facts(stored, dim), "coin_id") == [("q",), (None,)]
+    dim = spark.createDataFrame(
+        [("a", "x" * 51, "A"), ("a", "y", "B" * 101), (None, "z", "C"), ("d" * 51, "w", "D")],
+        "coin_id string, symbol string, name string",
+    )
+    stored = fact(spark, ("a", "2026-01-01", 1.0), ("a", "2026-01-01", 2.0), ("q" * 51, "2026-01-01", 1.0), (None, None, 1.0))
+    assert rows(store.orphan_facts(stored, dim), "coin_id") == [("q" * 51,), (None,)]
     assert dict(rows(store.constraint_audit(stored, dim))) == {
         "dim_coin_key_not_null": 1,
         "dim_coin_key_unique": 1,
+        "dim_coin_key_length": 1,
+        "dim_coin_symbol_length": 1,
+        "dim_coin_name_length": 1,
         "fact_price_coin_not_null": 1,
+        "fact_price_coin_length": 1,
         "fact_price_date_not_null": 1,
         "fact_price_key_unique": 1,
         "fact_price_coin_in_dim": 2,
     }
-    assert dict(rows(store.table_counts({"dim_coin": dim, "fact_price": stored}))) == {"dim_coin": 3, "fact_price": 4}
+    assert dict(rows(store.table_counts({"dim_coin": dim, "fact_price": stored}))) == {"dim_coin": 4, "fact_price": 4}
 
 
 def test_a_small_batch_is_broadcast_so_stored_rows_stay_in_place(spark, tmp_path):
@@ -133,3 +139,19 @@ def test_a_small_batch_is_broadcast_so_stored_rows_stay_in_place(spark, tmp_path
     text = plan(store.replace_keys(read("stored"), read("latest"), ["coin_id", "date"]))
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
     assert prices(spark).isEmpty()
+
+
+def test_marks_remember_what_they_were_made_for(spark, warehouse):
+    marks = spark.createDataFrame([("a", day("2026-01-05"))], "coin_id string, high_water_mark date")
+    assert rows(warehouse.marks("one", marks, 2)) == rows(warehouse.marks("one", marks.limit(0), 2)) == rows(marks)
+    with pytest.raises(ValueError, match="restate_days"):
+        warehouse.marks("one", marks, 3)
+
+
+def test_audit_reads_each_table_once(spark, tmp_path):
+    from helpers import plan
+
+    fact(spark, ("a", "2026-01-01", 1.0)).write.parquet(str(tmp_path / "fact"))
+    spark.createDataFrame([("a", "x", "A")], "coin_id string, symbol string, name string").write.parquet(str(tmp_path / "dim"))
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    assert plan(store.constraint_audit(read("fact"), read("dim"))).count("FileScan") == 2

@@ -35,11 +35,25 @@ def ordering(columns: list[Column]) -> Column:
     return columns[0] if len(columns) == 1 else F.struct(*columns)
 
 
+def packed(high: Column, low: Column) -> Column:
+    """One number ordered by ``high`` (up to 20 digits), then ``low`` (below 10**18); nulls as 0.
+
+    A decimal stays in hash aggregation, where a struct would need a sort.
+    """
+    number = F.coalesce(high, F.lit(0)).cast("decimal(20,0)") * F.lit(10**17).cast("decimal(18,0)")
+    return (number + F.coalesce(low, F.lit(0)).cast("decimal(18,0)")).cast("decimal(38,0)")
+
+
+def stamp_number(stamp: Column) -> Column:
+    """A ``yyyymmdd_hhmmss`` stamp as a number; 0 if it is none."""
+    return F.coalesce(F.replace(stamp, F.lit("_"), F.lit("")).try_cast("long"), F.lit(0))
+
+
 def file_stamp(file_name: Column) -> Column:
     """``yyyymmdd_hhmmss`` at the end of a landed file name."""
     return F.regexp_extract(file_name, r"_(\d{8}_\d{6})\.json$", 1)
 
 
 def stamp_day(stamp: Column) -> Column:
-    """Calendar date of a ``yyyymmdd_hhmmss`` stamp."""
-    return F.to_date(F.substring(stamp, 1, 8), "yyyyMMdd")
+    """Calendar date of a ``yyyymmdd_hhmmss`` stamp; null if it is none."""
+    return F.try_to_timestamp(F.substring(stamp, 1, 8), F.lit("yyyyMMdd")).cast("date")

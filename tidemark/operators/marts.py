@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ratio_change, relative_change
-from tidemark.scale import join_keyed, materialise
+from tidemark.scale import join_keyed, materialise, sliced
 
 
 def _by_day():
@@ -56,7 +56,7 @@ def moving_averages(fact: DataFrame) -> DataFrame:
 def moving_average(prices: DataFrame, window: int = 7, ordered: bool = False) -> DataFrame:
     """All input columns plus ``moving_average``, null until ``window`` prices are there."""
     if window <= 0:
-        raise ValueError("window must be greater than 0")
+        raise ValueError(f"a moving average needs a positive window, not {window}")
     frame = _trailing(window)
     full = F.count("price").over(frame) == window
     dated = prices.withColumn("date", F.col("date").cast("date"))
@@ -127,12 +127,12 @@ def latest_per_coin(fact: DataFrame) -> DataFrame:
     return flagged.where("_newest").drop("_newest")
 
 
-def volatility_ranking(fact: DataFrame, nulls: str = "first", stored: bool = True) -> DataFrame:
+def volatility_ranking(fact: DataFrame, nulls: str = "first") -> DataFrame:
     """Coins ranked by their latest volatility, highest first, ties sharing a rank.
 
-    Coins without volatility rank first by default. ``stored`` writes the
-    one-row-per-coin frame once instead of recomputing the windows for every
-    step of the ranking; views switch it off to stay lazy.
+    Coins without volatility rank first by default, then those whose
+    volatility is not a number. The one-row-per-coin frame is written once, so
+    the windows run once however the ranking is used.
     """
     if nulls not in ("first", "last"):
         raise ValueError("nulls must be 'first' or 'last'")
@@ -143,49 +143,32 @@ def volatility_ranking(fact: DataFrame, nulls: str = "first", stored: bool = Tru
         F.col("daily_return").alias("latest_return"),
         "volatility_30d",
     )
-    if stored:
-        latest = materialise(latest, "latest")
-    ranks = _ranks(latest, "volatility_30d", nulls).withColumnRenamed("rank", "volatility_rank")
-    if stored:
-        ranked = join_keyed(latest, ranks.drop("n"), ["volatility_30d"])
-    else:
-        values = ranks.drop("n").withColumnRenamed("volatility_30d", "_value")
-        ranked = latest.join(values, F.col("volatility_30d").eqNullSafe(F.col("_value"))).drop("_value")
+    latest = materialise(latest, "latest")
     volatility = F.col("volatility_30d")
     by = volatility.desc_nulls_first() if nulls == "first" else volatility.desc_nulls_last()
+    ranks = _ranks(latest, "volatility_30d", by).withColumnRenamed("rank", "volatility_rank")
+    ranked = join_keyed(latest, ranks, ["volatility_30d"])
     # The coin breaks ties, so that many coins of one rank still sort in parallel.
     return ranked.orderBy(by, "coin_id")
 
 
-def _ranks(rows: DataFrame, value: str, nulls: str) -> DataFrame:
-    """Descending rank and row count ``n`` of every distinct non-negative ``value``.
+def _ranks(rows: DataFrame, value: str, by: Column) -> DataFrame:
+    """Rank of every distinct ``value`` in the order ``by``.
 
-    Equal values collapse to one counted row first. Distinct values are then
-    put into buckets on a logarithmic scale, at most about 260,000 however
-    large the data; a value's rank is the number of rows in higher buckets
-    plus those above it in its own. Only the bucket totals meet in one task.
+    Equal values collapse to one counted row first. Distinct values are cut
+    into slices of that order; a value's rank is the number of rows in earlier
+    slices plus those before it in its own. Only one total a slice meets in
+    one task.
     """
     values = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    # log2 of any double is below 1100; 238 steps per power of two.
-    bucket = F.floor(F.log2(F.lit(1.0) + F.col(value) * F.lit(1e5)) * F.lit(238.0))
-    outside = F.lit(1 << 20) if nulls == "first" else F.lit(-1)
-    values = values.withColumn("_bucket", F.coalesce(bucket, outside.cast("long")))
-
-    higher = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        values.groupBy("_bucket")
-        .agg(F.sum("n").alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_offset"))
-    )
-    above = (
-        Window.partitionBy("_bucket")
-        .orderBy(F.col(value).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    local = F.coalesce(F.sum("n").over(above), F.lit(0))
-    placed = values.withColumn("_above", local).join(offsets, "_bucket")
-    rank = (F.lit(1) + F.col("_offset") + F.col("_above")).alias("rank")
-    return placed.select(value, "n", rank)
+    parts = sliced(values, [by])
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy("_slice").agg(F.sum("n").alias("_rows"))
+    offsets = totals.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    before = Window.partitionBy("_slice").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum("n").over(before), F.lit(0))
+    placed = parts.withColumn("_before", local).join(F.broadcast(offsets), "_slice")
+    return placed.select(value, (F.lit(1) + F.col("_offset") + F.col("_before")).alias("rank"))
 
 
 def coverage(fact: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,14 +27,14 @@ def align_long(points: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     ``points`` holds ``keys``, ``series`` (price, market_cap or volume),
     ``order`` and ``value``. Prices are the spine: a key without a price point
     is dropped, a missing cap or volume is null. If a series repeats a key its
-    last value wins, so repeats never multiply. One aggregate with map-side
+    last value wins, so repeats never multiply. Points without a key are left out. One aggregate with map-side
     combining replaces two joins.
     """
     series = F.col("series")
     columns = [_last("value", F.col(order), series == m).alias(m) for m in MEASURES]
     spine = F.count_if(series == "price").alias("_spine")
     return (
-        points.where(F.col("timestamp").isNotNull())
+        points.where(reduce(lambda a, b: a & b, (F.col(key).isNotNull() for key in keys)))
         .groupBy(*keys)
         .agg(*columns, spine)
         .where(F.col("_spine") > 0)
@@ -53,10 +54,13 @@ def align(
 
 
 def daily_last(
-    points: DataFrame, order: Sequence[str], keep: Sequence[str] = MEASURES
+    points: DataFrame, order: Sequence[str | Column], keep: Sequence[str] = MEASURES
 ) -> DataFrame:
-    """One row per (coin, day): each column's last non-null value by ``order``."""
-    by = ordering([F.col(c) for c in order])
+    """One row per (coin, day): each column's last non-null value by ``order``.
+
+    One number to order by, and numbers to keep, need no sort of the points.
+    """
+    by = ordering([F.col(c) if isinstance(c, str) else c for c in order])
     return (
         points.where(F.col("coin_id").isNotNull() & F.col("date").isNotNull())
         .groupBy(*FACT_KEY)

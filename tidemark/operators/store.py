@@ -6,12 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.scale import materialise
-from tidemark.schemas import DIM, DIM_KEY, FACT, FACT_KEY, GAPS, MARKS, MEASURES, QUARANTINE
+from tidemark.schemas import DIM, DIM_KEY, DIM_LENGTHS, FACT, FACT_KEY, GAPS, MARKS, MEASURES, QUARANTINE
+
+# The landing window of each run, a row a run.
+RUNS = T.StructType([T.StructField(c, T.StringType()) for c in ("run_id", "since", "after", "until")])
 
 # Stored layout of each table: declared columns plus the folder column, if any.
 STORED = {
@@ -72,19 +75,6 @@ class Warehouse:
         fs, target = self._hadoop(path)
         return fs.exists(target)
 
-    def _swap(self, moves: dict[str, str]) -> None:
-        """Put each source folder in the place of its target folder."""
-        new_path = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs = None
-        for source, target in moves.items():
-            old, new = new_path(target), new_path(source)
-            if fs is None:
-                fs = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-                fs.mkdirs(old.getParent())
-            fs.delete(old, True)
-            if not fs.rename(new, old):
-                raise OSError(f"could not move {source} to {target}")
-
     def read(self, table: str) -> DataFrame:
         """The table, or a typed empty frame before its first load."""
         if self.exists(self.path(table)):
@@ -142,13 +132,31 @@ class Warehouse:
         """Load validated history rows."""
         self.upsert_fact(rows, order)
 
-    def marks(self, run_id: str, marks: DataFrame) -> DataFrame:
+    def marks(self, run_id: str, marks: DataFrame, restate_days: int = 0) -> DataFrame:
         """Marks a run started from, kept so that a rerun selects the same rows."""
-        path = f"{self.path('marks')}/run_id={run_id}"
+        folder = f"{self.path('marks')}/run_id={run_id}"
+        path = f"{folder}/restate_days={restate_days}"
         if not self.exists(f"{path}/_SUCCESS"):
+            if self.exists(folder) and self._names(folder) - {f"restate_days={restate_days}"}:
+                raise ValueError(f"run {run_id!r} was started with another restate_days")
             marks.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(MARKS).parquet(path)
 
+    def _names(self, folder: str) -> set[str]:
+        fs, path = self._hadoop(folder)
+        return {status.getPath().getName() for status in fs.listStatus(path)}
+
+    def windows(self) -> DataFrame:
+        """The landing stamps that each run covered: run_id, since, after, until."""
+        path = self.path("runs")
+        if not self.exists(path):
+            return self.spark.createDataFrame([], RUNS)
+        return self.spark.read.schema(RUNS).json(path)
+
+    def keep_window(self, run_id: str, since: str | None, after: str | None, until: str | None) -> None:
+        row = self.spark.createDataFrame([(run_id, since, after, until)], RUNS).drop("run_id")
+        row.coalesce(1).write.mode("overwrite").json(f"{self.path('runs')}/run_id={run_id}")
+
     def append_quarantine(self, rows: DataFrame, run_id: str) -> None:
         """Store quarantined rows of one run; a rerun replaces that run's rows."""
         rejected = F.col("rejected") if "rejected" in rows.columns else F.lit(None).cast("string")
@@ -166,7 +174,7 @@ class Warehouse:
         return self.path(f"_staging/{table}")
 
     def _replace(self, table: str, rows: DataFrame) -> None:
-        """Write aside in full, then swap in: the result is safe before the table changes."""
+        """Write aside in full, then publish: the result is safe before the table changes."""
         if table == "fact_price":
             # Rebalancing splits a month too large for one task and joins small ones.
             arranged = rows.hint("rebalance", "month").sortWithinPartitions("month", *FACT_KEY)
@@ -177,22 +185,25 @@ class Warehouse:
         self._finish(table)
 
     def _finish(self, table: str) -> None:
-        """Swap in a complete staged result, also one a lost driver left half moved.
+        """Publish a complete staged result, also one that a lost driver left half published.
 
-        The fact is swapped month by month; a month is either still staged or in place.
+        Tasks copy it over the table; of the fact only the months it holds are
+        replaced. Doing it again gives the same table, and the staged result is
+        deleted last.
         """
         staged = self._staged(table)
         if not self.exists(f"{staged}/_SUCCESS"):
             return
-        if table != "fact_price":
-            self._swap({staged: self.path(table)})
-            return
+        self._publish(table, self.spark.read.schema(STORED[table]).parquet(staged))
         fs, folder = self._hadoop(staged)
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        months = [name for name in names if name.startswith("month=")]
-        self._swap({f"{staged}/{m}": f"{self.path(table)}/{m}" for m in months})
         fs.delete(folder, True)
 
+    def _publish(self, table: str, rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite")
+        if table == "fact_price":
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("month")
+        writer.parquet(self.path(table))
+
 
 def quarantine_rows(rows: DataFrame) -> DataFrame:
     """The columns the quarantine keeps; load time and run id are added on write."""
@@ -214,24 +225,45 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def constraint_audit(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Violations of each declared constraint: rows for nulls and orphans, keys for uniqueness."""
-
-    def violations(name: str, rows: DataFrame) -> DataFrame:
-        count = rows.agg(F.count(F.lit(1)).alias("violations"))
-        return count.select(F.lit(name).alias("constraint_name"), "violations")
-
-    def repeated(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return rows.groupBy(*keys).count().where(F.col("count") > 1)
-
-    # Facts shrink to one counted row per coin before they meet the dimension.
-    per_coin = fact.groupBy("coin_id").agg(F.count(F.lit(1)).alias("n"))
-    orphans = orphan_facts(per_coin, dim).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
-    audits = [
-        violations("dim_coin_key_not_null", dim.where(F.col("coin_id").isNull())),
-        violations("dim_coin_key_unique", repeated(dim, DIM_KEY)),
-        violations("fact_price_coin_not_null", fact.where(F.col("coin_id").isNull())),
-        violations("fact_price_date_not_null", fact.where(F.col("date").isNull())),
-        violations("fact_price_key_unique", repeated(fact, FACT_KEY)),
-        orphans.select(F.lit("fact_price_coin_in_dim").alias("constraint_name"), "violations"),
-    ]
-    return reduce(DataFrame.unionByName, audits)
+    """Violations of each declared constraint: rows for nulls, orphans and lengths, keys for uniqueness.
+
+    Each table is read once: it shrinks to one counted row per key and coin,
+    and the coins of both meet in one join.
+    """
+    n = F.count(F.lit(1))
+    keys = fact.groupBy(*FACT_KEY).agg(n.alias("n"))
+    facts = keys.groupBy("coin_id").agg(
+        F.sum("n").alias("facts"),
+        F.sum(F.when(F.col("date").isNull(), F.col("n"))).alias("dateless"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+    )
+    lengths = {
+        c: F.count_if(F.length(c) > most).alias(f"long_{c}") for c, most in DIM_LENGTHS.items() if c != "coin_id"
+    }
+    dims = dim.groupBy("coin_id").agg(n.alias("dims"), *lengths.values())
+    coin, other = F.col("f.coin_id"), F.col("d.coin_id")
+    coins = facts.alias("f").join(dims.alias("d"), coin.eqNullSafe(other), "full")
+    null_fact, null_dim = coin.isNull() & F.col("facts").isNotNull(), other.isNull() & F.col("dims").isNotNull()
+    orphan = F.col("facts").isNotNull() & (F.col("dims").isNull() | coin.isNull())
+    too_long = F.length(coin) > DIM_LENGTHS["coin_id"]
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    found = {
+        "dim_coin_key_not_null": total(F.when(null_dim, F.col("dims"))),
+        "dim_coin_key_unique": total(F.when(F.col("dims") > 1, 1)),
+        "dim_coin_key_length": total(F.when(F.length(other) > DIM_LENGTHS["coin_id"], F.col("dims"))),
+        "dim_coin_symbol_length": total(F.col("long_symbol")),
+        "dim_coin_name_length": total(F.col("long_name")),
+        "fact_price_coin_not_null": total(F.when(null_fact, F.col("facts"))),
+        "fact_price_coin_length": total(F.when(too_long, F.col("facts"))),
+        "fact_price_date_not_null": total(F.col("dateless")),
+        "fact_price_key_unique": total(F.col("repeated")),
+        "fact_price_coin_in_dim": total(F.when(orphan, F.col("facts"))),
+    }
+    counted = coins.agg(*[value.cast("long").alias(name) for name, value in found.items()])
+    rows = F.array(
+        *[F.struct(F.lit(name).alias("constraint_name"), F.col(name).alias("violations")) for name in found]
+    )
+    return counted.select(F.inline(rows))

@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.expressions import packed, stamp_number
 from tidemark.operators import quality, series
 from tidemark.operators.store import Warehouse, orphan_facts
 from tidemark.plans import views
@@ -43,10 +44,31 @@ def ingest(
         history_payloads = series.only_tracked(history_payloads, tracked)
     points = landing.history_points(history_payloads)
     # Reduced to days first: what meets the marks then has few rows per coin.
-    days = series.daily_last(points, ["timestamp", "ingest_ts"], [*MEASURES, "ingest_ts"])
+    days = history_days(points.withColumn("landed", stamp_number(F.col("ingest_ts"))), ["landed"])
+    landed = F.col("landed").cast("string")
+    stamp = F.concat(F.substring(landed, 1, 8), F.lit("_"), F.substring(landed, 9, 6))
     return Ingested(
         current.withColumnRenamed("ingest_ts", "landed"),
-        series.newer_than_marks(days, marks).withColumnRenamed("ingest_ts", "landed"),
+        series.newer_than_marks(days, marks).withColumn("landed", stamp),
+    )
+
+
+def history_days(points: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The last values of each day by timestamp, then by landing stamp."""
+    order = packed(F.col("timestamp"), stamp_number(F.col("ingest_ts")))
+    return series.daily_last(points, [order], [*MEASURES, *keep])
+
+
+def unreadable_rows(payloads: DataFrame, source: int) -> DataFrame:
+    """Payloads that cannot be read as failed rows of the batch, with their text."""
+    return landing.unreadable(payloads).select(
+        "coin_id",
+        *[F.lit(None).cast(kind).alias(c) for c, kind in (("date", "date"), *((m, "double") for m in MEASURES))],
+        F.col("ingest_ts").alias("landed"),
+        F.lit("failed").alias("status"),
+        F.lit(landing.UNREADABLE).alias("reason"),
+        "rejected",
+        F.lit(source).alias("source"),
     )
 
 
@@ -79,13 +101,31 @@ def _per_source(flagged: DataFrame, operator) -> DataFrame:
     )
 
 
+def _window(
+    warehouse: Warehouse, run_id: str, since: str | None, until: str | None
+) -> tuple[str | None, str | None, str | None]:
+    """Landing window of a run: (since, after, until), as kept if the run was started before."""
+    kept = warehouse.windows().where(F.col("run_id") == run_id).first()
+    if kept is not None:
+        if since != kept.since or (until is not None and until != kept.until):
+            raise ValueError(f"run {run_id!r} was started with another window")
+        return kept.since, kept.after, kept.until
+    after = None if since else warehouse.windows().agg(F.max("until")).first()[0]
+    return since, after, until
+
+
+def refuse_orphans(warehouse: Warehouse, rows: DataFrame) -> None:
+    """Raise if a coin of ``rows`` has no dimension row."""
+    orphan = orphan_facts(rows.select("coin_id").distinct(), warehouse.dim_coin()).first()
+    if orphan is not None:
+        raise ValueError(f"no dimension row for coin {orphan.coin_id!r}")
+
+
 def load(warehouse: Warehouse, flagged: DataFrame, run_id: str) -> None:
     """Upsert valid rows and store quarantined ones; repeating it changes nothing."""
     valid = flagged.where(F.col("status") == "valid")
     warehouse.upsert_dim(valid.where(F.col("source") == _SNAPSHOT), _ORDER)
-    orphan = orphan_facts(valid.select("coin_id").distinct(), warehouse.dim_coin()).first()
-    if orphan is not None:
-        raise ValueError(f"no dimension row for coin {orphan.coin_id!r}")
+    refuse_orphans(warehouse, valid)
     warehouse.upsert_fact(valid.select(*FACT_KEY, *MEASURES, *_ORDER), _ORDER)
     warehouse.append_quarantine(flagged.where(F.col("status") != "valid"), run_id)
 
@@ -106,14 +146,17 @@ def run(
 ) -> DataFrame:
     """Load what was landed in ``[since, until]`` and return the one-row report.
 
-    Repeating the last run with its ``run_id`` leaves every table as it was:
-    the marks it started from are kept.
+    Without ``since`` a run takes what landed after all earlier runs. Repeating
+    the last run with its ``run_id`` leaves every table as it was: the window
+    and the marks it started from are kept. Payloads that cannot be read are
+    quarantined with their file and text.
     """
     if layout not in ("files", "table"):
         raise ValueError("layout must be 'files' or 'table'")
     warehouse = Warehouse(spark, warehouse_root)
     marks = series.restate(series.high_water_marks(warehouse.fact_price()), restate_days)
-    marks = warehouse.marks(run_id, marks)
+    marks = warehouse.marks(run_id, marks, restate_days)
+    since, after, until = _window(warehouse, run_id, since, until)
 
     if layout == "files":
         snapshots = landing.read_snapshot_files(spark, landed)
@@ -121,15 +164,19 @@ def run(
     else:
         snapshots = landing.read_snapshot_table(spark, landed)
         histories = landing.read_history_table(spark, landed)
-    snapshots = landing.between(snapshots, since, until)
-    histories = landing.between(histories, since, until)
+    snapshots = landing.between(snapshots, since, until, after)
+    histories = landing.between(histories, since, until, after)
 
     # Feeds every sink and counter below, so it is evaluated once and kept
     # where the loss of an executor cannot take it.
     counted = Observation("batch")
     flagged = flag_batch(ingest(snapshots, histories, marks, as_of, tracked), reason_mode)
+    for source, payloads in ((_SNAPSHOT, snapshots), (_HISTORY, histories)):
+        flagged = flagged.unionByName(unreadable_rows(payloads, source), allowMissingColumns=True)
     flagged = materialise(flagged.observe(counted, *_counters()), "batch")
     logger.info("run %s: %s", run_id, counted.get)
+    newest = flagged.agg(F.max("landed")).first()[0]
+    warehouse.keep_window(run_id, since, after, until or newest or after)
     load(warehouse, flagged, run_id)
 
     warehouse.append_gaps(_per_source(flagged, series.calendar_gaps), run_id)
@@ -145,6 +192,7 @@ def run(
 
 def write_report(warehouse: Warehouse, report: DataFrame, run_id: str) -> None:
     """Store the counters as JSON and as the four-line text; both hold one row."""
+    # The heading and the four labels.
     folder = f"{warehouse.path('dq_report')}/run_id={run_id}"
     report.coalesce(1).write.mode("overwrite").json(f"{folder}/json")
     lines = F.concat_ws(

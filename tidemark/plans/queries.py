@@ -246,7 +246,7 @@ def history_flatten(spark, sf_dir):
     path = _scratch(spark, "landing")
     landing.land(tables.history_payloads(spark, sf_dir), path, landing.HISTORY_DATASET, _STAMP)
     points = landing.history_points(landing.read_history_table(spark, path))
-    return rounded(series.daily_last(points, ["timestamp", "ingest_ts"]), "market_cap")
+    return rounded(pipeline.history_days(points), "market_cap")
 
 
 def _land_both(spark, sf_dir, snapshot):

@@ -11,7 +11,7 @@ MARTS = {
     "moving_averages": marts.moving_averages,
     "rolling_volatility": marts.rolling_volatility,
     "max_drawdown": marts.max_drawdown,
-    "volatility_ranking": lambda fact: marts.volatility_ranking(fact, stored=False),
+    "volatility_ranking": marts.volatility_ranking,
     "return_30d": marts.return_30d,
 }
 
@@ -26,7 +26,10 @@ REQUIRED = (
 
 
 def register(fact: DataFrame, dim: DataFrame, quarantine: DataFrame) -> None:
-    """Make tables and marts available to ``spark.sql`` by name; nothing runs yet."""
+    """Make tables and marts available to ``spark.sql`` by name.
+
+    Only the ranking runs now, once; the other marts run when they are read.
+    """
     tables = {"fact_price": fact, "dim_coin": dim, "quarantine": quarantine}
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
@@ -38,4 +41,4 @@ def check(spark: SparkSession) -> None:
     """Raise if a required mart view is missing."""
     missing = sorted(name for name in REQUIRED if not spark.catalog.tableExists(name))
     if missing:
-        raise RuntimeError(f"Missing mart views: {', '.join(missing)}")
+        raise RuntimeError(f"mart views not registered: {', '.join(missing)}")

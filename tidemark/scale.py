@@ -81,7 +81,7 @@ def _slice_count(rows: DataFrame) -> int:
     return max(least, -(-stored // SLICE_BYTES))
 
 
-def sliced(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+def sliced(rows: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """``rows`` in even slices of the whole order, written once, with ``_slice`` and ``_tie``.
 
     ``_tie`` is a number of its own for every row, so that copies of one row

@@ -61,6 +61,9 @@ DIM = T.StructType(
     ]
 )
 
+# The longest texts that the stored tables take.
+DIM_LENGTHS = {"coin_id": 50, "symbol": 50, "name": 100}
+
 FACT = T.StructType(
     [
         T.StructField("coin_id", _STRING, nullable=False),

@@ -23,6 +23,10 @@ HISTORY_DATASET = "history"
 SNAPSHOT_GLOB = "snapshot_markets_*.json"
 HISTORY_GLOB = "history_*.json"
 
+# Text of a payload that is no readable JSON.
+CORRUPT = "_corrupt_record"
+UNREADABLE = "Unreadable payload"
+
 # One stored payload row: the declared payload plus where it came from.
 STORED_SNAPSHOT = T.StructType(
     [*SNAPSHOT.fields, T.StructField("dataset", T.StringType()), T.StructField("ingest_ts", T.StringType())]
@@ -39,7 +43,12 @@ STORED_HISTORY = T.StructType(
 
 def _from_file_name(raw: DataFrame, *extra: Column) -> DataFrame:
     """Payload columns plus what the landed file name says; works on streams too."""
-    return raw.select("*", file_stamp(F.col("_metadata.file_name")).alias("ingest_ts"), *extra)
+    name = F.col("_metadata.file_name")
+    return raw.select("*", name.alias("file"), file_stamp(name).alias("ingest_ts"), *extra)
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def snapshot_objects(raw: DataFrame) -> DataFrame:
@@ -57,24 +66,58 @@ def history_payloads(raw: DataFrame) -> DataFrame:
 
 
 def read_snapshot_files(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(SNAPSHOT).option("multiLine", True).option("pathGlobFilter", SNAPSHOT_GLOB)
+    raw = spark.read.schema(_with_corrupt(SNAPSHOT)).option("multiLine", True)
+    raw = raw.option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", SNAPSHOT_GLOB)
     return snapshot_objects(raw.json(path))
 
 
 def read_history_files(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(HISTORY).option("multiLine", True).option("pathGlobFilter", HISTORY_GLOB)
+    raw = spark.read.schema(_with_corrupt(HISTORY)).option("multiLine", True)
+    raw = raw.option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", HISTORY_GLOB)
     return history_payloads(raw.json(path))
 
 
+def _read_table(spark: SparkSession, path: str, schema: T.StructType, dataset: str) -> DataFrame:
+    reader = spark.read.schema(_with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT)
+    stored = reader.json(path).where(F.col("dataset") == dataset).drop("dataset")
+    return stored.withColumn("file", F.col("_metadata.file_name"))
+
+
 def read_snapshot_table(spark: SparkSession, path: str) -> DataFrame:
     """Snapshot objects of the table layout; filters on ``ingest_ts`` prune folders."""
-    stored = spark.read.schema(STORED_SNAPSHOT).json(path)
-    return stored.where(F.col("dataset") == SNAPSHOT_DATASET).drop("dataset")
+    return _read_table(spark, path, STORED_SNAPSHOT, SNAPSHOT_DATASET)
 
 
 def read_history_table(spark: SparkSession, path: str) -> DataFrame:
-    stored = spark.read.schema(STORED_HISTORY).json(path)
-    return stored.where(F.col("dataset") == HISTORY_DATASET).drop("dataset")
+    return _read_table(spark, path, STORED_HISTORY, HISTORY_DATASET)
+
+
+def _unreadable(payloads: DataFrame) -> Column:
+    """Whether a payload is no JSON, or a history without its prices."""
+    broken = F.lit(False)
+    if CORRUPT in payloads.columns:
+        broken = F.col(CORRUPT).isNotNull()
+    if CORRUPT in payloads.columns and "id" in payloads.columns:
+        # Always true; Spark refuses to read nothing but the text of broken records.
+        broken = broken & (F.col("id").isNull() | (F.length("id") >= 0))
+    if "prices" in payloads.columns:
+        broken = broken | F.col("prices").isNull()
+    return broken
+
+
+def readable(payloads: DataFrame) -> DataFrame:
+    return payloads.where(~_unreadable(payloads))
+
+
+def unreadable(payloads: DataFrame) -> DataFrame:
+    """(coin_id, ingest_ts, rejected) of payloads that cannot be read: the file's name and the text."""
+    coin = F.col("coin_id") if "coin_id" in payloads.columns else F.lit(None).cast("string")
+    text = F.col(CORRUPT) if CORRUPT in payloads.columns else F.lit(None).cast("string")
+    file = F.col("file") if "file" in payloads.columns else F.lit("")
+    rejected = F.concat(file, F.lit(": "), F.coalesce(text, F.lit("no prices")))
+    return payloads.where(_unreadable(payloads)).select(
+        coin.alias("coin_id"), "ingest_ts", rejected.alias("rejected")
+    )
 
 
 def land(payloads: DataFrame, path: str, dataset: str, ingest_ts: str) -> None:
@@ -84,7 +127,7 @@ def land(payloads: DataFrame, path: str, dataset: str, ingest_ts: str) -> None:
     one copy. ``ignoreNullFields`` is off to keep the payload's explicit nulls.
     """
     (
-        payloads.drop("dataset", "ingest_ts")
+        payloads.drop("dataset", "ingest_ts", "file", CORRUPT)
         .withColumn("dataset", F.lit(dataset))
         .withColumn("ingest_ts", F.lit(ingest_ts))
         .write.mode("overwrite")
@@ -95,10 +138,14 @@ def land(payloads: DataFrame, path: str, dataset: str, ingest_ts: str) -> None:
     )
 
 
-def between(payloads: DataFrame, since: str | None, until: str | None) -> DataFrame:
-    """Payloads landed in ``[since, until]``, both ``yyyymmdd_hhmmss``."""
+def between(
+    payloads: DataFrame, since: str | None, until: str | None, after: str | None = None
+) -> DataFrame:
+    """Payloads landed in ``[since, until]`` and later than ``after``, all ``yyyymmdd_hhmmss``."""
     if since is not None:
         payloads = payloads.where(F.col("ingest_ts") >= since)
+    if after is not None:
+        payloads = payloads.where(F.col("ingest_ts") > after)
     if until is not None:
         payloads = payloads.where(F.col("ingest_ts") <= until)
     return payloads
@@ -118,7 +165,7 @@ def snapshot_rows(objects: DataFrame, as_of: dt.date | str = "landed") -> DataFr
         day = F.split_part(F.col("last_updated"), F.lit("T"), F.lit(1)).try_cast("date")
     else:
         raise ValueError(f"as_of must be a date, 'landed' or 'utc', not {as_of!r}")
-    return objects.select(
+    return readable(objects).select(
         F.col("id").alias("coin_id"),
         "symbol",
         "name",
@@ -154,6 +201,6 @@ def history_points(payloads: DataFrame) -> DataFrame:
         tagged("market_caps", "market_cap"),
         tagged("total_volumes", "volume"),
     )
-    long = payloads.select("coin_id", "ingest_ts", F.inline(points))
+    long = readable(payloads).select("coin_id", "ingest_ts", F.inline(points))
     aligned = align_long(long, ["coin_id", "ingest_ts", "timestamp"], order="position")
     return aligned.withColumn("date", utc_day(F.col("timestamp")))

@@ -9,41 +9,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import quality, series
 from tidemark.operators.store import Warehouse
+from tidemark.plans import pipeline
 from tidemark.scale import materialise
 from tidemark.schemas import FACT_KEY, HISTORY, MEASURES
 from tidemark.sources import landing
 
 
 def load_history_batch(warehouse: Warehouse, payloads: DataFrame, run_id: str, restate_days: int) -> None:
-    """Reduce, filter, validate and upsert one set of history payloads."""
+    """Reduce, filter, validate and upsert one set of history payloads, as a run does."""
     marks = series.restate(series.high_water_marks(warehouse.fact_price()), restate_days)
-    marks = warehouse.marks(run_id, marks)
-    days = series.daily_last(landing.history_points(payloads), ["timestamp", "ingest_ts"])
-    days = series.newer_than_marks(days, marks)
-    flagged = materialise(quality.flag(days, "historical", bounded=True), "batch")
+    marks = warehouse.marks(run_id, marks, restate_days)
+    days = series.newer_than_marks(pipeline.history_days(landing.history_points(payloads)), marks)
+    flagged = quality.flag(days, "historical", bounded=True)
+    broken = pipeline.unreadable_rows(payloads, 1).drop("landed", "source")
+    flagged = materialise(flagged.unionByName(broken), "batch")
     valid = flagged.where(F.col("status") == "valid").select(*FACT_KEY, *MEASURES)
+    pipeline.refuse_orphans(warehouse, valid)
     warehouse.load_history(valid, [])
     warehouse.append_quarantine(flagged.where(F.col("status") != "valid"), run_id)
+    warehouse.append_gaps(series.calendar_gaps(quality.Split(flagged).survivors), run_id)
 
 
 def stream_history(
     spark: SparkSession, landed: str, warehouse_root: str, checkpoint: str, restate_days: int = 0
 ) -> StreamingQuery:
-    """Load every history file not seen before, then stop."""
+    """Load every history file not seen before, then stop.
+
+    Runs are named after the stream, by its checkpoint's id, and the epoch, so
+    that streams on one warehouse keep apart.
+    """
     warehouse = Warehouse(spark, warehouse_root)
     files = (
-        spark.readStream.schema(HISTORY)
+        spark.readStream.schema(T.StructType([*HISTORY.fields, T.StructField(landing.CORRUPT, T.StringType())]))
         .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", landing.CORRUPT)
         .option("pathGlobFilter", landing.HISTORY_GLOB)
         .json(landed)
     )
 
     def load(payloads: DataFrame, epoch: int) -> None:
-        load_history_batch(warehouse, payloads, f"stream-{epoch}", restate_days)
+        stream = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first().id
+        load_history_batch(warehouse, payloads, f"stream-{stream}-{epoch}", restate_days)
 
     return (
         landing.history_payloads(files)
