@@ -113,10 +113,8 @@ def _checks(source: str, failed: str) -> str:
 _CHECK_LIST = """
   CASE WHEN price IS NULL THEN 'price:not_nullable' END,
   CASE WHEN price <= 0 THEN 'price:greater_than(0)' END,
-  {symbol}
   CASE WHEN volume < 0 THEN 'volume:greater_than_or_equal_to(0)' END,
-  CASE WHEN market_cap < 0 THEN 'market_cap:greater_than_or_equal_to(0)' END
-  {name}"""
+  CASE WHEN market_cap < 0 THEN 'market_cap:greater_than_or_equal_to(0)' END"""
 
 ORACLE: dict[str, str] = {
     "daily_last": f"""WITH {_BAD}
@@ -127,12 +125,14 @@ ORACLE: dict[str, str] = {
       FROM bad GROUP BY coin_id, date""",
     "series_align": f"""WITH {_EVENTS}, hourly AS (
         SELECT coin_id, CAST(date - DATE '1970-01-01' AS BIGINT) * 24 + hour(ts) AS timestamp,
-               event_type, last(price ORDER BY ts) AS value
+               CASE WHEN event_type IN ('view', 'error') THEN 'p'
+                    WHEN event_type IN ('purchase', 'signup') THEN 'm' ELSE 'v' END AS kind,
+               last(price ORDER BY ts) AS value
         FROM ticks GROUP BY ALL)
       SELECT coin_id, timestamp, p.value AS price, m.value AS market_cap, v.value AS volume
-      FROM (SELECT * FROM hourly WHERE event_type = 'view') p
-      LEFT JOIN (SELECT * FROM hourly WHERE event_type = 'purchase') m USING (coin_id, timestamp)
-      LEFT JOIN (SELECT * FROM hourly WHERE event_type = 'click') v USING (coin_id, timestamp)""",
+      FROM (SELECT * FROM hourly WHERE kind = 'p') p
+      LEFT JOIN (SELECT * FROM hourly WHERE kind = 'm') m USING (coin_id, timestamp)
+      LEFT JOIN (SELECT * FROM hourly WHERE kind = 'v') v USING (coin_id, timestamp)""",
     "duplicates": f"""WITH {_TICKS}
       SELECT {_FIVE}, {_TICK_ORDER} FROM (
         SELECT *, count(*) OVER (PARTITION BY coin_id, date) AS n FROM ticks) WHERE n > 1""",
@@ -204,15 +204,29 @@ ORACLE: dict[str, str] = {
       SELECT coin_id, min(date) AS min_date, max(date) AS max_date, count(*) AS row_count
       FROM daily GROUP BY coin_id ORDER BY coin_id""",
     "coin_history": f"WITH {_DAILY} SELECT {_FIVE} FROM daily WHERE coin_id = '7' ORDER BY date DESC",
-    "schema_check_current": f"WITH {_BAD}, {_DIM}, rows_in AS (SELECT * FROM bad LEFT JOIN dim USING (coin_id))"
+    "schema_check_current": f"""WITH {_BAD}, {_DIM}, joined AS (SELECT * FROM bad LEFT JOIN dim USING (coin_id)),
+      rows_in AS (
+        SELECT CASE WHEN l_orderkey % 67 <> 0 THEN coin_id END AS coin_id,
+               l_orderkey % 71 = 0 AND price IS NOT NULL AS unread, price,
+               CASE WHEN l_orderkey % 89 <> 0 THEN symbol END AS symbol,
+               CASE WHEN l_orderkey % 73 <> 0 THEN date END AS date,
+               CASE WHEN l_orderkey % 79 = 0 THEN -volume ELSE volume END AS volume, market_cap,
+               CASE WHEN l_orderkey % 83 <> 0 THEN name END AS name
+        FROM joined)"""
     + _checks(
         "rows_in",
-        _CHECK_LIST.format(
-            symbol="CASE WHEN symbol IS NULL THEN 'symbol:not_nullable' END,",
-            name=", CASE WHEN name IS NULL THEN 'name:not_nullable' END",
-        ),
+        """
+  CASE WHEN coin_id IS NULL THEN 'coin_id:not_nullable' END,
+  CASE WHEN unread THEN 'price:coerce_dtype(''double'')' END,
+  CASE WHEN price IS NULL THEN 'price:not_nullable' END,
+  CASE WHEN price <= 0 AND NOT unread THEN 'price:greater_than(0)' END,
+  CASE WHEN symbol IS NULL THEN 'symbol:not_nullable' END,
+  CASE WHEN date IS NULL THEN 'date:not_nullable' END,
+  CASE WHEN volume < 0 THEN 'volume:greater_than_or_equal_to(0)' END,
+  CASE WHEN market_cap < 0 THEN 'market_cap:greater_than_or_equal_to(0)' END,
+  CASE WHEN name IS NULL THEN 'name:not_nullable' END""",
     ),
-    "schema_check_history": f"WITH {_BAD}" + _checks("bad", _CHECK_LIST.format(symbol="", name="")),
+    "schema_check_history": f"WITH {_BAD}" + _checks("bad", _CHECK_LIST),
     "failure_cases": f"""WITH {_BAD}
       SELECT coin_id, CAST(date AS VARCHAR) AS date, {_TICK_ORDER}, c."column", c."check",
              round(c.value, 6) AS value
@@ -257,6 +271,10 @@ ORACLE: dict[str, str] = {
     "constraint_audit": f"""WITH {_EVENTS}, {_DIM}
       SELECT 'dim_coin_key_not_null' AS constraint_name, count(*) AS violations FROM dim WHERE coin_id IS NULL
       UNION ALL SELECT 'dim_coin_key_unique', count(*) - count(DISTINCT coin_id) FROM dim
+      UNION ALL SELECT 'dim_coin_key_length', count(*) FROM dim WHERE length(coin_id) > 50
+      UNION ALL SELECT 'dim_coin_symbol_length', count(*) FROM dim WHERE length(symbol) > 50
+      UNION ALL SELECT 'dim_coin_name_length', count(*) FROM dim WHERE length(name) > 100
+      UNION ALL SELECT 'fact_price_coin_length', count(*) FROM ticks WHERE length(coin_id) > 50
       UNION ALL SELECT 'fact_price_coin_not_null', count(*) FROM ticks WHERE coin_id IS NULL
       UNION ALL SELECT 'fact_price_date_not_null', count(*) FROM ticks WHERE date IS NULL
       UNION ALL SELECT 'fact_price_key_unique', count(*) FROM (
@@ -278,13 +296,44 @@ ORACLE: dict[str, str] = {
       FROM points GROUP BY coin_id, date""",
     "raw_landing": """
       SELECT 'snapshot_markets' AS dataset, '20240201_100000' AS ingest_ts, count(*) AS row_count,
-             round(sum(l_extendedprice), 2) AS price_sum FROM lineitem
-      UNION ALL SELECT 'history', '20240201_100000', count(*), NULL FROM events""",
-    "mart_check": f"""WITH {_TICKS}, keys AS (SELECT DISTINCT coin_id, date FROM ticks)
-      SELECT v AS view_name, (SELECT count(*) FROM keys) AS row_count
-      FROM (SELECT unnest(['daily_return', 'moving_averages', 'rolling_volatility',
-                           'max_drawdown', 'return_30d']) AS v)
-      UNION ALL SELECT 'volatility_ranking', count(DISTINCT coin_id) FROM keys""",
+             round(sum(l_extendedprice), 2) AS value_sum FROM lineitem
+      UNION ALL SELECT 'history', '20240201_100000', count(*), round(sum(value + k +
+        CASE WHEN event_type = 'purchase' THEN value * k ELSE 0 END), 2)
+      FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)""",
+    "unreadable_payloads": """WITH texts AS (
+        SELECT CASE WHEN event_id % 13 = 0 THEN '{"coin_id":"' || user_id || '","prices":[[1700000000000.0,'
+                    WHEN event_id % 17 = 0 THEN 'no prices' END AS rejected FROM events)
+      SELECT rejected, CASE WHEN rejected IS NOT NULL THEN 'Unreadable payload' END AS reason,
+             CASE WHEN rejected IS NULL THEN 'read' ELSE 'failed' END AS status, count(*) AS row_count
+      FROM texts GROUP BY ALL""",
+    "mart_check": f"""WITH {_VOLATILITY}, peaks AS (
+        SELECT price, max(price) OVER ({_BY_DAY} ROWS UNBOUNDED PRECEDING) AS peak FROM daily), averages AS (
+        SELECT avg(price) OVER ({_BY_DAY} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+               + avg(price) OVER ({_BY_DAY} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS avgs FROM daily), monthly AS (
+        SELECT price / nullif(lag(price, 30) OVER ({_BY_DAY}), 0) - 1 AS change FROM daily), ranked AS (
+        SELECT rank() OVER (ORDER BY volatility_30d DESC NULLS FIRST) AS place FROM (
+          SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY date DESC) AS rn FROM volatility) WHERE rn = 1)
+      SELECT 'daily_return' AS view_name, count(*) AS row_count, count(daily_return) AS filled,
+             round(sum(daily_return), 4) AS total FROM volatility
+      UNION ALL SELECT 'moving_averages', count(*), count(avgs), round(sum(avgs), 2) FROM averages
+      UNION ALL SELECT 'rolling_volatility', count(*), count(volatility_30d), round(sum(volatility_30d), 3) FROM volatility
+      UNION ALL SELECT 'max_drawdown', count(*), count(peak + (price - peak) / nullif(peak, 0)),
+             round(sum(peak + (price - peak) / nullif(peak, 0)), 2) FROM peaks
+      UNION ALL SELECT 'volatility_ranking', count(*), count(place), round(sum(CAST(place AS DOUBLE)), 0) FROM ranked
+      UNION ALL SELECT 'return_30d', count(*), count(change), round(sum(change), 4) FROM monthly""",
+    "load_history": f"WITH {_MERGED} SELECT {_FIVE} FROM ranked WHERE rn = 1",
+    "pipeline_second_run": f"""WITH points AS (
+        SELECT CAST(user_id AS VARCHAR) AS coin_id, CAST(ts AS DATE) AS date, ts, value, event_type,
+               CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events), days AS (
+        SELECT coin_id, date, last(value ORDER BY ts) AS price,
+               last(value * k ORDER BY ts) FILTER (WHERE event_type = 'purchase') AS market_cap,
+               last(k ORDER BY ts) AS volume
+        FROM points GROUP BY coin_id, date), good AS (
+        SELECT *, lag(price) OVER (PARTITION BY coin_id, date < DATE '2024-01-16' ORDER BY date) AS prev
+        FROM days WHERE price > 0 AND (market_cap IS NULL OR market_cap >= 0) AND (volume IS NULL OR volume >= 0))
+      SELECT {_FIVE} FROM good WHERE prev IS NULL OR NOT abs(price / prev - 1) > 0.5
+      UNION ALL SELECT CAST(c_custkey AS VARCHAR), DATE '2023-12-31', c_acctbal + 1000, NULL, NULL
+      FROM customer WHERE c_acctbal + 1000 > 0""",
     "pipeline_run": f"""WITH {_PIPELINE}
       SELECT snap.n + (SELECT count(*) FROM judged) AS rows_received,
              snap.ok + (SELECT count(*) FROM moved

@@ -24,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = dt.date(2024, 2, 1)
 _STAMP = "20240201_100000"
 _FIVE = [*FACT_KEY, *MEASURES]
+# The start of 16 January 2024: about half of the events are earlier.
+_HALF_MS = 1_705_363_200_000
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -53,10 +55,12 @@ def series_align(spark, sf_dir):
         "event_type",
     ).withColumn("timestamp", F.unix_date("date").cast("long") * 24 + F.col("hour"))
 
-    def of(event_type: str) -> DataFrame:
-        return hourly.where(F.col("event_type") == event_type)
+    def of(*event_types: str) -> DataFrame:
+        return hourly.where(F.col("event_type").isin(*event_types))
 
-    return series.align(of("view"), of("purchase"), of("click"), ["coin_id", "timestamp"], "at")
+    rest = ~F.col("event_type").isin("view", "error", "purchase", "signup")
+    keys = ["coin_id", "timestamp"]
+    return series.align(of("view", "error"), of("purchase", "signup"), hourly.where(rest), keys, "at")
 
 
 def duplicates(spark, sf_dir):
@@ -115,9 +119,24 @@ def anomalies_with_history(spark, sf_dir):
 
 
 def _current_ticks(spark, sf_dir):
+    """Ticks with their dimension, and some of every column missing, negative or unreadable."""
+
+    def every(n: int):
+        return F.col("l_orderkey") % n == 0
+
     ticks = tables.corrupted_ticks(spark, sf_dir)
     dims = tables.supplier_dim(spark, sf_dir)
-    return ticks.join(dims, "coin_id", "left")
+    price = F.when(every(71) & F.col("price").isNotNull(), "n/a").otherwise(F.col("price").cast("string"))
+    return ticks.join(dims, "coin_id", "left").withColumns(
+        {
+            "price": price,
+            "symbol": F.when(~every(89), F.col("symbol")),
+            "name": F.when(~every(83), F.col("name")),
+            "volume": F.when(every(79), -F.col("volume")).otherwise(F.col("volume")),
+            "date": F.when(~every(73), F.col("date")),
+            "coin_id": F.when(~every(67), F.col("coin_id")),
+        }
+    )
 
 
 def schema_check_current(spark, sf_dir):
@@ -257,22 +276,66 @@ def _land_both(spark, sf_dir, snapshot):
 
 
 def raw_landing(spark, sf_dir):
+    """Both stored datasets: rows, and the sum of what their payloads hold."""
     path = _land_both(spark, sf_dir, tables.snapshot_payloads(spark, sf_dir))
-    stored = spark.read.schema(landing.STORED_SNAPSHOT).json(path)
-    return stored.groupBy("dataset", "ingest_ts").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.round(F.sum("current_price"), 2).alias("price_sum"),
+    first = F.lit(0)
+    history = F.get(F.get("prices", first), F.lit(1)) + F.get(F.get("total_volumes", first), F.lit(1))
+    history = history + F.coalesce(F.get(F.get("market_caps", first), F.lit(1)), F.lit(0.0))
+    contents = {
+        landing.SNAPSHOT_DATASET: (landing.read_snapshot_table(spark, path), F.col("current_price")),
+        landing.HISTORY_DATASET: (landing.read_history_table(spark, path), history),
+    }
+    counted = [
+        rows.groupBy(F.lit(name).alias("dataset"), "ingest_ts").agg(
+            F.count(F.lit(1)).alias("row_count"), F.round(F.sum(value), 2).alias("value_sum")
+        )
+        for name, (rows, value) in contents.items()
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+def unreadable_payloads(spark, sf_dir):
+    """What becomes of every event as a payload, when some are cut short and some hold no prices."""
+    path = _scratch(spark, "landing")
+    key = F.col("event_id")
+    head = F.concat(F.lit('{"coin_id":"'), F.col("user_id").cast("string"), F.lit('",'))
+    whole = F.concat(head, F.lit('"prices":[[1700000000000.0,1.5]],"market_caps":[],"total_volumes":[]}'))
+    cut = F.concat(head, F.lit('"prices":[[1700000000000.0,'))
+    text = F.when(key % 13 == 0, cut).when(key % 17 == 0, F.concat(head, F.lit('"error":"busy"}'))).otherwise(whole)
+    lines = tables.table(spark, sf_dir, "events").select(text.alias("value"))
+    lines.write.text(f"{path}/dataset={landing.HISTORY_DATASET}/ingest_ts={_STAMP}")
+    payloads = landing.read_history_table(spark, path)
+    rejected = F.regexp_replace("rejected", "^[^:]*: ", "")
+    lost = pipeline.unreadable_rows(payloads, 1).select(rejected.alias("rejected"), "reason", "status")
+    kept = landing.readable(payloads).select(
+        F.lit(None).cast("string").alias("rejected"), F.lit(None).cast("string").alias("reason"), F.lit("read").alias("status")
     )
+    return lost.unionByName(kept).groupBy("rejected", "reason", "status").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# The computed columns of each mart view, and the digits to which their sums agree.
+_MART_SUMS = {
+    "daily_return": ("daily_return", 4),
+    "moving_averages": ("moving_avg_7d + moving_avg_30d", 2),
+    "rolling_volatility": ("volatility_30d", 3),
+    "max_drawdown": ("running_peak + drawdown", 2),
+    "volatility_ranking": ("volatility_rank", 0),
+    "return_30d": ("return_30d", 4),
+}
 
 
 def mart_check(spark, sf_dir):
-    """Rows behind each registered mart view, read by name."""
+    """Rows and sums of the computed columns of each registered mart view, read by name."""
     fact = tables.supplier_daily(spark, sf_dir)
     flagged = quality.flag(fact, "historical", bounded=True)
     views.register(fact, tables.supplier_dim(spark, sf_dir), quality.Split(flagged).quarantined)
     views.check(spark)
-    counts = [f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}" for v in views.MARTS]
-    return spark.sql(" UNION ALL ".join(counts))
+    sums = [
+        f"SELECT '{view}' AS view_name, count(*) AS row_count, count({value}) AS filled, "
+        f"round(sum(CAST({value} AS DOUBLE)), {digits}) AS total FROM {view}"
+        for view, (value, digits) in _MART_SUMS.items()
+    ]
+    return spark.sql(" UNION ALL ".join(sums))
 
 
 def pipeline_run(spark, sf_dir):
@@ -283,6 +346,40 @@ def pipeline_run(spark, sf_dir):
     )
 
 
+def coin_history(spark, sf_dir):
+    """One supplier's days; the number is compared as a number, so the filter reaches the scan."""
+    fact = tables.supplier_daily(spark, sf_dir, only=7)
+    return rounded(marts.coin_history(fact, "7"), "market_cap")
+
+
+def load_history(spark, sf_dir):
+    """The stored fact after a history load over shipped lines."""
+    warehouse = store.Warehouse(spark, _scratch(spark, "warehouse"))
+    stored, opened = _halves(spark, sf_dir)
+    warehouse.upsert_fact(stored, [])
+    warehouse.load_history(opened, TICK_ORDER)
+    return rounded(warehouse.fact_price(), "market_cap")
+
+
+_SECOND_STAMP = "20240202_100000"
+
+
+def pipeline_second_run(spark, sf_dir):
+    """Stored facts after a run over the first half of the events, one over the rest, and its rerun."""
+    path, root = _scratch(spark, "landing"), _scratch(spark, "warehouse")
+    snapshot = tables.customer_payloads(spark, sf_dir)
+    snapshot = snapshot.withColumn("last_updated", F.lit("2023-12-31T00:00:00.000Z"))
+    landing.land(snapshot, path, landing.SNAPSHOT_DATASET, _STAMP)
+    early = F.get(F.get("prices", F.lit(0)), F.lit(0)) < _HALF_MS
+    history = tables.history_payloads(spark, sf_dir)
+    landing.land(history.where(early), path, landing.HISTORY_DATASET, _STAMP)
+    pipeline.run(spark, path, root, "first", layout="table", as_of="utc")
+    landing.land(history.where(~early), path, landing.HISTORY_DATASET, _SECOND_STAMP)
+    for _ in range(2):
+        pipeline.run(spark, path, root, "second", layout="table", as_of="utc")
+    return rounded(store.Warehouse(spark, root).fact_price(), "market_cap")
+
+
 QUERIES: dict[str, Query] = {
     "daily_last": daily_last,
     "series_align": series_align,
@@ -309,7 +406,7 @@ QUERIES: dict[str, Query] = {
     "best_return_30d": _mart(marts.best_return_30d, "return_30d"),
     "worst_return_30d": _mart(marts.worst_return_30d, "return_30d"),
     "coverage": _mart(marts.coverage),
-    "coin_history": _mart(lambda fact: marts.coin_history(fact, "7"), "market_cap"),
+    "coin_history": coin_history,
     "schema_check_current": schema_check_current,
     "schema_check_history": schema_check_history,
     "failure_cases": failure_cases,
@@ -328,4 +425,7 @@ QUERIES: dict[str, Query] = {
     "raw_landing": raw_landing,
     "mart_check": mart_check,
     "pipeline_run": pipeline_run,
+    "unreadable_payloads": unreadable_payloads,
+    "load_history": load_history,
+    "pipeline_second_run": pipeline_second_run,
 }

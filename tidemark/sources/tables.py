@@ -16,9 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_ticks(spark: SparkSession, sf_dir: str, only: int | None = None) -> DataFrame:
     """Every line item as a price tick of its supplier, with the tick order columns."""
     lines = table(spark, sf_dir, "lineitem")
+    if only is not None:
+        lines = lines.where(F.col("l_suppkey") == only)
     return lines.select(
         F.col("l_suppkey").cast("string").alias("coin_id"),
         F.col("l_shipdate").cast("date").alias("date"),
@@ -50,9 +52,10 @@ def corrupted_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks.select("coin_id", "date", price, cap, "volume", *TICK_ORDER)
 
 
-def supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily prices per supplier: the fact the marts read."""
-    return daily_last(supplier_ticks(spark, sf_dir), TICK_ORDER)
+def supplier_daily(spark: SparkSession, sf_dir: str, only: int | None = None) -> DataFrame:
+    """Daily prices per supplier, or of ``only`` one: the fact the marts read."""
+    ticks = supplier_ticks(spark, sf_dir, only)
+    return daily_last(ticks, TICK_ORDER)
 
 
 def supplier_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
