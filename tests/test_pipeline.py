@@ -163,6 +163,14 @@ def test_stream_refuses_unknown_coins(spark, tmp_path):
         stream_history(spark, str(tmp_path / "raw"), str(tmp_path / "w"), str(tmp_path / "c")).awaitTermination()
 
 
+def test_a_run_leaves_no_copies_behind(spark, tmp_path, landed):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    pipeline.run(spark, landed, str(tmp_path / "warehouse"), "one")
+    assert set(os.listdir(shared)) == before
+    assert spark.table("volatility_ranking").count() == 2
+
+
 def test_a_run_takes_what_landed_after_the_last(spark, tmp_path, landed):
     root = str(tmp_path / "warehouse")
     first = pipeline.run(spark, landed, root, "first", until="20260826_235959")

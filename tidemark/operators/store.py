@@ -157,6 +157,12 @@ class Warehouse:
         row = self.spark.createDataFrame([(run_id, since, after, until)], RUNS).drop("run_id")
         row.coalesce(1).write.mode("overwrite").json(f"{self.path('runs')}/run_id={run_id}")
 
+    def keep_ranking(self, ranking: DataFrame) -> DataFrame:
+        """Store the ranking of the current fact, a row a coin, and read it back."""
+        path = self.path("volatility_ranking")
+        ranking.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(ranking.schema).parquet(path)
+
     def append_quarantine(self, rows: DataFrame, run_id: str) -> None:
         """Store quarantined rows of one run; a rerun replaces that run's rows."""
         rejected = F.col("rejected") if "rejected" in rows.columns else F.lit(None).cast("string")

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import packed, stamp_number
-from tidemark.operators import quality, series
+from tidemark.operators import marts, quality, series
 from tidemark.operators.store import Warehouse, orphan_facts
 from tidemark.plans import views
-from tidemark.scale import materialise
+from tidemark.scale import materialise, temporary
 from tidemark.schemas import FACT_KEY, MEASURES
 from tidemark.sources import landing
 
@@ -153,9 +153,29 @@ def run(
     """
     if layout not in ("files", "table"):
         raise ValueError("layout must be 'files' or 'table'")
-    warehouse = Warehouse(spark, warehouse_root)
-    marks = series.restate(series.high_water_marks(warehouse.fact_price()), restate_days)
-    marks = warehouse.marks(run_id, marks, restate_days)
+    with temporary(spark):
+        report = _run(
+            Warehouse(spark, warehouse_root), landed, run_id, layout, since, until, as_of, tracked, restate_days, reason_mode
+        )
+        # One row, kept without the copies it was counted from.
+        return spark.createDataFrame(report.collect(), report.schema)
+
+
+def _run(
+    warehouse: Warehouse,
+    landed: str,
+    run_id: str,
+    layout: str,
+    since: str | None,
+    until: str | None,
+    as_of: dt.date | str,
+    tracked: Sequence[str] | None,
+    restate_days: int,
+    reason_mode: str,
+) -> DataFrame:
+    spark = warehouse.spark
+    marked = series.restate(series.high_water_marks(warehouse.fact_price()), restate_days)
+    marks = warehouse.marks(run_id, marked, restate_days)
     since, after, until = _window(warehouse, run_id, since, until)
 
     if layout == "files":
@@ -180,7 +200,8 @@ def run(
     load(warehouse, flagged, run_id)
 
     warehouse.append_gaps(_per_source(flagged, series.calendar_gaps), run_id)
-    views.register(warehouse.fact_price(), warehouse.dim_coin(), warehouse.quarantine())
+    ranking = warehouse.keep_ranking(marts.volatility_ranking(warehouse.fact_price()))
+    views.register(warehouse.fact_price(), warehouse.dim_coin(), warehouse.quarantine(), ranking)
     views.check(spark)
 
     gaps = warehouse.gaps().where(F.col("run_id") == run_id)

@@ -25,16 +25,18 @@ REQUIRED = (
 )
 
 
-def register(fact: DataFrame, dim: DataFrame, quarantine: DataFrame) -> None:
+def register(fact: DataFrame, dim: DataFrame, quarantine: DataFrame, ranking: DataFrame | None = None) -> None:
     """Make tables and marts available to ``spark.sql`` by name.
 
-    Only the ranking runs now, once; the other marts run when they are read.
+    Marts run when they are read; only the ranking runs now, once, unless a
+    stored one is given.
     """
     tables = {"fact_price": fact, "dim_coin": dim, "quarantine": quarantine}
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
     for name, mart in MARTS.items():
-        mart(fact).createOrReplaceTempView(name)
+        stored = ranking if name == "volatility_ranking" else None
+        (mart(fact) if stored is None else stored).createOrReplaceTempView(name)
 
 
 def check(spark: SparkSession) -> None:

@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,17 +28,26 @@ SLICE_BYTES = 64 << 20
 _UNKNOWN_BYTES = 1 << 62
 
 
+# Folder of a local session that names none, by application.
+_local: dict[str, str] = {}
+# Copies made inside open ``temporary`` blocks.
+_made: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``."""
+    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
+
+    Only a session on one machine may leave it out.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    context.setCheckpointDir(folder)
-    return folder
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local[context.applicationId]
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -47,10 +57,26 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     and has a known size, so Catalyst broadcasts it only when it is small.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    for made in _made:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the copies that ``materialise`` writes inside the block when it ends."""
+    made: list[str] = []
+    _made.append(made)
+    try:
+        yield
+    finally:
+        _made[:] = [other for other in _made if other is not made]
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Join on null-safe equality of the key columns, an equi-join for Spark."""
     names = {name: f"_key_{i}" for i, name in enumerate(on)}

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import quality, series
 from tidemark.operators.store import Warehouse
 from tidemark.plans import pipeline
-from tidemark.scale import materialise
+from tidemark.scale import materialise, temporary
 from tidemark.schemas import FACT_KEY, HISTORY, MEASURES
 from tidemark.sources import landing
 
@@ -54,7 +54,8 @@ def stream_history(
 
     def load(payloads: DataFrame, epoch: int) -> None:
         stream = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first().id
-        load_history_batch(warehouse, payloads, f"stream-{stream}-{epoch}", restate_days)
+        with temporary(spark):
+            load_history_batch(warehouse, payloads, f"stream-{stream}-{epoch}", restate_days)
 
     return (
         landing.history_payloads(files)
