@@ -7,13 +7,15 @@ of ``table[byte] * base**position``, so no row and no word is touched singly.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 # Space and the control characters from tab to carriage return end a word.
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -51,7 +53,7 @@ class Hasher:
     """Hashes of any slices of ``data`` (bytes as uint8) from one running sum."""
 
     def __init__(self, data: np.ndarray):
-        self.power, self.inverse = _powers(max(21, int(len(data)).bit_length()))
+        self.power, self.inverse = _powers(max(20, int(len(data)).bit_length()))
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[data] * self.power[: len(data)], out=self.sums[1:])
 
@@ -60,6 +62,13 @@ class Hasher:
         return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def release() -> None:
+    """Give freed memory back to the system; workers live on between tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, row offsets into the bytes); null is empty.
 
@@ -67,9 +76,14 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if not len(texts):
+        return
+    offsets = np.frombuffer(offsets, dtype=kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    if texts.null_count and np.diff(offsets)[texts.is_null().to_numpy(zero_copy_only=False)].any():
+        yield from chunks(texts.fill_null(""), limit)  # bytes behind a null, which Spark never sends
+        return
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
@@ -77,6 +91,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         last = min(max(last, first + 1), len(texts))
         yield first, last, raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    release()
 
 
 class Words:

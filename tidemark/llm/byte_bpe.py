@@ -17,7 +17,8 @@ from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import Hasher, chunks
@@ -243,7 +244,7 @@ class Tokenizer:
     when its ids pass a bound, so its memory does not grow with the input.
     """
 
-    _SLOT_BITS, _POOL = 20, 6_000_000
+    _SLOT_BITS, _POOL = 19, 2_000_000
 
     def __init__(self, rank_file: bytes):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
@@ -255,20 +256,24 @@ class Tokenizer:
         self.token_length = np.array([len(t) for t in tokens], dtype=np.int64)
         self.token_start = np.concatenate([[0], np.cumsum(self.token_length)])[:-1]
         self.token_bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        self._clear()
+        self.used = None
+
+    def __getstate__(self) -> dict:
+        """The tables alone: every worker fills a cache of its own."""
+        return {k: v for k, v in vars(self).items() if k not in ("keys", "start", "length", "pool")} | {"used": None}
 
     def _clear(self) -> None:
         size = 1 << self._SLOT_BITS
         self.keys = np.zeros(size, dtype=np.uint64)
-        self.start = np.zeros(size, dtype=np.int64)
+        self.start = np.zeros(size, dtype=np.int32)
         self.length = np.zeros(size, dtype=np.int32)
-        self.pool = np.zeros(1 << 16, dtype=np.int32)
+        self.pool = np.zeros(1 << 18, dtype=np.int32)
         self.used = 0
 
     def _add(self, ids: np.ndarray) -> int:
         start = self.used
         if start + len(ids) > len(self.pool):
-            grown = np.zeros(2 * (start + len(ids)), dtype=np.int32)
+            grown = np.zeros(start + len(ids) + (1 << 18), dtype=np.int32)
             grown[:start] = self.pool[:start]
             self.pool = grown
         self.pool[start : start + len(ids)] = ids
@@ -278,11 +283,11 @@ class Tokenizer:
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first id of each row and the end) for the rows of a chunk."""
         data, starts, ends, rows = slices(raw, offsets)
-        if self.used > self._POOL:
+        if self.used is None or self.used > self._POOL:
             self._clear()
         key = Hasher(data)(starts, ends) | np.uint64(1)
         slot = (key >> np.uint64(64 - self._SLOT_BITS)).astype(np.int64)
-        at, length = self.start[slot], self.length[slot].astype(np.int64)
+        at, length = self.start[slot].astype(np.int64), self.length[slot].astype(np.int64)
         missing = np.flatnonzero(self.keys[slot] != key)
         if len(missing):
             new, first, which = np.unique(key[missing], return_index=True, return_inverse=True)
@@ -319,8 +324,14 @@ def _binaries(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     )
 
 
-def _encoded(batches, rank_file, spans: bool, decoded: bool) -> Iterator[pa.RecordBatch]:
-    bpe = tokenizer(rank_file.value)
+def sent(spark: SparkSession, rank_path: str) -> Broadcast[Tokenizer]:
+    """The tokenizer of a rank file for the tasks; its size is that of the vocabulary."""
+    with open(rank_path, "rb") as file:
+        return spark.sparkContext.broadcast(tokenizer(file.read()))
+
+
+def _encoded(batches, tables, spans: bool, decoded: bool) -> Iterator[pa.RecordBatch]:
+    bpe = tables.value
     for batch in batches:
         for first, last, raw, offsets in chunks(batch.column("text")):
             ids, bounds = bpe.encode(raw, offsets)
@@ -349,16 +360,15 @@ def encode(docs: DataFrame, rank_path: str, spans: bool = False, decoded: bool =
     """
     spark = docs.sparkSession
     ship(spark)
-    with open(rank_path, "rb") as file:
-        ranks = spark.sparkContext.broadcast(file.read())  # the vocabulary, of fixed size
+    tables = sent(spark, rank_path)
     schema = "doc_id long, n_tokens long, ids binary"
     schema += ", starts binary" * spans + ", decoded binary" * decoded
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda batches: _encoded(batches, ranks, spans, decoded), schema)
+    return rows.mapInArrow(lambda batches: _encoded(batches, tables, spans, decoded), schema)
 
 
-def _texts(batches, rank_file) -> Iterator[pa.RecordBatch]:
-    bpe = tokenizer(rank_file.value)
+def _texts(batches, tables) -> Iterator[pa.RecordBatch]:
+    bpe = tables.value
     for batch in batches:
         for row in range(batch.num_rows):  # a row at a time: texts may be very long
             one = batch.slice(row, 1)
@@ -371,8 +381,7 @@ def decode(tokens: DataFrame, rank_path: str) -> DataFrame:
     """doc_id and the bytes that its ``ids`` decode to; null ids count as none."""
     spark = tokens.sparkSession
     ship(spark)
-    with open(rank_path, "rb") as file:
-        ranks = spark.sparkContext.broadcast(file.read())
+    tables = sent(spark, rank_path)
     return tokens.select("doc_id", "ids").mapInArrow(
-        lambda batches: _texts(batches, ranks), "doc_id long, decoded binary"
+        lambda batches: _texts(batches, tables), "doc_id long, decoded binary"
     )

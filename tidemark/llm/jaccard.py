@@ -93,7 +93,7 @@ def token_sketch(docs: DataFrame, k: int) -> np.ndarray:
     sketch = np.zeros((_SLICES, (1 << _SKETCH_BITS) // _SLICES), dtype=np.int64)
     for row in whole.collect():  # _SLICES rows of fixed size
         sketch[row["slice"]] = np.frombuffer(row["counts"], dtype=np.int64)
-    return sketch.reshape(-1)
+    return np.minimum(sketch.reshape(-1), 2**31 - 1).astype(np.int32)
 
 
 def prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, how: Similarity) -> tuple[int, np.ndarray]:

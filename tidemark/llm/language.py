@@ -173,8 +173,8 @@ class Predictor:
         row = np.repeat(np.arange(len(sizes)), count)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         total = np.zeros((len(sizes), len(self.model.languages)))
-        for begin in range(0, len(row), 16 * _BLOCK):
-            part = slice(begin, begin + 16 * _BLOCK)
+        for begin in range(0, len(row), 4 * _BLOCK):
+            part = slice(begin, begin + 4 * _BLOCK)
             at = (offsets[row[part]] + nth[part] * step)[:, None] + np.arange(window)
             inside = at < offsets[row[part] + 1][:, None]
             windows = np.where(inside, raw[np.minimum(at, max(0, len(raw) - 1))] if len(raw) else 0, 0)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import chunks
-from tidemark.llm.byte_bpe import tokenizer
+from tidemark.llm.byte_bpe import sent
 from tidemark.llm.ship import ship
 from tidemark.scale import materialise
 
@@ -28,8 +28,8 @@ _LEAST_SALTS = 16
 _SLACKS = (0, 1, 2, 4, 8, 16, 32)
 
 
-def _cut(batches, rank_file, size: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    bpe = tokenizer(rank_file.value)
+def _cut(batches, tables, size: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    bpe = tables.value
     for batch in batches:
         for first, last, raw, offsets in chunks(batch.column("text")):
             ids, bounds = bpe.encode(raw, offsets)
@@ -65,11 +65,10 @@ def pieces(docs: DataFrame, rank_path: str, size: int, end_id: int, with_ids: bo
     """
     spark = docs.sparkSession
     ship(spark)
-    with open(rank_path, "rb") as file:
-        ranks = spark.sparkContext.broadcast(file.read())
+    tables = sent(spark, rank_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return rows.mapInArrow(lambda batches: _cut(batches, ranks, size, end_id, with_ids), schema)
+    return rows.mapInArrow(lambda batches: _cut(batches, tables, size, end_id, with_ids), schema)
 
 
 def fullest(counts: dict[int, int], size: int, slack: int = 0) -> dict[int, int]:
