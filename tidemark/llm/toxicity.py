@@ -33,15 +33,15 @@ _PER, _EXTRA, _CAP = 50.0, 10.0, 3.0
 class Settings:
     """Bounds of the training sample, and of the features it may use."""
 
-    positives: int = 2500  # the documented bounds of the training sample
-    unlabelled: int = 5000
+    positives: int = 1500  # the documented bounds of the training sample
+    unlabelled: int = 3000
     features: int = 512
     least_rows: int = 4
     least_ratio: float = 3.0
     least_z: float = 4.5
-    rounds: int = 400
+    rounds: int = 800
     rate: float = 0.05
-    weight_decay: float = 1e-3
+    weight_decay: float = 2e-4
     seed: int = 11
 
 
@@ -79,7 +79,7 @@ def _sampled(batches) -> Iterator[pa.RecordBatch]:
             row, feature, n_words = features(raw, offsets)
             distinct, count = np.unique(row << _BITS | feature, return_counts=True)
             bounds = np.searchsorted(distinct >> _BITS, np.arange(last - first + 1))
-            rate = _rate(count, n_words[distinct >> _BITS]).astype("<f4")
+            rate = _rate(count, n_words[distinct >> _BITS]).astype("<f2")
             low = (distinct & _LOW).astype("<i4")
             spans = list(zip(bounds[:-1], bounds[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, how: Settings = Se
     sample.sort(key=lambda r: (r["found"], r["rate"]))  # rows arrive in any order
     found = {True: [], False: []}
     for r in sample:
-        found[r["positive"]].append((np.frombuffer(r["found"], "<i4"), np.frombuffer(r["rate"], "<f4")))
+        found[r["positive"]].append((np.frombuffer(r["found"], "<i4"), np.frombuffer(r["rate"], "<f2")))
     if not found[True] or not found[False]:
         return nothing
     counts = {
