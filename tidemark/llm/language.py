@@ -152,10 +152,9 @@ class Predictor:
             parts = []
             for (width, steps, last), bias in zip(self.tables, self.model.biases, strict=True):
                 n = len(block) - width + 1
-                response = sum_ = None
-                for k, table in steps:
-                    sum_ = table[pair[k : k + n]]
-                    response = sum_ if response is None else response.__iadd__(sum_)
+                response = steps[0][1][pair[:n]]
+                for k, table in steps[1:]:
+                    response += table[pair[k : k + n]]
                 if last is not None:
                     response += last[block[width - 1 :]]
                 parts.append(np.maximum(response.max(axis=0) + bias, 0))
