@@ -165,7 +165,7 @@ def test_anchor_words_are_necessary():
             dice = 2 * len(other & set(notice)) / max(1, len(other) + len(notice))
             if dice >= 0.8:
                 low, high = licenses.size_bounds(len(notice), 0.8)
-                assert any(w in piece for w in words) and low <= len(other) <= high
+                assert any(w in " ".join(piece) for w in words) and low <= len(other) <= high
 
 
 def test_fingerprints_follow_edits(spark):

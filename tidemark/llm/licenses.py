@@ -3,8 +3,8 @@
 Every line, every sentence of a line, and every block between blank lines is
 compared with licence notices. A notice of b bigrams can only reach a Dice
 coefficient of t with a piece of b*t/(2-t) to b*(2-t)/t bigrams, so pieces meet
-notices through their size. Texts that hold none of a notice's anchor words
-share too few of its bigrams and are not cut into pieces at all.
+notices through their size. Texts that hold none of a notice's anchors, long
+words or bigrams, share too few of its bigrams and are not cut up at all.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ TEMPLATES: list[tuple[str, str]] = [
     ("All-Rights-Reserved", "All rights reserved."),
 ]
 THRESHOLD = 0.8
+_LONG_WORD = 7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
@@ -57,13 +58,16 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
 
 
 def anchors(bigrams: list[str], threshold: float) -> list[str]:
-    """Words of which any piece similar enough holds at least one; long words first."""
+    """Long words and bigrams of which any piece similar enough holds at least one.
+
+    What is not covered by them is less than such a piece must share.
+    """
     needed = size_bounds(len(bigrams), threshold)[0]
     left, chosen = set(bigrams), []
     while len(left) >= needed:
-        word = max({w for b in left for w in b.split()}, key=lambda w: (len(w), w))
-        chosen.append(word)
-        left = {b for b in left if word not in b.split()}
+        words = {w for b in left for w in b.split() if len(w) >= _LONG_WORD}
+        chosen.append(max(words or left, key=lambda w: (sum(w in b.split() for b in left), len(w), w)))
+        left = {b for b in left if chosen[-1] not in (b, *b.split())}
     return chosen
 
 
@@ -101,9 +105,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     sized = spark.createDataFrame(sized, "size int, license string, n int, notice array<string>")
     words = sorted({word for _, found in notices for word in anchors(found, threshold)})
     words = [w for w in words if not any(other != w and other in w for other in words)]
-    lowered = F.lower("text")
-    held = reduce(lambda a, b: a | b, (F.contains(lowered, F.lit(w)) for w in words))
-    texts = docs.select("doc_id", "text").where(held)
+    spaced = F.regexp_replace(F.lower("text"), _BETWEEN, " ")
+
+    def held(plain: Column) -> Column:
+        return reduce(lambda a, b: a | b, (F.contains(plain, F.lit(w)) for w in words))
+
+    # One lambda argument holds the plain text, so that it is made once.
+    texts = docs.select("doc_id", "text").where(F.exists(F.array(spaced), held))
 
     lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "piece"))
     sentences = F.split(F.regexp_replace("piece", r"([.!?])[ \t]+", "$1\n"), "\n")
