@@ -151,7 +151,7 @@ def previous_value(
     position = [*order, "_tie"]
     borders = parts.groupBy(key).agg(F.min("_slice").alias("_from"), F.max("_slice").alias("_to"))
     # Fewer keys than slices.
-    spanning = F.broadcast(materialise(borders.where("_from < _to").select(key), "spanning"))
+    spanning = F.broadcast(borders.where("_from < _to").select(key))
     last = ordering([F.col(c) for c in position])
     last = last if among is None else F.when(among, last)
     tails = _join(parts, spanning, [key], "left_semi").groupBy(key, "_slice")
@@ -159,7 +159,7 @@ def previous_value(
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = tails.select(key, "_slice", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
     # A row for each slice of each spanning key: under twice the slices.
-    carried = F.broadcast(materialise(carried, "carried"))
+    carried = F.broadcast(carried)
     inside = parts.withColumn("_inside", before(["_slice", key], position))
     joined = _join(inside, carried, [key, "_slice"], "left")
     found = F.coalesce("_inside", "_carried")["v"]
