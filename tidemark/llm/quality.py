@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow_text import Hasher, Words, chunks, mix
+from tidemark.llm.arrow_text import Words, chunks, mix
 from tidemark.llm.sampling import chance
 from tidemark.llm.ship import ship
 
@@ -37,73 +37,78 @@ class Settings:
     seed: int = 13
 
 
-def _set(*members: int | str) -> np.ndarray:
-    table = np.zeros(256, dtype=bool)
-    for member in members:
-        table[[ord(c) for c in member] if isinstance(member, str) else member] = True
-    return table
-
+def _classes() -> np.ndarray:
+    """One class for every byte."""
+    found = np.full(256, _OTHER, dtype=np.uint8)
+    found[128:] = _LETTER
+    members = {
+        _LETTER: "abcdefghijklmnopqrstuvwxyz",
+        _UPPER: "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+        _DIGIT: "0123456789",
+        _SYMBOL: "#*$&|~^<>{}=_\\%@+",
+        _PERIOD: ".",
+        _LOUD: "!?",
+        _STOP: ",;:'\"()-",
+        _SPACE: " \t\n\v\f\r",
+    }
+    for kind, characters in members.items():
+        found[[ord(c) for c in characters]] = kind
+    return found
 
-_IS = {
-    "letter": _set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") | (np.arange(256) >= 128),
-    "stop": _set(".,;:!?'\"()-"),
-    "upper": _set("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-    "digit": _set("0123456789"),
-    "symbol": _set("#*$&|~^<>{}=_\\%@+"),
-    "loud": _set("!?"),
-    "end": _set(".!?"),
-    "space": _set(" ", *range(0x09, 0x0E)),
-}
 
+_OTHER, _LETTER, _UPPER, _DIGIT, _SYMBOL, _PERIOD, _LOUD, _STOP, _SPACE = range(9)
+_CLASS = _classes()
+_CLOSING = np.isin(_CLASS, [_PERIOD, _LOUD])
+_PLAIN = ~np.isin(_CLASS, [_OTHER, _SYMBOL, _SPACE]) & ~np.isin(np.arange(256), [ord("("), ord("-")])
 
-def measures(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """Numbers about each row of a chunk that the labellers and features read."""
 
-    def count(mask: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(mask)])
-        return (sums[offsets[1:]] - sums[offsets[:-1]]).astype(np.float64)
+def measures(raw: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Numbers about each row of a chunk that the labellers and features read, and its words.
 
-    n = {name: count(table[raw]) for name, table in _IS.items()}
+    The words are distinct numbers row << _BITS | hashed word.
+    """
+    rows = len(offsets) - 1
+    of_byte = np.repeat(np.arange(0, rows * 16, 16), np.diff(offsets))
+    n = np.bincount(of_byte + _CLASS[raw], minlength=rows * 16).reshape(rows, 16).astype(np.float64)
     words = Words(raw, offsets)
     n_words = np.diff(words.rows).astype(np.float64)
-    solid = np.maximum(np.diff(offsets) - n["space"], 1)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(words.rows))
-    distinct = np.unique(np.stack([row.astype(np.uint64), words.hashes]), axis=1)[0] if len(row) else row
-    distinct = np.bincount(distinct.astype(np.int64), minlength=len(offsets) - 1)
-    closing = np.bincount(row, _IS["end"][raw[words.ends - 1]], len(offsets) - 1) if len(row) else n_words * 0
+    solid = np.maximum(np.diff(offsets) - n[:, _SPACE], 1)
+    letters = n[:, _LETTER] + n[:, _UPPER]
+    row = np.repeat(np.arange(rows), np.diff(words.rows))
+    found = np.unique(row << _BITS | (words.hashes >> np.uint64(64 - _BITS)).astype(np.int64))
+    last = raw[words.ends - 1] if len(row) else raw[:0]
+
+    def per_word(mask: np.ndarray) -> np.ndarray:
+        return np.bincount(row[mask], minlength=rows) / np.maximum(n_words, 1)
+
+    odd = ~_PLAIN[last]
+    again = np.zeros(len(row), dtype=bool)
+    again[1:] = (words.hashes[1:] == words.hashes[:-1]) & (row[1:] == row[:-1])
     # Lines: bounds at line ends and at the bounds of rows.
     breaks = np.unique(np.concatenate([np.flatnonzero(raw == 10) + 1, offsets]))
     starts, ends = breaks[:-1], breaks[1:]
     long = ends - starts > 20
     starts, ends = starts[long], ends[long]
     line_row = np.searchsorted(offsets, starts, side="right") - 1
-    hashes = Hasher(raw)(starts, ends - (raw[ends - 1] == 10)) if len(starts) else np.zeros(0, np.uint64)
-    lines = np.bincount(line_row, minlength=len(offsets) - 1).astype(np.float64)
-    own = np.unique(np.stack([line_row.astype(np.uint64), hashes]), axis=1)[0] if len(starts) else line_row
-    own = np.bincount(own.astype(np.int64), minlength=len(offsets) - 1)
-    some = np.maximum(n_words, 1)
-    last = raw[words.ends - 1]
-    plain = _IS["letter"] | _IS["digit"] | _set(".,;:!?\"')")
-    marked = np.bincount(row, ~plain[last], len(offsets) - 1) if len(row) else n_words * 0
-    single = np.bincount(row, (words.ends - words.starts == 1) & ~plain[last], len(offsets) - 1) if len(row) else n_words * 0
-    again = np.zeros(len(row), dtype=bool)
-    again[1:] = (words.hashes[1:] == words.hashes[:-1]) & (row[1:] == row[:-1])
-    again = np.bincount(row, again, len(offsets) - 1) if len(row) else n_words * 0
+    lines = np.bincount(line_row, minlength=rows).astype(np.float64)
+    hashes = words.hasher(starts, ends - (raw[ends - 1] == 10)) if len(starts) else np.zeros(0, np.uint64)
+    _, own = np.unique(hashes ^ mix(line_row.astype(np.uint64)), return_index=True)
+    own = np.bincount(line_row[own], minlength=rows)
     return {
         "words": n_words,
-        "word_length": solid / some,
-        "ordinary": (n["letter"] + n["stop"]) / solid,
-        "upper": n["upper"] / np.maximum(n["letter"], 1),
-        "digits": n["digit"] / solid,
-        "symbols": n["symbol"] / solid,
-        "loud": n["loud"] / some,
-        "endings": closing / some,
-        "marked": marked / some,
-        "single": single / some,
-        "distinct": distinct / some,
-        "repeated_words": again / some,
+        "word_length": solid / np.maximum(n_words, 1),
+        "ordinary": (letters + n[:, _PERIOD] + n[:, _LOUD] + n[:, _STOP]) / solid,
+        "upper": n[:, _UPPER] / np.maximum(letters, 1),
+        "digits": n[:, _DIGIT] / solid,
+        "symbols": n[:, _SYMBOL] / solid,
+        "loud": n[:, _LOUD] / np.maximum(n_words, 1),
+        "endings": per_word(_CLOSING[last]),
+        "marked": per_word(odd),
+        "single": per_word(odd & (words.ends - words.starts == 1)),
+        "distinct": np.bincount(found >> _BITS, minlength=rows) / np.maximum(n_words, 1),
+        "repeated_words": per_word(again),
         "repeated_lines": np.where(lines > 0, 1 - own / np.maximum(lines, 1), 0.0),
-    }
+    }, found
 
 
 def votes(m: dict[str, np.ndarray]) -> np.ndarray:
@@ -174,22 +179,19 @@ def accuracies(pattern: np.ndarray, count: np.ndarray, how: Settings = Settings(
     return chance_of, p[:, 0]
 
 
-def _features(raw: np.ndarray, offsets: np.ndarray, m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct words as row << _BITS | feature, and the features of the measures (rows x measures)."""
-    words = Words(raw, offsets)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(words.rows))
-    distinct = np.unique(row << _BITS | (words.hashes >> np.uint64(64 - _BITS)).astype(np.int64))
-    buckets = []
+def _buckets(m: dict[str, np.ndarray]) -> np.ndarray:
+    """The hashed features of the measures (rows x measures)."""
+    found = []
     for i, (name, values) in enumerate(m.items()):
         scaled = np.log2(values + 1) * 2 if name in ("words", "word_length") else np.sqrt(np.maximum(values, 0)) * 12
         bucket = mix(np.clip(scaled, 0, 60).astype(np.uint64) + np.uint64(100 * (i + 1)))
-        buckets.append((bucket >> np.uint64(64 - _BITS)).astype(np.int64))
-    return distinct, np.stack(buckets, axis=1)
+        found.append((bucket >> np.uint64(64 - _BITS)).astype(np.int64))
+    return np.stack(found, axis=1)
 
 
 def _voted(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [patterns(votes(measures(raw, offsets))) for _, _, raw, offsets in chunks(batch.column("text"))]
+        found = [patterns(votes(measures(raw, offsets)[0])) for _, _, raw, offsets in chunks(batch.column("text"))]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int32))], names=["pattern"])
 
@@ -197,8 +199,8 @@ def _voted(batches) -> Iterator[pa.RecordBatch]:
 def _sampled(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, raw, offsets in chunks(batch.column("text")):
-            m = measures(raw, offsets)
-            distinct, buckets = _features(raw, offsets, m)
+            m, distinct = measures(raw, offsets)
+            buckets = _buckets(m)
             bounds = np.searchsorted(distinct >> _BITS, np.arange(last - first + 1))
             low, buckets = (distinct & ((1 << _BITS) - 1)).astype("<i4"), buckets.astype("<i4")
             # The measures' features come first, as many in every row.
@@ -240,9 +242,8 @@ def _scored(batches, model, posterior) -> Iterator[pa.RecordBatch]:
     weights, constant = model.value
     for batch in batches:
         for first, last, raw, offsets in chunks(batch.column("text")):
-            m = measures(raw, offsets)
-            pattern = patterns(votes(m))
-            distinct, buckets = _features(raw, offsets, m)
+            m, distinct = measures(raw, offsets)
+            pattern, buckets = patterns(votes(m)), _buckets(m)
             row = distinct >> _BITS
             sizes = np.maximum(np.bincount(row, minlength=last - first), 1)
             z = np.bincount(row, weights[distinct & ((1 << _BITS) - 1)], last - first) / np.sqrt(sizes)
