@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import struct
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -151,6 +152,56 @@ def test_licences_are_found(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    apache = next(t for _, t in licenses.TEMPLATES if "obtain a copy of the License" in t)
+    mit, bsd = (next(t for _, t in licenses.TEMPLATES if t.startswith(w)) for w in ("Permission", "Redistribution"))
+    wrapped = [" #\n # ".join(textwrap.wrap(t, 30)) for t in (apache, mit, bsd)]
+    texts = [
+        "Some prose goes on before it. Released under the\nMIT License. And more prose that goes on after it.",
+        *(f"# words before\n# {t}\n#\n# and words after that" for t in wrapped),
+        "Nothing was released, and no license under the sun is for MIT.",
+        "x\ny, released under the MIT License, z",
+    ]
+    found = sorted(licenses.scan(documents(spark, texts)).where("doc_id is not null").collect())
+    assert [(r.doc_id, r.license, r.n_lines, r.first_line) for r in found] == [
+        (1, "MIT", 0, None),
+        (2, "Apache-2.0", 0, None),
+        (3, "MIT", 0, None),
+        (4, "BSD-3-Clause", 0, None),
+        (6, "MIT", 1, 1),
+    ]
+    assert all(r.dice == 1.0 for r in found)
+
+
+def best_windows(text, templates):
+    """{license: best coefficient of any window of words}, by trying all."""
+    found, words = {}, licenses._words(text)
+    for name, notice in templates:
+        notice = set(licenses.template_bigrams(notice))
+        for begin in range(len(words)):
+            for end in range(begin + 2, min(len(words), begin + 2 * int(1.5 * len(notice)) + 1) + 1):
+                held = bigrams(words[begin:end])
+                dice = 2 * len(held & notice) / (len(held) + len(notice))
+                found[name] = max(dice, found.get(name, 0))
+    return {name: dice for name, dice in found.items() if dice >= 0.8}
+
+
+def test_windows_match_brute_force(spark):
+    rng = random.Random(9)
+    templates = [("A", "one two three four five"), ("B", "a b a c b a d e f"), ("C", "u v w x y z u v")]
+    texts = []
+    for _ in range(150):
+        words = [rng.choice("a b c one two u v zz".split()) for _ in range(rng.randint(0, 6))]
+        for _ in range(2):
+            words += licenses._words(rng.choice(templates)[1])
+            for _ in range(rng.randint(0, 3)):
+                words.insert(rng.randrange(len(words)), rng.choice("a b one u zz".split()))
+        texts.append("".join(w + rng.choice(" \n,") for w in words))
+    found = {(r.doc_id, r.license): r.dice for r in licenses.scan(documents(spark, texts), templates).collect()}
+    want = {(i, n): d for i, t in enumerate(texts, 1) for n, d in best_windows(t, templates).items()}
+    assert {k: d for k, d in found.items() if k[0] is not None} == want and len(want) > 100
+
+
 def test_anchor_words_are_necessary():
     rng = random.Random(5)
     for _, text in licenses.TEMPLATES:

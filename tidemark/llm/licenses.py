@@ -1,15 +1,18 @@
 """Licence scan by the Dice coefficient over word bigrams, in DataFrame expressions only.
 
-Every line, every sentence of a line, and every block between blank lines is
-compared with licence notices. A notice of b bigrams can only reach a Dice
-coefficient of t with a piece of b*t/(2-t) to b*(2-t)/t bigrams, so pieces meet
-notices through their size. Texts that hold none of a notice's anchors, long
+Licence notices are compared with windows of a text's word sequence, so a notice
+is found wherever its lines are broken and whatever stands around it. The best
+window begins at a pair of words that the notice has, after one that it has
+not, so only such places are tried. A notice of b bigrams can only reach a Dice
+coefficient of t with a set of b*t/(2-t) to b*(2-t)/t bigrams; a window is at
+most twice as many pairs long. Texts that hold none of a notice's anchors, long
 words or bigrams, share too few of its bigrams and are not cut up at all.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from math import ceil, floor
 
@@ -71,38 +74,124 @@ def anchors(bigrams: list[str], threshold: float) -> list[str]:
     return chosen
 
 
+def _split(text: Column) -> Column:
+    """The words of a text, lower-cased and without punctuation."""
+    return F.filter(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN), lambda w: w != "")
+
+
+def _pairs(items: Column, join: Callable[[Column, Column], Column]) -> Column:
+    rest = F.greatest(F.size(items) - 1, F.lit(0))
+    return F.zip_with(F.slice(items, 1, rest), F.slice(items, 2, rest), join)
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value made once."""
+    return F.transform(F.array(value), then)[0]
+
+
 def bigrams(text: Column) -> Column:
-    """Distinct word bigrams of a text, lower-cased and without punctuation."""
-    words = F.filter(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN), lambda w: w != "")
-
-    def pairs(w: Column) -> Column:
-        return F.zip_with(
-            F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
-            F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
-            lambda a, b: F.concat_ws(" ", a, b),
+    """Distinct word bigrams of a text."""
+    return _let(_split(text), lambda w: F.array_distinct(_pairs(w, lambda a, b: F.concat_ws(" ", a, b))))
+
+
+def _placed(text: Column) -> Column:
+    """Every word bigram of a text in order, and the lines of its two words."""
+    lines = F.transform(
+        F.split(text, "\n"), lambda line, i: F.transform(_split(line), lambda w: F.struct(w.alias("w"), i.alias("i")))
+    )
+
+    def joined(a: Column, b: Column) -> Column:
+        return F.struct(F.concat_ws(" ", a["w"], b["w"]).alias("pair"), a["i"].alias("first"), b["i"].alias("last"))
+
+    return _let(F.flatten(lines), lambda w: _pairs(w, joined))
+
+
+def _starts(reach: Column, needed: Column) -> Column:
+    """Places (from 1) where a best window can begin, of ``placed`` and ``marks``.
+
+    A window that could take in one more of the notice's pairs at its front is
+    not the best, unless it holds that pair already. Lines begin anew, as
+    windows inside one line are sought too.
+    """
+
+    def begins(p: Column) -> Column:
+        mark, before = F.get("marks", p - 1), F.get("marks", p - 2)
+        ahead = F.slice("marks", p, reach)
+        fresh = (
+            (p == 1)
+            | (before == 0)
+            | (F.get("placed", p - 2)["first"] != F.get("placed", p - 1)["first"])
+            | F.array_contains(ahead, before)
         )
+        shared = F.size(F.array_distinct(F.filter(ahead, lambda m: m > 0)))
+        return (mark > 0) & fresh & (shared >= needed)
+
+    return F.filter(F.sequence(F.lit(1), F.size("placed")), begins)
+
+
+def _best() -> Column:
+    """The best windows that begin with ``window``: of any end, and of ends in its first line.
 
-    return F.transform(F.array(words), lambda w: F.array_distinct(pairs(w)))[0]
+    ``marks`` of the window are zero for pairs that the notice has not.
+    """
+
+    def step(done: Column, seen: Column) -> Column:
+        size = done["size"] + seen["new"].cast("int")
+        shared = done["shared"] + (seen["new"] & seen["held"]).cast("int")
+        dice = 2.0 * shared / (size + F.col("n"))
+        better = dice > done["dice"]
+        inside = seen["inside"] & (dice > done["line_dice"])
+        return F.struct(
+            size.alias("size"),
+            shared.alias("shared"),
+            (done["at"] + 1).alias("at"),
+            F.when(better, dice).otherwise(done["dice"]).alias("dice"),
+            F.when(better, done["at"]).otherwise(done["end"]).alias("end"),
+            F.when(inside, dice).otherwise(done["line_dice"]).alias("line_dice"),
+            F.when(inside, done["at"]).otherwise(done["line_end"]).alias("line_end"),
+        )
+
+    seen = _let(
+        F.transform("window", lambda x: x["pair"]),
+        lambda pairs: F.zip_with(
+            F.transform(pairs, lambda x, i: F.array_position(pairs, x) == i + 1),
+            F.zip_with("window", "marks", lambda x, m: F.struct(x["last"].alias("last"), m.alias("mark"))),
+            lambda new, x: F.struct(
+                new.alias("new"),
+                (x["mark"] > 0).alias("held"),
+                (x["last"] == F.col("window")[0]["first"]).alias("inside"),
+            ),
+        ),
+    )
+    zero, none = F.lit(0), F.lit(0.0)
+    start = F.struct(
+        zero.alias("size"),
+        zero.alias("shared"),
+        zero.alias("at"),
+        none.alias("dice"),
+        zero.alias("end"),
+        none.alias("line_dice"),
+        zero.alias("line_end"),
+    )
+    return F.aggregate(seen, start, step)
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """A row per document and licence found in it: doc_id, license, dice, n_lines, first_line.
 
-    ``dice`` is the best coefficient of any piece of the text, ``n_lines`` the
+    ``dice`` is the best coefficient of any window of the text, ``n_lines`` the
     number of lines with a match and ``first_line`` the first of them (from 0,
-    null if only a block of lines matches). Null and empty texts hold no
+    null if only several lines together match). Of licences that match the same
+    words only the one that matches best counts. Null and empty texts hold no
     licence; rows that share a doc_id count together; other columns are not
     read; an empty table gives no row.
     """
     spark = docs.sparkSession
     notices = [(name, template_bigrams(text)) for name, text in templates]
     notices = [(name, found) for name, found in notices if found]
-    # A row for each size that can match each notice: as many as the notices are long.
-    sized = []
-    for name, found in notices:
-        least, most = size_bounds(len(found), threshold)
-        sized += [(size, name, len(found), found) for size in range(least, most + 1)]
-    sized = spark.createDataFrame(sized, "size int, license string, n int, notice array<string>")
+    sized = [(name, found, len(found), *size_bounds(len(found), threshold)) for name, found in notices]
+    sized = spark.createDataFrame(sized, "license string, notice array<string>, n int, needed int, most int")
+    every = spark.createDataFrame([(sorted({b for _, found in notices for b in found}),)], "every array<string>")
     words = sorted({word for _, found in notices for word in anchors(found, threshold)})
     words = [w for w in words if not any(other != w and other in w for other in words)]
     spaced = F.regexp_replace(F.lower("text"), _BETWEEN, " ")
@@ -112,26 +201,42 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
 
     # One lambda argument holds the plain text, so that it is made once.
     texts = docs.select("doc_id", "text").where(F.exists(F.array(spaced), held))
+    shared = F.array_intersect(bigrams(F.col("text")), F.col("every"))
+    texts = texts.crossJoin(F.broadcast(every)).select("doc_id", "text", shared.alias("shared"))
+    enough = F.size(F.array_intersect("shared", "notice")) >= F.col("needed")
+    met = texts.join(F.broadcast(sized), enough).withColumn("placed", _placed(F.col("text")))
+    mark = F.transform("placed", lambda x: F.array_position("notice", x["pair"]))
+    reach = 2 * F.col("most")
+    met = met.select("doc_id", F.xxhash64("text").alias("node"), "license", "n", "needed", "most", "placed", mark.alias("marks"))
+    met = met.withColumn("start", F.explode(_starts(reach, F.col("needed"))))
+    cut = [F.slice(name, F.col("start"), reach).alias(alias) for name, alias in (("placed", "window"), ("marks", "marks"))]
+    met = met.select("doc_id", "node", "license", "n", "start", *cut).withColumn("best", _best())
+
+    def match(dice: str, end: str, line: Column) -> Column:
+        return F.struct(
+            F.col("license"),
+            F.col("start"),
+            (F.col("start") + F.col(f"best.{end}")).alias("end"),
+            F.col(f"best.{dice}").alias("dice"),
+            line.cast("int").alias("line"),
+        )
 
-    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "piece"))
-    sentences = F.split(F.regexp_replace("piece", r"([.!?])[ \t]+", "$1\n"), "\n")
-    pieces = lines.select(
-        "doc_id",
-        "line",
-        F.explode(
-            F.when(F.size(sentences) > 1, F.concat(F.array("piece"), sentences)).otherwise(F.array("piece"))
-        ).alias("piece"),
-    )
-    blocks = texts.where(F.contains("text", F.lit("\n"))).select(
-        "doc_id", F.lit(None).cast("int").alias("line"), F.explode(F.split("text", r"\n[ \t]*\n")).alias("piece")
-    )
-    pieces = pieces.unionAll(blocks).select("doc_id", "line", bigrams(F.col("piece")).alias("found"))
-    pieces = pieces.withColumn("size", F.size("found"))
-    met = pieces.join(F.broadcast(sized), "size")
-    dice = 2.0 * F.size(F.array_intersect("found", "notice")) / (F.col("size") + F.col("n"))
-    met = met.select("doc_id", "license", "line", dice.alias("dice")).where(F.col("dice") >= threshold)
-    return met.groupBy("doc_id", "license").agg(
-        F.max("dice").alias("dice"),
-        F.countDistinct("line").alias("n_lines"),
-        F.min("line").cast("long").alias("first_line"),
+    found = F.array(match("dice", "end", F.lit(None)), match("line_dice", "line_end", F.col("window")[0]["first"]))
+    met = met.select("doc_id", "node", F.explode(found).alias("x")).where(F.col("x.dice") >= threshold)
+    met = met.groupBy("doc_id", "node").agg(F.collect_set("x").alias("all"))
+
+    def beaten(x: Column) -> Column:
+        """Another licence matches better, with at least half of these words."""
+        return F.exists(
+            "all",
+            lambda y: (y["license"] != x["license"])
+            & (y["dice"] > x["dice"])
+            & (2 * (F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]) + 1) >= x["end"] - x["start"] + 1),
+        )
+
+    met = met.select("doc_id", F.explode(F.filter("all", lambda x: ~beaten(x))).alias("x"))
+    return met.groupBy("doc_id", F.col("x.license").alias("license")).agg(
+        F.max("x.dice").alias("dice"),
+        F.countDistinct("x.line").alias("n_lines"),
+        F.min("x.line").cast("long").alias("first_line"),
     )
