@@ -7,6 +7,7 @@ import struct
 import textwrap
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -202,6 +203,55 @@ def test_windows_match_brute_force(spark):
     assert {k: d for k, d in found.items() if k[0] is not None} == want and len(want) > 100
 
 
+MIT_LINES = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+GPL_LINES = """This {0} is free software: you can redistribute it and/or modify
+it under the terms of the GNU {1} as published by
+the Free Software Foundation, either version {2} of the License, or
+(at your option) any later version.
+
+This {0} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {1} for more details.
+
+You should have received a copy of the GNU {1}
+along with this {0}.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_standard_texts_are_found_and_told_apart(spark):
+    general, lesser = "General Public License", "Lesser General Public License"
+    texts = {
+        MIT_LINES: "MIT",
+        "This project is licensed under the MIT License.": "MIT",
+        "Licensed under the GNU General Public License v2.0": "GPL-2.0",
+        "it is licensed under the GNU General Public License, version 2": "GPL-2.0",
+        "it is licensed under the GNU Lesser General Public License, version 2.1": "LGPL-2.1",
+        "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+        "Licensed under a Creative Commons Attribution 3.0 Unported License": "CC-BY-3.0",
+        GPL_LINES.format("program", general, "3"): "GPL-3.0",
+        GPL_LINES.format("program", general, "2"): "GPL-2.0",
+        GPL_LINES.format("library", lesser, "2.1"): "LGPL-2.1",
+        "# " + GPL_LINES.format("program", "Affero " + general, "3").replace("\n", "\n# "): "AGPL-3.0",
+    }
+    found = licenses.scan(documents(spark, list(texts))).where("doc_id is not null").collect()
+    assert sorted((r.doc_id, r.license) for r in found) == list(enumerate(texts.values(), 1))
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0", "BSD"])
+def test_installed_licence_files_are_found(spark, name):
+    file = Path("/usr/share/common-licenses", name)
+    if not file.is_file():
+        pytest.skip("licence file not present")
+    found = licenses.scan(documents(spark, [file.read_text()])).where("doc_id is not null").collect()
+    want = {"BSD": "BSD-3-Clause"}.get(name, name if "." in name else f"{name}.0")
+    assert want in {r.license for r in found}
+
+
 def test_anchor_words_are_necessary():
     rng = random.Random(5)
     for _, text in licenses.TEMPLATES:

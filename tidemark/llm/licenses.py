@@ -12,14 +12,14 @@ words or bigrams, share too few of its bigrams and are not cut up at all.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Notices by SPDX name, in the words that licences ask or are used to be named by.
+# Short notices by SPDX name, which the SQL compares too.
 TEMPLATES: list[tuple[str, str]] = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
@@ -40,6 +40,114 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC0-1.0", "This work has been dedicated to the public domain under CC0 1.0."),
     ("All-Rights-Reserved", "All rights reserved."),
 ]
+_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+          "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+          "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+          "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+          "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+          "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+          "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+          "POSSIBILITY OF SUCH DAMAGE.")
+_BSD_2 = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+          "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+          "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+          "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+          "other materials provided with the distribution. ")
+_BSD_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+          "promote products derived from this software without specific prior written permission. ")
+_MIT_GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+              "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+              "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+              "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+              "subject to the following conditions: ")
+_MIT_REST = ("The above copyright notice and this permission notice shall be included in all copies or substantial "
+             "portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+             "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+             "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+             "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+             "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+
+
+def _gnu(name: str, version: str, what: str) -> str:
+    """The notice that the GNU licences ask to be put at the start of a file."""
+    return (
+        f"This {what} is free software; you can redistribute it and/or modify it under the terms of the {name} as "
+        f"published by the Free Software Foundation; either version {version} of the License, or (at your option) "
+        f"any later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        f"{name} for more details. You should have received a copy of the {name} along with this {what}"
+    )
+
+
+_GNU = [
+    ("GPL-2.0", "GNU General Public License", "2", "program", "Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License", "3", "program", "Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License", "2.1", "library", "Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License", "3", "library", "Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License", "3", "program", "Version 3, 19 November 2007"),
+]
+_CC = [
+    (f"CC-{code}-{version}", f"{code} {version}", f"{name} {version} {place}")
+    for code, name in (
+        ("BY", "Attribution"),
+        ("BY-SA", "Attribution-ShareAlike"),
+        ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    )
+    for version, place in (("4.0", "International"), ("3.0", "Unported"))
+]
+# Whole texts of short licences; of long ones the title and the standard header, which stands in their text too.
+STANDARD: list[tuple[str, str]] = [
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", _MIT_GRANT),
+    ("MIT", _MIT_GRANT + _MIT_REST),
+    ("BSD-2-Clause", _BSD_2 + _AS_IS),
+    ("BSD-3-Clause", _BSD_2 + _BSD_3 + _AS_IS),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+            "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+            "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE "
+            "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+            "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+            "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+             "be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+             "use this software for any purpose, including commercial applications, and to alter it and redistribute "
+             "it freely, subject to the following restrictions: 1. The origin of this software must not be "
+             "misrepresented; you must not claim that you wrote the original software. If you use this software in a "
+             "product, an acknowledgment in the product documentation would be appreciated but is not required. "
+             "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the "
+             "original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+                  "modify, publish, use, compile, sell, or distribute this software, either in source code form or as "
+                  "a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+                   "in compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+                   "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                   "language governing permissions and limitations under the License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    *((label, _gnu(name, version, what)) for label, name, version, what, _ in _GNU),
+    *((label, f"{name} {title}") for label, name, _, _, title in _GNU),
+    *((label, f"Licensed under the {name}, version {version}.") for label, name, version, _, _ in _GNU),
+    *((label, f"Licensed under the {name} v{version}.") for label, name, version, _, _ in _GNU),
+    *((label, f"Licensed under CC {short}.") for label, short, _ in _CC),
+    *((label, f"Licensed under a Creative Commons {name} License.") for label, _, name in _CC),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
+                "to this work."),
+]
 THRESHOLD = 0.8
 _LONG_WORD = 7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,13 +168,14 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     return ceil(size * threshold / (2 - threshold) - 1e-9), floor(size * (2 - threshold) / threshold + 1e-9)
 
 
-def anchors(bigrams: list[str], threshold: float) -> list[str]:
+def anchors(bigrams: list[str], threshold: float, known: Sequence[str] = ()) -> list[str]:
     """Long words and bigrams of which any piece similar enough holds at least one.
 
-    What is not covered by them is less than such a piece must share.
+    What is not covered by them, or by those ``known``, is less than such a
+    piece must share.
     """
     needed = size_bounds(len(bigrams), threshold)[0]
-    left, chosen = set(bigrams), []
+    left, chosen = {b for b in bigrams if not any(w in (b, *b.split()) for w in known)}, []
     while len(left) >= needed:
         words = {w for b in left for w in b.split() if len(w) >= _LONG_WORD}
         chosen.append(max(words or left, key=lambda w: (sum(w in b.split() for b in left), len(w), w)))
@@ -176,7 +285,9 @@ def _best() -> Column:
     return F.aggregate(seen, start, step)
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES + STANDARD, threshold: float = THRESHOLD
+) -> DataFrame:
     """A row per document and licence found in it: doc_id, license, dice, n_lines, first_line.
 
     ``dice`` is the best coefficient of any window of the text, ``n_lines`` the
@@ -192,7 +303,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     sized = [(name, found, len(found), *size_bounds(len(found), threshold)) for name, found in notices]
     sized = spark.createDataFrame(sized, "license string, notice array<string>, n int, needed int, most int")
     every = spark.createDataFrame([(sorted({b for _, found in notices for b in found}),)], "every array<string>")
-    words = sorted({word for _, found in notices for word in anchors(found, threshold)})
+    words: list[str] = []
+    for _, found in sorted(notices, key=lambda notice: len(notice[1])):
+        words += anchors(found, threshold, words)
     words = [w for w in words if not any(other != w and other in w for other in words)]
     spaced = F.regexp_replace(F.lower("text"), _BETWEEN, " ")
 
