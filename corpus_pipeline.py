@@ -16,7 +16,7 @@ from tidemark.llm import language, packing, toxicity
 from tidemark.llm.jaccard import Similarity, jaccard_components, limited
 from tidemark.scale import materialise
 
-# A text is rejected if no language is found in it, or none more likely than this.
+# A text is rejected if being junk is likelier than any language, or no language is as likely as this.
 LEAST_LANGUAGE = 0.25
 # A text is rejected as toxic from this score on.
 TOXIC_FROM = 0.3
@@ -32,8 +32,8 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the texts in which a language is found; learned from the texts that have a lang."""
-    model = language.fit(docs, F.lit(True))
+    """Keep the texts in which a language is found; learned from the texts that have a lang, and from junk."""
+    model = language.fit(docs, F.lit(True), reject=True)
     found, score = _free(docs, "found_language"), _free(docs, "found_score")
     rows = language.predict(docs, model, docs.columns, (found, score))
     known = (F.col(found) != language.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE)

@@ -1,8 +1,13 @@
 """The registered queries against their SQL, and the pipeline against brute force."""
 
+import base64
+import random
+import string
+
 import pytest
 from cases import COLUMNS, TEXTS, documents, jaccard_groups
 from compare import compare, connect
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -37,6 +42,30 @@ def test_stages_keep_columns_and_rows(spark, sf_dir):
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
 
 
+def test_texts_in_no_learned_language_are_rejected(spark, sf_larger):
+    rng = random.Random(6)
+    junk = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+        *(base64.b64encode(rng.randbytes(300)).decode() for _ in range(15)),
+        *(" ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(3, 9))) for _ in range(40)) for _ in range(15)),
+    ]
+    docs = spark.read.parquet(f"{sf_larger}/documents.parquet")
+    # Held-out texts and junk have no lang, so they are not learned from.
+    held = docs.where("doc_id % 3 = 1 and length(text) >= 200").withColumn("lang", F.lit(None).cast("string"))
+    rows = [(-i, t) for i, t in enumerate(junk, 1)]
+    bad = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    columns = ["doc_id", "text", "lang"]
+    given = docs.where("doc_id % 3 <> 1").select(columns).unionByName(held.select(columns)).unionByName(bad)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, given, sf_larger).select("doc_id").collect()}
+    clean = {r.doc_id for r in held.select("doc_id").collect()}
+    assert sum(i < 0 for i in kept) <= 1
+    assert len(clean & kept) >= 0.98 * len(clean)
+
+
 def test_one_document_of_each_group_stays(spark, sf_dir):
     docs = documents(spark)
     kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()

@@ -27,6 +27,7 @@ from tidemark.llm.ship import ship
 
 UNDETERMINED = "und"
 _BLOCK = 256
+_LEAST_JUNK = 32  # bytes: shorter texts do not tell whether they are junk
 
 
 @dataclass(frozen=True)
@@ -186,9 +187,42 @@ def _predictor(model: bytes) -> Predictor:
     return Predictor(pickle.loads(model))
 
 
-def fit(docs: DataFrame, train_on: Column, how: Settings = Settings()) -> Model | None:
+def junk(windows: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """``n`` windows in no language: letters of given windows in another order, and random ones.
+
+    Letters change places inside words or over the whole window; random ones
+    are keys, base64, hexadecimal digits, and neighbouring code points.
+    """
+    size = windows.shape[1]
+    made = np.zeros((n, size), dtype=np.uint8)
+    keys = (b"abcdefghijklmnopqrstuvwxyz     ", b"0123456789abcdef")
+    base64 = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for i in range(n):
+        kind = i % 10
+        if kind < 7:
+            given = windows[rng.integers(len(windows))].tobytes().rstrip(b"\0").decode("utf-8", "ignore")
+            parts = [given] if kind < 3 else given.split(" ")
+            part = " ".join("".join(rng.permutation(list(p))) for p in parts).encode()
+        elif kind == 7:
+            chosen = np.frombuffer(keys[int(rng.integers(4) == 0)], np.uint8)
+            part = chosen[rng.integers(0, len(chosen), size)].tobytes()
+        elif kind == 8:
+            part = np.frombuffer(base64, np.uint8)[rng.integers(0, 64, size)].tobytes()
+        else:
+            first = int(rng.integers(0x250, 0xD000))
+            points = np.where(rng.random(size) < 0.15, 32, first + rng.integers(0, 90, size))
+            part = "".join(map(chr, points)).encode()
+        # Every third is short, as texts and last windows can be.
+        part = part[: size if i % 3 else rng.integers(min(_LEAST_JUNK, size), size + 1)]
+        made[i, : len(part)] = np.frombuffer(part, np.uint8)
+    return made
+
+
+def fit(docs: DataFrame, train_on: Column, how: Settings = Settings(), reject: bool = False) -> Model | None:
     """Learn from the rows of ``docs`` (text, lang) where ``train_on`` holds.
 
+    With ``reject``, ``und`` is learned as one more language, from ``junk``.
+
     The sample is bounded: about ``windows_per_language`` windows of each
     language, at random places of texts picked by a hash of the whole text.
     None if no such row has a language and a text.
@@ -216,7 +250,13 @@ def fit(docs: DataFrame, train_on: Column, how: Settings = Settings()) -> Model
     labels = np.array([languages.index(r["lang"]) for r in found], dtype=np.intp)
     # The rows arrive in any order; a fixed one makes the training repeatable.
     order = np.lexsort((*windows[:, :16].T, labels))
-    return train(windows[order], labels[order], languages, how)
+    windows, labels = windows[order], labels[order]
+    if reject and len(windows):
+        more = junk(windows, min(2 * how.windows_per_language, len(windows)), np.random.default_rng(how.seed))
+        windows = np.concatenate([windows, more])
+        labels = np.concatenate([labels, np.full(len(more), len(languages), dtype=np.intp)])
+        languages = [*languages, UNDETERMINED]
+    return train(windows, labels, languages, how)
 
 
 def _predicted(batches, model: bytes, text: int, kept: int, names: list[str]) -> Iterator[pa.RecordBatch]:
