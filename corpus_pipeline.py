@@ -51,17 +51,24 @@ def toxic_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group that five-word shingles link at 0.8 or more.
 
-    The one with the smallest doc_id stays; of rows that repeat a doc_id one
-    stays. Rows without doc_id stay.
+    The one with the smallest doc_id stays; of linked rows that repeat it one
+    stays, of copies any. Unlinked texts under one doc_id are judged each for
+    itself. Rows without doc_id stay.
     """
-    groups = materialise(jaccard_components(docs, Similarity(words=5, num=80, den=100)), "groups")
-    gone = limited(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct())
-    left = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
-    twice = groups.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = jaccard_components(docs, Similarity(words=5, num=80, den=100), by_text=True)
+    groups = materialise(groups, "groups")
+    twice = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not twice.isEmpty():
-        known = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-        left = known.unionByName(left.where("doc_id is null"))
-    return left.select(docs.columns)
+        kept = groups.where("component_id = doc_id").groupBy("doc_id", "component")
+        kept = kept.agg(F.min("text_hash").alias("kept_hash")).select(F.col("doc_id").alias("kept_id"), "kept_hash")
+        kept = limited(kept)
+        row_hash = _free(docs, "row_hash")
+        known = docs.where("doc_id is not null").withColumn(row_hash, F.xxhash64(F.col("text").cast("string")))
+        known = known.join(kept, (known["doc_id"] == kept["kept_id"]) & (known[row_hash] == kept["kept_hash"]), "left_semi")
+        known = known.dropDuplicates(["doc_id", row_hash]).select(docs.columns)
+        return known.unionByName(docs.where("doc_id is null"))
+    gone = limited(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import string
 
 import pytest
-from cases import COLUMNS, TEXTS, documents, jaccard_groups
+from cases import BASE, COLUMNS, TEXTS, documents, jaccard_groups
 from compare import compare, connect
 from pyspark.sql import functions as F
 
@@ -75,6 +75,14 @@ def test_one_document_of_each_group_stays(spark, sf_dir):
     assert len(COLUMNS.split(",")) == len(kept[0])
 
 
+def test_unlinked_texts_under_one_id_stay(spark, sf_dir):
+    other, third = "quite another text of more than five words", "and one more that is like no other here"
+    rows = [(3, BASE), (7, BASE + " tail"), (7, other), (8, other), (8, third), (8, third), (9, "x"), (9, "x")]
+    docs = spark.createDataFrame([*rows, (None, BASE)], "doc_id long, text string")
+    kept = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect())
+    assert kept == [(0, BASE), (3, BASE), (7, other), (8, third), (9, "x")]
+
+
 def test_the_pipeline_is_its_stages(spark, sf_dir):
     found = corpus_pipeline.run(spark, sf_dir)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

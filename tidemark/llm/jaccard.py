@@ -126,7 +126,7 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).view(np.int64)))
 
 
-def _prefixes(batches, sketch, how: Similarity) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches, sketch, how: Similarity, more: list[str]) -> Iterator[pa.RecordBatch]:
     counts = sketch.value
     noise = float(np.median(counts))
     for batch in batches:
@@ -140,8 +140,9 @@ def _prefixes(batches, sketch, how: Similarity) -> Iterator[pa.RecordBatch]:
                     pa.array([_node(r) for r in rows], pa.int64()),
                     pa.array([matches for matches, _ in asked], pa.int32()),
                     _lists([tokens for _, tokens in asked]),
+                    *(batch.column(name).slice(first, last - first) for name in more),
                 ],
-                names=["doc_id", "n_shingles", "node", "matches", "prefix"],
+                names=["doc_id", "n_shingles", "node", "matches", "prefix", *more],
             )
 
 
@@ -231,20 +232,24 @@ def _one_each(rows: DataFrame, repeated: DataFrame) -> DataFrame:
     return first if twice.isEmpty() else first.dropDuplicates(["node"])
 
 
-def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
+def jaccard_components(docs: DataFrame, how: Similarity = Similarity(), by_text: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     ``component_id`` is the smallest doc_id reachable by links. Null and empty
     texts, and texts of white space, have no shingle and link with nothing; a
     row without doc_id does not link either and has no component. Different
     texts under one doc_id are compared each for itself. Other columns are not
-    read; an empty table gives no row.
+    read; an empty table gives no row. With ``by_text`` each row also has its
+    ``text_hash`` (xxhash64) and ``component``, the same for linked texts.
     """
     spark = docs.sparkSession
     ship(spark)
+    extra = ["text_hash"] if by_text else []
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = spark.sparkContext.broadcast(token_sketch(docs, how.words))
-    rows = docs.mapInArrow(lambda batches: _prefixes(batches, sketch, how), _PREFIXES)
+    hashed = docs.select("*", *(F.xxhash64("text").alias(name) for name in extra))
+    schema = _PREFIXES + "".join(f", {name} long" for name in extra)
+    rows = hashed.mapInArrow(lambda batches: _prefixes(batches, sketch, how, extra), schema)
     rows = materialise(rows, "prefixes")
     linkable = rows.where("doc_id is not null and n_shingles > 0")
 
@@ -271,7 +276,7 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
     more = _verified(docs, places, _candidates(postings, hubs, labels, how), how)
     if not more.isEmpty():
         labels = connected(links.unionAll(more))
-    placed = rows.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
+    placed = rows.select("doc_id", "n_shingles", "node", *extra).join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     placed = materialise(placed.drop("node"), "placed")
     lowest = placed.where("doc_id is not null and n_shingles > 0").groupBy("component")
@@ -282,4 +287,5 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
         "doc_id",
         F.col("n_shingles").cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce(grouped, "doc_id")).alias("component_id"),
+        *(["component", *extra] if by_text else []),
     )
