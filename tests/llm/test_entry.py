@@ -25,9 +25,9 @@ def test_query_matches_sql(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, QUERIES[name], oracle.ORACLE[name]) is None
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     named = queries()
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= set(named) and "pipeline" in named
     assert set(oracle.ORACLE) <= set(oracle_sql())
 

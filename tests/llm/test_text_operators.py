@@ -49,6 +49,22 @@ def test_ids_are_those_of_the_public_library(reference):
     assert encoded(texts) == [reference.encode_ordinary(t or "") for t in texts]
 
 
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_words_of_one_hash_keep_their_ids(reference, size):
+    """Thue-Morse words agree in every polynomial hash modulo a power of two."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+    other = one.translate({97: "b", 98: "a"})
+    assert encoded([one, other, one]) == [reference.encode_ordinary(t) for t in (one, other, one)]
+
+
+def test_colliding_hashes_are_found_out(reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe.Hasher, "__call__", lambda self, a, b: np.ones(len(a), np.uint64))
+    byte_bpe.tokenizer.cache_clear()
+    texts = ["one two three", "four", "one two"]
+    assert encoded(texts) == [reference.encode_ordinary(t) for t in texts]
+    byte_bpe.tokenizer.cache_clear()
+
+
 def test_every_code_point_is_classed_as_the_library_does(reference):
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     texts = [f"a{c}b {c}1{c}{c}" for c in points[::7] + points[:0x3100]]

@@ -1,8 +1,8 @@
 """Words of text columns as numpy arrays, a chunk of rows at a time.
 
 Everything works on the UTF-8 bytes of a whole chunk at once: word bounds come
-from a table of white-space bytes, and 64-bit word hashes from one running sum
-of ``table[byte] * base**position``, so no row and no word is touched singly.
+from a table of white-space bytes, and word hashes from running sums of
+``byte * base**position``, so no row and no word is touched singly.
 """
 
 from __future__ import annotations
@@ -23,8 +23,12 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15 | 1
+# Hashes of slices are polynomials modulo this prime. Modulo a power of two some words would share
+# their hash under every base.
+_PRIME = (1 << 61) - 1
+_BASE = 0x14C7D1B3F5A92E67 % _PRIME
+# So many bytes can be summed before the running sums are reduced.
+_RUN = 1 << 22
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -37,31 +41,66 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x >> np.uint64(61)) + (x & np.uint64(_PRIME))
+    return np.where(x >= np.uint64(_PRIME), x - np.uint64(_PRIME), x)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, from halves that fit 64 bits."""
+    low, mid = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+    a1, a0, b1, b0 = a >> np.uint64(31), a & low, b >> np.uint64(31), b & low
+    cross = a0 * b1 + a1 * b0
+    return _reduced(((a1 * b1) << np.uint64(1)) + (cross >> np.uint64(30)) + ((cross & mid) << np.uint64(31)) + a0 * b0)
+
+
 @cache
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to 2**bits."""
-    n, inverse = (1 << bits) + 1, pow(_BASE, -1, 1 << 64)
+    """base**i and base**-i modulo the prime for i up to 2**bits."""
     both = []
-    for base in (_BASE, inverse):
-        steps = np.full(n, base, dtype=np.uint64)
-        steps[0] = 1
-        both.append(np.multiply.accumulate(steps))
+    for base in (_BASE, pow(_BASE, -1, _PRIME)):
+        steps = np.ones(1, dtype=np.uint64)
+        for bit in range(bits):
+            steps = np.concatenate([steps, product(steps, np.uint64(pow(base, 1 << bit, _PRIME)))])
+        both.append(np.append(steps, np.uint64(pow(base, 1 << bits, _PRIME))))
     return both[0], both[1]
 
 
 class Hasher:
-    """Hashes of any slices of ``data`` (bytes as uint8) from one running sum."""
+    """Hashes of any slices of ``data`` (bytes as uint8) from running sums of both halves of the terms."""
 
     def __init__(self, data: np.ndarray):
-        self.power, self.inverse = _powers(max(20, int(len(data)).bit_length()))
-        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * self.power[: len(data)], out=self.sums[1:])
+        power, self.inverse = _powers(max(20, int(len(data)).bit_length()))
+        self.low = np.zeros(len(data) + 1, dtype=np.uint64)
+        self.high = np.zeros(len(data) + 1, dtype=np.uint64)
+        for at in range(0, len(data), _RUN):
+            end = min(at + _RUN, len(data))
+            value = data[at:end] + np.uint64(1)
+            for sums, half in ((self.low, power[at:end] & np.uint64(0xFFFFFFFF)), (self.high, power[at:end] >> np.uint64(32))):
+                part = np.cumsum(value * half)
+                sums[at + 1 : end + 1] = _reduced(part + sums[at]) if at else part
+        self.whole = len(data) <= _RUN
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+        halves = []
+        for sums in (self.low, self.high):
+            part = sums[ends] - sums[starts]
+            if not self.whole:  # sums were reduced on the way and may have become smaller
+                part = _reduced(_reduced(sums[ends]) + np.uint64(_PRIME) - _reduced(sums[starts]))
+            halves.append(_reduced(part))
+        total = _reduced(halves[0] + product(halves[1], np.uint64(1 << 32)))
+        h = product(total, self.inverse[starts])
         return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of the concatenated ranges [start, start + length)."""
+    ends = np.cumsum(lengths)
+    if not len(ends):
+        return np.zeros(0, dtype=np.int64)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]))
+
+
 def release() -> None:
     """Give freed memory back to the system; workers live on between tasks and would keep it."""
     pa.default_memory_pool().release_unused()

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow_text import Hasher, chunks
+from tidemark.llm.arrow_text import Hasher, chunks, gather
 from tidemark.llm.ship import ship
 
 _SEPARATOR = b"\n"
@@ -144,14 +144,6 @@ def slices(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return data, starts, ends, rows
 
 
-def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Indices of the concatenated ranges [start, start + length)."""
-    ends = np.cumsum(lengths)
-    if not len(ends):
-        return np.zeros(0, dtype=np.int64)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]))
-
-
 class Merges:
     """Merges of pairs of token ids, in an open hash table of arrays."""
 
@@ -293,12 +285,16 @@ class Tokenizer:
             new, first, which = np.unique(key[missing], return_index=True, return_inverse=True)
             first = missing[first]
             size = ends[first] - starts[first]
-            ids, n = self.merges.merge(self.byte_id[data[_gather(starts[first], size)]], size)
+            ids, n = self.merges.merge(self.byte_id[data[gather(starts[first], size)]], size)
             begin = self._add(ids) + np.cumsum(n) - n
             at[missing], length[missing] = begin[which], n[which]
             self.keys[slot[first]], self.start[slot[first]], self.length[slot[first]] = new, begin, n
             # Where two new keys share a slot the last one stays, in all three arrays.
-        ids = self.pool[_gather(at, length)]
+        ids = self.pool[gather(at, length)]
+        size = ends - starts
+        if not np.array_equal(self.decode(ids), data[gather(starts, size)]):
+            # Slices of one hash need not be equal; the ids of the right ones decode to their bytes.
+            ids, length = self.merges.merge(self.byte_id[data[gather(starts, size)]], size)
         bounds = np.concatenate([[0], np.cumsum(length)])[rows]
         return ids, bounds
 
@@ -308,7 +304,7 @@ class Tokenizer:
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of all ids, one after another."""
-        return self.token_bytes[_gather(self.token_start[ids], self.token_length[ids])]
+        return self.token_bytes[gather(self.token_start[ids], self.token_length[ids])]
 
 
 @lru_cache(maxsize=2)

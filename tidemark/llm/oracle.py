@@ -116,9 +116,46 @@ select doc_id, license, cast(max(dice) as double) as dice, count(distinct line)
 from met where dice >= {THRESHOLD} group by doc_id, license
 """
 
+# Every phrase counted, every cut scored, every candidate held against every longer one.
+_COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+words as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+grams as (
+  select lang, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)),
+    lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+  from words, (select unnest(range(1, 6)) as k)),
+counts as (select lang, k, phrase, count(*) as a from grams group by lang, k, phrase having count(*) >= 100),
+cuts as (
+  select lang, phrase, k, a, cut, string_split(phrase, ' ') as w from (
+    select *, unnest(range(1, k)) as cut from counts where k > 1)),
+scored as (
+  select c.lang, c.phrase, c.k, c.a, c.cut, b.a as l, e.a as r, t.n,
+    (1000::hugeint * c.a * t.n) // (b.a::hugeint * e.a) as score
+  from cuts c join totals t using (lang)
+  join counts b on b.lang = c.lang and b.phrase = array_to_string(c.w[1:c.cut], ' ')
+  join counts e on e.lang = c.lang and e.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+weakest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+kept as (
+  select * from weakest w where not exists (
+    select 1 from counts c where c.lang = w.lang and c.k > w.k and 100 * c.a >= 100 * w.a
+      and contains(' ' || c.phrase || ' ', ' ' || w.phrase || ' '))),
+ranked as (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+    phrase, a, l, r, n, cast(score as bigint) as score
+  from kept)
+select * from ranked where rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": _WARC,
     "op5_license_scan": _LICENSES,
     "op7_ngram_jaccard_join": _JACCARD,
     "op10_fingerprints": _FINGERPRINTS,
+    "op11_collocations": _COLLOCATIONS,
 }

@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, embedding, jaccard, language, licenses, merkle, packing, quality, toxicity, warc
+from tidemark.llm import (
+    byte_bpe,
+    collocations,
+    embedding,
+    jaccard,
+    language,
+    licenses,
+    merkle,
+    packing,
+    quality,
+    toxicity,
+    warc,
+)
 from tidemark.llm.sampling import fold
 from tidemark.scale import shared_dir
 
@@ -85,6 +97,10 @@ def op10_fingerprints(spark, sf_dir):
     return merkle.edits(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -96,4 +112,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op11_collocations": op11_collocations,
 }
