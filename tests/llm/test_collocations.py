@@ -114,16 +114,32 @@ def test_words_that_agree_modulo_powers_of_two_hash_apart(size):
     assert shingle_sets(raw, offsets, 3)[0].tolist() != shingle_sets(raw, offsets, 3)[1].tolist()
 
 
-def test_hashes_do_not_depend_on_the_place(monkeypatch):
-    monkeypatch.setattr("tidemark.llm.arrow_text._RUN", 1 << 12)
+def test_hashes_do_not_depend_on_the_place():
     data = np.random.default_rng(1).integers(0, 256, 20_000).astype(np.uint8)
-    starts, ends = np.array([0, 17, 5000, 9990, 4090]), np.array([0, 60, 5100, 19_000, 4110])
+    starts, ends = np.array([0, 17, 5000, 9990, 4090, 19_992]), np.array([0, 60, 5100, 19_000, 4098, 20_000])
     long, apart = Hasher(data)(starts, ends), [Hasher(data[a:b])(np.array([0]), np.array([b - a]))[0] for a, b in zip(starts, ends)]
     assert long.tolist() == apart
-
-
-def test_equal_hashes_do_not_make_equal_words():
-    (_, _, raw, offsets), = chunks(pa.array(["aa bb aa cc bb"]))
-    grams = collocations.Grams(raw, offsets)
-    grams.hashes = np.zeros(5, dtype=np.uint64)
-    assert grams.ids().tolist() == [0, 1, 0, 2, 1]
+    with_zeros = np.zeros(30, np.uint8)
+    sizes = np.arange(31)
+    assert len(set(Hasher(with_zeros)(np.zeros(31, np.int64), sizes).tolist())) == 31
+
+
+def test_equal_hashes_do_not_make_equal_words(spark, monkeypatch):
+    grams = collocations.Grams(*next(chunks(pa.array(["aa bb aa cc bb"])))[2:])
+    assert grams.same(np.array([0, 1]), np.array([2, 4])) and not grams.same(np.array([0, 1]), np.array([2, 3]))
+    texts = ["a" * n + " " + "a" * (n - 1) + "b " + "a" * n for n in (20, 90)]
+    long = collocations.Grams(*next(chunks(pa.array(texts)))[2:])
+    assert long.same(np.array([0]), np.array([2])) and not long.same(np.array([0]), np.array([1]))
+    assert long.same(np.array([3]), np.array([5])) and not long.same(np.array([3]), np.array([4]))
+    assert len(set(long.hashes.tolist())) == 4
+
+    class Sent:
+        value = collocations.Round(np.full(8, 255, np.uint8))
+
+    monkeypatch.setattr(collocations, "mix", lambda h: np.zeros(len(h), np.uint64))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de"], "text": ["aa bb aa", "aa"]})
+    found = Counter()
+    for part in collocations._counts([batch], Sent, 2):
+        for key, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            found[key] += n
+    assert found[b"\1en\naa"] == 2 and found[b"\1de\naa"] == 1 and found[b"\1en\naa bb"] == 1 and found[b"\2en"] == 3

@@ -1,15 +1,15 @@
 """Words of text columns as numpy arrays, a chunk of rows at a time.
 
 Everything works on the UTF-8 bytes of a whole chunk at once: word bounds come
-from a table of white-space bytes, and word hashes from running sums of
-``byte * base**position``, so no row and no word is touched singly.
+from a table of white-space bytes, and word hashes from eight bytes of all
+words at a time, so no row and, but for very long ones, no word is touched singly.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +23,9 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-# Hashes of slices are polynomials modulo this prime. Modulo a power of two some words would share
-# their hash under every base.
-_PRIME = (1 << 61) - 1
-_BASE = 0x14C7D1B3F5A92E67 % _PRIME
-# So many bytes can be summed before the running sums are reduced.
-_RUN = 1 << 22
+_STEP, _SIZE = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
+# Slices of more bytes than this are hashed one by one.
+_LONG = 64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -41,56 +38,47 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _reduced(x: np.ndarray) -> np.ndarray:
-    x = (x >> np.uint64(61)) + (x & np.uint64(_PRIME))
-    return np.where(x >= np.uint64(_PRIME), x - np.uint64(_PRIME), x)
-
-
-def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a * b modulo the prime, from halves that fit 64 bits."""
-    low, mid = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
-    a1, a0, b1, b0 = a >> np.uint64(31), a & low, b >> np.uint64(31), b & low
-    cross = a0 * b1 + a1 * b0
-    return _reduced(((a1 * b1) << np.uint64(1)) + (cross >> np.uint64(30)) + ((cross & mid) << np.uint64(31)) + a0 * b0)
-
-
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo the prime for i up to 2**bits."""
-    both = []
-    for base in (_BASE, pow(_BASE, -1, _PRIME)):
-        steps = np.ones(1, dtype=np.uint64)
-        for bit in range(bits):
-            steps = np.concatenate([steps, product(steps, np.uint64(pow(base, 1 << bit, _PRIME)))])
-        both.append(np.append(steps, np.uint64(pow(base, 1 << bits, _PRIME))))
-    return both[0], both[1]
-
-
 class Hasher:
-    """Hashes of any slices of ``data`` (bytes as uint8) from running sums of both halves of the terms."""
+    """64-bit hashes of any slices of ``data`` (bytes as uint8), eight bytes of all slices at a time."""
 
     def __init__(self, data: np.ndarray):
-        power, self.inverse = _powers(max(20, int(len(data)).bit_length()))
-        self.low = np.zeros(len(data) + 1, dtype=np.uint64)
-        self.high = np.zeros(len(data) + 1, dtype=np.uint64)
-        for at in range(0, len(data), _RUN):
-            end = min(at + _RUN, len(data))
-            value = data[at:end] + np.uint64(1)
-            for sums, half in ((self.low, power[at:end] & np.uint64(0xFFFFFFFF)), (self.high, power[at:end] >> np.uint64(32))):
-                part = np.cumsum(value * half)
-                sums[at + 1 : end + 1] = _reduced(part + sums[at]) if at else part
-        self.whole = len(data) <= _RUN
+        self.data = np.zeros(len(data) + 8, dtype=np.uint8)
+        self.data[: len(data)] = data
+        self.view = np.ndarray((len(data) + 1,), dtype="<u8", buffer=self.data, strides=(1,))
+
+    def _eights(self, starts: np.ndarray, size: np.ndarray, nth: int) -> np.ndarray:
+        """Bytes 8 * nth and on of each slice as one number, zero beyond its end."""
+        left = np.minimum(size - 8 * nth, 8).astype(np.uint64)
+        return self.view[starts + 8 * nth] & (np.uint64(2**64 - 1) >> (np.uint64(64) - left * np.uint64(8)))
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        halves = []
-        for sums in (self.low, self.high):
-            part = sums[ends] - sums[starts]
-            if not self.whole:  # sums were reduced on the way and may have become smaller
-                part = _reduced(_reduced(sums[ends]) + np.uint64(_PRIME) - _reduced(sums[starts]))
-            halves.append(_reduced(part))
-        total = _reduced(halves[0] + product(halves[1], np.uint64(1 << 32)))
-        h = product(total, self.inverse[starts])
-        return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        size = ends - starts
+        h = mix(self._eights(starts, size, 0) ^ (size.astype(np.uint64) * _SIZE))
+        for nth in range(1, _LONG // 8):
+            left = np.flatnonzero(size > 8 * nth)
+            if not len(left):
+                return h
+            h[left] = mix((h[left] * _STEP) ^ self._eights(starts[left], size[left], nth))
+        for i in np.flatnonzero(size > _LONG).tolist():
+            whole = hashlib.blake2b(self.data[starts[i] : ends[i]], digest_size=8).digest()
+            h[i] = np.frombuffer(whole, dtype=np.uint64)[0]
+        return h
+
+    def same(self, starts: np.ndarray, ends: np.ndarray, of: np.ndarray, others: np.ndarray) -> bool:
+        """Whether the slices ``of`` hold the same bytes as the slices ``others``, each as its own."""
+        size = ends[of] - starts[of]
+        if not np.array_equal(size, ends[others] - starts[others]):
+            return False
+        a, b = starts[of], starts[others]
+        for nth in range(_LONG // 8):
+            if not np.array_equal(self._eights(a, size, nth), self._eights(b, size, nth)):
+                return False
+            more = size > 8 * (nth + 1)
+            a, b, size = a[more], b[more], size[more]
+            if not len(a):
+                return True
+        spans = zip(a.tolist(), b.tolist(), size.tolist(), strict=True)
+        return all(np.array_equal(self.data[x : x + n], self.data[y : y + n]) for x, y, n in spans)
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -133,6 +121,11 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
     release()
 
 
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return _LOWER[raw]
+
+
 class Words:
     """Lower-cased words of a chunk: ``starts``, ``ends``, and each row's word range."""
 

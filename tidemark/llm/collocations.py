@@ -1,15 +1,19 @@
 """Collocation mining by Toivonen's sampling, exact over all texts.
 
 Phrases of a sample that reach a lowered threshold are the proposal. A pass
-over all texts counts every word, the proposed phrases and their negative
-border: phrases that are not proposed, but whose beginning and end (all words
-but the last, all but the first) are. If a border phrase turns out frequent,
-the proposal missed it; it joins, and another pass counts what has newly come
-into the border, until nothing does. Every part of a frequent phrase is as
-frequent, so nothing frequent is then left uncounted.
-
-The proposal reaches the tasks as a Bloom filter of bounded size. What passes
-it by chance is counted too, which costs time and changes no count.
+over all texts counts the proposed phrases and their negative border: words
+that are not proposed, and phrases that are not although their beginning and
+end (all words but the last, all but the first) are. Border phrases are counted
+by a hash of 48 bits; those of a hash that reaches the threshold may be
+frequent, and failed the proposal. An expansion pass then counts them, and
+whatever they bring into the border, by their words.
+
+The expansion follows a phrase that is new in the border to the phrases that
+it begins or ends, in the same pass: every part of a frequent phrase is as
+frequent, so each frequent phrase has been counted by its words when it ends.
+
+Proposal and failures reach the tasks as a Bloom filter of bounded size. What
+passes it by chance is counted too, which costs time and changes no count.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow_text import Words, chunks, gather, mix
+from tidemark.llm.arrow_text import Hasher, chunks, gather, lowered, mix
 from tidemark.llm.sampling import chance
 from tidemark.llm.ship import ship
 from tidemark.scale import materialise
@@ -38,7 +42,10 @@ _STEP = np.uint64(0x9FB21C651E98DF25)
 _BITS_EACH, _LEAST_BITS, _MOST_BITS = 8, 20, 30
 _SLICES = 64
 _PARTS = 64
-_COUNTED = "lang string, phrase string, n long"
+# A counted key is a hash, the words of a language and phrase, or a language alone (its number of words).
+_HASH, _PHRASE, _LANGUAGE = 0, 1, 2
+# Of a phrase's hash so many bits are counted, and the filter has two places for them.
+_KEPT, _SECOND = 48, 18
 
 
 @dataclass(frozen=True)
@@ -58,131 +65,157 @@ class Mining:
 
 
 class Grams:
-    """The words of a chunk by exact identity, and where phrases may go on."""
+    """The words of a chunk with a 64-bit hash each, and which follow each other in one piece."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray):
-        found = Words(raw, offsets, _SPLIT)
-        self.data, self.starts, self.ends, self.hashes = found.data, found.starts, found.ends, found.hashes
-        self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(found.rows))
-        self.first_word = found.rows
-        piece = np.cumsum(_BREAK[raw])[self.starts]
+        n = len(raw)
+        self.hasher = Hasher(lowered(raw))
+        split = _SPLIT[raw]
+        edges = offsets[(offsets > 0) & (offsets < n)]
+        begins, ends = ~split, ~split
+        begins[1:] &= split[:-1]
+        ends[:-1] &= split[1:]
+        begins[edges] = ~split[edges]
+        ends[edges - 1] = ~split[edges - 1]
+        self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        self.first_word = np.searchsorted(self.starts, offsets)
+        self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first_word))
+        breaks = np.flatnonzero(_BREAK[raw])
+        piece = np.searchsorted(breaks, self.starts)
         self.linked = (piece[1:] == piece[:-1]) & (self.row[1:] == self.row[:-1])
+        self.hashes = self.hasher(self.starts, self.ends)
 
-    def ids(self) -> np.ndarray:
-        """A number for each word, the same for equal words and for no others."""
-        _, first, ids = np.unique(self.hashes, return_index=True, return_inverse=True)
-        size = self.ends - self.starts
-        model = first[ids]
-        if (size == size[model]).all() and np.array_equal(
-            self.data[gather(self.starts, size)], self.data[gather(self.starts[model], size)]
-        ):
-            return ids
-        known: dict[bytes, int] = {}  # two words share a hash: compare the words themselves
-        spans = zip(self.starts.tolist(), self.ends.tolist(), strict=True)
-        return np.array([known.setdefault(self.data[a:b].tobytes(), len(known)) for a, b in spans], dtype=np.int64)
-
-    def texts(self, first: np.ndarray, k: int) -> pa.Array:
-        """The phrases of ``k`` words that begin with the words ``first``, joined by single spaces."""
+    def same(self, words: np.ndarray, others: np.ndarray) -> bool:
+        """Whether the ``words`` equal the ``others``, each its own."""
+        return self.hasher.same(self.starts, self.ends, words, others)
+
+    def texts(self, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, bounds) of the phrases of ``k`` words that begin with the words ``first``, joined by single spaces."""
         words = (first[:, None] + np.arange(k)).reshape(-1)
         size = self.ends[words] - self.starts[words]
-        size[np.arange(len(size)) % k != k - 1] += 1
+        inner = np.arange(len(size)) % k != k - 1
+        size[inner] += 1
         ends = np.cumsum(size)
-        joined = np.append(self.data, np.uint8(0x20))[gather(self.starts[words], size)]
-        joined[ends[np.arange(len(ends)) % k != k - 1] - 1] = 0x20
-        bounds = np.concatenate([[0], ends[k - 1 :: k]]).astype(np.int32)
-        return pa.StringArray.from_buffers(len(first), pa.py_buffer(bounds), pa.py_buffer(joined))
+        joined = self.hasher.data[gather(self.starts[words], size)]
+        joined[ends[inner] - 1] = 0x20
+        return joined, np.concatenate([[0], ends[k - 1 :: k]])
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(one index of each different key, for each key the number of its group, group sizes)."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    group = np.empty(len(keys), dtype=np.int64)
+    group[order] = np.cumsum(new) - 1
+    begin = np.flatnonzero(new)
+    return order[begin], group, np.diff(np.append(begin, len(keys)))
 
 
 def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Whether the hashes may be in the filter."""
-    mask = np.uint64(8 * len(bits) - 1)
+    q, mask = h >> np.uint64(64 - _KEPT), np.uint64(8 * len(bits) - 1)
     found = np.ones(len(h), dtype=bool)
-    for place in (h & mask, (h >> np.uint64(32)) & mask):
+    for place in (q & mask, (q >> np.uint64(_SECOND)) & mask):
         found &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return found
 
 
-def _lang_hashes(names: list[str]) -> np.ndarray:
-    digests = [hashlib.blake2b(name.encode(), digest_size=8).digest() for name in names]
-    return np.frombuffer(b"".join(digests), dtype=np.uint64)
+@dataclass
+class Round:
+    """One pass: the filter to count by, that of the pass before, or the only length of a pass over the sample."""
 
+    new: np.ndarray | None = None
+    old: np.ndarray | None = None
+    only: int | None = None
 
-def _levels(grams: Grams, lang: np.ndarray, salt: np.ndarray, old, new, longest: int):
-    """(words, language, first word, count) of the phrases to count, by length."""
-    if not len(grams.starts):
-        return
-    ids = grams.ids()
-    spoken = lang[grams.row]
-    width = int(ids.max()) + 1
-    _, first, one, n = np.unique(spoken * width + ids, return_index=True, return_inverse=True, return_counts=True)
-    if old is None:
-        yield 1, spoken[first], first, n
-    if new is None:
+
+def _levels(grams: Grams, salt: np.ndarray, turn: Round, longest: int):
+    """(words, hash and first word of every phrase to count, whether by its words), by length."""
+    word = grams.hashes
+    if not len(word):
         return
-    word = grams.hashes[first]
-    h = mix(word ^ salt[spoken[first]])
-    at, gram = np.arange(len(ids)), one
-    counted = np.ones(len(word), dtype=bool)  # in an earlier pass
-    for k in range(2, longest + 1):
-        # Beginning and end must pass, and the words must follow each other in one piece.
-        known = passes(new, h)
-        counted &= old is not None and passes(old, h)
-        left = np.flatnonzero(grams.linked if k == 2 else at[1:] == at[:-1] + 1)
-        right = left + 1
-        good = known[gram[left]] & known[gram[right]]
-        left, right = left[good], right[good]
-        begin = at[left]
-        if not len(begin):
+    h, at = mix(word ^ salt), np.arange(len(word))
+    reached = np.ones(len(word), dtype=bool)
+    for k in range(1, (turn.only or longest) + 1):
+        if k > 1:
+            left = np.flatnonzero(grams.linked if k == 2 else at[1:] == at[:-1] + 1)
+            left = left[follow[left] & follow[left + 1]]
+            if not len(left):
+                return
+            reached = was[left] & was[left + 1]
+            at = at[left]
+            h = mix(h[left] * _STEP + word[at + k - 1])
+        if turn.only == k:
+            yield k, h, at, np.zeros(len(h), dtype=bool)
             return
-        last = one[begin + k - 1]
-        _, first, phrase, n = np.unique(
-            gram[left] * len(word) + last, return_index=True, return_inverse=True, return_counts=True
-        )
-        counted = counted[gram[left[first]]] & counted[gram[right[first]]]
-        fresh = ~counted
-        if fresh.any():
-            yield k, spoken[begin[first[fresh]]], begin[first[fresh]], n[fresh]
-        h = mix(h[gram[left[first]]] * _STEP + word[last[first]])
-        at, gram = begin, phrase
-
-
-def _counts(batches, old, new, longest: int) -> Iterator[pa.RecordBatch]:
-    old, new = (None if b is None else b.value for b in (old, new))
-    for batch in batches:
-        coded = batch.column("lang").dictionary_encode()
-        names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        salt = _lang_hashes(names.to_pylist())
-        for first, last, raw, offsets in chunks(batch.column("text")):
-            grams = Grams(raw, offsets)
-            lang = codes[first:last]
-            if old is None:  # the number of words, as the count of an empty phrase
-                total = np.bincount(lang, np.diff(grams.first_word), minlength=len(names)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names)), pa.array(total)], names=["lang", "phrase", "n"])
-            for k, spoken, begin, n in _levels(grams, lang, salt, old, new, longest):
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(spoken)), grams.texts(begin, k), pa.array(n)], names=["lang", "phrase", "n"]
-                )
-
-
-def _places(batches, bits: int) -> Iterator[pa.RecordBatch]:
-    """Where in the filter the phrases are, by slice."""
-    each = bits // _SLICES
+        follow = passes(turn.new, h)
+        if turn.old is None:
+            yield k, h, at, follow
+            was = follow
+        else:
+            before = passes(turn.old, h)
+            fresh = ~reached | (follow & ~before)
+            yield k, h[fresh], at[fresh], fresh[fresh]
+            follow, was = follow | ~reached, reached & before
+
+
+def _hash_keys(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.empty((len(h), 1 + _KEPT // 8), dtype=np.uint8)
+    keys[:, 0] = _HASH
+    keys[:, 1:] = (h >> np.uint64(64 - _KEPT)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _KEPT // 8 :]
+    return keys.reshape(-1), np.arange(len(h) + 1) * keys.shape[1]
+
+
+def _phrase_keys(names: list[bytes], lang: np.ndarray, joined: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Language, line feed and phrase; no phrase has a line feed."""
+    heads = np.frombuffer(b"".join(names), dtype=np.uint8)
+    size = np.array([len(name) for name in names], dtype=np.int64)
+    begin = (np.cumsum(size) - size)[lang]
+    both = np.empty((len(lang), 2), dtype=np.int64)
+    both[:, 0], both[:, 1] = size[lang], np.diff(bounds)
+    where = np.empty_like(both)
+    where[:, 0], where[:, 1] = begin, bounds[:-1] + len(heads)
+    keys = np.concatenate([heads, joined])[gather(where.reshape(-1), both.reshape(-1))]
+    return keys, np.concatenate([[0], np.cumsum(both.sum(axis=1))])
+
+
+def _batch(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    at = pa.py_buffer(np.ascontiguousarray(bounds, dtype=np.int32))
+    column = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, at, pa.py_buffer(np.ascontiguousarray(keys))])
+    return pa.RecordBatch.from_arrays([column, pa.array(n, pa.int64())], names=["key", "n"])
+
+
+def _counts(batches, sent, longest: int) -> Iterator[pa.RecordBatch]:
+    turn = sent.value
     for batch in batches:
         coded = batch.column("lang").dictionary_encode()
-        salt = _lang_hashes(coded.dictionary.to_pylist())
+        names = [name.encode() for name in coded.dictionary.to_pylist()]
+        heads = [bytes([_PHRASE]) + name + b"\n" for name in names]
+        digests = [hashlib.blake2b(name, digest_size=8).digest() for name in names]
+        salts = np.frombuffer(b"".join(digests), dtype=np.uint64)
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        for first, last, raw, offsets in chunks(batch.column("phrase")):
+        for first, last, raw, offsets in chunks(batch.column("text")):
             grams = Grams(raw, offsets)
-            begin, size = grams.first_word[:-1], np.diff(grams.first_word)
-            h = mix(grams.hashes[begin] ^ salt[codes[first:last]])
-            for j in range(1, int(size.max())):
-                longer = np.flatnonzero(size > j)
-                h[longer] = mix(h[longer] * _STEP + grams.hashes[begin[longer] + j])
-            mask = np.uint64(bits - 1)
-            place = np.concatenate([h & mask, (h >> np.uint64(32)) & mask]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((place // each).astype(np.int32)), pa.array((place % each).astype(np.int32))], names=["slice", "at"]
-            )
+            if turn.old is None and turn.only in (None, 1):
+                total = np.bincount(codes[first:last], np.diff(grams.first_word), minlength=len(names)).astype(np.int64)
+                keys = [bytes([_LANGUAGE]) + name for name in names]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(total)], names=["key", "n"])
+            lang = codes[first:last][grams.row]
+            for k, h, at, exact in _levels(grams, salts[lang], turn, longest):
+                known, rest = np.flatnonzero(exact), np.flatnonzero(~exact)
+                if len(rest):
+                    one, _, n = grouped(h[rest])
+                    yield _batch(*_hash_keys(h[rest[one]]), n)
+                if len(known):
+                    one, group, n = grouped(h[known])
+                    begin, model = at[known], at[known[one[group]]]
+                    alike = np.array_equal(lang[begin], lang[model]) and all(grams.same(begin + j, model + j) for j in range(k))
+                    if not alike:  # two phrases of one hash: each occurrence goes by itself
+                        one, n = np.arange(len(known)), np.ones(len(known), dtype=np.int64)
+                    begin = begin[one]
+                    yield _batch(*_phrase_keys(heads, lang[begin], *grams.texts(begin, k)), n)
 
 
 def _slices(batches, each: int) -> Iterator[pa.RecordBatch]:
@@ -193,14 +226,16 @@ def _slices(batches, each: int) -> Iterator[pa.RecordBatch]:
             marks.setdefault(one, np.zeros(each, dtype=bool))[at[number == one]] = True
     for one, mark in marks.items():
         packed = np.packbits(mark, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([one], pa.int32()), pa.array([packed], pa.binary())], names=["slice", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array([one], pa.int64()), pa.array([packed], pa.binary())], names=["slice", "bits"])
 
 
-def _filter(phrases: DataFrame, bits: int) -> np.ndarray:
-    """The filter of ``phrases`` (lang, phrase): ``_SLICES`` rows of fixed size reach the driver."""
-    each = bits // _SLICES
-    places = phrases.select("lang", "phrase").mapInArrow(lambda b: _places(b, bits), "slice int, at int")
-    built = places.repartition(_SLICES, "slice").mapInArrow(lambda b: _slices(b, each), "slice int, bits binary")
+def _filter(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The filter of the hashes ``q``: ``_SLICES`` rows of fixed size reach the driver."""
+    each, mask = bits // _SLICES, F.lit(bits - 1)
+    places = F.array(F.col("q").bitwiseAND(mask), F.shiftright("q", _SECOND).bitwiseAND(mask))
+    places = hashes.select(F.explode(places).alias("place"))
+    places = places.select(F.floor(F.col("place") / each).cast("long").alias("slice"), F.pmod("place", F.lit(each)).alias("at"))
+    built = places.repartition(_SLICES, "slice").mapInArrow(lambda b: _slices(b, each), "slice long, bits binary")
     whole = np.zeros((_SLICES, each // 8), dtype=np.uint8)
     for row in built.collect():
         whole[row["slice"]] = np.frombuffer(row["bits"], dtype=np.uint8)
@@ -212,39 +247,40 @@ def _filter_bits(words: float, least: int) -> int:
     return 1 << min(max(wanted.bit_length(), _LEAST_BITS), _MOST_BITS)
 
 
-def _closed(
-    texts: DataFrame, least: int, how: Mining, words: float | None = None, proposed: DataFrame | None = None
-) -> tuple[DataFrame, float]:
-    """(lang, phrase, n) of all phrases that occur ``least`` times, and the number of words.
+def _counted(texts: DataFrame, turn: Round, least: int, how: Mining) -> DataFrame:
+    """(kind, key, n) of the keys that occur ``least`` times, and of the languages."""
+    sent = texts.sparkSession.sparkContext.broadcast(turn)
+    rows = texts.mapInArrow(lambda batches: _counts(batches, sent, how.words), "key binary, n long")
+    kind = F.conv(F.hex(F.substring("key", 1, 1)), 16, 10).cast("int").alias("kind")
+    counted = rows.groupBy("key").agg(F.sum("n").alias("n")).select(kind, "key", "n")
+    return materialise(counted.where((F.col("n") >= least) | (F.col("kind") == _LANGUAGE)), "counted")
 
-    Languages have their number of words as the count of the empty phrase.
-    ``proposed`` phrases and their border are counted in the first pass.
-    """
-    spark = texts.sparkSession
-    bits = None if words is None else _filter_bits(words, how.least)
-    old = None
-    new = None if proposed is None else _filter(proposed, bits)
-    found = None
-    while True:
-        sent = [None if f is None else spark.sparkContext.broadcast(f) for f in (old, new)]
-        counted = texts.mapInArrow(lambda b, sent=sent: _counts(b, *sent, how.words), _COUNTED)
-        counted = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-        counted = materialise(counted.where((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
-        if found is None:
-            found = counted
-            total = counted.where("phrase = ''").agg(F.sum("n")).first()[0] or 0
-            bits = bits or _filter_bits(total / how.share, how.least)
-        else:
-            found = found.unionAll(counted)
-        fresh = counted.where((F.col("phrase") != "") & (F.size(_words()) < how.words)).select("lang", "phrase")
-        if proposed is not None:
-            fresh = fresh.join(proposed, ["lang", "phrase"], "left_anti")
-        fresh = materialise(fresh, "fresh")
-        if fresh.isEmpty():
-            return found, total
-        more = _filter(fresh, bits)
-        old, new = np.zeros(1, np.uint8) if new is None else new, more if new is None else new | more
-        proposed = fresh if proposed is None else proposed.unionAll(fresh)
+
+def _hashes(counted: DataFrame) -> DataFrame:
+    q = F.conv(F.hex(F.substring("key", 2, _KEPT // 8)), 16, 10).cast("long")
+    return counted.where(F.col("kind") == _HASH).select(q.alias("q"))
+
+
+def _phrases(counted: DataFrame) -> DataFrame:
+    text = F.expr("substring(key, 2)").cast("string")
+    phrase = F.when(F.col("kind") == _PHRASE, F.substring_index(text, "\n", -1)).otherwise("")
+    size = F.when(F.col("kind") == _PHRASE, F.length(text) - F.length(F.substring_index(text, "\n", -1)) - 1)
+    lang = F.substring(text, F.lit(1), F.coalesce(size, F.length(text)))
+    return counted.where(F.col("kind") != _HASH).select(lang.alias("lang"), phrase.alias("phrase"), "n")
+
+
+def _proposed(sample: DataFrame, how: Mining) -> np.ndarray:
+    """The filter of the phrases that reach the lowered threshold in the sample, found length by length."""
+    counted = _counted(sample, Round(only=1), how.least_in_sample, how)
+    words = counted.where(F.col("kind") == _LANGUAGE).agg(F.sum("n")).first()[0] or 0
+    bits = _filter_bits(words / how.share, how.least)
+    found = _filter(_hashes(counted), bits)
+    for k in range(2, how.words + 1):
+        more = _hashes(_counted(sample, Round(found, only=k), how.least_in_sample, how))
+        if more.isEmpty():
+            break
+        found = found | _filter(more, bits)
+    return found
 
 
 def _words() -> Column:
@@ -264,9 +300,13 @@ def frequent(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
     texts = docs.select(lang, F.col("text").cast("string").alias("text"))
     sample = docs.where(chance(how.seed, "doc_id", "text") < how.share)
     sample = materialise(sample.select(lang, F.col("text").cast("string").alias("text")), "sample")
-    proposed, words = _closed(sample, how.least_in_sample, how)
-    proposed = proposed.where((F.col("phrase") != "") & (F.size(_words()) < how.words)).select("lang", "phrase")
-    return _closed(texts, how.least, how, words / how.share, materialise(proposed, "proposed"))[0]
+    proposed = _proposed(sample, how)
+    counted = _counted(texts, Round(proposed), how.least, how)
+    found, failed = _phrases(counted), _hashes(counted)
+    if not failed.isEmpty():
+        wider = proposed | _filter(failed, 8 * len(proposed))
+        found = found.unionAll(_phrases(_counted(texts, Round(wider, proposed), how.least, how)))
+    return found
 
 
 def _exact(column: str) -> Column:
