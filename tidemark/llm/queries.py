@@ -21,6 +21,7 @@ from tidemark.llm import (
     quality,
     toxicity,
     warc,
+    whitening,
 )
 from tidemark.llm.sampling import fold
 from tidemark.scale import shared_dir
@@ -101,6 +102,10 @@ def op11_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -113,4 +118,5 @@ QUERIES: dict[str, Query] = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_fingerprints": op10_fingerprints,
     "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
 }
