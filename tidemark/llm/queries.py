@@ -19,6 +19,7 @@ from tidemark.llm import (
     merkle,
     packing,
     quality,
+    secrets,
     toxicity,
     warc,
     whitening,
@@ -106,6 +107,18 @@ def op12_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.fit(docs))
+    base = secrets.listed("spans", *secrets.KINDS[:3]).cast("binary")
+    return found.select(
+        "doc_id",
+        *(secrets.counted("spans", kind).alias(f"n_{kind}") for kind in secrets.KINDS),
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.listed("spans", *secrets.KINDS).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -119,4 +132,5 @@ QUERIES: dict[str, Query] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_collocations": op11_collocations,
     "op12_whitening": op12_whitening,
+    "op13_secrets": op13_secrets,
 }
