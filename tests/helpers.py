@@ -40,3 +40,27 @@ def column(df, name, *order):
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scanned(df) -> dict[str, int]:
+    """Run ``df`` and add up the metrics of its scans that read the most."""
+    query = df._jdf.queryExecution()
+    query.executedPlan().executeCollectPublic()
+    found: dict[str, int] = {}
+
+    def walk(node) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "FileSourceScanExec":
+            metrics = node.metrics()
+            for name in ("numOutputRows", "numFiles", "numPartitions"):
+                if metrics.contains(name):
+                    found[name] = max(found.get(name, 0), metrics.apply(name).value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(query.executedPlan())
+    return found

@@ -185,6 +185,80 @@ def test_a_run_takes_what_landed_after_the_last(spark, tmp_path, landed):
         pipeline.run(spark, landed, root, "second", restate_days=4)
 
 
+def _clean(spark, landed, root):
+    pipeline.run(spark, landed, root, "one")
+    return _tables(spark, root)[:2]
+
+
+def test_the_next_run_loads_what_a_refused_run_left(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "w")
+    write_snapshot(raw, "20260826_070001", [coin("bitcoin", 100)])
+    write_history(raw, "tron", "20260826_070002", _days(20, 21, 5.0))
+    with pytest.raises(ValueError, match="no dimension row"):
+        pipeline.run(spark, str(raw), root, "a")
+    assert Warehouse(spark, root).pending() == ["a"]
+    write_snapshot(raw, "20260827_070001", [coin("bitcoin", 101), coin("tron", 30)])
+    report = pipeline.run(spark, str(raw), root, "b").first()
+    assert (report.rows_received, report.rows_passed) == (5, 5)
+    assert rows(Warehouse(spark, root).fact_price(), "coin_id", "date") == [
+        ("bitcoin", day("2026-08-26")),
+        ("bitcoin", day("2026-08-27")),
+        ("tron", day("2026-08-20")),
+        ("tron", day("2026-08-21")),
+        ("tron", day("2026-08-27")),
+    ]
+    assert _tables(spark, root)[:2] == _clean(spark, str(raw), str(tmp_path / "clean"))
+    with pytest.raises(ValueError, match="run 'a' was overtaken by run 'b'"):
+        pipeline.run(spark, str(raw), root, "a")
+    assert Warehouse(spark, root).pending() == []
+    assert pipeline.run(spark, str(raw), root, "c").first().rows_received == 0
+
+
+@pytest.mark.parametrize("step", ["load", "write_report"])
+def test_a_run_may_end_anywhere(spark, tmp_path, landed, monkeypatch, step):
+    """Before anything is stored, or with everything stored but the report: the next run gives the same tables."""
+    root = str(tmp_path / "w")
+    pipeline.run(spark, landed, root, "first", until="20260826_235959")
+
+    def lost(*_, **__):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, step, lost)
+        for name in ("second", "third"):
+            with pytest.raises(RuntimeError, match="driver lost"):
+                pipeline.run(spark, landed, root, name)
+    assert Warehouse(spark, root).pending() == ["third"]
+    report = pipeline.run(spark, landed, root, "fourth").first()
+    assert (report.rows_received, report.rows_passed, report.rows_quarantined) == (6, 4, 2)
+    clean = str(tmp_path / "clean")
+    pipeline.run(spark, landed, clean, "first", until="20260826_235959")
+    pipeline.run(spark, landed, clean, "fourth")
+    assert _tables(spark, root) == _tables(spark, clean)
+
+
+def test_a_failed_run_can_be_repeated_until_the_next(spark, tmp_path, landed, monkeypatch):
+    root = str(tmp_path / "w")
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, "write_report", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pipeline.run(spark, landed, root, "a", until="20260826_235959")
+    assert pipeline.run(spark, landed, root, "a", until="20260826_235959").first().rows_received == 12
+    assert pipeline.run(spark, landed, root, "b").first().rows_received == 6
+
+
+def test_a_window_given_by_hand_does_not_hide_failed_landings(spark, tmp_path, landed, monkeypatch):
+    root = str(tmp_path / "w")
+    _known(spark, root, "tron", "bitcoin")
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, "load", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pipeline.run(spark, landed, root, "a", until="20260826_235959")
+    pipeline.run(spark, landed, root, "by hand", since="20260828_000000")
+    pipeline.run(spark, landed, root, "b")
+    assert _tables(spark, root)[1] == _clean(spark, landed, str(tmp_path / "clean"))[1]
+
+
 def test_unreadable_payloads_are_quarantined_with_their_text(spark, tmp_path):
     folder = tmp_path / "raw"
     write_snapshot(folder, "20260826_070001", [coin("bitcoin", 100)])

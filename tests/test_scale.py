@@ -1,12 +1,13 @@
 """Sliced passes and keyed joins give the same rows as plain windows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan, rows
 from tidemark import scale
 
 
@@ -66,3 +67,75 @@ def test_join_keyed_equals_a_plain_join(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert scale.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def _mixed(spark, seed):
+    """Ticks of a hot key, a few others, a null key and null prices; many share their order value."""
+    rng = random.Random(seed)
+    keys = ["hot"] * 260 + ["a"] * 3 + ["b"] * 45 + [None] * 70
+    rows = [(k, rng.randint(0, 40), i, rng.choice([None, *range(1, 90)])) for i, k in enumerate(keys)]
+    rng.shuffle(rows)
+    return rows, spark.createDataFrame([(k, d, i, None if p is None else float(p)) for k, d, i, p in rows], "key string, day int, id int, price double")
+
+
+def _by_key(rows):
+    grouped = {}
+    for k, d, i, p in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        grouped.setdefault(k, []).append((i, p))
+    return grouped
+
+
+@pytest.mark.parametrize("slices", [1, 7, 150])
+def test_running_totals_equal_plain_ones_for_any_slices(spark, monkeypatch, slices):
+    rows, frame = _mixed(spark, slices)
+    monkeypatch.setattr(scale, "_slice_count", lambda _: slices)
+    for total, fold in (("max", max), ("min", min), ("sum", sum)):
+        found = {r.id: r.out for r in scale.running(frame, "key", ["day", "id"], "price", "out", total).collect()}
+        assert len(found) == len(rows)
+        for values in _by_key(rows).values():
+            for n, (i, _) in enumerate(values):
+                seen = [p for _, p in values[: n + 1] if p is not None]
+                assert found[i] == (fold(seen) if seen else None), (total, i)
+
+
+@pytest.mark.parametrize("slices", [1, 7, 150])
+@pytest.mark.parametrize("width", [2, 31])
+def test_trailing_frames_equal_plain_ones_for_any_slices(spark, monkeypatch, slices, width):
+    rows, frame = _mixed(spark, slices)
+    monkeypatch.setattr(scale, "_slice_count", lambda _: slices)
+
+    def first(by):
+        return {"previous": F.lag("price").over(by), "seen": F.collect_list("id").over(by.rowsBetween(1 - width, 0))}
+
+    def then(by):
+        return {"n": F.size("seen")}
+
+    found = {r.id: r for r in scale.trailing(frame, "key", ["day", "id"], width, [first, then]).collect()}
+    assert len(found) == len(rows)
+    for values in _by_key(rows).values():
+        for n, (i, _) in enumerate(values):
+            assert list(found[i].seen) == [j for j, _ in values[max(0, n + 1 - width) : n + 1]]
+            assert found[i].n == len(found[i].seen)
+            if width > 1:
+                assert found[i].previous == (values[n - 1][1] if n else None)
+
+
+def test_no_window_holds_a_whole_key(spark):
+    _, frame = _mixed(spark, 0)
+    for found in (
+        scale.running(frame, "key", ["day"], "price", "out"),
+        scale.trailing(frame, "key", ["day"], 3, [lambda by: {"m": F.avg("price").over(by.rowsBetween(-2, 0))}]),
+    ):
+        over = re.findall(r"Window \[(.*?)\], \[(.*?)\]", plan(found))
+        rowwise = [by for what, by in over if "price" in what]
+        assert rowwise and all("_slice" in by for by in rowwise)
+
+
+@pytest.mark.parametrize("function", ["running", "trailing"])
+def test_no_rows_give_none(spark, function):
+    empty = spark.createDataFrame([], "key string, day int, price double")
+    if function == "running":
+        assert scale.running(empty, "key", ["day"], "price", "out").columns[-1] == "out"
+        assert scale.running(empty, "key", ["day"], "price", "out").count() == 0
+    else:
+        assert scale.trailing(empty, "key", ["day"], 5, [lambda by: {"m": F.lag("price").over(by)}]).count() == 0

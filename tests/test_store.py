@@ -4,8 +4,9 @@ from glob import glob
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import day, fact, prices, rows
+from helpers import day, fact, plan, prices, rows, scanned
 from tidemark.operators import store
+from tidemark.scale import materialise
 
 
 @pytest.fixture
@@ -37,6 +38,17 @@ def test_last_writer_wins_within_and_over_the_stored_rows(spark):
     assert rows(again) == rows(merged)
 
 
+def test_an_upsert_reads_only_the_months_of_its_batch(spark, warehouse):
+    months = [f"2025-{m:02d}-10" for m in range(1, 13)]
+    warehouse.upsert_fact(_ordered(fact(spark, *[("a", d, 1.0) for d in months])), ["ord"])
+    warehouse.upsert_fact(_ordered(fact(spark, ("a", "2025-03-11", 2.0))), ["ord"])
+    batch = fact(spark, ("a", "2025-03-12", 3.0)).withColumn("month", F.date_format("date", "yyyy-MM"))
+    touched = warehouse.in_months("fact_price", materialise(batch, "batch"))
+    assert "dynamicpruning" in plan(touched)
+    assert rows(touched, "date", "price") == [(day("2025-03-10"), 1.0), (day("2025-03-11"), 2.0)]
+    assert scanned(touched)["numPartitions"] == 1
+
+
 def test_upsert_rewrites_only_the_months_of_the_batch(spark, warehouse):
     first = fact(spark, ("a", "2026-01-31", 1.0), ("a", "2026-02-01", 2.0), ("b", "2026-02-03", 3.0))
     warehouse.upsert_fact(_ordered(first), ["ord"])

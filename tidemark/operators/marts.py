@@ -9,11 +9,13 @@ date after (a window must see the preceding days).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ratio_change, relative_change
-from tidemark.scale import join_keyed, materialise, sliced
+from tidemark.scale import join_keyed, materialise, running, sliced, trailing
 
 
 def _by_day():
@@ -171,6 +173,39 @@ def _ranks(rows: DataFrame, value: str, by: Column) -> DataFrame:
     return placed.select(value, (F.lit(1) + F.col("_offset") + F.col("_before")).alias("rank"))
 
 
+def drawdown_ticks(ticks: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``running_peak`` and ``drawdown`` of every tick, for coins with any number of ticks."""
+    peaks = running(ticks, "coin_id", order, "price", "running_peak", "max")
+    return peaks.withColumn("drawdown", relative_change(F.col("price"), F.col("running_peak")))
+
+
+def trailing_ticks(ticks: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Averages, return, volatility and 30-row return of every tick, for coins with any number of ticks.
+
+    Columns are those of the daily marts, over ticks instead of days.
+    """
+
+    def first(by: WindowSpec) -> dict[str, Column]:
+        return {
+            "_previous": F.lag("price").over(by),
+            "moving_avg_7d": F.avg("price").over(by.rowsBetween(-6, 0)),
+            "moving_avg_30d": F.avg("price").over(by.rowsBetween(-29, 0)),
+            "price_30d_ago": F.lag("price", 30).over(by),
+        }
+
+    def then(by: WindowSpec) -> dict[str, Column]:
+        return {
+            "daily_return": relative_change(F.col("price"), F.col("_previous")),
+            "return_30d": ratio_change(F.col("price"), F.col("price_30d_ago")),
+        }
+
+    def last(by: WindowSpec) -> dict[str, Column]:
+        return {"volatility_30d": F.round(F.stddev_samp("daily_return").over(by.rowsBetween(-29, 0)), 5)}
+
+    # The oldest return of a frame looks one price further back.
+    return trailing(ticks, "coin_id", order, 31, [first, then, last]).drop("_previous")
+
+
 def coverage(fact: DataFrame) -> DataFrame:
     """First day, last day and row count per coin, by coin."""
     return (

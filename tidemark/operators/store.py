@@ -11,10 +11,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.scale import materialise
-from tidemark.schemas import DIM, DIM_KEY, DIM_LENGTHS, FACT, FACT_KEY, GAPS, MARKS, MEASURES, QUARANTINE
+from tidemark.schemas import (
+    DIM,
+    DIM_KEY,
+    DIM_LENGTHS,
+    FACT,
+    FACT_KEY,
+    GAPS,
+    MARKS,
+    MART_DAILY,
+    MART_MONTHS,
+    MEASURES,
+    QUARANTINE,
+)
 
 # The landing window of each run, a row a run.
 RUNS = T.StructType([T.StructField(c, T.StringType()) for c in ("run_id", "since", "after", "until")])
+# What became of a started run: done, or overtaken by a later run that loads its landings.
+STATES = T.StructType([T.StructField(c, T.StringType()) for c in ("run_id", "state", "by")])
+DONE, OVERTAKEN = "done", "overtaken"
 
 # Stored layout of each table: declared columns plus the folder column, if any.
 STORED = {
@@ -22,7 +37,13 @@ STORED = {
     "fact_price": T.StructType([*FACT.fields, T.StructField("month", T.StringType())]),
     "quarantine": QUARANTINE,
     "gaps": T.StructType([*GAPS.fields, T.StructField("run_id", T.StringType())]),
+    "mart_daily": MART_DAILY,
+    "mart_months": MART_MONTHS,
 }
+# Tables in a folder for each month, of which a load replaces those it touches.
+BY_MONTH = ("fact_price", "mart_daily", "mart_months")
+# A look-up of one coin passes over the row groups whose filter does not hold it.
+LOOKUP = {"parquet.bloom.filter.enabled#coin_id": "true"}
 
 
 def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -59,10 +80,15 @@ def replace_keys(stored: DataFrame, latest: DataFrame, keys: Sequence[str]) -> D
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Parquet tables below one folder that all executors can reach."""
+    """Parquet tables below one folder that all executors can reach.
+
+    ``options`` go to the Parquet writer of the tables by month, whose rows lie
+    in order of coin and day, with a Bloom filter on the coin.
+    """
 
     spark: SparkSession
     root: str
+    options: tuple[tuple[str, str], ...] = ()
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -99,8 +125,8 @@ class Warehouse:
         self._finish("fact_price")
         return self.read("fact_price")
 
-    def upsert_fact(self, batch: DataFrame, order: Sequence[str]) -> None:
-        """Merge a batch into the fact, rewriting only the months it touches.
+    def upsert_fact(self, batch: DataFrame, order: Sequence[str]) -> DataFrame:
+        """Merge a batch into the fact, rewriting only the months it touches, and return the rows merged.
 
         The reduced batch is written first: it is used twice, and its known
         size lets Spark broadcast it when small, so stored rows stay in place.
@@ -110,11 +136,20 @@ class Warehouse:
             "month", F.date_format("date", "yyyy-MM")
         )
         latest = materialise(latest, "latest")
-        # One string per calendar month of the batch: bounded by the calendar.
-        months = [row.month for row in latest.select("month").distinct().collect()]
-        if months:
-            stored = self._fact_by_month().where(F.col("month").isin(months))
+        if not latest.isEmpty():
+            stored = self.in_months("fact_price", latest)
             self._replace("fact_price", replace_keys(stored, latest, FACT_KEY))
+        return latest
+
+    def in_months(self, table: str, batch: DataFrame) -> DataFrame:
+        """Stored rows of the months that occur in ``batch``, a written frame.
+
+        Spark prunes the folders while it runs, by the months it has broadcast:
+        a row a calendar month. It only does so for a side with a filter.
+        """
+        self._finish(table)
+        months = batch.where(F.col("month") >= "").select("month").distinct()
+        return self.read(table).join(F.broadcast(months), "month", "left_semi").select(*STORED[table].names)
 
     def upsert_dim(self, batch: DataFrame, order: Sequence[str]) -> None:
         """Merge a batch into the dimension."""
@@ -132,16 +167,27 @@ class Warehouse:
         """Load validated history rows."""
         self.upsert_fact(rows, order)
 
-    def marks(self, run_id: str, marks: DataFrame, restate_days: int = 0) -> DataFrame:
-        """Marks a run started from, kept so that a rerun selects the same rows."""
+    def marks(self, run_id: str, marks: DataFrame, restate_days: int = 0, anew: bool = False) -> DataFrame:
+        """Marks a run started from, kept so that a rerun selects the same rows; ``anew`` forgets kept ones."""
         folder = f"{self.path('marks')}/run_id={run_id}"
         path = f"{folder}/restate_days={restate_days}"
+        if anew:
+            self._delete(folder)
         if not self.exists(f"{path}/_SUCCESS"):
             if self.exists(folder) and self._names(folder) - {f"restate_days={restate_days}"}:
                 raise ValueError(f"run {run_id!r} was started with another restate_days")
             marks.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(MARKS).parquet(path)
 
+    def marks_of(self, run_id: str) -> DataFrame:
+        """The marks that another run started from."""
+        folder = f"{self.path('marks')}/run_id={run_id}"
+        return self.spark.read.schema(MARKS).parquet(*(f"{folder}/{name}" for name in sorted(self._names(folder))))
+
+    def _delete(self, path: str) -> None:
+        fs, target = self._hadoop(path)
+        fs.delete(target, True)
+
     def _names(self, folder: str) -> set[str]:
         fs, path = self._hadoop(folder)
         return {status.getPath().getName() for status in fs.listStatus(path)}
@@ -157,6 +203,38 @@ class Warehouse:
         row = self.spark.createDataFrame([(run_id, since, after, until)], RUNS).drop("run_id")
         row.coalesce(1).write.mode("overwrite").json(f"{self.path('runs')}/run_id={run_id}")
 
+    def states(self) -> DataFrame:
+        """run_id, state and by of the runs that are done or overtaken."""
+        path = self.path("run_states")
+        if not self.exists(path):
+            return self.spark.createDataFrame([], STATES)
+        return self.spark.read.schema(STATES).json(path)
+
+    def keep_state(self, run_id: str, state: str, by: str | None = None) -> None:
+        row = self.spark.createDataFrame([(run_id, state, by)], STATES).drop("run_id")
+        row.coalesce(1).write.mode("overwrite").json(f"{self.path('run_states')}/run_id={run_id}")
+
+    def pending(self) -> list[str]:
+        """Runs that took what had landed since the last, were started and neither done nor overtaken; oldest first."""
+        open_ = self.windows().where("since is null").join(self.states(), "run_id", "left_anti")
+        return [r.run_id for r in open_.orderBy(F.col("after").asc_nulls_first(), "until", "run_id").collect()]
+
+    def landed_until(self, pending: Sequence[str]) -> str | None:
+        """The stamp up to which everything landed is loaded: by runs that are done, and before all ``pending`` ones."""
+        done = self.windows().join(self.states().where(F.col("state") == DONE), "run_id", "left_semi")
+        until = done.agg(F.max("until")).first()[0]
+        if not pending:
+            return until
+        before = self.windows().where(F.col("run_id").isin(list(pending)))
+        before = before.agg(F.min("after").alias("after"), F.count_if(F.col("after").isNull()).alias("whole")).first()
+        return None if before.whole or until is None else min(until, before.after)
+
+    def overtake(self, run_id: str, by: str) -> None:
+        """Forget what a run that failed had set aside: the run ``by`` loads its landings again."""
+        for table in ("quarantine", "gaps"):
+            self._delete(f"{self.path(table)}/run_id={run_id}")
+        self.keep_state(run_id, OVERTAKEN, by)
+
     def keep_ranking(self, ranking: DataFrame) -> DataFrame:
         """Store the ranking of the current fact, a row a coin, and read it back."""
         path = self.path("volatility_ranking")
@@ -181,9 +259,10 @@ class Warehouse:
 
     def _replace(self, table: str, rows: DataFrame) -> None:
         """Write aside in full, then publish: the result is safe before the table changes."""
-        if table == "fact_price":
+        if table in BY_MONTH:
             # Rebalancing splits a month too large for one task and joins small ones.
-            arranged = rows.hint("rebalance", "month").sortWithinPartitions("month", *FACT_KEY)
+            key = [c for c in FACT_KEY if c in rows.columns]
+            arranged = rows.hint("rebalance", "month").sortWithinPartitions("month", *key)
             writer = arranged.write.partitionBy("month")
         else:
             writer = rows.hint("rebalance").write
@@ -206,11 +285,58 @@ class Warehouse:
 
     def _publish(self, table: str, rows: DataFrame) -> None:
         writer = rows.write.mode("overwrite")
-        if table == "fact_price":
+        if table in BY_MONTH:
+            writer = writer.options(**LOOKUP, **dict(self.options))
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("month")
         writer.parquet(self.path(table))
 
 
+@dataclass(frozen=True)
+class BucketedWarehouse(Warehouse):
+    """A warehouse whose fact is a catalogue table, bucketed by coin within each month.
+
+    Windows and joins by coin on ``fact_price()`` then need no shuffle of the
+    stored rows. ``name`` is the table's name in the catalogue; the files stay
+    below ``root``, and a session with another catalogue finds them again.
+    ``buckets`` is fixed with the table: take about one for each 128 MB of a
+    month's rows, and no fewer than tasks that shall read it.
+    """
+
+    name: str = "stored_fact_price"
+    buckets: int = 64
+
+    def _declare(self) -> None:
+        if self.spark.catalog.tableExists(self.name):
+            return
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED["fact_price"].fields)
+        options = ", ".join(f"'{key}' '{value}'" for key, value in (*LOOKUP.items(), *self.options))
+        self.spark.sql(
+            f"CREATE TABLE {self.name} ({columns}) USING parquet OPTIONS ({options}) PARTITIONED BY (month) "
+            f"CLUSTERED BY (coin_id) SORTED BY (coin_id, date) INTO {self.buckets} BUCKETS LOCATION '{self.path('fact_price')}'"
+        )
+        self.spark.catalog.recoverPartitions(self.name)
+
+    def read(self, table: str) -> DataFrame:
+        if table != "fact_price":
+            return super().read(table)
+        self._declare()
+        return self.spark.table(self.name).select(*STORED[table].names)
+
+    def _publish(self, table: str, rows: DataFrame) -> None:
+        if table != "fact_price":
+            return super()._publish(table, rows)
+        self._declare()
+        # The tasks hold whole buckets, so each writes one file a month and bucket.
+        dealt = rows.select(*STORED[table].names).repartition(self.buckets, "coin_id")
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            dealt.sortWithinPartitions("month", *FACT_KEY).write.insertInto(self.name, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+
+
 def quarantine_rows(rows: DataFrame) -> DataFrame:
     """The columns the quarantine keeps; load time and run id are added on write."""
     return rows.select(*FACT_KEY, *MEASURES, "reason")

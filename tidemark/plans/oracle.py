@@ -116,6 +116,44 @@ _CHECK_LIST = """
   CASE WHEN volume < 0 THEN 'volume:greater_than_or_equal_to(0)' END,
   CASE WHEN market_cap < 0 THEN 'market_cap:greater_than_or_equal_to(0)' END"""
 
+_BY_TICK = f"PARTITION BY coin_id ORDER BY date, {_TICK_ORDER}"
+
+
+def _two_landings(judged_by: str) -> str:
+    """Stored facts of all events and customers, days compared within ``judged_by``."""
+    return f"""WITH points AS (
+        SELECT CAST(user_id AS VARCHAR) AS coin_id, CAST(ts AS DATE) AS date, ts, value, event_type,
+               CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events), days AS (
+        SELECT coin_id, date, last(value ORDER BY ts) AS price,
+               last(value * k ORDER BY ts) FILTER (WHERE event_type = 'purchase') AS market_cap,
+               last(k ORDER BY ts) AS volume
+        FROM points GROUP BY coin_id, date), good AS (
+        SELECT *, lag(price) OVER (PARTITION BY {judged_by} ORDER BY date) AS prev
+        FROM days WHERE price > 0 AND (market_cap IS NULL OR market_cap >= 0) AND (volume IS NULL OR volume >= 0))
+      SELECT {_FIVE} FROM good WHERE prev IS NULL OR NOT abs(price / prev - 1) > 0.5
+      UNION ALL SELECT CAST(c_custkey AS VARCHAR), DATE '2023-12-31', c_acctbal + 1000, NULL, NULL
+      FROM customer WHERE c_acctbal + 1000 > 0"""
+
+
+_MART_CHECK = f"""WITH {_VOLATILITY}, peaks AS (
+        SELECT price, max(price) OVER ({_BY_DAY} ROWS UNBOUNDED PRECEDING) AS peak FROM daily), averages AS (
+        SELECT avg(price) OVER ({_BY_DAY} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+               + avg(price) OVER ({_BY_DAY} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS avgs FROM daily), monthly AS (
+        SELECT price / nullif(lag(price, 30) OVER ({_BY_DAY}), 0) - 1 AS change FROM daily), ranked AS (
+        SELECT rank() OVER (ORDER BY volatility_30d DESC NULLS FIRST) AS place FROM (
+          SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY date DESC) AS rn FROM volatility) WHERE rn = 1)
+      SELECT 'daily_return' AS view_name, count(*) AS row_count, count(daily_return) AS filled,
+             round(sum(daily_return), 4) AS total FROM volatility
+      UNION ALL SELECT 'moving_averages', count(*), count(avgs), round(sum(avgs), 2) FROM averages
+      UNION ALL SELECT 'rolling_volatility', count(*), count(volatility_30d), round(sum(volatility_30d), 3) FROM volatility
+      UNION ALL SELECT 'max_drawdown', count(*), count(peak + (price - peak) / nullif(peak, 0)),
+             round(sum(peak + (price - peak) / nullif(peak, 0)), 2) FROM peaks
+      UNION ALL SELECT 'volatility_ranking', count(*), count(place), round(sum(CAST(place AS DOUBLE)), 0) FROM ranked
+      UNION ALL SELECT 'return_30d', count(*), count(change), round(sum(change), 4) FROM monthly"""
+
+_LOADED = f"""{_MERGED}, daily AS (SELECT coin_id, date, price FROM ranked WHERE rn = 1), {_RETURNS}"""
+
+
 ORACLE: dict[str, str] = {
     "daily_last": f"""WITH {_BAD}
       SELECT coin_id, date,
@@ -306,34 +344,43 @@ ORACLE: dict[str, str] = {
       SELECT rejected, CASE WHEN rejected IS NOT NULL THEN 'Unreadable payload' END AS reason,
              CASE WHEN rejected IS NULL THEN 'read' ELSE 'failed' END AS status, count(*) AS row_count
       FROM texts GROUP BY ALL""",
-    "mart_check": f"""WITH {_VOLATILITY}, peaks AS (
-        SELECT price, max(price) OVER ({_BY_DAY} ROWS UNBOUNDED PRECEDING) AS peak FROM daily), averages AS (
-        SELECT avg(price) OVER ({_BY_DAY} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
-               + avg(price) OVER ({_BY_DAY} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS avgs FROM daily), monthly AS (
-        SELECT price / nullif(lag(price, 30) OVER ({_BY_DAY}), 0) - 1 AS change FROM daily), ranked AS (
-        SELECT rank() OVER (ORDER BY volatility_30d DESC NULLS FIRST) AS place FROM (
-          SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY date DESC) AS rn FROM volatility) WHERE rn = 1)
-      SELECT 'daily_return' AS view_name, count(*) AS row_count, count(daily_return) AS filled,
-             round(sum(daily_return), 4) AS total FROM volatility
-      UNION ALL SELECT 'moving_averages', count(*), count(avgs), round(sum(avgs), 2) FROM averages
-      UNION ALL SELECT 'rolling_volatility', count(*), count(volatility_30d), round(sum(volatility_30d), 3) FROM volatility
-      UNION ALL SELECT 'max_drawdown', count(*), count(peak + (price - peak) / nullif(peak, 0)),
-             round(sum(peak + (price - peak) / nullif(peak, 0)), 2) FROM peaks
-      UNION ALL SELECT 'volatility_ranking', count(*), count(place), round(sum(CAST(place AS DOUBLE)), 0) FROM ranked
-      UNION ALL SELECT 'return_30d', count(*), count(change), round(sum(change), 4) FROM monthly""",
+    "mart_check": _MART_CHECK,
+    "mart_check_catalogue": _MART_CHECK,
     "load_history": f"WITH {_MERGED} SELECT {_FIVE} FROM ranked WHERE rn = 1",
-    "pipeline_second_run": f"""WITH points AS (
-        SELECT CAST(user_id AS VARCHAR) AS coin_id, CAST(ts AS DATE) AS date, ts, value, event_type,
-               CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events), days AS (
-        SELECT coin_id, date, last(value ORDER BY ts) AS price,
-               last(value * k ORDER BY ts) FILTER (WHERE event_type = 'purchase') AS market_cap,
-               last(k ORDER BY ts) AS volume
-        FROM points GROUP BY coin_id, date), good AS (
-        SELECT *, lag(price) OVER (PARTITION BY coin_id, date < DATE '2024-01-16' ORDER BY date) AS prev
-        FROM days WHERE price > 0 AND (market_cap IS NULL OR market_cap >= 0) AND (volume IS NULL OR volume >= 0))
-      SELECT {_FIVE} FROM good WHERE prev IS NULL OR NOT abs(price / prev - 1) > 0.5
-      UNION ALL SELECT CAST(c_custkey AS VARCHAR), DATE '2023-12-31', c_acctbal + 1000, NULL, NULL
-      FROM customer WHERE c_acctbal + 1000 > 0""",
+    "pipeline_second_run": _two_landings("coin_id, date < DATE '2024-01-16'"),
+    "pipeline_after_failure": _two_landings("coin_id"),
+    "volatility_bucketed": f"""WITH {_LOADED}
+      SELECT coin_id, date, price, round(daily_return, 6) AS daily_return, round(stddev_samp(daily_return) OVER (
+        {_BY_DAY} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 5) AS volatility_30d FROM returns""",
+    "marts_incremental": f"""WITH {_LOADED}, moved AS (
+        SELECT coin_id, date, price, daily_return,
+               avg(price) OVER ({_BY_DAY} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS week,
+               avg(price) OVER ({_BY_DAY} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS days,
+               max(price) OVER ({_BY_DAY} ROWS UNBOUNDED PRECEDING) AS running_peak,
+               lag(price, 30) OVER ({_BY_DAY}) AS price_30d_ago,
+               round(stddev_samp(daily_return) OVER ({_BY_DAY} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 5) AS volatility_30d
+        FROM returns)
+      SELECT coin_id, date, price, round(daily_return, 6) AS daily_return, round(week, 6) AS moving_avg_7d,
+             round(days, 6) AS moving_avg_30d, volatility_30d, running_peak,
+             round((price - running_peak) / nullif(running_peak, 0), 6) AS drawdown, price_30d_ago,
+             round(price / nullif(price_30d_ago, 0) - 1, 6) AS return_30d
+      FROM moved""",
+    "coin_lookup": f"WITH {_DAILY} SELECT {_FIVE} FROM daily WHERE coin_id = '7' ORDER BY date DESC",
+    "running_peak_ticks": f"""WITH {_TICKS}, peaks AS (
+        SELECT coin_id, date, price, {_TICK_ORDER}, max(price) OVER ({_BY_TICK} ROWS UNBOUNDED PRECEDING) AS running_peak
+        FROM ticks)
+      SELECT *, round((price - running_peak) / nullif(running_peak, 0), 6) AS drawdown FROM peaks""",
+    "moving_averages_ticks": f"""WITH {_TICKS}, moved AS (
+        SELECT coin_id, date, price, {_TICK_ORDER},
+               round(avg(price) OVER ({_BY_TICK} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_avg_7d,
+               round(avg(price) OVER ({_BY_TICK} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS moving_avg_30d,
+               (price - lag(price) OVER ({_BY_TICK})) / nullif(lag(price) OVER ({_BY_TICK}), 0) AS change,
+               lag(price, 30) OVER ({_BY_TICK}) AS price_30d_ago
+        FROM ticks)
+      SELECT coin_id, date, price, {_TICK_ORDER}, moving_avg_7d, moving_avg_30d, price_30d_ago,
+             round(change, 6) AS daily_return, round(price / nullif(price_30d_ago, 0) - 1, 6) AS return_30d,
+             round(stddev_samp(change) OVER ({_BY_TICK} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 5) AS volatility_30d
+      FROM moved""",
     "pipeline_run": f"""WITH {_PIPELINE}
       SELECT snap.n + (SELECT count(*) FROM judged) AS rows_received,
              snap.ok + (SELECT count(*) FROM moved

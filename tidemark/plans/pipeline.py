@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import packed, stamp_number
 from tidemark.operators import marts, quality, series
-from tidemark.operators.store import Warehouse, orphan_facts
+from tidemark.operators.store import DONE, OVERTAKEN, Warehouse, orphan_facts
 from tidemark.plans import views
 from tidemark.scale import materialise, temporary
 from tidemark.schemas import FACT_KEY, MEASURES
@@ -101,17 +101,39 @@ def _per_source(flagged: DataFrame, operator) -> DataFrame:
     )
 
 
-def _window(
-    warehouse: Warehouse, run_id: str, since: str | None, until: str | None
-) -> tuple[str | None, str | None, str | None]:
-    """Landing window of a run: (since, after, until), as kept if the run was started before."""
+class Window(NamedTuple):
+    """What a run takes of the landings, from which marks, and the failed runs whose landings it takes over."""
+
+    since: str | None
+    after: str | None
+    until: str | None
+    marks: DataFrame
+    overtakes: list[str]
+
+
+def _window(warehouse: Warehouse, run_id: str, since: str | None, until: str | None, restate_days: int) -> Window:
+    """The window and marks of a run, as kept if the run was started before.
+
+    A run counts as soon as its report is stored. Without ``since`` the next
+    one goes on behind the landings of all runs that count; landings of runs
+    that failed on the way are loaded again, from the marks these had.
+    """
     kept = warehouse.windows().where(F.col("run_id") == run_id).first()
+    marked = series.high_water_marks(warehouse.fact_price())
     if kept is not None:
+        state = warehouse.states().where(F.col("run_id") == run_id).first()
+        if state is not None and state.state == OVERTAKEN:
+            raise ValueError(f"run {run_id!r} was overtaken by run {state.by!r}, which loads its landings")
         if since != kept.since or (until is not None and until != kept.until):
             raise ValueError(f"run {run_id!r} was started with another window")
-        return kept.since, kept.after, kept.until
-    after = None if since else warehouse.windows().agg(F.max("until")).first()[0]
-    return since, after, until
+        marks = warehouse.marks(run_id, series.restate(marked, restate_days), restate_days)
+        return Window(kept.since, kept.after, kept.until, marks, [])
+    pending = [] if since else warehouse.pending()
+    after = None if since else warehouse.landed_until(pending)
+    if pending:
+        marked = warehouse.marks_of(pending[0])
+    marks = warehouse.marks(run_id, series.restate(marked, restate_days), restate_days, anew=True)
+    return Window(since, after, until, marks, pending)
 
 
 def refuse_orphans(warehouse: Warehouse, rows: DataFrame) -> None:
@@ -146,9 +168,11 @@ def run(
 ) -> DataFrame:
     """Load what was landed in ``[since, until]`` and return the one-row report.
 
-    Without ``since`` a run takes what landed after all earlier runs. Repeating
-    the last run with its ``run_id`` leaves every table as it was: the window
-    and the marks it started from are kept. Payloads that cannot be read are
+    Without ``since`` a run takes what landed after all earlier runs that stored
+    their report, so the next run loads what a failed one should have; the failed
+    one can be repeated until then. Repeating the last run with its ``run_id``
+    leaves every table as it was: the window and the marks it started from are
+    kept. Payloads that cannot be read are
     quarantined with their file and text.
     """
     if layout not in ("files", "table"):
@@ -174,9 +198,7 @@ def _run(
     reason_mode: str,
 ) -> DataFrame:
     spark = warehouse.spark
-    marked = series.restate(series.high_water_marks(warehouse.fact_price()), restate_days)
-    marks = warehouse.marks(run_id, marked, restate_days)
-    since, after, until = _window(warehouse, run_id, since, until)
+    since, after, until, marks, overtakes = _window(warehouse, run_id, since, until, restate_days)
 
     if layout == "files":
         snapshots = landing.read_snapshot_files(spark, landed)
@@ -197,6 +219,8 @@ def _run(
     logger.info("run %s: %s", run_id, counted.get)
     newest = flagged.agg(F.max("landed")).first()[0]
     warehouse.keep_window(run_id, since, after, until or newest or after)
+    for other in overtakes:
+        warehouse.overtake(other, run_id)
     load(warehouse, flagged, run_id)
 
     warehouse.append_gaps(_per_source(flagged, series.calendar_gaps), run_id)
@@ -208,6 +232,7 @@ def _run(
     repeated = _per_source(flagged, quality.repeated_keys)
     report = materialise(quality.report(flagged, gaps, repeated), "report")
     write_report(warehouse, report, run_id)
+    warehouse.keep_state(run_id, DONE)
     return report
 
 

@@ -1,23 +1,24 @@
 """Skew and fault tolerance helpers.
 
 A key may hold a large share of all rows. Operators that only aggregate are
-safe by map-side combining. The two helpers here cover the rest:
+safe by map-side combining. The helpers here cover the rest:
 
 * ``join_keyed`` brings a per-key result back to the rows by a plain join of
   two written or scanned sides, whose large partitions Spark splits;
-* ``previous_value`` finds the preceding row's value for keys of any size.
+* ``previous_value``, ``running`` and ``trailing`` find the preceding row's value,
+  a running total and frames of preceding rows for keys of any size.
 
-Both keep every row and work alike at every size.
+All keep every row and work alike at every size.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ordering
@@ -118,6 +119,13 @@ def sliced(rows: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return materialise(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
+def _spanning(parts: DataFrame, key: str) -> DataFrame:
+    """The rows of keys that lie in more than one slice."""
+    borders = parts.groupBy(key).agg(F.min("_slice").alias("_from"), F.max("_slice").alias("_to"))
+    # Fewer keys than slices.
+    return _join(parts, F.broadcast(borders.where("_from < _to").select(key)), [key], "left_semi")
+
+
 def previous_value(
     rows: DataFrame,
     key: str,
@@ -149,12 +157,9 @@ def previous_value(
         return rows.withColumn(out, before([key], order)["v"])
     parts = sliced(rows, [key, *order])
     position = [*order, "_tie"]
-    borders = parts.groupBy(key).agg(F.min("_slice").alias("_from"), F.max("_slice").alias("_to"))
-    # Fewer keys than slices.
-    spanning = F.broadcast(borders.where("_from < _to").select(key))
     last = ordering([F.col(c) for c in position])
     last = last if among is None else F.when(among, last)
-    tails = _join(parts, spanning, [key], "left_semi").groupBy(key, "_slice")
+    tails = _spanning(parts, key).groupBy(key, "_slice")
     tails = tails.agg(F.max_by(held, last).alias("_tail"))
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = tails.select(key, "_slice", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
@@ -164,3 +169,71 @@ def previous_value(
     joined = _join(inside, carried, [key, "_slice"], "left")
     found = F.coalesce("_inside", "_carried")["v"]
     return joined.select(*rows.columns, found.alias(out))
+
+
+# How a running total adds up the rows of a slice, and the totals of slices.
+RUNNING: dict[str, tuple[Callable[[Column], Column], Callable[[Column, Column], Column]]] = {
+    "max": (F.max, F.greatest),
+    "min": (F.min, F.least),
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+}
+
+
+def running(rows: DataFrame, key: str, order: Sequence[str], value: str, out: str, total: str = "max") -> DataFrame:
+    """Add ``out``: the ``total`` (max, min or sum) of ``value`` over the rows of ``key`` up to each row.
+
+    A segmented scan: rows are range-split on (key, order) into even slices,
+    every slice adds up its own rows, and a key that goes on from one slice to
+    the next carries the total of its earlier slices over. No task sees more
+    of a key than a slice of it. Nulls count for nothing.
+    """
+    fold, merge = RUNNING[total]
+    parts = sliced(rows, [key, *order])
+    up_to = Window.partitionBy("_slice", key).orderBy(*order, "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    totals = _spanning(parts, key).groupBy(key, "_slice").agg(fold(F.col(value)).alias("_total"))
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each slice of each spanning key: under twice the slices.
+    carried = totals.select(key, "_slice", fold(F.col("_total")).over(earlier).alias("_carried"))
+    inside = parts.withColumn("_inside", fold(F.col(value)).over(up_to))
+    joined = _join(inside, F.broadcast(carried), [key, "_slice"], "left")
+    return joined.select(*rows.columns, merge(F.col("_inside"), F.col("_carried")).alias(out))
+
+
+def trailing(
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    width: int,
+    steps: Sequence[Callable[[WindowSpec], dict[str, Column]]],
+) -> DataFrame:
+    """Add columns that look at the current row of a key and at most ``width - 1`` rows before it.
+
+    Each of ``steps`` takes the window of a key in order and gives columns over
+    it; later ones may use earlier ones. Rows are range-split on (key, order)
+    into even slices. Where a key goes on from earlier slices, its last
+    ``width - 1`` rows there are added in front of the slice as a halo, by
+    their number within the key, and taken away at the end.
+    """
+    parts = sliced(rows, [key, *order])
+    halo = width - 1
+    spanning = _spanning(parts, key)
+    sizes = spanning.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each slice of each spanning key: under twice the slices.
+    starts = materialise(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))), "starts")
+    from_end = F.row_number().over(Window.partitionBy("_slice", key).orderBy(*[F.col(c).desc() for c in (*order, "_tie")]))
+    tails = spanning.withColumn("_from_end", from_end).where(F.col("_from_end") <= halo)
+    tails = _join(tails, F.broadcast(starts), [key, "_slice"], "inner")
+    tails = tails.withColumn("_number", F.col("_before") + F.col("_n") - F.col("_from_end") + 1)
+    numbers = F.sequence(F.greatest(F.lit(1), F.col("_before") - halo + 1), F.col("_before"))
+    wanted = starts.where(F.col("_before") > 0).select(key, F.col("_slice").alias("_into"), F.explode(numbers).alias("_number"))
+    found = _join(tails.drop("_slice"), wanted, [key, "_number"], "inner")
+    found = found.select(*rows.columns, "_tie", F.col("_into").alias("_slice"), F.lit(True).alias("_halo"))
+    frame = parts.withColumn("_halo", F.lit(False)).unionByName(found)
+    by = Window.partitionBy("_slice", key).orderBy(*order, "_tie")
+    added: list[str] = []
+    for step in steps:
+        columns = step(by)
+        frame = frame.withColumns(columns)
+        added += columns
+    return frame.where(~F.col("_halo")).select(*rows.columns, *added)

@@ -84,3 +84,25 @@ QUARANTINE = _struct(
 
 GAPS = _struct(("coin_id", _STRING), ("missing_date", T.DateType()))
 MARKS = _struct(("coin_id", _STRING), ("high_water_mark", T.DateType()))
+
+# The marts of a coin and day, and what is known of a coin's stored months.
+MART_DAILY = _struct(
+    ("coin_id", _STRING),
+    ("date", T.DateType()),
+    *[
+        (name, _DOUBLE)
+        for name in (
+            "price",
+            "daily_return",
+            "moving_avg_7d",
+            "moving_avg_30d",
+            "volatility_30d",
+            "running_peak",
+            "drawdown",
+            "price_30d_ago",
+            "return_30d",
+        )
+    ],
+    ("month", _STRING),
+)
+MART_MONTHS = _struct(("coin_id", _STRING), ("row_count", T.LongType()), ("peak", _DOUBLE), ("month", _STRING))
