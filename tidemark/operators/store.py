@@ -314,7 +314,8 @@ class BucketedWarehouse(Warehouse):
             f"CREATE TABLE {self.name} ({columns}) USING parquet OPTIONS ({options}) PARTITIONED BY (month) "
             f"CLUSTERED BY (coin_id) SORTED BY (coin_id, date) INTO {self.buckets} BUCKETS LOCATION '{self.path('fact_price')}'"
         )
-        self.spark.catalog.recoverPartitions(self.name)
+        if self.exists(self.path("fact_price")):
+            self.spark.catalog.recoverPartitions(self.name)
 
     def read(self, table: str) -> DataFrame:
         if table != "fact_price":

@@ -63,7 +63,7 @@ def publish(warehouse: Warehouse, database: str) -> None:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED[table].fields)
         by = f"PARTITIONED BY ({folder})" if folder else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{warehouse.path(table)}'")
-        if folder:
+        if folder and warehouse.exists(warehouse.path(table)):
             spark.catalog.recoverPartitions(name)
         spark.catalog.refreshTable(name)
     for name, query in VIEWS.items():
