@@ -34,6 +34,16 @@ def test_language_of_awkward_rows(spark):
     assert language.predict(documents(spark, []), model).count() == 0
 
 
+def test_the_sample_is_bounded_by_language_and_copies_count_once(spark, monkeypatch):
+    taken = {}
+    monkeypatch.setattr(language, "train", lambda rows, labels, languages, how: taken.update(rows=rows, labels=labels, languages=languages))
+    texts = [("zz", f"zz text number {i} of many") for i in range(300)] + [("aa", "the same text again")] * 5000
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    language.fit(docs, F.lit(True), language.Settings(windows_per_language=100, window=64))
+    counts = dict(zip(*np.unique(np.array(taken["languages"])[taken["labels"]], return_counts=True), strict=True))
+    assert counts.get("aa", 0) <= 1 and 60 < counts["zz"] <= 200
+
+
 def test_table_form_equals_the_network():
     rng = np.random.default_rng(0)
     rows = rng.integers(0, 256, (40, 64)).astype(np.uint8)

@@ -72,9 +72,21 @@ def test_every_code_point_is_classed_as_the_library_does(reference):
 
 
 def test_the_other_public_tokenizer_gives_the_same_ids():
-    public = PublicTokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    public = PublicTokenizer.from_file(path)
+    end = "<|endoftext|>"
+    cut = [f"a{end} x", end, end + end, f" {end} ", f"x {end}{end}\n y{end}", "<|endoftext", "|>", f"é{end}'s"]
+    rng = random.Random(4)
+    cut += ["".join(rng.choices([end, "<|endoftext", "|>", " a", "  ", "é", "\n"], k=rng.randint(0, 6))) for _ in range(300)]
+    texts = [*TEXTS, *cut]
+    with open(RANKS, "rb") as file:
+        bpe = byte_bpe.tokenizer(file.read())
+    found = []
+    for _, _, raw, offsets in chunks(pa.array(texts, pa.string())):
+        ids, bounds = packing.encode_around(bpe, raw, offsets, packing.added_tokens(path))
+        found += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == [public.encode(t or "", add_special_tokens=False).ids for t in texts]
     public.encode_special_tokens = True
-    texts = [*TEXTS, "<|endoftext|> x"]
     assert encoded(texts) == [public.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 

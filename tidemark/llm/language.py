@@ -18,7 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import chunks
@@ -224,30 +224,33 @@ def fit(docs: DataFrame, train_on: Column, how: Settings = Settings(), reject: b
     With ``reject``, ``und`` is learned as one more language, from ``junk``.
 
     The sample is bounded: about ``windows_per_language`` windows of each
-    language, at random places of texts picked by a hash of the whole text.
+    language, twice as many at most, at random places of different texts picked
+    by a hash of the whole text.
     None if no such row has a language and a text.
     """
     rows = docs.where(train_on & F.col("lang").isNotNull() & (F.length("text") > 0)).select("text", "lang")
-    counted = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = {str(r["lang"]): r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counted:
         return None
     languages = sorted(counted)
-    picked = None
-    for lang in languages:
-        each = min(how.windows_per_text, max(1, -(-how.windows_per_language // counted[lang])))
-        share = 1.2 * how.windows_per_language / (each * counted[lang])
-        part = rows.where((F.col("lang") == lang) & (chance(how.seed, "text") < share))
-        part = part.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(each))))
-        picked = part if picked is None else picked.unionAll(part)
+    each = {lang: min(how.windows_per_text, max(1, -(-how.windows_per_language // n))) for lang, n in counted.items()}
+    wanted = [(lang, each[lang], 1.2 * how.windows_per_language / (each[lang] * n)) for lang, n in counted.items()]
+    # A row a language.
+    wanted = F.broadcast(rows.sparkSession.createDataFrame(wanted, "lang string, each int, share double"))
+    picked = rows.select(F.col("lang").cast("string").alias("lang"), "text").join(wanted, "lang")
+    picked = picked.where(chance(how.seed, "text") < F.col("share")).dropDuplicates(["lang", "text"])
+    picked = picked.select("lang", "text", F.explode(F.sequence(F.lit(1), F.col("each"))).alias("turn"))
     room = F.greatest(F.length("text") - how.window // 4, F.lit(1))
     begin = F.pmod(F.xxhash64("turn", "text"), room).cast("int") + 1
-    sample = picked.select("lang", F.substring("text", begin, F.lit(how.window)).cast("binary").alias("part"))
-    found = sample.limit(2 * how.windows_per_language * len(languages)).collect()
+    part = F.substring("text", begin, F.lit(how.window)).cast("binary")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("turn", "text"), "turn"))
+    sample = picked.select("lang", part.alias("part"), nth.alias("nth")).where(F.col("nth") <= 2 * how.windows_per_language)
+    found = sample.select("lang", "part").collect()
     windows = np.zeros((len(found), how.window), dtype=np.uint8)
     for i, row in enumerate(found):
         part = row["part"][: how.window]
         windows[i, : len(part)] = np.frombuffer(part, dtype=np.uint8)
-    labels = np.array([languages.index(r["lang"]) for r in found], dtype=np.intp)
+    labels = np.array([languages.index(str(r["lang"])) for r in found], dtype=np.intp)
     # The rows arrive in any order; a fixed one makes the training repeatable.
     order = np.lexsort((*windows[:, :16].T, labels))
     windows, labels = windows[order], labels[order]

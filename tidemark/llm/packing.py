@@ -9,6 +9,8 @@ Pieces then find their place by their rank among pieces of the same length.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import chunks
-from tidemark.llm.byte_bpe import sent
+from tidemark.llm.byte_bpe import Tokenizer, sent
 from tidemark.llm.ship import ship
 from tidemark.scale import materialise
 
@@ -28,11 +30,46 @@ _LEAST_SALTS = 16
 _SLACKS = (0, 1, 2, 4, 8, 16, 32)
 
 
-def _cut(batches, tables, size: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokens of a tokenizer file that stand outside its vocabulary: texts are cut at them first."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    if odd := [t["content"] for t in found if t["lstrip"] or t["rstrip"] or t["single_word"]]:
+        raise ValueError(f"added tokens that take in their neighbours are not supported: {odd}")
+    return {t["content"]: t["id"] for t in found}
+
+
+def encode_around(bpe: Tokenizer, raw: np.ndarray, offsets: np.ndarray, added: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, first id of each row and the end) of a chunk whose rows are cut at the added tokens, the leftmost and longest."""
+    pattern = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(added, key=len, reverse=True)))
+    spans, data = [], raw.tobytes()
+    if added and pattern.search(data):
+        rows = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+        spans = [m for a, b in rows for m in pattern.finditer(data, a, b)]
+    if not spans:
+        return bpe.encode(raw, offsets)
+    begin, end = np.array([m.start() for m in spans]), np.array([m.end() for m in spans])
+    kept = np.ones(len(raw), dtype=bool)
+    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+        kept[a:b] = False
+    place = np.concatenate([[0], np.cumsum(kept)])
+    # Each row and each part of a row between added tokens is encoded by itself.
+    edges = np.concatenate([place[offsets], place[begin]])
+    rank = np.concatenate([offsets, begin + 0.5])  # a token at a row's begin comes after the row's edge
+    order = np.argsort(rank, kind="stable")
+    ids, bounds = bpe.encode(raw[kept], edges[order])
+    known = {t.encode(): i for t, i in added.items()}
+    is_row = order < len(offsets)
+    ids = np.insert(ids, bounds[~is_row], [known[m[0]] for m in spans])
+    # Behind every cut lies one more id.
+    return ids, bounds[is_row] + np.cumsum(~is_row)[is_row]
+
+
+def _cut(batches, tables, size: int, end_id: int, with_ids: bool, added: dict[str, int]) -> Iterator[pa.RecordBatch]:
     bpe = tables.value
     for batch in batches:
         for first, last, raw, offsets in chunks(batch.column("text")):
-            ids, bounds = bpe.encode(raw, offsets)
+            ids, bounds = encode_around(bpe, raw, offsets, added)
             ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
             ends = bounds[1:] + np.arange(1, len(bounds))
             total = np.diff(np.concatenate([[0], ends]))
@@ -57,10 +94,12 @@ def _cut(batches, tables, size: int, end_id: int, with_ids: bool) -> Iterator[pa
             yield pa.RecordBatch.from_pydict(columns)
 
 
-def pieces(docs: DataFrame, rank_path: str, size: int, end_id: int, with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, rank_path: str, size: int, end_id: int, with_ids: bool = False, added: dict[str, int] | None = None
+) -> DataFrame:
     """Token pieces of every whole text, its ids followed by ``end_id``.
 
-    A text of more than ``size`` ids is cut from its end into pieces of
+    ``added`` tokens in a text have their own ids and cut it. A text of more than ``size`` ids is cut from its end into pieces of
     ``size``, so only the first piece may be shorter.
     """
     spark = docs.sparkSession
@@ -68,7 +107,7 @@ def pieces(docs: DataFrame, rank_path: str, size: int, end_id: int, with_ids: bo
     tables = sent(spark, rank_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return rows.mapInArrow(lambda batches: _cut(batches, tables, size, end_id, with_ids), schema)
+    return rows.mapInArrow(lambda batches: _cut(batches, tables, size, end_id, with_ids, added or {}), schema)
 
 
 def fullest(counts: dict[int, int], size: int, slack: int = 0) -> dict[int, int]:
@@ -135,7 +174,14 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[int, ...]]:
     return best[1]
 
 
-def pack(docs: DataFrame, rank_path: str, size: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    rank_path: str,
+    size: int = 1024,
+    end_id: int = 2,
+    with_ids: bool = False,
+    added: dict[str, int] | None = None,
+) -> DataFrame:
     """Every piece of every document with its place: sequence_id and offset.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset, and
@@ -144,7 +190,7 @@ def pack(docs: DataFrame, rank_path: str, size: int = 1024, end_id: int = 2, wit
     itself; other columns are not read; an empty table gives no row.
     """
     spark = docs.sparkSession
-    cut = materialise(pieces(docs, rank_path, size, end_id, with_ids), "pieces")
+    cut = materialise(pieces(docs, rank_path, size, end_id, with_ids, added), "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     layout = spark.createDataFrame(
         plan(histogram, size),

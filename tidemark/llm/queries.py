@@ -68,7 +68,8 @@ def op6_toxicity(spark, sf_dir):
 
 
 def op3_best_fit_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), RANKS, size=1024, end_id=2)
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), RANKS, size=1024, end_id=2, added=added)
 
 
 def op4_byte_bpe(spark, sf_dir):
