@@ -21,6 +21,7 @@ LEAST_LANGUAGE = 0.25
 # A text is rejected as toxic from this score on.
 TOXIC_FROM = 0.3
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ADDED = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -73,7 +74,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of the documents and their places in sequences of 1024."""
-    return packing.pack(docs, RANKS, size=1024, end_id=2)
+    return packing.pack(docs, RANKS, size=1024, end_id=2, added=packing.added_tokens(ADDED))
 
 
 STAGES = [
