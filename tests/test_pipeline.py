@@ -79,6 +79,9 @@ def test_two_runs_load_incrementally_and_reruns_change_nothing(spark, tmp_path,
     before = _tables(spark, root)
     again = pipeline.run(spark, landed, root, "second", since="20260827_000000")
     assert _tables(spark, root) == before and rows(again) == rows(second)
+    metrics = {(r.run_id, r.step, r.metric): r.value for r in Warehouse(spark, root).metrics().collect()}
+    assert metrics["second", "batch", "historical_anomaly"] == metrics["second", "batch", "current_failed"] == 1
+    assert [metrics[run, step, "rows"] for run in ("first", "second") for step in ("fact_price", "quarantine", "gaps")] == [11, 0, 0, 3, 2, 0]
     counted = spark.sql("SELECT count(*) AS n FROM volatility_ranking").first().n
     assert counted == 2
     direct = marts.max_drawdown(Warehouse(spark, root).fact_price())

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,10 @@ RUNS = T.StructType([T.StructField(c, T.StringType()) for c in ("run_id", "since
 # What became of a started run: done, or overtaken by a later run that loads its landings.
 STATES = T.StructType([T.StructField(c, T.StringType()) for c in ("run_id", "state", "by")])
 DONE, OVERTAKEN = "done", "overtaken"
+# What was counted while a step of a run wrote its rows.
+METRICS = T.StructType(
+    [*(T.StructField(c, T.StringType()) for c in ("run_id", "step", "metric")), T.StructField("value", T.LongType())]
+)
 
 # Stored layout of each table: declared columns plus the folder column, if any.
 STORED = {
@@ -214,6 +219,19 @@ class Warehouse:
         row = self.spark.createDataFrame([(run_id, state, by)], STATES).drop("run_id")
         row.coalesce(1).write.mode("overwrite").json(f"{self.path('run_states')}/run_id={run_id}")
 
+    def keep_metrics(self, run_id: str, step: str, counted: dict[str, int]) -> None:
+        """Store what one step of a run has counted; a repeated step replaces it."""
+        rows = [(run_id, step, metric, int(value or 0)) for metric, value in counted.items()]
+        frame = self.spark.createDataFrame(rows, METRICS).drop("run_id", "step")
+        frame.coalesce(1).write.mode("overwrite").json(f"{self.path('metrics')}/run_id={run_id}/step={step}")
+
+    def metrics(self) -> DataFrame:
+        """run_id, step, metric and value of every step of every run."""
+        path = self.path("metrics")
+        if not self.exists(path):
+            return self.spark.createDataFrame([], METRICS)
+        return self.spark.read.schema(METRICS).json(path).select(*METRICS.names)
+
     def pending(self) -> list[str]:
         """Runs that took what had landed since the last, were started and neither done nor overtaken; oldest first."""
         open_ = self.windows().where("since is null").join(self.states(), "run_id", "left_anti")
@@ -246,13 +264,18 @@ class Warehouse:
         rejected = F.col("rejected") if "rejected" in rows.columns else F.lit(None).cast("string")
         kept = rows.select(*FACT_KEY, *MEASURES, "reason", rejected.alias("rejected"))
         stamped = kept.withColumn("quarantined_at", F.current_timestamp())
-        self._write_run("quarantine", stamped, run_id)
+        unread = F.count_if(F.col("rejected").isNotNull()).alias("rows_with_rejected_value")
+        self._write_run("quarantine", stamped, run_id, unread)
 
     def append_gaps(self, gaps: DataFrame, run_id: str) -> None:
         self._write_run("gaps", gaps.select(*GAPS.names), run_id)
 
-    def _write_run(self, table: str, rows: DataFrame, run_id: str) -> None:
+    def _write_run(self, table: str, rows: DataFrame, run_id: str, *counters: Column) -> None:
+        """Replace one run's rows of a table, and count them on the way."""
+        written = Observation(f"{table}-{uuid.uuid4().hex}")
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"), *counters)
         rows.write.mode("overwrite").parquet(f"{self.path(table)}/run_id={run_id}")
+        self.keep_metrics(run_id, table, written.get)
 
     def _staged(self, table: str) -> str:
         return self.path(f"_staging/{table}")

@@ -366,6 +366,18 @@ ORACLE: dict[str, str] = {
              round(price / nullif(price_30d_ago, 0) - 1, 6) AS return_30d
       FROM moved""",
     "coin_lookup": f"WITH {_DAILY} SELECT {_FIVE} FROM daily WHERE coin_id = '7' ORDER BY date DESC",
+    "run_metrics": f"""WITH {_PIPELINE}, jumps AS (
+        SELECT count(*) FILTER (WHERE prev IS NULL OR NOT abs(price / prev - 1) > 0.5) AS passed,
+               count(*) FILTER (WHERE abs(price / prev - 1) > 0.5) AS jumped FROM moved),
+      bad AS (SELECT count(*) AS n, count(price) AS given FROM judged WHERE good IS NOT TRUE)
+      SELECT 'first' AS run_id, unnest(['batch', 'batch', 'batch', 'batch', 'batch', 'batch', 'fact_price',
+               'quarantine', 'quarantine', 'gaps']) AS step,
+             unnest(['current_valid', 'current_anomaly', 'current_failed', 'historical_valid', 'historical_anomaly',
+               'historical_failed', 'rows', 'rows', 'rows_with_rejected_value', 'rows']) AS metric,
+             unnest([snap.ok, 0, snap.n - snap.ok, jumps.passed, jumps.jumped, bad.n, snap.ok + jumps.passed,
+               snap.n - snap.ok + bad.n + jumps.jumped, snap.n - snap.ok + bad.given,
+               (SELECT count(*) FROM found)]) AS value
+      FROM snap, jumps, bad""",
     "running_peak_ticks": f"""WITH {_TICKS}, peaks AS (
         SELECT coin_id, date, price, {_TICK_ORDER}, max(price) OVER ({_BY_TICK} ROWS UNBOUNDED PRECEDING) AS running_peak
         FROM ticks)

@@ -148,7 +148,8 @@ def load(warehouse: Warehouse, flagged: DataFrame, run_id: str) -> None:
     valid = flagged.where(F.col("status") == "valid")
     warehouse.upsert_dim(valid.where(F.col("source") == _SNAPSHOT), _ORDER)
     refuse_orphans(warehouse, valid)
-    warehouse.upsert_fact(valid.select(*FACT_KEY, *MEASURES, *_ORDER), _ORDER)
+    merged = warehouse.upsert_fact(valid.select(*FACT_KEY, *MEASURES, *_ORDER), _ORDER)
+    warehouse.keep_metrics(run_id, "fact_price", {"rows": merged.count()})
     warehouse.append_quarantine(flagged.where(F.col("status") != "valid"), run_id)
 
 
@@ -217,6 +218,7 @@ def _run(
         flagged = flagged.unionByName(unreadable_rows(payloads, source), allowMissingColumns=True)
     flagged = materialise(flagged.observe(counted, *_counters()), "batch")
     logger.info("run %s: %s", run_id, counted.get)
+    warehouse.keep_metrics(run_id, "batch", counted.get)
     newest = flagged.agg(F.max("landed")).first()[0]
     warehouse.keep_window(run_id, since, after, until or newest or after)
     for other in overtakes:

@@ -363,6 +363,13 @@ def pipeline_run(spark, sf_dir):
     )
 
 
+def run_metrics(spark, sf_dir):
+    """What a whole run counted at each step, read from the table of metrics."""
+    path, root = _land_both(spark, sf_dir, tables.customer_payloads(spark, sf_dir)), _scratch(spark, "warehouse")
+    pipeline.run(spark, path, root, "first", layout="table", as_of="utc")
+    return store.Warehouse(spark, root).metrics()
+
+
 def coin_history(spark, sf_dir):
     """One supplier's days; the number is compared as a number, so the filter reaches the scan."""
     fact = tables.supplier_daily(spark, sf_dir, only=7)
@@ -514,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "volatility_bucketed": volatility_bucketed,
     "marts_incremental": marts_incremental,
     "coin_lookup": coin_lookup,
+    "run_metrics": run_metrics,
     "running_peak_ticks": running_peak_ticks,
     "moving_averages_ticks": moving_averages_ticks,
 }
