@@ -5,6 +5,7 @@ import hashlib
 import random
 import struct
 import textwrap
+import time
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -208,7 +209,7 @@ def best_windows(text, templates):
     for name, notice in templates:
         notice = set(licenses.template_bigrams(notice))
         for begin in range(len(words)):
-            for end in range(begin + 2, min(len(words), begin + 2 * int(1.5 * len(notice)) + 1) + 1):
+            for end in range(begin + 2, len(words) + 1):
                 held = bigrams(words[begin:end])
                 dice = 2 * len(held & notice) / (len(held) + len(notice))
                 found[name] = max(dice, found.get(name, 0))
@@ -231,6 +232,37 @@ def test_windows_match_brute_force(spark):
     assert {k: d for k, d in found.items() if k[0] is not None} == want and len(want) > 100
 
 
+@pytest.mark.parametrize("repeats", [5, 60, 500, 20_000])
+def test_repeated_words_inside_a_notice_do_not_hide_it(spark, repeats):
+    notice = " ".join(f"w{i}" for i in range(41))
+    text = "before it " + notice.replace("w20 ", "w20 " + "x y " * repeats) + " after it"
+    found = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), [("A", notice)]).collect()
+    pairs = bigrams(text.split()[2:-2])
+    want = 2 * len(pairs & bigrams(notice.split())) / (len(pairs) + 40)
+    assert [(r.license, r.dice) for r in found] == [("A", want)] and want > 0.9
+
+
+def test_licences_of_equal_dice_all_count(spark):
+    texts = spark.createDataFrame([(1, "x one two three four y"), (1, None), (None, "")], "doc_id long, text string")
+    found = licenses.scan(texts, [("A", "one two three four"), ("B", "One, two; three four.")]).collect()
+    assert sorted((r.license, r.dice, r.n_lines, r.first_line) for r in found) == [("A", 1.0, 1, 0), ("B", 1.0, 1, 0)]
+    assert licenses.scan(texts, []).count() == 0
+
+
+def test_a_text_of_licences_only_is_scanned_in_seconds(spark):
+    pool = [t for _, t in licenses.TEMPLATES + licenses.STANDARD]
+    rng, parts, size = random.Random(3), [], 0
+    while size < 10_000:
+        parts.append(rng.choice(pool))
+        size += len(licenses._words(parts[-1]))
+    texts = spark.createDataFrame([(1, "\n".join(parts))], "doc_id long, text string")
+    licenses.scan(texts.limit(0)).collect()
+    begun = time.monotonic()
+    found = {r.license for r in licenses.scan(texts).collect()}
+    assert time.monotonic() - begun < 60
+    assert len(found) > 15
+
+
 MIT_LINES = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights

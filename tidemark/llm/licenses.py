@@ -3,14 +3,16 @@
 Licence notices are compared with windows of a text's word sequence, so a notice
 is found wherever its lines are broken and whatever stands around it. The best
 window begins at a pair of words that the notice has, after one that it has
-not, so only such places are tried. A notice of b bigrams can only reach a Dice
-coefficient of t with a set of b*t/(2-t) to b*(2-t)/t bigrams; a window is at
-most twice as many pairs long. Texts that hold none of a notice's anchors, long
-words or bigrams, share too few of its bigrams and are not cut up at all.
+not, and ends at one that it has, so only such places are tried. A notice of b
+bigrams can only reach a Dice coefficient of t with a set of b*t/(2-t) to
+b*(2-t)/t bigrams: a window ends when it holds more different ones, however
+many pairs that takes. Texts that hold none of a notice's anchors, long words
+or bigrams, share too few of its bigrams and are not cut up at all.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -150,6 +152,9 @@ STANDARD: list[tuple[str, str]] = [
 ]
 THRESHOLD = 0.8
 _LONG_WORD = 7
+# How often the length that is looked through for further pairs is made four times as long.
+_STEPS = 8
+_NOTICE = "license: string, bigrams: array<string>, n: int, needed: int, most: int"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
@@ -198,11 +203,6 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct word bigrams of a text."""
-    return _let(_split(text), lambda w: F.array_distinct(_pairs(w, lambda a, b: F.concat_ws(" ", a, b))))
-
-
 def _placed(text: Column) -> Column:
     """Every word bigram of a text in order, and the lines of its two words."""
     lines = F.transform(
@@ -215,74 +215,171 @@ def _placed(text: Column) -> Column:
     return _let(F.flatten(lines), lambda w: _pairs(w, joined))
 
 
-def _starts(reach: Column, needed: Column) -> Column:
-    """Places (from 1) where a best window can begin, of ``placed`` and ``marks``.
+def _repeats(placed: Column) -> Column:
+    """Per place (from 0) where its pair stood before (-1: nowhere) and stands next (the number of places)."""
+    ordered = F.sort_array(F.transform(placed, lambda x, i: F.struct(x["pair"].alias("pair"), i.alias("at"))))
 
-    A window that could take in one more of the notice's pairs at its front is
-    not the best, unless it holds that pair already. Lines begin anew, as
-    windows inside one line are sought too.
-    """
+    def linked(all_: Column) -> Column:
+        def link(x: Column, i: Column) -> Column:
+            before, after = F.get(all_, i - 1), F.get(all_, i + 1)
+            return F.struct(
+                x["at"].alias("at"),
+                F.when(before["pair"] == x["pair"], before["at"]).otherwise(-1).alias("before"),
+                F.when(after["pair"] == x["pair"], after["at"]).otherwise(F.size(all_)).alias("after"),
+            )
 
-    def begins(p: Column) -> Column:
-        mark, before = F.get("marks", p - 1), F.get("marks", p - 2)
-        ahead = F.slice("marks", p, reach)
-        fresh = (
-            (p == 1)
-            | (before == 0)
-            | (F.get("placed", p - 2)["first"] != F.get("placed", p - 1)["first"])
-            | F.array_contains(ahead, before)
-        )
-        shared = F.size(F.array_distinct(F.filter(ahead, lambda m: m > 0)))
-        return (mark > 0) & fresh & (shared >= needed)
+        return F.sort_array(F.transform(all_, link))
 
-    return F.filter(F.sequence(F.lit(1), F.size("placed")), begins)
+    return _let(ordered, linked)
 
 
-def _best() -> Column:
-    """The best windows that begin with ``window``: of any end, and of ends in its first line.
+def _windows(notice: Column, placed: Column, hits: Column, before: Column, after: Column) -> Column:
+    """The best windows from each start for a notice: of any end, and of ends in the start's line.
 
-    ``marks`` of the window are zero for pairs that the notice has not.
+    A set of pairs is judged by its shortest window, in which the first pair
+    does not come again, so the windows of all starts with one pair together
+    are no longer than the text. A pair is new in a window if it stood before
+    its start only. A start after one more of the notice's pairs is not tried,
+    unless that pair stands in the window already or in an earlier line.
     """
+    most, needed = notice["most"], notice["needed"]
+
+    def distinct(start: Column, length: Column) -> Column:
+        return F.size(F.filter(F.slice(before, start + 1, length), lambda b: b < start))
+
+    def reach(start: Column) -> Column:
+        """Length of the windows to try: until the pair comes again, or too many others have come."""
+        limit = F.get(after, start) - start
+        length = limit
+        for step in reversed(range(_STEPS)):
+            longest = most * (2 * 4**step)
+            length = F.when(limit <= longest, limit).when(distinct(start, longest) > most, longest).otherwise(length)
+        return length
+
+    def enough(at: Column, j: Column) -> Column:
+        """As many of the notice's pairs as a window needs may follow before too many others do."""
+        start, last = F.get(at, j), F.get(at, j + needed - 1)
+        length = last - start + 1
+        return (F.get(after, start) > last) & (
+            (length <= most) | (distinct(start, F.least(length, 4 * most)) <= most)
+        )
 
-    def step(done: Column, seen: Column) -> Column:
-        size = done["size"] + seen["new"].cast("int")
-        shared = done["shared"] + (seen["new"] & seen["held"]).cast("int")
-        dice = 2.0 * shared / (size + F.col("n"))
-        better = dice > done["dice"]
-        inside = seen["inside"] & (dice > done["line_dice"])
-        return F.struct(
-            size.alias("size"),
-            shared.alias("shared"),
-            (done["at"] + 1).alias("at"),
-            F.when(better, dice).otherwise(done["dice"]).alias("dice"),
-            F.when(better, done["at"]).otherwise(done["end"]).alias("end"),
-            F.when(inside, dice).otherwise(done["line_dice"]).alias("line_dice"),
-            F.when(inside, done["at"]).otherwise(done["line_end"]).alias("line_end"),
+    def begins(at: Column, x: Column) -> Column:
+        start = x["start"]
+        return (
+            (start == 0)
+            | (F.coalesce(F.get(at, x["j"] - 1), F.lit(-1)) != start - 1)
+            | (F.get(placed, start - 1)["first"] != F.get(placed, start)["first"])
+            | (F.get(after, start - 1) < start + x["reach"])
         )
 
-    seen = _let(
-        F.transform("window", lambda x: x["pair"]),
-        lambda pairs: F.zip_with(
-            F.transform(pairs, lambda x, i: F.array_position(pairs, x) == i + 1),
-            F.zip_with("window", "marks", lambda x, m: F.struct(x["last"].alias("last"), m.alias("mark"))),
-            lambda new, x: F.struct(
-                new.alias("new"),
-                (x["mark"] > 0).alias("held"),
-                (x["last"] == F.col("window")[0]["first"]).alias("inside"),
+    def best(at: Column, x: Column) -> Column:
+        start, line = x["start"], F.get(placed, x["start"])["first"]
+        ends = F.filter(F.slice(at, x["j"] + 1, x["reach"]), lambda p: p < start + x["reach"])
+
+        def seen(ends: Column) -> Column:
+            def one(p: Column, i: Column) -> Column:
+                from_ = F.when(i == 0, start).otherwise(F.get(ends, i - 1) + 1)
+                new = F.filter(F.slice(before, from_ + 1, p - from_ + 1), lambda b: b < start)
+                return F.struct(
+                    p.alias("at"),
+                    F.size(new).alias("more"),
+                    (F.get(before, p) < start).cast("int").alias("held"),
+                    (F.get(placed, p)["last"] == line).alias("inside"),
+                )
+
+            return F.transform(ends, one)
+
+        def step(done: Column, next_: Column) -> Column:
+            size, shared = done["size"] + next_["more"], done["shared"] + next_["held"]
+            dice = 2.0 * shared / (size + notice["n"])
+            better, inside = dice > done["dice"], next_["inside"] & (dice > done["line_dice"])
+            return F.struct(
+                size.alias("size"),
+                shared.alias("shared"),
+                F.when(better, dice).otherwise(done["dice"]).alias("dice"),
+                F.when(better, next_["at"]).otherwise(done["end"]).alias("end"),
+                F.when(inside, dice).otherwise(done["line_dice"]).alias("line_dice"),
+                F.when(inside, next_["at"]).otherwise(done["line_end"]).alias("line_end"),
+            )
+
+        def match(dice: Column, end: Column, line: Column) -> Column:
+            return F.struct(
+                notice["license"].alias("license"),
+                start.alias("start"),
+                end.alias("end"),
+                dice.alias("dice"),
+                line.cast("int").alias("line"),
+            )
+
+        zero, none = F.lit(0), F.lit(0.0)
+        first = F.struct(
+            zero.alias("size"),
+            zero.alias("shared"),
+            none.alias("dice"),
+            zero.alias("end"),
+            none.alias("line_dice"),
+            zero.alias("line_end"),
+        )
+        return _let(
+            F.aggregate(_let(ends, seen), first, step),
+            lambda b: F.array(
+                match(b["dice"], b["end"], F.lit(None)), match(b["line_dice"], b["line_end"], line)
             ),
-        ),
-    )
-    zero, none = F.lit(0), F.lit(0.0)
-    start = F.struct(
-        zero.alias("size"),
-        zero.alias("shared"),
-        zero.alias("at"),
-        none.alias("dice"),
-        zero.alias("end"),
-        none.alias("line_dice"),
-        zero.alias("line_end"),
-    )
-    return F.aggregate(seen, start, step)
+        )
+
+    def tried(at: Column) -> Column:
+        likely = F.filter(F.sequence(F.lit(0), F.size(at) - 1), lambda j: enough(at, j))
+        starts = F.transform(
+            likely,
+            lambda j: F.struct(j.alias("j"), F.get(at, j).alias("start"), reach(F.get(at, j)).alias("reach")),
+        )
+        return F.flatten(F.transform(F.filter(starts, lambda x: begins(at, x)), lambda x: best(at, x)))
+
+    own = F.filter(hits, lambda h: F.array_contains(notice["bigrams"], h["pair"]))
+    return _let(F.transform(own, lambda h: h["at"]), tried)
+
+
+def _matches(text: Column, notices: Column, every: list[str], threshold: float) -> Column:
+    """All windows of a text that match a notice, without those that another licence matches better."""
+
+    def found(placed: Column, hits: Column, met: Column) -> Column:
+        def within(near: Column) -> Column:
+            return _let(
+                F.transform(near, lambda x: x["before"]),
+                lambda before: _let(
+                    F.transform(near, lambda x: x["after"]),
+                    lambda after: F.flatten(
+                        F.transform(met, lambda notice: _windows(notice, placed, hits, before, after))
+                    ),
+                ),
+            )
+
+        return F.filter(_let(_repeats(placed), within), lambda x: x["dice"] >= threshold)
+
+    def beaten(x: Column, all_: Column) -> Column:
+        """Another licence matches better, with at least half of these words."""
+        return F.exists(
+            all_,
+            lambda y: (y["license"] != x["license"])
+            & (y["dice"] > x["dice"])
+            & (2 * (F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]) + 1) >= x["end"] - x["start"] + 1),
+        )
+
+    def of_hits(placed: Column, hits: Column) -> Column:
+        shared = F.array_distinct(F.transform(hits, lambda h: h["pair"]))
+        met = _let(
+            shared,
+            lambda s: F.filter(notices, lambda n: F.size(F.array_intersect(s, n["bigrams"])) >= n["needed"]),
+        )
+        all_ = _let(met, lambda met: F.when(F.size(met) > 0, F.array_distinct(found(placed, hits, met))))
+        return _let(all_, lambda all_: F.filter(all_, lambda x: ~beaten(x, all_)))
+
+    def of_placed(placed: Column) -> Column:
+        marked = F.transform(placed, lambda x, i: F.struct(i.alias("at"), x["pair"].alias("pair")))
+        return _let(F.filter(marked, lambda h: h["pair"].isin(every)), lambda hits: of_hits(placed, hits))
+
+    return _let(_placed(text), of_placed)
 
 
 def scan(
@@ -290,65 +387,37 @@ def scan(
 ) -> DataFrame:
     """A row per document and licence found in it: doc_id, license, dice, n_lines, first_line.
 
-    ``dice`` is the best coefficient of any window of the text, ``n_lines`` the
-    number of lines with a match and ``first_line`` the first of them (from 0,
-    null if only several lines together match). Of licences that match the same
-    words only the one that matches best counts. Null and empty texts hold no
-    licence; rows that share a doc_id count together; other columns are not
-    read; an empty table gives no row.
+    ``dice`` is the best coefficient of any window of the text, however long,
+    ``n_lines`` the number of lines with a match and ``first_line`` the first of
+    them (from 0, null if only several lines together match). Of licences that
+    match the same words only the one that matches best counts, all of them if
+    equally well. Null and empty texts hold no licence; rows that share a doc_id
+    count together; other columns are not read; an empty table gives no row, as
+    do no templates.
     """
-    spark = docs.sparkSession
     notices = [(name, template_bigrams(text)) for name, text in templates]
     notices = [(name, found) for name, found in notices if found]
-    sized = [(name, found, len(found), *size_bounds(len(found), threshold)) for name, found in notices]
-    sized = spark.createDataFrame(sized, "license string, notice array<string>, n int, needed int, most int")
-    every = spark.createDataFrame([(sorted({b for _, found in notices for b in found}),)], "every array<string>")
+    every = sorted({b for _, found in notices for b in found})
     words: list[str] = []
     for _, found in sorted(notices, key=lambda notice: len(notice[1])):
         words += anchors(found, threshold, words)
     words = [w for w in words if not any(other != w and other in w for other in words)]
+    bounds = [(name, found, *size_bounds(len(found), threshold)) for name, found in notices]
+    rows = [
+        {"license": name, "bigrams": found, "n": len(found), "needed": needed, "most": most}
+        for name, found, needed, most in bounds
+    ]
+    # One constant, which Spark reads once while it plans.
+    constant = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{_NOTICE}>>")
     spaced = F.regexp_replace(F.lower("text"), _BETWEEN, " ")
 
     def held(plain: Column) -> Column:
-        return reduce(lambda a, b: a | b, (F.contains(plain, F.lit(w)) for w in words))
+        return reduce(lambda a, b: a | b, (F.contains(plain, F.lit(w)) for w in words), F.lit(False))
 
     # One lambda argument holds the plain text, so that it is made once.
     texts = docs.select("doc_id", "text").where(F.exists(F.array(spaced), held))
-    shared = F.array_intersect(bigrams(F.col("text")), F.col("every"))
-    texts = texts.crossJoin(F.broadcast(every)).select("doc_id", "text", shared.alias("shared"))
-    enough = F.size(F.array_intersect("shared", "notice")) >= F.col("needed")
-    met = texts.join(F.broadcast(sized), enough).withColumn("placed", _placed(F.col("text")))
-    mark = F.transform("placed", lambda x: F.array_position("notice", x["pair"]))
-    reach = 2 * F.col("most")
-    met = met.select("doc_id", F.xxhash64("text").alias("node"), "license", "n", "needed", "most", "placed", mark.alias("marks"))
-    met = met.withColumn("start", F.explode(_starts(reach, F.col("needed"))))
-    cut = [F.slice(name, F.col("start"), reach).alias(alias) for name, alias in (("placed", "window"), ("marks", "marks"))]
-    met = met.select("doc_id", "node", "license", "n", "start", *cut).withColumn("best", _best())
-
-    def match(dice: str, end: str, line: Column) -> Column:
-        return F.struct(
-            F.col("license"),
-            F.col("start"),
-            (F.col("start") + F.col(f"best.{end}")).alias("end"),
-            F.col(f"best.{dice}").alias("dice"),
-            line.cast("int").alias("line"),
-        )
-
-    found = F.array(match("dice", "end", F.lit(None)), match("line_dice", "line_end", F.col("window")[0]["first"]))
-    met = met.select("doc_id", "node", F.explode(found).alias("x")).where(F.col("x.dice") >= threshold)
-    met = met.groupBy("doc_id", "node").agg(F.collect_set("x").alias("all"))
-
-    def beaten(x: Column) -> Column:
-        """Another licence matches better, with at least half of these words."""
-        return F.exists(
-            "all",
-            lambda y: (y["license"] != x["license"])
-            & (y["dice"] > x["dice"])
-            & (2 * (F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]) + 1) >= x["end"] - x["start"] + 1),
-        )
-
-    met = met.select("doc_id", F.explode(F.filter("all", lambda x: ~beaten(x))).alias("x"))
-    return met.groupBy("doc_id", F.col("x.license").alias("license")).agg(
+    found = texts.select("doc_id", F.explode(_matches(F.col("text"), constant, every, threshold)).alias("x"))
+    return found.groupBy("doc_id", F.col("x.license").alias("license")).agg(
         F.max("x.dice").alias("dice"),
         F.countDistinct("x.line").alias("n_lines"),
         F.min("x.line").cast("long").alias("first_line"),
