@@ -305,9 +305,9 @@ def _windows(notice: Column, placed: Column, hits: Column, before: Column, after
 
         def match(dice: Column, end: Column, line: Column) -> Column:
             return F.struct(
-                notice["license"].alias("license"),
                 start.alias("start"),
                 end.alias("end"),
+                notice["license"].alias("license"),
                 dice.alias("dice"),
                 line.cast("int").alias("line"),
             )
@@ -340,6 +340,48 @@ def _windows(notice: Column, placed: Column, hits: Column, before: Column, after
     return _let(F.transform(own, lambda h: h["at"]), tried)
 
 
+def _unbeaten(found: Column) -> Column:
+    """Matches, sorted by start, without those of which another licence matches half of the words better.
+
+    They are cut into stretches of starts as long as the longest match, so that
+    only the stretches beside its own can hold what beats a match.
+    """
+
+    def beaten(x: Column, near: Column) -> Column:
+        return F.exists(
+            near,
+            lambda y: (y["license"] != x["license"])
+            & (y["dice"] > x["dice"])
+            & (2 * (F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]) + 1) >= x["end"] - x["start"] + 1),
+        )
+
+    def stretch(i: Column, longest: Column) -> Column:
+        return F.floor(F.get(found, i)["start"] / longest)
+
+    def cut(longest: Column) -> Column:
+        first = F.filter(
+            F.sequence(F.lit(0), F.size(found) - 1),
+            lambda i: (i == 0) | (stretch(i, longest) != stretch(i - 1, longest)),
+        )
+        return _let(
+            first,
+            lambda first: F.transform(
+                first, lambda i, k: F.slice(found, i + 1, F.coalesce(F.get(first, k + 1), F.size(found)) - i)
+            ),
+        )
+
+    def kept(parts: Column) -> Column:
+        def of(part: Column, k: Column) -> Column:
+            none = F.slice(part, 1, 0)
+            near = F.concat(F.coalesce(F.get(parts, k - 1), none), part, F.coalesce(F.get(parts, k + 1), none))
+            return _let(near, lambda near: F.filter(part, lambda x: ~beaten(x, near)))
+
+        return F.flatten(F.transform(parts, of))
+
+    longest = F.array_max(F.transform(found, lambda x: x["end"] - x["start"] + 1))
+    return F.when(F.size(found) > 0, _let(_let(longest, cut), kept))
+
+
 def _matches(text: Column, notices: Column, every: list[str], threshold: float) -> Column:
     """All windows of a text that match a notice, without those that another licence matches better."""
 
@@ -357,23 +399,14 @@ def _matches(text: Column, notices: Column, every: list[str], threshold: float)
 
         return F.filter(_let(_repeats(placed), within), lambda x: x["dice"] >= threshold)
 
-    def beaten(x: Column, all_: Column) -> Column:
-        """Another licence matches better, with at least half of these words."""
-        return F.exists(
-            all_,
-            lambda y: (y["license"] != x["license"])
-            & (y["dice"] > x["dice"])
-            & (2 * (F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]) + 1) >= x["end"] - x["start"] + 1),
-        )
-
     def of_hits(placed: Column, hits: Column) -> Column:
         shared = F.array_distinct(F.transform(hits, lambda h: h["pair"]))
         met = _let(
             shared,
             lambda s: F.filter(notices, lambda n: F.size(F.array_intersect(s, n["bigrams"])) >= n["needed"]),
         )
-        all_ = _let(met, lambda met: F.when(F.size(met) > 0, F.array_distinct(found(placed, hits, met))))
-        return _let(all_, lambda all_: F.filter(all_, lambda x: ~beaten(x, all_)))
+        all_ = _let(met, lambda met: F.when(F.size(met) > 0, found(placed, hits, met)))
+        return _let(F.sort_array(all_), _unbeaten)
 
     def of_placed(placed: Column) -> Column:
         marked = F.transform(placed, lambda x, i: F.struct(i.alias("at"), x["pair"].alias("pair")))
