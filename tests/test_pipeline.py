@@ -8,7 +8,7 @@ from payloads import coin, write_history, write_snapshot
 from tidemark.operators import marts
 from tidemark.operators.store import Warehouse
 from tidemark.plans import pipeline, views
-from tidemark.streaming.ingest import stream_history
+from tidemark.streaming.ingest import stream_history, stream_load
 
 HOURS = ("03:00:00", "21:30:00")
 
@@ -166,6 +166,36 @@ def test_stream_refuses_unknown_coins(spark, tmp_path):
         stream_history(spark, str(tmp_path / "raw"), str(tmp_path / "w"), str(tmp_path / "c")).awaitTermination()
 
 
+def test_a_stream_of_both_inputs_equals_runs(spark, tmp_path, landed):
+    root, by_runs = str(tmp_path / "w"), str(tmp_path / "runs")
+    for _ in range(2):
+        stream_load(spark, landed, root, str(tmp_path / "c")).awaitTermination()
+    pipeline.run(spark, landed, by_runs, "one")
+    named = [t.drop("run_id") for t in (Warehouse(spark, root).quarantine(), Warehouse(spark, by_runs).quarantine())]
+    assert [r[:2] for r in _tables(spark, root)[:2]] == [r[:2] for r in _tables(spark, by_runs)[:2]]
+    assert rows(named[0].drop("quarantined_at")) == rows(named[1].drop("quarantined_at"))
+    assert rows(Warehouse(spark, root).gaps().drop("run_id")) == rows(Warehouse(spark, by_runs).gaps().drop("run_id"))
+
+
+def test_a_stream_drops_what_landed_before(spark, tmp_path):
+    raw, root, checkpoint = tmp_path / "raw", str(tmp_path / "w"), str(tmp_path / "c")
+    bad = [*_days(20, 21, 5.0), ("2026-08-22T01:00:00", -1.0)]
+    write_snapshot(raw / "a", "20260820_070001", [coin("tron", 24.0)])
+    write_history(raw / "a", "tron", "20260826_070002", bad)
+    (raw / "a" / "history_tron_20260826_070009.json").write_text("{broken")
+    stream_load(spark, f"{raw}/*", root, checkpoint).awaitTermination()
+    before = _tables(spark, root)
+    # The same payloads again elsewhere, and one that is new but stamped earlier.
+    write_snapshot(raw / "b", "20260820_070001", [coin("tron", 24.0)])
+    write_history(raw / "b", "tron", "20260826_070002", bad)
+    (raw / "b" / "history_tron_20260826_070009.json").write_text("{broken")
+    stream_load(spark, f"{raw}/*", root, checkpoint).awaitTermination()
+    assert _tables(spark, root) == before and len(before[2]) == 2
+    write_history(raw / "b", "tron", "20260825_070002", _days(23, 23, 5.0))
+    stream_load(spark, f"{raw}/*", root, checkpoint).awaitTermination()
+    assert rows(Warehouse(spark, root).fact_price(), "date")[-1] == (day("2026-08-23"),)
+
+
 def test_a_run_leaves_no_copies_behind(spark, tmp_path, landed):
     shared = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(shared))

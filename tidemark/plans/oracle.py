@@ -348,6 +348,7 @@ ORACLE: dict[str, str] = {
     "mart_check_catalogue": _MART_CHECK,
     "load_history": f"WITH {_MERGED} SELECT {_FIVE} FROM ranked WHERE rn = 1",
     "pipeline_second_run": _two_landings("coin_id, date < DATE '2024-01-16'"),
+    "stream_load": _two_landings("coin_id, date < DATE '2024-01-16'"),
     "pipeline_after_failure": _two_landings("coin_id"),
     "volatility_bucketed": f"""WITH {_LOADED}
       SELECT coin_id, date, price, round(daily_return, 6) AS daily_return, round(stddev_samp(daily_return) OVER (

@@ -84,6 +84,21 @@ def flag_batch(batch: Ingested, reason_mode: str = "row") -> DataFrame:
     )
 
 
+def flag_payloads(
+    snapshots: DataFrame,
+    histories: DataFrame,
+    marks: DataFrame,
+    as_of: dt.date | str = "landed",
+    tracked: Sequence[str] | None = None,
+    reason_mode: str = "row",
+) -> DataFrame:
+    """Landed payloads of both inputs as one validated batch, with those that cannot be read."""
+    flagged = flag_batch(ingest(snapshots, histories, marks, as_of, tracked), reason_mode)
+    for source, payloads in ((_SNAPSHOT, snapshots), (_HISTORY, histories)):
+        flagged = flagged.unionByName(unreadable_rows(payloads, source), allowMissingColumns=True)
+    return flagged
+
+
 def _counters() -> list[Column]:
     """Row counts for the log, gathered while the batch is written."""
     return [
@@ -101,6 +116,11 @@ def _per_source(flagged: DataFrame, operator) -> DataFrame:
     )
 
 
+def append_gaps(warehouse: Warehouse, flagged: DataFrame, run_id: str) -> None:
+    """Store the missing days of each input of a flagged batch."""
+    warehouse.append_gaps(_per_source(flagged, series.calendar_gaps), run_id)
+
+
 class Window(NamedTuple):
     """What a run takes of the landings, from which marks, and the failed runs whose landings it takes over."""
 
@@ -213,9 +233,7 @@ def _run(
     # Feeds every sink and counter below, so it is evaluated once and kept
     # where the loss of an executor cannot take it.
     counted = Observation("batch")
-    flagged = flag_batch(ingest(snapshots, histories, marks, as_of, tracked), reason_mode)
-    for source, payloads in ((_SNAPSHOT, snapshots), (_HISTORY, histories)):
-        flagged = flagged.unionByName(unreadable_rows(payloads, source), allowMissingColumns=True)
+    flagged = flag_payloads(snapshots, histories, marks, as_of, tracked, reason_mode)
     flagged = materialise(flagged.observe(counted, *_counters()), "batch")
     logger.info("run %s: %s", run_id, counted.get)
     warehouse.keep_metrics(run_id, "batch", counted.get)
@@ -225,7 +243,7 @@ def _run(
         warehouse.overtake(other, run_id)
     load(warehouse, flagged, run_id)
 
-    warehouse.append_gaps(_per_source(flagged, series.calendar_gaps), run_id)
+    append_gaps(warehouse, flagged, run_id)
     ranking = warehouse.keep_ranking(marts.volatility_ranking(warehouse.fact_price()))
     views.register(warehouse.fact_price(), warehouse.dim_coin(), warehouse.quarantine(), ranking)
     views.check(spark)

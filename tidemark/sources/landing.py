@@ -79,7 +79,11 @@ def read_history_files(spark: SparkSession, path: str) -> DataFrame:
 
 def _read_table(spark: SparkSession, path: str, schema: T.StructType, dataset: str) -> DataFrame:
     reader = spark.read.schema(_with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT)
-    stored = reader.json(path).where(F.col("dataset") == dataset).drop("dataset")
+    return _of_dataset(reader.json(path), dataset)
+
+
+def _of_dataset(raw: DataFrame, dataset: str) -> DataFrame:
+    stored = raw.where(F.col("dataset") == dataset).drop("dataset")
     return stored.withColumn("file", F.col("_metadata.file_name"))
 
 
@@ -92,7 +96,26 @@ def read_history_table(spark: SparkSession, path: str) -> DataFrame:
     return _read_table(spark, path, STORED_HISTORY, HISTORY_DATASET)
 
 
-def _unreadable(payloads: DataFrame) -> Column:
+def _stream(spark: SparkSession, path: str, layout: str, schema: T.StructType, stored: T.StructType, glob: str) -> DataFrame:
+    files = layout == "files"
+    reader = spark.readStream.schema(_with_corrupt(schema if files else stored))
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", files)
+    return (reader.option("pathGlobFilter", glob) if files else reader).json(path)
+
+
+def stream_snapshots(spark: SparkSession, path: str, layout: str = "files") -> DataFrame:
+    """Snapshot objects of files not seen before, of either layout."""
+    raw = _stream(spark, path, layout, SNAPSHOT, STORED_SNAPSHOT, SNAPSHOT_GLOB)
+    return snapshot_objects(raw) if layout == "files" else _of_dataset(raw, SNAPSHOT_DATASET)
+
+
+def stream_histories(spark: SparkSession, path: str, layout: str = "files") -> DataFrame:
+    """History payloads of files not seen before, of either layout."""
+    raw = _stream(spark, path, layout, HISTORY, STORED_HISTORY, HISTORY_GLOB)
+    return history_payloads(raw) if layout == "files" else _of_dataset(raw, HISTORY_DATASET)
+
+
+def is_unreadable(payloads: DataFrame) -> Column:
     """Whether a payload is no JSON, or a history without its prices."""
     broken = F.lit(False)
     if CORRUPT in payloads.columns:
@@ -106,7 +129,7 @@ def _unreadable(payloads: DataFrame) -> Column:
 
 
 def readable(payloads: DataFrame) -> DataFrame:
-    return payloads.where(~_unreadable(payloads))
+    return payloads.where(~is_unreadable(payloads))
 
 
 def unreadable(payloads: DataFrame) -> DataFrame:
@@ -115,7 +138,7 @@ def unreadable(payloads: DataFrame) -> DataFrame:
     text = F.col(CORRUPT) if CORRUPT in payloads.columns else F.lit(None).cast("string")
     file = F.col("file") if "file" in payloads.columns else F.lit("")
     rejected = F.concat(file, F.lit(": "), F.coalesce(text, F.lit("no prices")))
-    return payloads.where(_unreadable(payloads)).select(
+    return payloads.where(is_unreadable(payloads)).select(
         coin.alias("coin_id"), "ingest_ts", rejected.alias("rejected")
     )
 
