@@ -5,6 +5,7 @@ from helpers import day, rows
 from payloads import coin, millis, write_history, write_snapshot
 from tidemark.operators import series
 from tidemark.sources import landing
+from tidemark.streaming.compact import compact
 
 
 def test_snapshot_mixes_ints_and_floats_and_nested_fields(spark, tmp_path):
@@ -82,3 +83,35 @@ def test_landing_table_keeps_payloads_and_replaces_a_repeated_stamp(spark, tmp_p
     assert rows(landing.history_points(stored)) == rows(landing.history_points(payloads))
     pruned = again.where(F.col("ingest_ts") == "20310306_003010")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dataset" in pruned and "ingest_ts" in pruned.split("PartitionFilters")[1]
+
+
+def _files(folder):
+    return [f for f in folder.rglob("part-*") if f.suffix == ".json"]
+
+
+def test_compaction_loses_and_doubles_nothing(spark, tmp_path):
+    raw, table, checkpoint = tmp_path / "raw", tmp_path / "table", str(tmp_path / "c")
+
+    def compacted():
+        compact(spark, str(raw), str(table), checkpoint).awaitTermination()
+        snapshots, histories = (
+            r(spark, str(table)) for r in (landing.read_snapshot_table, landing.read_history_table)
+        )
+        points = landing.history_points(histories).drop("ingest_ts")
+        return rows(landing.snapshot_rows(snapshots)), rows(points), rows(landing.unreadable(histories))
+
+    days = [("2026-08-20T03:00:00", 1.0), ("2026-08-20T21:00:00", None)]
+    write_snapshot(raw, "20260820_070001", [coin("c0", 1.0), coin("c1", None)])
+    for i in range(20):
+        write_history(raw, f"c{i}", "20260826_070002", days, caps=[])
+    (raw / "history_x_20260826_070002.json").write_text('{"prices":\n [[17')
+    first = compacted()
+    assert [len(part) for part in first] == [2, 40, 1] and len(_files(table)) <= 4
+    assert first[2][0][2] == 'history_x_20260826_070002.json: {"prices":\n [[17'
+    assert compacted() == first
+    # The checkpoint loses its last commit: the batch is done again.
+    (tmp_path / "c" / "commits" / "0").unlink()
+    (tmp_path / "c" / "commits" / ".0.crc").unlink(missing_ok=True)
+    assert compacted() == first
+    write_history(raw, "late", "20260826_070002", days, caps=[])
+    assert [len(part) for part in compacted()] == [2, 42, 1]

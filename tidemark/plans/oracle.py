@@ -154,6 +154,13 @@ _MART_CHECK = f"""WITH {_VOLATILITY}, peaks AS (
 _LOADED = f"""{_MERGED}, daily AS (SELECT coin_id, date, price FROM ranked WHERE rn = 1), {_RETURNS}"""
 
 
+_LANDED = """
+  SELECT 'snapshot_markets' AS dataset, '20240201_100000' AS ingest_ts, count(*) AS row_count,
+         round(sum(l_extendedprice), 2) AS value_sum FROM lineitem
+  UNION ALL SELECT 'history', '20240201_100000', count(*), round(sum(value + k +
+    CASE WHEN event_type = 'purchase' THEN value * k ELSE 0 END), 2)
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)"""
+
 ORACLE: dict[str, str] = {
     "daily_last": f"""WITH {_BAD}
       SELECT coin_id, date,
@@ -332,12 +339,8 @@ ORACLE: dict[str, str] = {
              round(last(value * k ORDER BY ts) FILTER (WHERE event_type = 'purchase'), 6) AS market_cap,
              last(k ORDER BY ts) AS volume
       FROM points GROUP BY coin_id, date""",
-    "raw_landing": """
-      SELECT 'snapshot_markets' AS dataset, '20240201_100000' AS ingest_ts, count(*) AS row_count,
-             round(sum(l_extendedprice), 2) AS value_sum FROM lineitem
-      UNION ALL SELECT 'history', '20240201_100000', count(*), round(sum(value + k +
-        CASE WHEN event_type = 'purchase' THEN value * k ELSE 0 END), 2)
-      FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)""",
+    "raw_landing": _LANDED,
+    "compacted_landing": _LANDED,
     "unreadable_payloads": """WITH texts AS (
         SELECT CASE WHEN event_id % 13 = 0 THEN '{"coin_id":"' || user_id || '","prices":[[1700000000000.0,'
                     WHEN event_id % 17 = 0 THEN 'no prices' END AS rejected FROM events)

@@ -18,7 +18,7 @@ from tidemark.scale import materialise, shared_dir
 from tidemark.schemas import DIM_KEY, FACT_KEY, MEASURES
 from tidemark.sources import landing, tables
 from tidemark.sources.tables import TICK_ORDER
-from tidemark.streaming import ingest
+from tidemark.streaming import compact, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -278,7 +278,10 @@ def _land_both(spark, sf_dir, snapshot):
 
 def raw_landing(spark, sf_dir):
     """Both stored datasets: rows, and the sum of what their payloads hold."""
-    path = _land_both(spark, sf_dir, tables.snapshot_payloads(spark, sf_dir))
+    return _landed_sums(spark, _land_both(spark, sf_dir, tables.snapshot_payloads(spark, sf_dir)))
+
+
+def _landed_sums(spark, path):
     first = F.lit(0)
     history = F.get(F.get("prices", first), F.lit(1)) + F.get(F.get("total_volumes", first), F.lit(1))
     history = history + F.coalesce(F.get(F.get("market_caps", first), F.lit(1)), F.lit(0.0))
@@ -295,6 +298,20 @@ def raw_landing(spark, sf_dir):
     return counted[0].unionByName(counted[1])
 
 
+def compacted_landing(spark, sf_dir):
+    """The sums of ``raw_landing`` over landings in many small files, compacted in two runs and one in vain."""
+    path, compacted, checkpoint = (_scratch(spark, label) for label in ("landing", "compacted", "compaction"))
+    inputs = {
+        landing.SNAPSHOT_DATASET: tables.snapshot_payloads(spark, sf_dir),
+        landing.HISTORY_DATASET: tables.history_payloads(spark, sf_dir),
+    }
+    for dataset, payloads in inputs.items():
+        landing.land(payloads.repartition(40), path, dataset, _STAMP)
+        compact.compact(spark, path, compacted, checkpoint, layout="table").awaitTermination()
+    compact.compact(spark, path, compacted, checkpoint, layout="table").awaitTermination()
+    return _landed_sums(spark, compacted)
+
+
 def unreadable_payloads(spark, sf_dir):
     """What becomes of every event as a payload, when some are cut short and some hold no prices."""
     path = _scratch(spark, "landing")
@@ -534,6 +551,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_second_run": pipeline_second_run,
     "pipeline_after_failure": pipeline_after_failure,
     "stream_load": stream_load,
+    "compacted_landing": compacted_landing,
     "mart_check_catalogue": mart_check_catalogue,
     "volatility_bucketed": volatility_bucketed,
     "marts_incremental": marts_incremental,

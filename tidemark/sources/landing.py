@@ -27,18 +27,13 @@ HISTORY_GLOB = "history_*.json"
 CORRUPT = "_corrupt_record"
 UNREADABLE = "Unreadable payload"
 
+# What compacted rows keep of the small file they come from: its name, its text if unreadable; and their folder.
+ORIGIN, BROKEN, BATCH = "origin", "broken", "batch"
+
 # One stored payload row: the declared payload plus where it came from.
-STORED_SNAPSHOT = T.StructType(
-    [*SNAPSHOT.fields, T.StructField("dataset", T.StringType()), T.StructField("ingest_ts", T.StringType())]
-)
-STORED_HISTORY = T.StructType(
-    [
-        *HISTORY.fields,
-        T.StructField("coin_id", T.StringType()),
-        T.StructField("dataset", T.StringType()),
-        T.StructField("ingest_ts", T.StringType()),
-    ]
-)
+_SOURCE = [T.StructField(name, T.StringType()) for name in (ORIGIN, BROKEN, "dataset", "ingest_ts")]
+STORED_SNAPSHOT = T.StructType([*SNAPSHOT.fields, *_SOURCE])
+STORED_HISTORY = T.StructType([*HISTORY.fields, T.StructField("coin_id", T.StringType()), *_SOURCE])
 
 
 def _from_file_name(raw: DataFrame, *extra: Column) -> DataFrame:
@@ -83,8 +78,10 @@ def _read_table(spark: SparkSession, path: str, schema: T.StructType, dataset: s
 
 
 def _of_dataset(raw: DataFrame, dataset: str) -> DataFrame:
-    stored = raw.where(F.col("dataset") == dataset).drop("dataset")
-    return stored.withColumn("file", F.col("_metadata.file_name"))
+    stored = raw.where(F.col("dataset") == dataset)
+    named = stored.withColumn("file", F.coalesce(F.col(ORIGIN), F.col("_metadata.file_name")))
+    named = named.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), F.col(BROKEN)))
+    return named.drop("dataset", ORIGIN, BROKEN, BATCH)
 
 
 def read_snapshot_table(spark: SparkSession, path: str) -> DataFrame:
