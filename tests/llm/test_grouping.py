@@ -89,12 +89,16 @@ def vectors():
     return rows
 
 
-def test_embeddings_match_brute_force(spark):
+# As planned for these rows, and as for millions of vectors.
+@pytest.mark.parametrize("count", [None, 1 << 23])
+def test_embeddings_match_brute_force(spark, count, monkeypatch):
+    monkeypatch.setattr(embedding, "_CHUNK", 64)
+    how = count and embedding.planned(count)
     rows = vectors()
     odd = [None, [], [0.0] * 64, [float("nan")] * 64, [None, *[1.0] * 63], [float("inf"), *[0.0] * 63], [1.0, 0.0], [2.0, 0.0]]
     data = [(i, v, 0) for i, v in enumerate([*rows, *odd])] + [(None, rows[0], 0)]
     frame = spark.createDataFrame(data, "vec_id long, embedding array<float>, node int")
-    found = {r.vec_id: r for r in embedding.near(frame).collect()}
+    found = {r.vec_id: r for r in embedding.near(frame, how).collect()}
     assert len(found) == len(data)
     x = np.array(rows, dtype=np.float32).astype(float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -113,6 +117,25 @@ def test_embeddings_match_brute_force(spark):
     assert embedding.near(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("count", [1 << 13, 1 << 20, 1 << 30])
+def test_planned_lattices_keep_their_recall(count):
+    rng = np.random.default_rng(8)
+    how = embedding.planned(count)
+    x = embedding.unit(rng.normal(size=(1000, 64)))
+    z = rng.normal(size=x.shape)
+    z = embedding.unit(z - (z * x).sum(axis=1, keepdims=True) * x)
+    (a, looked), (b, seen) = (embedding.cells(v, how) for v in (x, 0.9 * x + np.sqrt(1 - 0.81) * z))
+    met = (a == b) | (looked == b[:, :, None]).any(axis=2) | (seen == a[:, :, None]).any(axis=2)
+    assert met.any(axis=1).mean() >= 0.95
+    one, probed = embedding.cells(x[:1], how)
+    assert (one == a[:1]).all() and (probed == looked[:1]).all()
+
+
+def test_comparisons_grow_far_slower_than_the_table():
+    few, many = (embedding.expected(n, embedding.planned(n))[1] for n in (1 << 13, 1 << 30))
+    assert many < 32 * few
+
+
 def test_e8_decoding_is_nearest():
     steps = shortest_vectors()
     assert len(steps) == 240 and (steps**2).sum(axis=1).tolist() == [8] * 240
