@@ -92,6 +92,18 @@ def test_quality_agrees_with_labels_it_never_sees(spark, sf_larger):
     assert np.mean([r.predicted for r in found if good[r.doc_id]]) > 0.97
 
 
+def test_copies_count_once_in_the_sample_of_quality(spark, monkeypatch):
+    taken, fit = [], quality._fit_scorer
+    monkeypatch.setattr(quality, "_fit_scorer", lambda found, good, how: taken.append(len(found)) or fit(found, good, how))
+    texts = ["the same text again and again"] * 500 + [f"text number {i} of a few" for i in range(30)]
+    found = quality.classify(documents(spark, texts), how=quality.Settings(sample=10_000)).collect()
+    assert len(found) == len(texts) + 2 and taken == [32]  # documents() adds one text
+    assert len({r.score for r in found if r.doc_id is not None and r.doc_id <= 500}) == 1
+    taken.clear()
+    quality.classify(documents(spark, texts), how=quality.Settings(sample=5)).collect()
+    assert all(n <= 10 for n in taken)
+
+
 def test_quality_of_awkward_rows(spark):
     found = quality.classify(documents(spark)).collect()
     assert len(found) == len(TEXTS) + 2 and all(0 <= r.score <= 1 and 0 <= r.posterior <= 1 for r in found)

@@ -266,7 +266,8 @@ def classify(docs: DataFrame, keep: Sequence[str] = ("doc_id",), how: Settings =
 
     ``posterior`` is the label model's chance that the text is good given its
     votes, ``score`` the linear model's. The votes of all rows are counted; the
-    linear model sees about ``sample`` of them. Null counts as empty. Each row
+    linear model sees at most about ``sample`` of the different texts, picked by
+    a hash, so copies count once in it. Null counts as empty. Each row
     is scored for itself; an empty table gives no row.
     """
     spark = docs.sparkSession
@@ -283,7 +284,8 @@ def classify(docs: DataFrame, keep: Sequence[str] = ("doc_id",), how: Settings =
     _, good = accuracies(seen, np.array([counted[p] for p in seen.tolist()], dtype=np.float64), how)
     posterior = dict(zip(seen.tolist(), good.tolist(), strict=True))
     share = how.sample / sum(counted.values())
-    sample = rows.where(chance(how.seed, "text") < share).select("text").limit(2 * how.sample)
+    picked = chance(how.seed, "text")
+    sample = rows.where(picked < share).select("text").distinct().orderBy(picked, "text").limit(2 * how.sample)
     sample = sample.mapInArrow(_sampled, "pattern int, found binary").collect()
     sample.sort(key=lambda r: r["found"])
     weights, constant = np.zeros(1 << _BITS), 0.0
