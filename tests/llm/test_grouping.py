@@ -183,6 +183,15 @@ def test_archives_read_back(spark, tmp_path, least, monkeypatch):
     assert warc.lookup(none, str(tmp_path / "none"), keys).count() == 0
 
 
+def test_stores_of_archives(spark):
+    same = ["/data/x", "relative/a:b", "s3://b/x", "hdfs://h/x", "file:///tmp/x", "abfss://c@a.b/x"]
+    assert [warc.store_uri(u) for u in same] == same
+    assert [warc.store_uri(u) for u in ("s3a://b/x", "S3N://b/x")] == ["s3://b/x", "s3://b/x"]
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string, key int")
+    with pytest.raises(ValueError, match="dbfs"):
+        warc.write(pages, "dbfs:/archives")
+
+
 def test_url_keys(spark):
     urls = ["http://www.example.com/a?b=1#x", "https://u@Example.COM:8080/a", "http://a.b", "plain", "", None]
     frame = spark.createDataFrame([(u,) for u in urls], "url string")

@@ -92,8 +92,25 @@ def parse(data: bytes) -> dict:
     return {"headers": headers, "length": length, "payload": payload}
 
 
+# Names that Hadoop has for stores which pyarrow knows by others.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+_KNOWN = {"file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss"}
+
+
+def store_uri(folder: str) -> str:
+    """``folder`` as pyarrow names its store; a ValueError for stores it cannot write."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon or "/" in scheme:
+        return folder
+    scheme = _SCHEMES.get(scheme.lower(), scheme.lower())
+    if scheme not in _KNOWN:
+        raise ValueError(f"archives cannot be written to {scheme}: folders; known are {', '.join(sorted(_KNOWN))}")
+    return f"{scheme}:{rest}"
+
+
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder) if ":" in folder else (pafs.LocalFileSystem(), folder)
+    uri = store_uri(folder)
+    return pafs.FileSystem.from_uri(uri) if uri.partition(":")[0] in _KNOWN else (pafs.LocalFileSystem(), uri)
 
 
 class _Writer:
@@ -160,9 +177,12 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, date: str = "1970
     Of records with equal payloads of at least ``least_bytes`` bytes the one
     with the largest page_id is a response, the others revisit it; rows that
     repeat this page_id are responses too. Null html is an empty payload.
-    Returns a row per archive: archive, first_key, last_key. A task that is run
+    Other columns are not read. ``folder`` is a path or a URI of a store that
+    ``store_uri`` knows (``s3a:`` too); others are refused before anything is
+    written. Returns a row per archive: archive, first_key, last_key. A task that is run
     again writes files of other names, and only those it returns count.
     """
+    store_uri(folder)
     ship(pages.sparkSession)
     bytes_ = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", "html", url_key(F.col("url")).alias("key"), F.sha1(bytes_).alias("sha"))
@@ -187,8 +207,9 @@ def _directory(folder: str, archive: str) -> tuple[list[str], list[list]]:
     return [row[1] for row in rows], rows
 
 
-def _blocks(batches, folder: str, archives: list[tuple[str, str, str]]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches, folder: str, listed) -> Iterator[pa.RecordBatch]:
     """For every key the blocks that may hold it, by binary search."""
+    archives = listed.value
     lasts = [last for _, last, _ in archives]
     for batch in batches:
         for key in batch.column("key").to_pylist():
@@ -291,18 +312,20 @@ def lookup(archives: DataFrame, folder: str, keys: DataFrame, payload: bool = Fa
     """Every capture of every key of ``keys`` (key): a row per record.
 
     Keys that are null or in no archive give no row, repeated keys count once.
-    The list of archives, a row for each written partition, goes to the tasks;
+    The list of archives, a row for each 512 MB or written partition, is broadcast;
     a key with many captures is split by its blocks. With ``payload`` the rows
     carry the payload, null in revisits.
     """
     spark = archives.sparkSession
     ship(spark)
     listed = sorted((r["first_key"], r["last_key"], r["archive"]) for r in archives.collect())
-    wanted = keys.select("key").where("key is not null").distinct()
+    listed = spark.sparkContext.broadcast(listed)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Keys are few bytes but each may read many blocks, so their partitions are not merged.
+    wanted = keys.select("key").where("key is not null").distinct().repartition(parts, "key")
     found = wanted.mapInArrow(
         lambda batches: _blocks(batches, folder, listed), "archive string, offset long, length long, key string"
     )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = found.repartition(parts, "archive", "offset").sortWithinPartitions("archive", "offset")
     schema = (
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
