@@ -321,8 +321,8 @@ def lookup(archives: DataFrame, folder: str, keys: DataFrame, payload: bool = Fa
     listed = sorted((r["first_key"], r["last_key"], r["archive"]) for r in archives.collect())
     listed = spark.sparkContext.broadcast(listed)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Keys are few bytes but each may read many blocks, so their partitions are not merged.
-    wanted = keys.select("key").where("key is not null").distinct().repartition(parts, "key")
+    # Keys are few bytes but each may read many blocks. Dealt by their own values Spark would merge them again.
+    wanted = keys.select("key").where("key is not null").distinct().repartition(parts, F.xxhash64("key"))
     found = wanted.mapInArrow(
         lambda batches: _blocks(batches, folder, listed), "archive string, offset long, length long, key string"
     )
