@@ -143,3 +143,32 @@ def test_learned_spans_are_added(spark, net):
 def test_nothing_to_learn_from_leaves_made_findings(spark):
     model = secrets.fit(documents(spark, []), secrets.Settings(epochs=1, made=200))
     assert secrets.scan(documents(spark, ["x", None]), model).select(F.size("spans").alias("n")).distinct().collect()[0].n == 0
+
+
+def test_all_candidates_are_learned_from_in_shards(spark):
+    rng = random.Random(5)
+    few = secrets.Settings(made=2000)
+    lines = [(f'see token = "{rng.randbytes(16).hex()}" here', f"see page {rng.randbytes(3).hex()}x{i}.html here") for i in range(2500)]
+    docs = documents(spark, [text for pair in lines for text in pair])
+    windows = secrets.findings(docs)
+    n = windows.count()
+    assert n >= 4900
+    model = secrets.fit(docs, few)
+    assert model.learned + model.held == n and model.learned > 0.6 * n
+    made, labels = secrets.made(1000, np.random.default_rng(78))
+    codes = secrets.coded(made)
+    score = 1 / (1 + np.exp(-(model.scale * secrets.logits(model, codes) + model.offset)))
+    hit = score >= np.array([model.thresholds[k] for k in range(3)])[secrets.shapes(codes)]
+    assert hit[labels == 1].mean() > 0.9 and hit[labels == 0].mean() < 0.1
+
+
+def test_counted_outputs_calibrate_like_repeated_ones():
+    rng = np.random.default_rng(4)
+    labels = (rng.random(500) < 0.4).astype(float)
+    z, counts = rng.normal(size=500) + 2 * labels, rng.integers(1, 5, 500)
+    shape = rng.integers(0, 3, 500)
+    often = [np.repeat(a, counts) for a in (z, labels, shape)]
+    assert np.allclose(secrets.calibrate(z, labels, counts), secrets.calibrate(*often[:2]), atol=1e-6)
+    how = secrets.Settings(recall=0.9)
+    score = [1 / (1 + np.exp(-x)) for x in (z, often[0])]
+    assert secrets.constrained(score[0], labels, shape, how, counts) == secrets.constrained(score[1], *often[1:], how)

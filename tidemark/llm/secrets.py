@@ -3,9 +3,10 @@
 A candidate is a run of key characters with a letter and a digit. The network
 reads the candidate and the characters around it: embedded characters, which
 differ inside and outside the candidate, filters of several widths, their
-maxima, and a logistic output. It learns from labelled findings: candidates of
-the corpus inside a fixed pattern and outside of all, and made ones of known
-kinds. Held-out findings calibrate its scores and set the highest thresholds
+maxima, and a logistic output. It learns from labelled findings: all candidates
+of the corpus, inside a fixed pattern or outside of all, and made ones of known
+kinds. Tasks learn from a shard each, and their weights are averaged after every
+epoch. Held-out findings calibrate its scores and set the highest thresholds
 that still find the wanted share of secrets.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from tidemark.llm.arrow_text import chunks, lowered
 from tidemark.llm.sampling import chance
 from tidemark.llm.ship import ship
+from tidemark.scale import materialise, temporary
 
 KINDS = ("assign", "access", "hex", "learned")
 # The patterns, and the least length of what they must find.
@@ -52,15 +54,12 @@ _INSIDE = 256
 
 @dataclass(frozen=True)
 class Settings:
-    """Shape of the network, and the bounds of what it learns from."""
+    """Shape of the network, and how it learns."""
 
     widths: tuple[int, ...] = (3, 6)
     filters: int = 32
     embedding: int = 8
-    texts: int = 200_000  # the documented bounds of the training sample
-    findings: int = 2000
-    others: int = 4000
-    made: int = 6000
+    made: int = 6000  # made findings, and about as many of the corpus in a shard
     epochs: int = 6
     batch: int = 64
     rate: float = 0.004
@@ -80,6 +79,12 @@ class Network:
     scale: float = 1.0
     offset: float = 0.0
     thresholds: dict[int, float] = field(default_factory=dict)
+    # Findings of the corpus that the weights, and the thresholds, come from.
+    learned: int = 0
+    held: int = 0
+
+    def weights(self) -> list[np.ndarray]:
+        return [self.embed, *self.kernels, *self.biases, self.out, self.constant]
 
 
 def _peaks(net: Network, codes: np.ndarray):
@@ -108,24 +113,47 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(codes: np.ndarray, labels: np.ndarray, how: Settings) -> Network:
-    """Fit the network to windows by Adam on the logistic loss."""
-    rng = np.random.default_rng(how.seed)
+def untrained(how: Settings, rng: np.random.Generator) -> Network:
+    """The network with drawn weights."""
 
     def drawn(*shape):
         return rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
 
-    net = Network(
+    return Network(
         rng.normal(0, 1, (2 * _INSIDE, how.embedding)).astype(np.float32),
         [drawn(w * how.embedding, how.filters) for w in how.widths],
         [np.zeros(how.filters, np.float32) for _ in how.widths],
         drawn(how.filters * len(how.widths)),
         np.zeros(1, np.float32),
     )
-    weights = [net.embed, *net.kernels, *net.biases, net.out, net.constant]
-    mean, square = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-    turn = 0
-    for _ in range(how.epochs):
+
+
+class Training:
+    """A network, and what Adam keeps of its gradients."""
+
+    def __init__(self, net: Network):
+        self.net = net
+        self.mean = [np.zeros_like(w) for w in net.weights()]
+        self.square = [np.zeros_like(w) for w in net.weights()]
+        self.turn = 0.0
+
+    def _arrays(self) -> list[np.ndarray]:
+        return [*self.net.weights(), *self.mean, *self.square]
+
+    def numbers(self) -> np.ndarray:
+        """All of it in one vector, which can be averaged."""
+        return np.concatenate([*(a.ravel() for a in self._arrays()), [self.turn]]).astype(np.float64)
+
+    def restore(self, numbers: np.ndarray) -> None:
+        at = 0
+        for a in self._arrays():
+            a[...] = numbers[at : at + a.size].reshape(a.shape)
+            at += a.size
+        self.turn = float(numbers[at])
+
+    def epoch(self, codes: np.ndarray, labels: np.ndarray, how: Settings, rng: np.random.Generator) -> None:
+        """Go over all windows once, by Adam on the logistic loss."""
+        net, weights = self.net, self.net.weights()
         order = rng.permutation(len(codes))
         for begin in range(0, len(codes), how.batch):
             pick = order[begin : begin + how.batch]
@@ -143,29 +171,41 @@ def train(codes: np.ndarray, labels: np.ndarray, how: Settings) -> Network:
                 for j in range(width):
                     part = net.kernels[i][j * how.embedding : (j + 1) * how.embedding].T
                     np.add.at(d_embed, x[every, at + j], g[:, :, None] * part)
-            turn += 1
+            self.turn += 1
             grads = [d_embed, *d_kernels, *d_biases, live.T @ error, error.sum(keepdims=True)]
-            for w, g, m, v in zip(weights, grads, mean, square, strict=True):
+            for w, g, m, v in zip(weights, grads, self.mean, self.square, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
-                w -= how.rate * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.999**turn)) + 1e-8)
-    return net
+                w -= how.rate * (m / (1 - 0.9**self.turn)) / (np.sqrt(v / (1 - 0.999**self.turn)) + 1e-8)
+
+
+def train(codes: np.ndarray, labels: np.ndarray, how: Settings) -> Network:
+    """Fit a network to windows that one process holds."""
+    rng = np.random.default_rng(how.seed)
+    training = Training(untrained(how, rng))
+    for _ in range(how.epochs):
+        training.epoch(codes, labels, how, rng)
+    return training.net
 
 
-def calibrate(z: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset that make ``sigmoid(slope * z + offset)`` a probability, by Newton steps."""
-    positive, negative = labels.sum(), len(labels) - labels.sum()
+def calibrate(z: np.ndarray, labels: np.ndarray, counts: np.ndarray | None = None, rounds: int = 50) -> tuple[float, float]:
+    """Slope and offset that make ``sigmoid(slope * z + offset)`` a probability, by Newton steps.
+
+    ``counts`` says how often each output occurs, once by default.
+    """
+    counts = np.ones(len(z)) if counts is None else counts
+    positive, negative = (counts * labels).sum(), (counts * (1 - labels)).sum()
     target = np.where(labels > 0, (positive + 1) / (positive + 2), 1 / (negative + 2))
     x = np.stack([z, np.ones(len(z))], axis=1)
 
     def loss(w: np.ndarray) -> float:
-        return float((np.logaddexp(0, x @ w) - target * (x @ w)).sum())
+        return float((counts * (np.logaddexp(0, x @ w) - target * (x @ w))).sum())
 
     w = np.zeros(2)
     for _ in range(rounds):
         p = _sigmoid(x @ w)
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(curve, x.T @ (p - target))
+        curve = (x * (counts * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (counts * (p - target)))
         while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
             step /= 2
         w = w - step
@@ -183,19 +223,27 @@ def shapes(codes: np.ndarray) -> np.ndarray:
     return np.where(hexadecimal.all(axis=1), 0, np.where(plain.all(axis=1), 1, 2))
 
 
-def constrained(score: np.ndarray, labels: np.ndarray, shape: np.ndarray, how: Settings) -> dict[int, float]:
+def constrained(
+    score: np.ndarray, labels: np.ndarray, shape: np.ndarray, how: Settings, counts: np.ndarray | None = None
+) -> dict[int, float]:
     """For each shape the highest threshold that finds the wanted share of held-out secrets, 0.5 at most.
 
-    Shapes with few held-out secrets get that of all together.
+    Shapes with few held-out secrets get that of all together. ``counts`` says
+    how often each score occurs, once by default.
     """
+    counts = np.ones(len(score)) if counts is None else counts
 
-    def highest(found: np.ndarray) -> float:
-        ordered = np.sort(found)[::-1]
-        return min(float(ordered[int(np.ceil(how.recall * len(ordered))) - 1]), 0.5) if len(ordered) else 0.5
+    def highest(which: np.ndarray) -> float:
+        if not which.any():
+            return 0.5
+        order = np.argsort(-score[which], kind="stable")
+        found = np.cumsum(counts[which][order])
+        last = np.searchsorted(found, how.recall * found[-1] * (1 - 1e-12))
+        return min(float(score[which][order][last]), 0.5)
 
-    whole = highest(score[labels > 0])
-    parts = {k: score[(labels > 0) & (shape == k)] for k in range(3)}
-    return {k: highest(part) if len(part) >= how.least_held else whole for k, part in parts.items()}
+    whole = highest(labels > 0)
+    parts = {k: (labels > 0) & (shape == k) for k in range(3)}
+    return {k: highest(part) if counts[part].sum() >= how.least_held else whole for k, part in parts.items()}
 
 
 def _runs(member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +332,7 @@ def overlapping(spans: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return hit
 
 
-def _sampled(batches) -> Iterator[pa.RecordBatch]:
+def _findings(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, raw, offsets in chunks(batch.column(0)):
             chunk = Chunk(raw, offsets)
@@ -371,36 +419,118 @@ def coded(findings: list[tuple[str, str, str]]) -> np.ndarray:
     return chunk.windows(np.stack([begin, begin + size], axis=1))
 
 
-def fit(docs: DataFrame, how: Settings = Settings()) -> Network:
-    """Learn from candidates of ``docs`` (text), labelled by the fixed patterns, and from made ones.
+def findings(docs: DataFrame) -> DataFrame:
+    """(found, window) of all candidates of ``docs`` (text), each once: whether a fixed pattern has it, and its codes."""
+    ship(docs.sparkSession)
+    texts = docs.where(F.length("text") >= LEAST_CANDIDATE).select(F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(_findings, "found boolean, window binary").distinct()
+
+
+def _decoded(found: pa.Array, window: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.frombuffer(b"".join(window.to_pylist()), "<u2").reshape(-1, WINDOW)
+    return codes, found.to_numpy(zero_copy_only=False).astype(float)
+
+
+def _by_shard(batches) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each shard; those of a shard follow each other."""
+    current, held = None, []
+    for batch in batches:
+        shard = batch.column(0).to_numpy()
+        borders = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+        for begin, end in zip(borders[:-1], borders[1:], strict=True):
+            if begin == end:
+                continue
+            if held and shard[begin] != current:
+                yield current, pa.Table.from_batches(held)
+                held = []
+            current = int(shard[begin])
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield current, pa.Table.from_batches(held)
+
+
+def _learned(batches, sent, turn: int) -> Iterator[pa.RecordBatch]:
+    """The weights after an epoch over each shard and the made findings, added up over the shards of a task."""
+    training, made_codes, made_labels, how = sent.value
+    start = training.numbers()
+    total, weight, rows = np.zeros_like(start), 0, 0
+    for shard, table in _by_shard(batches):
+        codes, labels = _decoded(table.column("found").combine_chunks(), table.column("window"))
+        training.restore(start)
+        rng = np.random.default_rng([how.seed, turn, shard])
+        training.epoch(np.concatenate([codes, made_codes]), np.concatenate([labels, made_labels]), how, rng)
+        size = len(codes) + len(made_codes)
+        total += size * training.numbers()
+        weight += size
+        rows += len(codes)
+    if rows:
+        values = [pa.array([total.tobytes()], pa.binary()), pa.array([weight], pa.int64()), pa.array([rows], pa.int64())]
+        yield pa.RecordBatch.from_arrays(values, names=["total", "weight", "rows"])
+
+
+# Outputs of held-out findings are counted in steps of this, up to a bound beyond which the logistic function is flat.
+_STEP, _FLAT = 1 / 1024, 64.0
+
+
+def _outputs(batches, sent) -> Iterator[pa.RecordBatch]:
+    net = sent.value
+    for batch in batches:
+        codes, _ = _decoded(batch.column(0), batch.column(1))
+        step = np.floor(np.clip(logits(net, codes), -_FLAT, _FLAT) / _STEP).astype(np.int64)
+        columns = [batch.column(0), pa.array(shapes(codes).astype(np.int64)), pa.array(step)]
+        yield pa.RecordBatch.from_arrays(columns, names=["found", "shape", "step"])
+
 
-    The sample is bounded: candidates of about ``texts`` texts, of which
-    ``findings`` inside a pattern and ``others`` outside, all different and
-    picked by a hash, and ``made`` ones. A table without candidates leaves the
-    made ones.
+def fit(docs: DataFrame, how: Settings = Settings()) -> Network:
+    """Learn from all candidates of ``docs`` (text), labelled by the fixed patterns, and from made ones.
+
+    Each different window counts once; a hash holds some out. The others are
+    dealt by their hash to shards of about as many as there are made ones. In
+    every epoch each shard goes over its windows and all made ones, from the
+    same weights, and the weights of all shards are averaged: the driver gets
+    one sum a task. The outputs of all held-out windows are counted by value,
+    in steps of 1/1024; where they outnumber the made ones, these count as much
+    as they. A table without candidates leaves the made ones.
     """
-    ship(docs.sparkSession)
-    texts = docs.where(F.length("text") >= LEAST_CANDIDATE)
-    share = how.texts / max(1, texts.count())
-    texts = texts.where(chance(how.seed, "text") < share).select(F.col("text").cast("string").alias("text"))
-    windows = texts.mapInArrow(_sampled, "found boolean, window binary").distinct()
-    order = F.xxhash64(F.lit(how.seed), "window")
-    taken = [
-        windows.where(F.col("found") == found).orderBy(order, "window").limit(most)
-        for found, most in ((True, how.findings), (False, how.others))
-    ]
-    rows = taken[0].unionAll(taken[1]).collect()
-    rows.sort(key=lambda r: (r["found"], bytes(r["window"])))
+    spark = docs.sparkSession
     made_ones, labels = made(how.made, np.random.default_rng(how.seed))
-    given = np.frombuffer(b"".join(bytes(r["window"]) for r in rows), "<u2").reshape(-1, WINDOW)
-    codes = np.concatenate([given, coded(made_ones)])
-    labels = np.concatenate([[r["found"] for r in rows], labels]).astype(float)
-    held = np.random.default_rng(how.seed + 1).random(len(codes)) < how.held_out
-    net = train(codes[~held], labels[~held], how)
-    z = logits(net, codes[held])
-    net.scale, net.offset = calibrate(z, labels[held])
-    score = _sigmoid(net.scale * z + net.offset)
-    net.thresholds = constrained(score, labels[held], shapes(codes[held]), how)
+    codes, labels = coded(made_ones), labels.astype(float)
+    out = np.random.default_rng(how.seed + 1).random(len(codes)) < how.held_out
+    rng = np.random.default_rng(how.seed)
+    training = Training(untrained(how, rng))
+    with temporary(spark):
+        windows = materialise(findings(docs), "windows").withColumn("held", chance(how.seed + 1, "window") < how.held_out)
+        total = windows.where(~F.col("held")).count()
+        shards = max(1, round(total / max(1, int((~out).sum()))))
+        shard = F.pmod(F.xxhash64(F.lit(how.seed), "window"), F.lit(shards)).cast("long").alias("shard")
+        dealt = windows.where(~F.col("held")).select(shard, "found", "window")
+        # Each shard lies in one file, in order, so that no epoch shuffles.
+        dealt = materialise(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "window", "found"), "shards")
+        for turn in range(how.epochs):
+            sent = spark.sparkContext.broadcast((training, codes[~out], labels[~out], how))
+            rows = dealt.mapInArrow(lambda b, s=sent, t=turn: _learned(b, s, t), "total binary, weight long, rows long").collect()
+            if rows:
+                sums = sorted(bytes(r["total"]) for r in rows)
+                training.restore(np.sum([np.frombuffer(v) for v in sums], axis=0) / sum(r["weight"] for r in rows))
+            else:
+                training.epoch(codes[~out], labels[~out], how, rng)
+            training.net.learned = sum(r["rows"] for r in rows)
+            sent.destroy()
+        net = training.net
+        sent = spark.sparkContext.broadcast(net)
+        seen = windows.where("held").select("found", "window")
+        seen = seen.mapInArrow(lambda b: _outputs(b, sent), "found boolean, shape long, step long")
+        seen = seen.groupBy("found", "shape", "step").agg(F.count(F.lit(1)).alias("n"))
+        seen = sorted(tuple(r) for r in seen.collect())
+        sent.destroy()
+    found, shape, step, n = np.array(seen, dtype=np.int64).reshape(-1, 4).T
+    net.held = int(n.sum())
+    z = np.concatenate([step * _STEP, logits(net, codes[out])])
+    labels = np.concatenate([found, labels[out]]).astype(float)
+    shape = np.concatenate([shape, shapes(codes[out])])
+    counts = np.concatenate([n, np.full(int(out.sum()), max(1.0, net.held / max(1, int(out.sum()))))])
+    net.scale, net.offset = calibrate(z, labels, counts)
+    net.thresholds = constrained(_sigmoid(net.scale * z + net.offset), labels, shape, how, counts)
     return net
 
 
