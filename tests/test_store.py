@@ -85,6 +85,29 @@ def test_a_half_moved_load_is_completed_on_the_next_read(spark, warehouse, monke
     assert not warehouse.exists(warehouse.path("_staging/fact_price"))
 
 
+def test_staged_months_are_moved_once_however_often_they_are_interrupted(spark, warehouse):
+    def files():
+        return {os.path.basename(f) for f in glob(f"{warehouse.path('fact_price')}/month=*/*.parquet")}
+
+    warehouse.upsert_fact(_ordered(fact(spark, ("a", "2026-01-01", 1.0), ("a", "2026-02-01", 2.0))), ["ord"])
+    changed = fact(spark, ("a", "2026-01-01", 5.0), ("a", "2026-02-01", 6.0), ("b", "2026-03-01", 7.0))
+    staged = warehouse._staged("fact_price")
+    with pytest.MonkeyPatch.context() as broken:
+        broken.setattr(store.Warehouse, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            warehouse.upsert_fact(_ordered(changed), ["ord"])
+    written = {os.path.basename(f) for f in glob(f"{staged}/month=*/*.parquet")}
+    # The driver is lost after the first month; its files must outlive the next attempt.
+    target = warehouse.path("fact_price")
+    old = [f"{os.path.basename(os.path.dirname(f))}/{os.path.basename(f)}" for f in glob(f"{target}/month=*/*.parquet")]
+    spark.createDataFrame([(f,) for f in old], "value string").coalesce(1).write.text(f"{staged}/_replaced")
+    for f in glob(f"{staged}/month=2026-01/*.parquet"):
+        os.rename(f, f"{target}/month=2026-01/{os.path.basename(f)}")
+    assert rows(warehouse.fact_price(), "price") == [(5.0,), (6.0,), (7.0,)]
+    # What was staged is the table: nothing is written again.
+    assert files() == written and not warehouse.exists(staged)
+
+
 def test_dimension_upsert_overwrites_symbol_and_name(spark, warehouse):
     schema = "coin_id string, symbol string, name string, ord int"
     warehouse.upsert_dim(spark.createDataFrame([("a", "x", "A", 1), ("b", "y", "B", 1)], schema), ["ord"])

@@ -116,6 +116,22 @@ def test_a_refresh_reads_only_the_months_it_needs(spark, tmp_path):
     assert found == want
 
 
+def test_the_windows_of_a_refresh_need_no_shuffle_beside_that_on_the_coin(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    changed = _load(warehouse, *_days("a", "2024-01-01", 100, 5), ("b", "2024-01-05", 1.0))
+    mart_store.refresh(warehouse, changed)
+    needed = mart_store.materialise(mart_store._needed(mart_store.stored_months(warehouse), changed), "needed")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, -1)
+    try:
+        shown = plan(mart_store.marts_of(mart_store.context(warehouse, needed), "before"))
+    finally:
+        spark.conf.set(threshold, before)
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", shown)
+    assert dealt and not any("coin_id" in keys and "month" in keys for keys in dealt)
+
+
 def test_another_session_reads_the_marts_by_name(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     with pytest.raises(RuntimeError, match="mart views not in marts_one: daily_return"):

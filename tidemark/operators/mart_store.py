@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ratio_change, relative_change
-from tidemark.operators.store import Warehouse, replace_keys
+from tidemark.operators.store import Warehouse
 from tidemark.scale import materialise
-from tidemark.schemas import FACT_KEY, MART_DAILY, MART_MONTHS
+from tidemark.schemas import MART_DAILY, MART_MONTHS
 
 # A return over 30 rows, and 30 returns, look 30 rows back.
 CONTEXT = 30
@@ -65,9 +65,19 @@ def _needed(months: DataFrame, changed: DataFrame) -> DataFrame:
     return known.select("coin_id", "month", "first_day", "before")
 
 
+def _coins(needed: DataFrame) -> DataFrame:
+    """(coin_id, first_month, first_day, before): a coin needs all its stored months from the first one on."""
+    first = [F.min("month").alias("first_month"), F.min("first_day").alias("first_day"), F.max("before").alias("before")]
+    return needed.groupBy("coin_id").agg(*first)
+
+
 def context(warehouse: Warehouse, needed: DataFrame) -> DataFrame:
-    """The stored rows of the needed coins and months; ``needed`` is a written frame."""
-    return warehouse.in_months("fact_price", needed).join(needed, ["coin_id", "month"])
+    """The stored rows of the needed coins and months; ``needed`` is a written frame.
+
+    They are joined by coin alone, so the windows of the marts find them in place.
+    """
+    rows = warehouse.in_months("fact_price", needed).join(_coins(needed), "coin_id")
+    return rows.where(F.col("month") >= F.col("first_month")).drop("first_month")
 
 
 def refresh(warehouse: Warehouse, changed: DataFrame) -> None:
@@ -83,9 +93,12 @@ def refresh(warehouse: Warehouse, changed: DataFrame) -> None:
     warehouse._replace("mart_months", months.select(*MART_MONTHS.names))
     needed = materialise(_needed(stored_months(warehouse), changed), "needed")
     computed = marts_of(context(warehouse, needed), "before").where(F.col("date") >= F.col("first_day"))
-    computed = materialise(computed.select(*MART_DAILY.names), "computed")
-    stored = warehouse.in_months("mart_daily", computed)
-    warehouse._replace("mart_daily", replace_keys(stored, computed, FACT_KEY))
+    # All rows of a changed coin from its first changed day on are computed; the others of their months stay.
+    stored = warehouse.in_months("mart_daily", needed.where(F.col("month") >= F.date_format("first_day", "yyyy-MM")))
+    known = stored.join(_coins(needed).select("coin_id", "first_day"), "coin_id", "left")
+    kept = known.where(F.col("first_day").isNull() | (F.col("date") < F.col("first_day")))
+    names = MART_DAILY.names
+    warehouse._replace("mart_daily", kept.select(*names).unionByName(computed.select(*names)))
 
 
 def stored_months(warehouse: Warehouse) -> DataFrame:

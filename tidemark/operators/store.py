@@ -286,7 +286,7 @@ class Warehouse:
             # Rebalancing splits a month too large for one task and joins small ones.
             key = [c for c in FACT_KEY if c in rows.columns]
             arranged = rows.hint("rebalance", "month").sortWithinPartitions("month", *key)
-            writer = arranged.write.partitionBy("month")
+            writer = arranged.write.options(**LOOKUP, **dict(self.options)).partitionBy("month")
         else:
             writer = rows.hint("rebalance").write
         writer.mode("overwrite").parquet(self._staged(table))
@@ -295,9 +295,9 @@ class Warehouse:
     def _finish(self, table: str) -> None:
         """Publish a complete staged result, also one that a lost driver left half published.
 
-        Tasks copy it over the table; of the fact only the months it holds are
-        replaced. Doing it again gives the same table, and the staged result is
-        deleted last.
+        Of tables by month only the months it holds are replaced, by its files;
+        tasks copy the others over the table. Doing it again gives the same
+        table, and the staged result is deleted last.
         """
         staged = self._staged(table)
         if not self.exists(f"{staged}/_SUCCESS"):
@@ -307,11 +307,34 @@ class Warehouse:
         fs.delete(folder, True)
 
     def _publish(self, table: str, rows: DataFrame) -> None:
-        writer = rows.write.mode("overwrite")
         if table in BY_MONTH:
-            writer = writer.options(**LOOKUP, **dict(self.options))
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("month")
-        writer.parquet(self.path(table))
+            self._move_months(table)
+        else:
+            rows.write.mode("overwrite").parquet(self.path(table))
+
+    def _move_months(self, table: str) -> None:
+        """Move the staged files of each month to the table, in place of those it has there.
+
+        The names of the files to delete are kept first, so an interrupted move
+        that is done again deletes none of the files that it has moved.
+        """
+        staged, target, replaced = self._staged(table), self.path(table), f"{self._staged(table)}/_replaced"
+        (fs, _), path = self._hadoop(staged), self.spark._jvm.org.apache.hadoop.fs.Path
+        months = sorted(name for name in self._names(staged) if name.startswith("month="))
+        if not self.exists(f"{replaced}/_SUCCESS"):
+            stored = [m for m in months if fs.exists(path(f"{target}/{m}"))]
+            names = [(f"{m}/{file.getPath().getName()}",) for m in stored for file in fs.listStatus(path(f"{target}/{m}"))]
+            self.spark.createDataFrame(names, "value string").coalesce(1).write.mode("overwrite").text(replaced)
+        for row in self.spark.read.text(replaced).collect():
+            fs.delete(path(f"{target}/{row.value}"), False)
+        for month in months:
+            fs.mkdirs(path(f"{target}/{month}"))
+            for file in fs.listStatus(path(f"{staged}/{month}")):
+                to = path(f"{target}/{month}/{file.getPath().getName()}")
+                # Where a move copies, a lost driver may have left a part of the file.
+                fs.delete(to, False)
+                if not fs.rename(file.getPath(), to):
+                    raise OSError(f"cannot move {file.getPath()} to {to}")
 
 
 @dataclass(frozen=True)
