@@ -115,3 +115,27 @@ def test_compaction_loses_and_doubles_nothing(spark, tmp_path):
     assert compacted() == first
     write_history(raw, "late", "20260826_070002", days, caps=[])
     assert [len(part) for part in compacted()] == [2, 42, 1]
+
+
+def test_compacted_files_are_compressed_and_written_once(spark, tmp_path):
+    from tidemark.streaming import compact
+
+    path, table = str(tmp_path / "landed"), str(tmp_path / "compacted")
+    payloads = spark.range(3000).select(
+        F.format_string("coin%d", "id").alias("coin_id"),
+        F.array(F.array(F.col("id").cast("double"), F.lit(1.5))).alias("prices"),
+    )
+    landing.land(payloads.repartition(6), path, landing.HISTORY_DATASET, "20260826_070001")
+    copies = set((tmp_path / "..").resolve().parent.rglob("payloads-*"))
+    compact.compact(spark, path, table, str(tmp_path / "checkpoint"), layout="table").awaitTermination()
+    assert set((tmp_path / "..").resolve().parent.rglob("payloads-*")) == copies
+
+    def files(folder):
+        return [f for f in (tmp_path / folder).rglob("part-*.json*")]
+
+    written, landed = (sum(f.stat().st_size for f in files(folder)) for folder in ("compacted", "landed"))
+    assert all(f.name.endswith(".json.gz") for f in files("compacted")) and written < 0.5 * landed
+    read = landing.read_history_table(spark, table)
+    assert read.count() == 3000 and read.select("coin_id").distinct().count() == 3000
+    landing.land(payloads.limit(5), path, landing.HISTORY_DATASET, "20260827_070001", "gzip")
+    assert landing.read_history_table(spark, path).where("ingest_ts = '20260827_070001'").count() == 5

@@ -306,7 +306,7 @@ def compacted_landing(spark, sf_dir):
         landing.HISTORY_DATASET: tables.history_payloads(spark, sf_dir),
     }
     for dataset, payloads in inputs.items():
-        landing.land(payloads.repartition(40), path, dataset, _STAMP)
+        landing.land(payloads.repartition(40), path, dataset, _STAMP, "gzip")
         compact.compact(spark, path, compacted, checkpoint, layout="table").awaitTermination()
     compact.compact(spark, path, compacted, checkpoint, layout="table").awaitTermination()
     return _landed_sums(spark, compacted)

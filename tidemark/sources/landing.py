@@ -140,9 +140,12 @@ def unreadable(payloads: DataFrame) -> DataFrame:
     )
 
 
-def land(payloads: DataFrame, path: str, dataset: str, ingest_ts: str) -> None:
+def land(payloads: DataFrame, path: str, dataset: str, ingest_ts: str, compression: str = "none") -> None:
     """Landing sink: keep the accepted payload rows as JSON lines.
 
+    ``compression`` may be ``gzip`` where files are small: readers take a
+    compressed file whole.
+
     Writing the same ``ingest_ts`` again replaces it, so a retried job leaves
     one copy. ``ignoreNullFields`` is off to keep the payload's explicit nulls.
     """
@@ -153,6 +156,7 @@ def land(payloads: DataFrame, path: str, dataset: str, ingest_ts: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False)
+        .option("compression", compression)
         .partitionBy("dataset", "ingest_ts")
         .json(path)
     )

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.scale import materialise, temporary
 from tidemark.sources import landing
 
 _FOLDERS = ["dataset", "ingest_ts", landing.BATCH]
@@ -25,9 +24,10 @@ def compact(
     ``table`` is read with ``layout="table"``; nothing but this stream may write
     to it. Each micro-batch has its own folder under every stamp and replaces it
     when repeated, so after a lost run no payload is missing or doubled. Small
-    stamps share a task and large ones are split. Payloads that cannot be read
-    keep their text and the name of their file. The landed files stay; those
-    the checkpoint has finished with may be removed.
+    stamps share a task and large ones are split, so the files, which are
+    compressed whole, are bounded. Payloads that cannot be read keep their text
+    and the name of their file. The landed files stay; those the checkpoint has
+    finished with may be removed.
     """
     if layout not in ("files", "table"):
         raise ValueError("layout must be 'files' or 'table'")
@@ -42,15 +42,15 @@ def compact(
 
     def write(payloads: DataFrame, epoch: int) -> None:
         stream = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first().id
-        with temporary(spark):
-            rows = materialise(payloads, "payloads").withColumn(landing.BATCH, F.lit(f"{stream}-{epoch}"))
-            (
-                rows.hint("rebalance", *_FOLDERS)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*_FOLDERS)
-                .json(table)
-            )
+        (
+            payloads.withColumn(landing.BATCH, F.lit(f"{stream}-{epoch}"))
+            .hint("rebalance", *_FOLDERS)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "gzip")
+            .partitionBy(*_FOLDERS)
+            .json(table)
+        )
 
     return (
         both.writeStream.foreachBatch(write)
