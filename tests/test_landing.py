@@ -118,8 +118,6 @@ def test_compaction_loses_and_doubles_nothing(spark, tmp_path):
 
 
 def test_compacted_files_are_compressed_and_written_once(spark, tmp_path):
-    from tidemark.streaming import compact
-
     path, table = str(tmp_path / "landed"), str(tmp_path / "compacted")
     payloads = spark.range(3000).select(
         F.format_string("coin%d", "id").alias("coin_id"),
@@ -127,7 +125,7 @@ def test_compacted_files_are_compressed_and_written_once(spark, tmp_path):
     )
     landing.land(payloads.repartition(6), path, landing.HISTORY_DATASET, "20260826_070001")
     copies = set((tmp_path / "..").resolve().parent.rglob("payloads-*"))
-    compact.compact(spark, path, table, str(tmp_path / "checkpoint"), layout="table").awaitTermination()
+    compact(spark, path, table, str(tmp_path / "checkpoint"), layout="table").awaitTermination()
     assert set((tmp_path / "..").resolve().parent.rglob("payloads-*")) == copies
 
     def files(folder):
