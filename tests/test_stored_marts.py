@@ -150,3 +150,24 @@ def test_another_session_reads_the_marts_by_name(spark, tmp_path):
     assert rows(other.table("marts_one.volatility_ranking"), *ranked.columns) == rows(ranked)
     assert other.table("marts_one.dim_coin").count() == 0
     assert re.search("fact_price", other.sql("SHOW TABLES IN marts_one")._show_string(50, False, False))
+
+
+def test_only_the_last_rows_of_a_coin_get_a_deviation_for_its_newest_day(spark, tmp_path):
+    """The frames of the newest day reach 30 rows back, its oldest return one price further."""
+    chance = random.Random(7)
+    given = [
+        (f"c{n}", str(day("2026-01-01") + dt.timedelta(days=i)), chance.choice([None, 0.0, *(chance.uniform(1, 9) for _ in range(18))]))
+        for n in (1, 2, 29, 30, 31, 32, 75)
+        for i in range(n)
+    ]
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    _load(warehouse, *given)
+    catalogue.publish(warehouse, "marts_late")
+    stored = warehouse.fact_price()
+    last = stored.groupBy("coin_id").agg(F.max("date").alias("date"))
+    want = rows(marts.rolling_volatility(stored).join(last, ["coin_id", "date"]), "coin_id", "date", "price", "daily_return", "volatility_30d")
+    assert len(want) == 7
+    for latest in (marts.latest_per_coin(stored), spark.table("marts_late.latest_per_coin")):
+        assert rows(latest, "coin_id", "date", "price", "daily_return", "volatility_30d") == want
+        below = latest._jdf.queryExecution().optimizedPlan().toString().rsplit("stddev_samp", 1)[1]
+        assert "Filter" in below

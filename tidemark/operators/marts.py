@@ -68,8 +68,11 @@ def moving_average(prices: DataFrame, window: int = 7, ordered: bool = False) ->
 
 def rolling_volatility(fact: DataFrame) -> DataFrame:
     """Sample deviation of the last 30 daily returns, rounded to 5 places."""
-    deviation = F.round(F.stddev_samp("daily_return").over(_trailing(30)), 5)
-    return daily_return(fact).withColumn("volatility_30d", deviation)
+    return daily_return(fact).withColumn("volatility_30d", _volatility())
+
+
+def _volatility() -> Column:
+    return F.round(F.stddev_samp("daily_return").over(_trailing(30)), 5)
 
 
 def running_peak(fact: DataFrame) -> DataFrame:
@@ -122,10 +125,15 @@ def latest_per_coin(fact: DataFrame) -> DataFrame:
     """Each coin's newest row of ``rolling_volatility``.
 
     The newest row is the one no other row follows, read off in the same
-    window order as the returns, so there is no second sort.
+    window order as the returns, so there is no second sort. Only the last 30
+    rows, all that its deviation looks at, go through that window.
     """
-    follows = F.lead(F.lit(True)).over(_by_day())
-    flagged = rolling_volatility(fact).withColumn("_newest", follows.isNull())
+
+    def none_after(rows: int) -> Column:
+        return F.lead(F.lit(True), rows).over(_by_day()).isNull()
+
+    late = daily_return(fact).withColumn("_late", none_after(30)).where("_late").drop("_late")
+    flagged = late.withColumns({"volatility_30d": _volatility(), "_newest": none_after(1)})
     return flagged.where("_newest").drop("_newest")
 
 

@@ -38,9 +38,13 @@ VIEWS = {
     "return_30d": f"""
       SELECT coin_id, date, price, price_30d_ago, try_divide(price, price_30d_ago) - 1 AS return_30d
       FROM (SELECT coin_id, date, price, lag(price, 30) OVER ({_BY_DAY}) AS price_30d_ago FROM {{0}}.fact_price)""",
+    # As rolling_volatility has it; only a coin's last 30 rows, all that its newest day looks at, get a deviation.
     "latest_per_coin": f"""
       SELECT coin_id, date, price, daily_return, volatility_30d
-      FROM (SELECT *, lead(true) OVER ({_BY_DAY}) IS NULL AS newest FROM {{0}}.rolling_volatility)
+      FROM (SELECT coin_id, date, price, daily_return, lead(true) OVER ({_BY_DAY}) IS NULL AS newest,
+                   round(stddev_samp(daily_return) OVER ({_BY_DAY} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 5) AS volatility_30d
+            FROM (SELECT *, lead(true, 30) OVER ({_BY_DAY}) IS NULL AS late FROM {{0}}.daily_return)
+            WHERE late)
       WHERE newest""",
     # Equal values are counted first, so the unpartitioned window has a row a distinct volatility.
     "volatility_ranking": """
