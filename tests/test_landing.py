@@ -1,10 +1,13 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import day, rows
+from helpers import day, plan, rows
 from payloads import coin, millis, write_history, write_snapshot
 from tidemark.operators import series
 from tidemark.sources import landing
+from tidemark.sources.tables import epoch_millis
 from tidemark.streaming.compact import compact
 
 
@@ -49,6 +52,34 @@ def test_history_points_align_and_name_their_coin(spark, tmp_path):
     ]
 
 
+def test_history_points_need_no_lambda_and_keep_odd_arrays(spark):
+    schema = ", ".join(f"{c} array<array<double>>" for c in ("prices", "market_caps", "total_volumes"))
+    payloads = spark.createDataFrame(
+        [
+            ("a", "20310305_003011", [[1.0, 5.0], None, [2.0], [3.0, 7.0], [3.0, 8.0], []], None, [[3.0, 1.0], [4.0, 9.0]]),
+            ("b", "20310305_003011", None, [[1.0, 5.0]], []),
+        ],
+        f"coin_id string, ingest_ts string, {schema}",
+    )
+    points = landing.history_points(payloads)
+    assert "lambda" not in plan(points)
+    assert rows(points, "coin_id", "timestamp", "price", "market_cap", "volume") == [
+        ("a", 1, 5.0, None, None),
+        ("a", 2, None, None, None),
+        ("a", 3, 8.0, None, 1.0),
+    ]
+
+
+def test_epoch_millis_of_any_time_without_decimals(spark):
+    texts = ["1969-12-31T23:59:59.999999", "1970-01-01T00:00:00.000999", "1899-12-31T12:00:00.0015", "2024-02-29T23:59:59.9989", None]
+    times = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").cast("timestamp_ntz").alias("ts"))
+    got = times.select("t", epoch_millis(F.col("ts")).alias("ms"))
+    assert "decimal" not in plan(got)
+    start = dt.datetime(1970, 1, 1)
+    wanted = [None if t is None else (dt.datetime.fromisoformat(t) - start) // dt.timedelta(milliseconds=1) for t in texts]
+    assert rows(got) == sorted(zip(texts, wanted), key=repr)
+
+
 def test_later_payload_wins_for_the_same_point(spark, tmp_path):
     write_history(tmp_path, "a", "20310305_003011", [("2026-09-01T22:00:00", 10.0)])
     write_history(tmp_path, "a", "20310306_003011", [("2026-09-01T22:00:00", 20.0)])

@@ -314,6 +314,45 @@ def test_unreadable_payloads_are_quarantined_with_their_text(spark, tmp_path):
     )
 
 
+def test_only_an_input_with_unreadable_payloads_is_parsed_again(spark, tmp_path, landed, monkeypatch):
+    again, read = [], pipeline.unreadable_rows
+
+    def noted(payloads, source):
+        again.append(source)
+        return read(payloads, source)
+
+    monkeypatch.setattr(pipeline, "unreadable_rows", noted)
+    root = str(tmp_path / "w")
+    pipeline.run(spark, landed, root, "one", until="20260826_235959")
+    assert again == []
+    for name in ("b", "c"):
+        (tmp_path / "raw" / f"history_{name}_20260829_070003.json").write_text('{"prices": [[1, 2]], "market')
+    report = pipeline.run(spark, landed, root, "two").first()
+    assert again == [1]
+    assert (report.rows_received, report.rows_passed, report.rows_quarantined) == (8, 4, 4)
+    counted = dict(rows(Warehouse(spark, root).metrics().where("run_id = 'two' AND step = 'batch'"), "metric", "value"))
+    assert (counted["historical_valid"], counted["historical_failed"], counted["current_failed"]) == (3, 2, 1)
+
+
+def test_a_counter_of_an_empty_branch_is_no_zero(spark, tmp_path):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from tidemark.scale import none_counted
+
+    path = str(tmp_path / "t")
+    spark.range(9).write.parquet(path)
+    for bound, many, expected in ((5, "id >= 0", False), (50, "id >= 0", True)):
+        seen = Observation()
+        watched = spark.read.parquet(path).where(many).observe(seen, F.count_if(F.col("id") > bound).alias("n"))
+        watched.groupBy("id").count().write.parquet(f"{path}-{bound}")
+        assert none_counted(seen, "n") is expected
+    seen = Observation()
+    watched = spark.read.parquet(path).where("id > 100").observe(seen, F.count_if(F.col("id") > 5).alias("n"))
+    watched.repartitionByRange(3, "id").write.parquet(f"{path}-empty")
+    assert none_counted(seen, "n") in (True, False)
+
+
 def test_days_are_reduced_without_a_sort(spark, tmp_path):
     from tidemark.sources import landing
 

@@ -14,7 +14,7 @@ from tidemark.functions.expressions import packed, stamp_number
 from tidemark.operators import marts, quality, series
 from tidemark.operators.store import DONE, OVERTAKEN, Warehouse, orphan_facts
 from tidemark.plans import views
-from tidemark.scale import materialise, temporary
+from tidemark.scale import materialise, none_counted, temporary
 from tidemark.schemas import FACT_KEY, MEASURES
 from tidemark.sources import landing
 
@@ -99,6 +99,35 @@ def flag_payloads(
     return flagged
 
 
+def write_batch(
+    snapshots: DataFrame,
+    histories: DataFrame,
+    marks: DataFrame,
+    as_of: dt.date | str = "landed",
+    tracked: Sequence[str] | None = None,
+    reason_mode: str = "row",
+) -> tuple[DataFrame, dict[str, int]]:
+    """``flag_payloads`` written where the loss of an executor cannot take it, and its counters.
+
+    The scan that reads the rows counts the payloads that cannot be read, and
+    only an input that has some is parsed again for their text.
+    """
+    unread, sources = "unread", ((_SNAPSHOT, snapshots), (_HISTORY, histories))
+    seen = [Observation() for _ in sources]
+    watched = [p.observe(o, F.count_if(landing.is_unreadable(p)).alias(unread)) for o, (_, p) in zip(seen, sources)]
+    counted = Observation("batch")
+    flagged = flag_batch(ingest(*watched, marks, as_of, tracked), reason_mode)
+    flagged = materialise(flagged.observe(counted, *_counters()), "batch")
+    counts = counted.get
+    for observed, (source, payloads) in zip(seen, sources):
+        if not none_counted(observed, unread):
+            counted = Observation(f"unreadable-{source}")
+            rows = materialise(unreadable_rows(payloads, source).observe(counted, *_counters()), "unreadable")
+            counts = {name: (value or 0) + (counted.get[name] or 0) for name, value in counts.items()}
+            flagged = flagged.unionByName(rows, allowMissingColumns=True)
+    return flagged, counts
+
+
 def _counters() -> list[Column]:
     """Row counts for the log, gathered while the batch is written."""
     return [
@@ -230,13 +259,10 @@ def _run(
     snapshots = landing.between(snapshots, since, until, after)
     histories = landing.between(histories, since, until, after)
 
-    # Feeds every sink and counter below, so it is evaluated once and kept
-    # where the loss of an executor cannot take it.
-    counted = Observation("batch")
-    flagged = flag_payloads(snapshots, histories, marks, as_of, tracked, reason_mode)
-    flagged = materialise(flagged.observe(counted, *_counters()), "batch")
-    logger.info("run %s: %s", run_id, counted.get)
-    warehouse.keep_metrics(run_id, "batch", counted.get)
+    # Feeds every sink and counter below, so it is evaluated once.
+    flagged, counts = write_batch(snapshots, histories, marks, as_of, tracked, reason_mode)
+    logger.info("run %s: %s", run_id, counts)
+    warehouse.keep_metrics(run_id, "batch", counts)
     newest = flagged.agg(F.max("landed")).first()[0]
     warehouse.keep_window(run_id, since, after, until or newest or after)
     for other in overtakes:

@@ -18,7 +18,8 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ordering
@@ -64,6 +65,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def none_counted(observed: Observation, name: str) -> bool:
+    """Whether the counter ``name`` of a finished query stayed at zero.
+
+    Spark may leave a counter out together with a branch it finds empty; that
+    is no zero, and reading it fails.
+    """
+    try:
+        return observed.get.get(name) == 0
+    except Py4JJavaError:
+        return False
+
+
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Delete the copies that ``materialise`` writes inside the block when it ends."""

@@ -204,27 +204,22 @@ def snapshot_rows(objects: DataFrame, as_of: dt.date | str = "landed") -> DataFr
 def history_points(payloads: DataFrame) -> DataFrame:
     """History payloads to aligned points ``(coin_id, ingest_ts, timestamp, date, measures)``.
 
-    One explode covers the three arrays, so each payload is parsed and scanned
-    once. The points of a timestamp come from one payload row, which lets the
-    alignment combine them before its single shuffle.
+    The three arrays become rows, then their points do, so each payload is
+    parsed and scanned once, all in generated code, which a lambda over the
+    points would leave. The points of a timestamp come from one payload row,
+    which lets the alignment combine them before its single shuffle.
     """
-
-    def tagged(column: str, series: str) -> Column:
-        return F.transform(
-            F.coalesce(F.col(column), F.array().cast(HISTORY[column].dataType)),
-            lambda point, position: F.struct(
-                F.lit(series).alias("series"),
-                position.cast("long").alias("position"),
-                F.get(point, F.lit(0)).cast("long").alias("timestamp"),
-                F.get(point, F.lit(1)).alias("value"),
-            ),
-        )
-
-    points = F.concat(
-        tagged("prices", "price"),
-        tagged("market_caps", "market_cap"),
-        tagged("total_volumes", "volume"),
+    named = (("prices", "price"), ("market_caps", "market_cap"), ("total_volumes", "volume"))
+    arrays = F.array(*[F.struct(F.lit(name).alias("series"), F.col(c).alias("points")) for c, name in named])
+    long = readable(payloads).select("coin_id", "ingest_ts", F.inline(arrays))
+    long = long.select("coin_id", "ingest_ts", "series", F.posexplode("points").alias("position", "point"))
+    long = long.select(
+        "coin_id",
+        "ingest_ts",
+        "series",
+        F.col("position").cast("long").alias("position"),
+        F.get("point", F.lit(0)).cast("long").alias("timestamp"),
+        F.get("point", F.lit(1)).alias("value"),
     )
-    long = readable(payloads).select("coin_id", "ingest_ts", F.inline(points))
     aligned = align_long(long, ["coin_id", "ingest_ts", "timestamp"], order="position")
     return aligned.withColumn("date", utc_day(F.col("timestamp")))

@@ -92,8 +92,9 @@ def user_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def epoch_millis(ts: Column) -> Column:
     """Milliseconds since 1970 of a timestamp without time zone."""
     day = F.unix_date(ts.cast("date")).cast("long") * MILLIS_PER_DAY
-    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
-    millis = F.floor(F.date_part(F.lit("SECOND"), ts) * 1000)
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    # No time zone is off by parts of a second. Numbers, not decimals, for every event.
+    millis = F.pmod(F.unix_millis(ts.cast("timestamp")), F.lit(1000))
     return day + seconds * 1000 + millis
 
 
