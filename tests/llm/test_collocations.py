@@ -143,3 +143,55 @@ def test_equal_hashes_do_not_make_equal_words(spark, monkeypatch):
         for key, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             found[key] += n
     assert found[b"\1en\naa"] == 2 and found[b"\1de\naa"] == 1 and found[b"\1en\naa bb"] == 1 and found[b"\2en"] == 3
+
+
+def test_a_round_sends_no_row_for_a_key(spark, monkeypatch):
+    """The sample takes one round, all texts two; none of them adds up rows of single keys."""
+    rounds, write = [], collocations.materialise
+
+    def kept(df, label):
+        if label == "counted":
+            rounds.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(collocations, "materialise", kept)
+    docs = documents(spark, corpus(7))
+    rows = [(r.lang, r.text) for r in docs.collect()]
+    how = Mining(least=12, share=0.5)
+    assert result(collocations.collocations(docs, how, top=40)) == ranked(rows, 12, 40)
+    assert len(rounds) <= 3 and not any("Aggregate" in plan for plan in rounds)
+
+
+@pytest.mark.parametrize("power", [6, 9])
+@pytest.mark.parametrize("held", [1, 1 << 14, 1 << 25])
+def test_parcels_add_up(monkeypatch, power, held):
+    """However often a task packs, and also counts that do not go into a byte."""
+    monkeypatch.setattr(collocations, "_HELD_BYTES", held)
+    rows = [("en" if i % 3 else None, text) for i, text in enumerate([*corpus(9), "x y " * 700, "z " * 255, "", None])]
+    batches = [
+        pa.RecordBatch.from_pydict({"lang": pa.array([lang or "und" for lang, _ in part]), "text": pa.array([text for _, text in part], pa.string())})
+        for part in (rows[:50], rows[50:90], rows[90:])
+    ]
+    counts, total = phrases(rows, 3)
+
+    def merged(turn, least):
+        class Sent:
+            value = turn
+
+        sent = [p for batch in batches for p in collocations._parcels(collocations._counts([batch], Sent, 3), power)]
+        assert all(p.num_rows <= 1 << power for p in sent)
+        parts = {}
+        for parcel in sent:
+            for i, part in enumerate(parcel.column("part").to_pylist()):
+                parts.setdefault(part, []).append(parcel.slice(i, 1))
+        return [row for one in parts.values() for batch in collocations._merged(one, least, power) for row in batch.to_pylist()]
+
+    languages = {b"\2" + lang.encode(): n for lang, n in total.items()}
+    for least in (1, 300):
+        enough = {b"\1" + lang.encode() + b"\n" + phrase.encode(): n for (lang, phrase), n in counts.items() if n >= least}
+        found = merged(collocations.Round(np.full(8, 255, np.uint8)), least)
+        assert {r["key"]: r["n"] for r in found} == enough | languages and len(found) == len(enough) + len(languages)
+        found = merged(collocations.Round(), least)
+        assert sorted(r["n"] for r in found if r["key"] is None) == sorted(enough.values())
+        assert {r["key"]: r["n"] for r in found if r["key"]} == languages
+        assert all((r["kind"], r["q"] is None) == ((0, False) if r["key"] is None else (2, True)) for r in found)

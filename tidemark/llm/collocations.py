@@ -12,6 +12,11 @@ The expansion follows a phrase that is new in the border to the phrases that
 it begins or ends, in the same pass: every part of a frequent phrase is as
 frequent, so each frequent phrase has been counted by its words when it ends.
 
+A task adds up what it counts and sends parcels: for each range of hashes one
+row with the sorted hashes, keys and counts of the range. Ranges are put
+together in numpy, so no row of Spark's is made for a single key, but for the
+few that reach the threshold.
+
 Proposal and failures reach the tasks as a Bloom filter of bounded size. What
 passes it by chance is counted too, which costs time and changes no count.
 """
@@ -27,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow_text import Hasher, chunks, gather, lowered, mix
+from tidemark.llm.arrow_text import Hasher, chunks, gather, lowered, mix, release
 from tidemark.llm.sampling import chance
 from tidemark.llm.ship import ship
 from tidemark.scale import materialise
@@ -42,10 +47,16 @@ _STEP = np.uint64(0x9FB21C651E98DF25)
 _BITS_EACH, _LEAST_BITS, _MOST_BITS = 8, 20, 30
 _SLICES = 64
 _PARTS = 64
-# A counted key is a hash, the words of a language and phrase, or a language alone (its number of words).
+# What is counted goes by a hash, the words of a language and phrase, or a language alone (its number of words).
 _HASH, _PHRASE, _LANGUAGE = 0, 1, 2
 # Of a phrase's hash so many bits are counted, and the filter has two places for them.
 _KEPT, _SECOND = 48, 18
+# A task packs what it has counted when it holds so many bytes.
+_HELD_BYTES = 1 << 25
+# Parts are ranges of hashes, each for so many bytes of text; 2^6 to 2^16 of them.
+_PART_BYTES, _LEAST_POWER, _MOST_POWER = 1 << 24, 6, 16
+# A hash is packed as its lower 32 bits among those of its upper bits, with a count of one byte.
+_HEADS, _MOST_TIMES = 1 << (_KEPT - 32), 255
 
 
 @dataclass(frozen=True)
@@ -80,14 +91,23 @@ class Grams:
         self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.first_word = np.searchsorted(self.starts, offsets)
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first_word))
-        breaks = np.flatnonzero(_BREAK[raw])
-        piece = np.searchsorted(breaks, self.starts)
-        self.linked = (piece[1:] == piece[:-1]) & (self.row[1:] == self.row[:-1])
+        # What follows no word, of the last one too, goes by the front and is cut off.
+        self.linked = np.ones(len(self.starts) + 1, dtype=bool)
+        self.linked[np.searchsorted(self.starts, np.flatnonzero(_BREAK[raw]))] = False
+        self.linked[self.first_word] = False
+        self.linked = self.linked[1:-1]
         self.hashes = self.hasher(self.starts, self.ends)
 
     def same(self, words: np.ndarray, others: np.ndarray) -> bool:
-        """Whether the ``words`` equal the ``others``, each its own."""
-        return self.hasher.same(self.starts, self.ends, words, others)
+        """Whether the ``words`` equal the ``others``, each its own.
+
+        The hash of up to eight bytes can be undone for a given length, so only the bytes of longer words are compared.
+        """
+        size = self.ends[words] - self.starts[words]
+        if not np.array_equal(self.hashes[words], self.hashes[others]) or not np.array_equal(size, self.ends[others] - self.starts[others]):
+            return False
+        long = size > 8
+        return self.hasher.same(self.starts, self.ends, words[long], others[long])
 
     def texts(self, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, bounds) of the phrases of ``k`` words that begin with the words ``first``, joined by single spaces."""
@@ -102,15 +122,20 @@ class Grams:
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(one index of each different key, for each key the number of its group, group sizes)."""
-    order = np.argsort(keys)
+    """(indices that bring equal keys together, where each group begins, group sizes).
+
+    Sorted are the upper bits of the keys and the index as one number. Keys that
+    differ only below may alternate, and then have several groups each.
+    """
+    below = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = keys & ~below | np.arange(len(keys), dtype=np.uint64)
+    order.sort()
+    order = (order & below).astype(np.int64)
     ordered = keys[order]
     new = np.ones(len(keys), dtype=bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    group = np.empty(len(keys), dtype=np.int64)
-    group[order] = np.cumsum(new) - 1
     begin = np.flatnonzero(new)
-    return order[begin], group, np.diff(np.append(begin, len(keys)))
+    return order, begin, np.diff(np.append(begin, len(keys)))
 
 
 def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -124,11 +149,10 @@ def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Round:
-    """One pass: the filter to count by, that of the pass before, or the only length of a pass over the sample."""
+    """One pass: the filter to count by, none to count every phrase by its hash, and that of the pass before."""
 
     new: np.ndarray | None = None
     old: np.ndarray | None = None
-    only: int | None = None
 
 
 def _levels(grams: Grams, salt: np.ndarray, turn: Round, longest: int):
@@ -137,8 +161,8 @@ def _levels(grams: Grams, salt: np.ndarray, turn: Round, longest: int):
     if not len(word):
         return
     h, at = mix(word ^ salt), np.arange(len(word))
-    reached = np.ones(len(word), dtype=bool)
-    for k in range(1, (turn.only or longest) + 1):
+    follow = was = reached = np.ones(len(word), dtype=bool)
+    for k in range(1, longest + 1):
         if k > 1:
             left = np.flatnonzero(grams.linked if k == 2 else at[1:] == at[:-1] + 1)
             left = left[follow[left] & follow[left + 1]]
@@ -147,9 +171,10 @@ def _levels(grams: Grams, salt: np.ndarray, turn: Round, longest: int):
             reached = was[left] & was[left + 1]
             at = at[left]
             h = mix(h[left] * _STEP + word[at + k - 1])
-        if turn.only == k:
+        if turn.new is None:
             yield k, h, at, np.zeros(len(h), dtype=bool)
-            return
+            follow = was = np.ones(len(h), dtype=bool)
+            continue
         follow = passes(turn.new, h)
         if turn.old is None:
             yield k, h, at, follow
@@ -161,13 +186,6 @@ def _levels(grams: Grams, salt: np.ndarray, turn: Round, longest: int):
             follow, was = follow | ~reached, reached & before
 
 
-def _hash_keys(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.empty((len(h), 1 + _KEPT // 8), dtype=np.uint8)
-    keys[:, 0] = _HASH
-    keys[:, 1:] = (h >> np.uint64(64 - _KEPT)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _KEPT // 8 :]
-    return keys.reshape(-1), np.arange(len(h) + 1) * keys.shape[1]
-
-
 def _phrase_keys(names: list[bytes], lang: np.ndarray, joined: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Language, line feed and phrase; no phrase has a line feed."""
     heads = np.frombuffer(b"".join(names), dtype=np.uint8)
@@ -181,13 +199,17 @@ def _phrase_keys(names: list[bytes], lang: np.ndarray, joined: np.ndarray, bound
     return keys, np.concatenate([[0], np.cumsum(both.sum(axis=1))])
 
 
-def _batch(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.BinaryArray:
     at = pa.py_buffer(np.ascontiguousarray(bounds, dtype=np.int32))
-    column = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, at, pa.py_buffer(np.ascontiguousarray(keys))])
-    return pa.RecordBatch.from_arrays([column, pa.array(n, pa.int64())], names=["key", "n"])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, at, pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _batch(key: pa.Array, n: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([key, pa.array(n, pa.int64()), pa.array(h, pa.uint64())], names=["key", "n", "hash"])
 
 
 def _counts(batches, sent, longest: int) -> Iterator[pa.RecordBatch]:
+    """(key, n, hash) of what a pass counts, key null for what it counts by hash; what comes again adds up."""
     turn = sent.value
     for batch in batches:
         coded = batch.column("lang").dictionary_encode()
@@ -198,24 +220,129 @@ def _counts(batches, sent, longest: int) -> Iterator[pa.RecordBatch]:
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         for first, last, raw, offsets in chunks(batch.column("text")):
             grams = Grams(raw, offsets)
-            if turn.old is None and turn.only in (None, 1):
+            if turn.old is None:
                 total = np.bincount(codes[first:last], np.diff(grams.first_word), minlength=len(names)).astype(np.int64)
                 keys = [bytes([_LANGUAGE]) + name for name in names]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(total)], names=["key", "n"])
+                yield _batch(pa.array(keys, pa.binary()), total, np.zeros(len(names), dtype=np.uint64))
             lang = codes[first:last][grams.row]
             for k, h, at, exact in _levels(grams, salts[lang], turn, longest):
                 known, rest = np.flatnonzero(exact), np.flatnonzero(~exact)
                 if len(rest):
-                    one, _, n = grouped(h[rest])
-                    yield _batch(*_hash_keys(h[rest[one]]), n)
+                    yield _batch(pa.nulls(len(rest), pa.binary()), np.ones(len(rest), dtype=np.int64), h[rest])
                 if len(known):
-                    one, group, n = grouped(h[known])
-                    begin, model = at[known], at[known[one[group]]]
+                    order, one, n = grouped(h[known])
+                    known = known[order]
+                    begin, model = at[known], at[np.repeat(known[one], n)]
                     alike = np.array_equal(lang[begin], lang[model]) and all(grams.same(begin + j, model + j) for j in range(k))
                     if not alike:  # two phrases of one hash: each occurrence goes by itself
                         one, n = np.arange(len(known)), np.ones(len(known), dtype=np.int64)
                     begin = begin[one]
-                    yield _batch(*_phrase_keys(heads, lang[begin], *grams.texts(begin, k)), n)
+                    yield _batch(_binary(*_phrase_keys(heads, lang[begin], *grams.texts(begin, k))), n, h[known[one]])
+
+
+def _summed(keys: list[pa.Array], n: list[np.ndarray]) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+    """(the different keys, the sum of each, for each of all keys the number of its own)."""
+    coded = pa.concat_arrays(keys).dictionary_encode()
+    own = coded.indices.to_numpy()
+    total = np.zeros(len(coded.dictionary), dtype=np.int64)
+    np.add.at(total, own, np.concatenate(n))
+    return coded.dictionary, total, own
+
+
+def _content(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bounds) of a binary column without nulls."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, bounds, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
+    bounds = np.frombuffer(bounds, dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def _parcel(hashes: list[np.ndarray], keyed: list[pa.RecordBatch], power: int) -> pa.RecordBatch:
+    """A row for each of the 2^power parts that what was counted falls into."""
+    parts = 1 << power
+    q = np.concatenate([*hashes, np.zeros(0, dtype=np.uint64)]) >> np.uint64(64 - _KEPT)
+    q.sort()
+    begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(q)), dtype=bool), q[1:] != q[:-1]]))
+    n = np.diff(np.append(begin, len(q)))
+    times = -(-n // _MOST_TIMES)  # a larger count takes several entries
+    q, ends = np.repeat(q[begin], times), np.cumsum(times)
+    each = np.full(len(q), _MOST_TIMES, dtype=np.uint8)
+    each[ends - 1] = n - _MOST_TIMES * (times - 1)
+    heads = np.bincount((q >> np.uint64(32)).astype(np.int64), minlength=_HEADS).astype(np.uint32)
+    at = np.concatenate([[0], np.cumsum(heads.reshape(parts, -1).sum(axis=1, dtype=np.int64))])
+    own = np.arange(parts + 1) * (_HEADS // parts * 4)
+    columns = [_binary(heads.view(np.uint8), own), _binary(q.astype(np.uint32).view(np.uint8), at * 4), _binary(each, at)]
+    filled = np.diff(at) > 0
+    if keyed:
+        keys, total, which = _summed([b.column(0) for b in keyed], [b.column(1).to_numpy() for b in keyed])
+        h = np.empty(len(keys), dtype=np.uint64)
+        h[which] = np.concatenate([b.column(2).to_numpy() for b in keyed])
+        part = (h >> np.uint64(64 - power)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        data, bounds = _content(keys.take(pa.array(order)))
+        at = np.searchsorted(part[order], np.arange(parts + 1))
+        size = np.diff(bounds).astype(np.uint32)
+        columns += [_binary(size.view(np.uint8), at * 4), _binary(total[order].view(np.uint8), at * 8), _binary(data, bounds[at])]
+        filled |= np.diff(at) > 0
+    else:
+        columns += [_binary(np.zeros(0, dtype=np.uint8), np.zeros(parts + 1))] * 3
+    parcel = pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), *columns], names=["part", "heads", "low", "times", "size", "n", "keys"])
+    return parcel.filter(pa.array(filled))
+
+
+def _parcels(found: Iterator[pa.RecordBatch], power: int) -> Iterator[pa.RecordBatch]:
+    """What a task counts, added up and packed by parts, whenever it has gathered enough."""
+    hashes, keyed, held = [], [], 0
+    for batch in found:
+        if batch.column(0).null_count:
+            hashes.append(batch.column(2).to_numpy())
+            held += 8 * len(batch)
+        else:
+            keyed.append(batch)
+            held += batch.nbytes
+        if held >= _HELD_BYTES:
+            yield _parcel(hashes, keyed, power)
+            hashes, keyed, held = [], [], 0
+    if held:
+        yield _parcel(hashes, keyed, power)
+    release()
+
+
+def _merged(batches, least: int, power: int) -> Iterator[pa.RecordBatch]:
+    """(kind, key, q, n) of what occurs ``least`` times in the parcels of whole parts, and of the languages."""
+    entries, keys, counts = [np.zeros(0, dtype=np.uint64)], [], []
+    wide = _HEADS >> power
+    for batch in batches:
+        heads, low, each, size, n, texts = (_content(batch.column(i))[0] for i in range(1, 7))
+        part = batch.column(0).to_numpy().astype(np.uint64)
+        head = (part[:, None] * np.uint64(wide) + np.arange(wide, dtype=np.uint64)).reshape(-1)
+        q = np.repeat(head << np.uint64(32), heads.view(np.uint32)) | low.view(np.uint32)
+        entries.append(q << np.uint64(64 - _KEPT) | each)
+        if len(size):
+            keys.append(_binary(texts, np.concatenate([[0], np.cumsum(size.view(np.uint32), dtype=np.int64)])))
+            counts.append(n.view(np.int64))
+    entries = np.concatenate(entries)
+    entries.sort()
+    q = (entries >> np.uint64(64 - _KEPT)).astype(np.int64)
+    if len(q):
+        begin = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+        n = np.add.reduceat((entries & np.uint64(_MOST_TIMES)).astype(np.int64), begin)
+        enough = n >= least
+        q, n = q[begin[enough]], n[enough]
+        yield _rows(np.full(len(q), _HASH), pa.nulls(len(q), pa.binary()), pa.array(q), n)
+    if keys:
+        key, n, _ = _summed(keys, counts)
+        data, bounds = _content(key)
+        kind = data[bounds[:-1]]
+        enough = np.flatnonzero((n >= least) | (kind == _LANGUAGE))
+        yield _rows(kind[enough], key.take(pa.array(enough)), pa.nulls(len(enough), pa.int64()), n[enough])
+    release()
+
+
+def _rows(kind: np.ndarray, key: pa.Array, q: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), key, q, pa.array(n, pa.int64())], names=["kind", "key", "q", "n"])
 
 
 def _slices(batches, each: int) -> Iterator[pa.RecordBatch]:
@@ -247,18 +374,23 @@ def _filter_bits(words: float, least: int) -> int:
     return 1 << min(max(wanted.bit_length(), _LEAST_BITS), _MOST_BITS)
 
 
-def _counted(texts: DataFrame, turn: Round, least: int, how: Mining) -> DataFrame:
-    """(kind, key, n) of the keys that occur ``least`` times, and of the languages."""
+def _power(text_bytes: float) -> int:
+    """Of two, for so many parts that each has the phrases of some ``_PART_BYTES`` of text."""
+    return min(max(int(text_bytes // _PART_BYTES).bit_length(), _LEAST_POWER), _MOST_POWER)
+
+
+def _counted(texts: DataFrame, turn: Round, least: int, how: Mining, power: int) -> DataFrame:
+    """(kind, key, q, n) of the hashes and keys that occur ``least`` times, and of the languages."""
     sent = texts.sparkSession.sparkContext.broadcast(turn)
-    rows = texts.mapInArrow(lambda batches: _counts(batches, sent, how.words), "key binary, n long")
-    kind = F.conv(F.hex(F.substring("key", 1, 1)), 16, 10).cast("int").alias("kind")
-    counted = rows.groupBy("key").agg(F.sum("n").alias("n")).select(kind, "key", "n")
-    return materialise(counted.where((F.col("n") >= least) | (F.col("kind") == _LANGUAGE)), "counted")
+    packed = "part int, heads binary, low binary, times binary, size binary, n binary, keys binary"
+    parcels = texts.mapInArrow(lambda batches: _parcels(_counts(batches, sent, how.words), power), packed)
+    parts = parcels.repartitionById(1 << power, "part")
+    counted = parts.mapInArrow(lambda batches: _merged(batches, least, power), "kind int, key binary, q long, n long")
+    return materialise(counted, "counted")
 
 
 def _hashes(counted: DataFrame) -> DataFrame:
-    q = F.conv(F.hex(F.substring("key", 2, _KEPT // 8)), 16, 10).cast("long")
-    return counted.where(F.col("kind") == _HASH).select(q.alias("q"))
+    return counted.where(F.col("kind") == _HASH).select("q")
 
 
 def _phrases(counted: DataFrame) -> DataFrame:
@@ -269,18 +401,11 @@ def _phrases(counted: DataFrame) -> DataFrame:
     return counted.where(F.col("kind") != _HASH).select(lang.alias("lang"), phrase.alias("phrase"), "n")
 
 
-def _proposed(sample: DataFrame, how: Mining) -> np.ndarray:
-    """The filter of the phrases that reach the lowered threshold in the sample, found length by length."""
-    counted = _counted(sample, Round(only=1), how.least_in_sample, how)
+def _proposed(sample: DataFrame, how: Mining, text_bytes: int) -> np.ndarray:
+    """The filter of the phrases that reach the lowered threshold in the sample."""
+    counted = _counted(sample, Round(), how.least_in_sample, how, _power(text_bytes * how.words))
     words = counted.where(F.col("kind") == _LANGUAGE).agg(F.sum("n")).first()[0] or 0
-    bits = _filter_bits(words / how.share, how.least)
-    found = _filter(_hashes(counted), bits)
-    for k in range(2, how.words + 1):
-        more = _hashes(_counted(sample, Round(found, only=k), how.least_in_sample, how))
-        if more.isEmpty():
-            break
-        found = found | _filter(more, bits)
-    return found
+    return _filter(_hashes(counted), _filter_bits(words / how.share, how.least))
 
 
 def _words() -> Column:
@@ -300,12 +425,14 @@ def frequent(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
     texts = docs.select(lang, F.col("text").cast("string").alias("text"))
     sample = docs.where(chance(how.seed, "doc_id", "text") < how.share)
     sample = materialise(sample.select(lang, F.col("text").cast("string").alias("text")), "sample")
-    proposed = _proposed(sample, how)
-    counted = _counted(texts, Round(proposed), how.least, how)
+    text_bytes = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    proposed = _proposed(sample, how, text_bytes)
+    power = _power(text_bytes / how.share)
+    counted = _counted(texts, Round(proposed), how.least, how, power)
     found, failed = _phrases(counted), _hashes(counted)
     if not failed.isEmpty():
         wider = proposed | _filter(failed, 8 * len(proposed))
-        found = found.unionAll(_phrases(_counted(texts, Round(wider, proposed), how.least, how)))
+        found = found.unionAll(_phrases(_counted(texts, Round(wider, proposed), how.least, how, power)))
     return found
 
 
